@@ -88,8 +88,8 @@ def run_daily(
         raise EmptyExtractError("loans: the extract window holds no rows")
     staged = wh.scan("staging_loans")
 
-    facts = model.fact_rows(staged, wh.scan(CANONICAL))
-    facts = facts.withColumn(LOAD_DATE, F.lit(as_date(run_date)))
+    dated = staged.withColumn(LOAD_DATE, F.lit(as_date(run_date)))
+    facts = model.fact_rows(dated, wh.scan(CANONICAL), carry=[LOAD_DATE])
     # Sorted inside each file by time_key so row-group statistics prune date ranges.
     rows = wh.replace_partitions("fact_loans", facts.sortWithinPartitions("time_key"))
     wh.append("dim_time", model.new_dim_time(staged, wh.scan("dim_time")))

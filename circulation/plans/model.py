@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,14 +71,15 @@ def new_bridge(tokens: DataFrame, dim_subject: DataFrame, bridge: DataFrame) ->
     return joined.select("subject_group_id", F.col("subject_id").cast("long"), "subjects_string")
 
 
-def fact_rows(loans: DataFrame, canonical: DataFrame) -> DataFrame:
+def fact_rows(loans: DataFrame, canonical: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """One fact row per loan whose book is in the inventory; the subject group comes from
     the inventory's canonical row, not the loan's own subjects. The group key is hashed on the
-    inventory side (one per book) before the join, not once per loan."""
+    inventory side (one per book) before the join, not once per loan. ``carry`` names extra
+    loan columns (such as a load date) passed through to the output."""
     books = canonical.select(
         F.col("bibnum").alias("bibnumber"), group_key("subjects").alias("subject_group_id")
     )
-    slim = loans.select("id", "checkoutdatetime", "itemtype", "collection", "bibnumber")
+    slim = loans.select("id", "checkoutdatetime", "itemtype", "collection", "bibnumber", *carry)
     joined = lookup_join(slim, books, "bibnumber", "inner")
     return joined.select(
         "id",
@@ -87,4 +88,5 @@ def fact_rows(loans: DataFrame, canonical: DataFrame) -> DataFrame:
         "collection",
         "bibnumber",
         "subject_group_id",
+        *carry,
     )
