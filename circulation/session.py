@@ -21,6 +21,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Writes replace only the load_date partitions present in the new data.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Checkpoint files of the surrogate-key step are removed once no plan refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

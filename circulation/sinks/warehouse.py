@@ -32,17 +32,30 @@ CANONICAL_SCHEMA = T.StructType(
 
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
+# Tables bucketed on the key they are joined on, so later joins read them without a shuffle:
+# the marts join the bridge on the group and dim_books on the book, the daily fact load and the
+# new-book anti join meet the canonical inventory on the book.
+BUCKET_KEYS = {
+    "bridge_subject": "subject_group_id",
+    "dim_books": "bibnum",
+    CANONICAL: "bibnum",
+}
+
 
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, database: str, location: str | None = None):
+    """``buckets`` sets the bucket count of the tables in ``BUCKET_KEYS`` (default: the session's
+    shuffle partitions); size it so one bucket of the largest of them fits a task comfortably."""
+
+    def __init__(self, spark: SparkSession, database: str, location: str | None = None, buckets: int | None = None):
         if not _NAME.match(database):
             raise ValueError(f"bad database name {database!r}")
         self.spark = spark
         self.database = database
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         if location is not None:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
         else:
@@ -63,9 +76,11 @@ class Warehouse:
 
     # S8
     def create(self, table: str) -> None:
-        part = f" PARTITIONED BY ({LOAD_DATE})" if table == "fact_loans" else ""
+        layout = f" PARTITIONED BY ({LOAD_DATE})" if table == "fact_loans" else ""
+        if table in BUCKET_KEYS:
+            layout += f" CLUSTERED BY ({BUCKET_KEYS[table]}) INTO {self.buckets} BUCKETS"
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_ddl(self.schema_of(table))}) USING parquet{part}"
+            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_ddl(self.schema_of(table))}) USING parquet{layout}"
         )
 
     def create_all(self) -> None:
@@ -80,7 +95,11 @@ class Warehouse:
         self.create(table)
         cols = self.schema_of(table).fieldNames()
         obs = Observation(f"load_{table}")
-        shaped = df.select(*[F.col(c) for c in cols]).observe(obs, F.count(F.lit(1)).alias("rows"))
+        shaped = df.select(*[F.col(c) for c in cols])
+        if table in BUCKET_KEYS:
+            # Same hash as the bucket id: each task writes one bucket, one file per append.
+            shaped = shaped.repartition(self.buckets, F.col(BUCKET_KEYS[table]))
+        shaped = shaped.observe(obs, F.count(F.lit(1)).alias("rows"))
         shaped.write.insertInto(self.name(table), overwrite=overwrite)
         rows = int(obs.get["rows"])
         log.info("%s: %d rows %s", table, rows, "loaded" if overwrite else "appended")
