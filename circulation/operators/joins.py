@@ -22,10 +22,11 @@ def lookup_join(
     small: DataFrame,
     on: Sequence[str] | str,
     how: str = "inner",
-    max_rows: int = BROADCAST_MAX_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Join ``big`` to a lookup side; broadcast the lookup side only after checking its row
     count, otherwise leave the choice to the planner (sort-merge with AQE skew splitting,
     or a runtime broadcast once the measured shuffle size is small)."""
-    side = F.broadcast(small) if max_rows > 0 and fits(small, max_rows) else small
+    limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    side = F.broadcast(small) if limit > 0 and fits(small, limit) else small
     return big.join(side, on, how)

@@ -48,7 +48,8 @@ def _ddl(schema: T.StructType) -> str:
 
 class Warehouse:
     """``buckets`` sets the bucket count of the tables in ``BUCKET_KEYS`` (default: the session's
-    shuffle partitions); size it so one bucket of the largest of them fits a task comfortably."""
+    shuffle partitions). Keep it at least ``spark.sql.shuffle.partitions``: when the other join
+    side shuffles anyway, the planner keeps a bucketed layout only if it has as many partitions."""
 
     def __init__(self, spark: SparkSession, database: str, location: str | None = None, buckets: int | None = None):
         if not _NAME.match(database):
