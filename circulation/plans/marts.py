@@ -75,7 +75,7 @@ def popular_subjects(
     names = dim_subject.select("subject_id", "subject")
     if preaggregate:
         per_group = loans.groupBy("subject_group_id").agg(F.count(F.lit(1)).alias("_n"))
-        fanned = per_group.join(links, "subject_group_id", "left")
+        fanned = lookup_join(per_group, links, "subject_group_id", "left")
         named = lookup_join(fanned, names, "subject_id", "left")
         counts = named.groupBy("subject").agg(F.sum("_n").cast("long").alias("count"))
     else:
@@ -98,7 +98,7 @@ def popular_titles(
     titles = dim_books.select(F.col("bibnum").alias("bibnumber"), "title")
     if preaggregate:
         per_book = loans.groupBy("bibnumber").agg(F.count(F.lit(1)).alias("_n"))
-        named = per_book.join(titles, "bibnumber", "left")
+        named = lookup_join(per_book, titles, "bibnumber", "left")
         counts = named.groupBy("title").agg(F.sum("_n").cast("long").alias("loan_numbers"))
     else:
         named = loans.select("bibnumber").join(titles, "bibnumber", "left")

@@ -19,6 +19,11 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from file-size estimates (compressed parquet can grow many times in memory).
+    # Broadcasts come from an explicit row-count check (operators.lookup_join) or from AQE
+    # once the measured shuffle output of a side is under the adaptive threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # Writes replace only the load_date partitions present in the new data.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Checkpoint files of the surrogate-key step are removed once no plan refers to them.

@@ -19,14 +19,19 @@ def _final(df) -> str:
     return plan_text(df).split("== Initial Plan ==")[0]
 
 
+_SAVED: dict[str, str] = {}
+_KEYS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def _no_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    for k in _KEYS:
+        _SAVED[k] = spark.conf.get(k)
+        spark.conf.set(k, "-1")
 
 
 def _restore_broadcast(spark):
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in _KEYS:
+        spark.conf.set(k, _SAVED[k])
 
 
 def _hot_inventory(spark, n_books=60, hot_copies=120):
@@ -92,7 +97,9 @@ def test_popular_subjects_aggregates_before_bridge_join(spark):
     assert "TakeOrderedAndProject" in final
 
 
-def test_warehouse_fact_prunes_by_load_date_and_bridge_join_reads_buckets(spark):
+def test_warehouse_fact_prunes_by_load_date_and_bridge_join_reads_buckets(spark, monkeypatch):
+    from circulation.operators import joins
+
     wh = Warehouse(spark, f"circ_p_{uuid.uuid4().hex[:10]}", scratch_path(spark, "plans"))
     inv, loans = _hot_inventory(spark), _hot_loans(spark)
     codes = spark.createDataFrame([("a", None, None, None, None, "F", None, None)], schemas.STAGING_CODES)
@@ -107,6 +114,7 @@ def test_warehouse_fact_prunes_by_load_date_and_bridge_join_reads_buckets(spark)
     assert "PushedFilters: [IsNotNull(time_key), GreaterThanOrEqual(time_key" in plan
 
     _no_broadcast(spark)
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)  # as if the bridge were too big to broadcast
     try:
         top = marts.popular_subjects(fact, wh.scan("bridge_subject"), wh.scan("dim_subject"), k=5)
         plan = _final(top)
