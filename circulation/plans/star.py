@@ -1,7 +1,11 @@
-"""The star schema as DataFrame state: apply inventory months and loan days without writing.
+"""The star schema as DataFrame state: apply inventory months and loan days without tables.
 
 ``jobs`` does the same against stored tables; this form lets every builder be checked
 against plain SQL on static inputs, with the previous state passed in as DataFrames.
+
+Each step checkpoints only the rows it adds (to the shared checkpoint dir) and unions them
+onto the previous state, so lineage stays one scan per step instead of re-running every
+earlier month, and no step rewrites the whole table.
 """
 
 from __future__ import annotations
@@ -40,13 +44,18 @@ class Star:
         )
 
 
-def apply_month(star: Star, inventory: DataFrame, codes: DataFrame | None = None) -> Star:
+def _cut(df: DataFrame, materialize: bool) -> DataFrame:
+    return df.checkpoint(eager=True) if materialize else df
+
+
+def apply_month(star: Star, inventory: DataFrame, codes: DataFrame | None = None, materialize: bool = True) -> Star:
     """Monthly load: collections (replaced), books, subjects, then the bridge."""
-    canonical = model.canonical_inventory(inventory)
-    tokens = model.subject_tokens(inventory)
-    dim_subject = star.dim_subject.unionByName(model.new_dim_subject(tokens, star.dim_subject))
-    bridge = star.bridge_subject.unionByName(model.new_bridge(tokens, dim_subject, star.bridge_subject))
-    dim_books = star.dim_books.unionByName(model.new_dim_books(canonical, star.dim_books))
+    canonical = _cut(model.canonical_inventory(inventory), materialize)
+    tokens = _cut(model.subject_tokens(inventory), materialize)
+    dim_subject = star.dim_subject.unionByName(_cut(model.new_dim_subject(tokens, star.dim_subject), materialize))
+    new_links = model.new_bridge(tokens, dim_subject, star.bridge_subject)
+    bridge = star.bridge_subject.unionByName(_cut(new_links, materialize))
+    dim_books = star.dim_books.unionByName(_cut(model.new_dim_books(canonical, star.dim_books), materialize))
     collections = model.dim_collections(codes) if codes is not None else star.dim_collections
     return replace(
         star,
@@ -58,10 +67,10 @@ def apply_month(star: Star, inventory: DataFrame, codes: DataFrame | None = None
     )
 
 
-def apply_day(star: Star, loans: DataFrame) -> Star:
+def apply_day(star: Star, loans: DataFrame, materialize: bool = True) -> Star:
     """Daily load: fact rows against the latest inventory month, and new loan days."""
     if star.canonical is None:
         raise ValueError("no inventory month loaded yet: the fact load needs one")
-    fact = star.fact_loans.unionByName(model.fact_rows(loans, star.canonical))
-    dim_time = star.dim_time.unionByName(model.new_dim_time(loans, star.dim_time))
+    fact = star.fact_loans.unionByName(_cut(model.fact_rows(loans, star.canonical), materialize))
+    dim_time = star.dim_time.unionByName(_cut(model.new_dim_time(loans, star.dim_time), materialize))
     return replace(star, fact_loans=fact, dim_time=dim_time)
