@@ -17,7 +17,7 @@ def day_of(text: Column | str, strict: bool = True) -> Column:
     """
     c = F.col(text) if isinstance(text, str) else text
     head = F.substring(c, 1, 10)
-    return F.to_date(head, "yyyy-MM-dd") if strict else F.try_to_date(head, F.lit("yyyy-MM-dd"))
+    return F.to_date(head, "yyyy-MM-dd") if strict else F.try_to_date(head, "yyyy-MM-dd")
 
 
 def time_key(day: Column) -> Column:

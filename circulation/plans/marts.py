@@ -42,21 +42,26 @@ def loans_per_day(fact: DataFrame, lo: DateLike | None = None, hi: DateLike | No
     """Loans per day, quiet days as 0. The calendar runs over the fact's own first to
     last day and is then cut to ``[lo, hi]``, so no zero rows appear outside the data.
 
-    The fact is read once: per-day counts (a few thousand rows) feed both the bounds and the
-    join, and the planner reuses that one aggregate exchange for both.
+    Catalyst turns this into two narrow scans of ``time_key``: min/max over the column for the
+    calendar bounds (partial aggregates, one row per task), and per-day counts with the range
+    pushed into the scan, so a short range reads only the row groups (and, on the stored fact,
+    the load_date partitions) it needs. The spine and the counts are a few thousand rows.
     """
+    bounds = fact.agg(
+        F.min("time_key").cast("date").alias("lo"), F.max("time_key").cast("date").alias("hi")
+    )
+    spine = date_spine(bounds)
+    if lo is not None:
+        spine = spine.where(F.col("date") >= F.lit(as_date(lo)))
+    if hi is not None:
+        spine = spine.where(F.col("date") <= F.lit(as_date(hi)))
     daily = (
-        fact.where(F.col("time_key").isNotNull())
+        in_range(fact, lo, hi)
+        .where(F.col("time_key").isNotNull())
         .groupBy(F.col("time_key").cast("date").alias("date"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    spine = date_spine(daily.agg(F.min("date").alias("lo"), F.max("date").alias("hi")))
-    out = align_to_calendar(spine, daily, "date", ["count"])
-    if lo is not None:
-        out = out.where(F.col("date") >= F.lit(as_date(lo)))
-    if hi is not None:
-        out = out.where(F.col("date") <= F.lit(as_date(hi)))
-    return out
+    return align_to_calendar(spine, daily, "date", ["count"])
 
 
 def popular_subjects(

@@ -176,3 +176,21 @@ def test_daily_catchup_stream_loads_each_run_date_once(spark):
     start_daily_catchup(wh, landing, ckpt).awaitTermination(300)
     assert wh.row_count("fact_loans") == 3
     assert wh.row_count("dim_time") == 2
+
+
+def test_day_parse_strict_raises_and_lenient_gives_null(spark):
+    from circulation.functions import day_of
+
+    df = spark.createDataFrame([("2018-05-27T10:00:00.000",), ("not a date",)], "s string")
+    lenient = [r[0] for r in df.select(day_of("s", strict=False)).collect()]
+    assert lenient == [dt.date(2018, 5, 27), None]
+    with pytest.raises(Exception):
+        df.select(day_of("s")).collect()
+
+
+def test_malformed_delimited_row_fails_the_read(spark):
+    path = scratch_path(spark, "bad")
+    spark.createDataFrame([("n|s",), ("1|ok",), ("x|bad",)], "line string").coalesce(1).write.text(path)
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("s", T.StringType())])
+    with pytest.raises(Exception):
+        read_delimited(spark, path, schema).collect()

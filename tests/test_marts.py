@@ -87,3 +87,17 @@ def test_preaggregated_marts_equal_plain(spark, data):
     in_range = sum(1 for d, _, _ in data if 1 <= d <= 7)
     daily = marts.loans_per_day(fact, lo, hi)
     assert sum(r["count"] for r in daily.collect()) == in_range
+
+
+def test_empty_range_gives_empty_frames_with_schema(spark):
+    fact = _fact(spark, [("a", D(2020, 1, 1), 1, "g")])
+    bridge = _bridge(spark, [("g", 1, "A")])
+    subjects = _subjects(spark, [("A", 1)])
+    books = spark.createDataFrame([(1, "T", "p", "a")], schemas.DIM_BOOKS)
+    lo, hi = "2021-01-01", "2021-12-31"
+    per_day = marts.loans_per_day(fact, lo, hi)
+    assert per_day.columns == ["date", "count"] and per_day.count() == 0
+    top = marts.popular_subjects(fact, bridge, subjects, lo, hi)
+    assert top.columns == ["subject", "count"] and top.count() == 0
+    titles = marts.popular_titles(fact, books, lo, hi)
+    assert titles.columns == ["title", "loan_numbers"] and titles.count() == 0
