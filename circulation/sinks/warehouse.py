@@ -57,6 +57,7 @@ class Warehouse:
         self.spark = spark
         self.database = database
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._created: set[str] = set()
         if location is not None:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
         else:
@@ -77,12 +78,15 @@ class Warehouse:
 
     # S8
     def create(self, table: str) -> None:
+        if table in self._created:
+            return
         layout = f" PARTITIONED BY ({LOAD_DATE})" if table == "fact_loans" else ""
         if table in BUCKET_KEYS:
             layout += f" CLUSTERED BY ({BUCKET_KEYS[table]}) INTO {self.buckets} BUCKETS"
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_ddl(self.schema_of(table))}) USING parquet{layout}"
         )
+        self._created.add(table)
 
     def create_all(self) -> None:
         for table in [*schemas.TABLES, CANONICAL]:
@@ -131,6 +135,7 @@ class Warehouse:
     # S11
     def drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
+        self._created.discard(table)
 
     def drop_all(self) -> None:
         for table in [*schemas.TABLES, CANONICAL]:
