@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
@@ -84,6 +85,12 @@ def q_union_slices(spark, sf_dir):
     return union_slices(extract_window(loans, "checkoutdatetime", lo, hi, cols) for lo, hi in RUNS)
 
 
+def q_extract_window_text(spark, sf_dir):
+    loans = fx.loans(spark, sf_dir)
+    cols = ["id", "bibnumber", "checkoutdatetime"]
+    return extract_window(loans, "checkoutdatetime", _oracle.SHIP_LO, _oracle.SHIP_HI, cols)
+
+
 def q_delimited_roundtrip(spark, sf_dir):
     _prepare(spark)
     docs = fx.read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
@@ -143,6 +150,33 @@ def q_loans_per_day(spark, sf_dir):
     return marts.loans_per_day(build_star(spark, sf_dir).fact_loans, MART_LO, MART_HI)
 
 
+def q_loans_per_day_all(spark, sf_dir):
+    return marts.loans_per_day(build_star(spark, sf_dir).fact_loans)
+
+
+def q_dim_time_batches(spark, sf_dir):
+    return build_star(spark, sf_dir).dim_time
+
+
+def q_stream_fact_loans(spark, sf_dir):
+    """Month 2 loaded by the monthly job, then every loan landed by year-end run date and
+    loaded by the catch-up stream (one run date per micro-batch)."""
+    from circulation.streaming import start_daily_catchup
+
+    wh = _warehouse(spark, "stream")
+    loans = fx.loans(spark, sf_dir)
+    jobs.run_monthly(wh, _all_inventory(spark, sf_dir), fx.codes(spark, sf_dir), RUNS[1][0], RUNS[1][1])
+    years = loans.select(F.year(F.col("checkoutdatetime").cast("timestamp_ntz")).alias("y")).distinct()
+    landing = scratch_path(spark, "stream-landing")
+    for (year,) in sorted(tuple(r) for r in years.collect()):  # one row per calendar year
+        hi = f"{year}-12-31"
+        write_delimited(extract_window(loans, "checkoutdatetime", f"{year - 1}-12-31", hi),
+                        f"{landing}/run_date={hi}")
+    query = start_daily_catchup(wh, landing, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=4)
+    query.awaitTermination()
+    return wh.scan("fact_loans")
+
+
 def _subjects(preaggregate: bool):
     def run(spark, sf_dir):
         s = build_star(spark, sf_dir)
@@ -201,6 +235,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_window_midnight": q_extract_window_midnight,
     "extract_size": q_extract_size,
     "union_slices": q_union_slices,
+    "extract_window_text": q_extract_window_text,
     "delimited_roundtrip": q_delimited_roundtrip,
     "explode_tokens": q_explode_tokens,
     "explode_tokens_keep": q_explode_tokens_keep,
@@ -214,6 +249,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_loans": q_fact_loans,
     "date_bounds": q_date_bounds,
     "loans_per_day": q_loans_per_day,
+    "loans_per_day_all": q_loans_per_day_all,
+    "dim_time_batches": q_dim_time_batches,
+    "stream_fact_loans": q_stream_fact_loans,
     "popular_subjects": _subjects(False),
     "popular_subjects_preagg": _subjects(True),
     "popular_titles": _titles(False),

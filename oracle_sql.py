@@ -197,6 +197,30 @@ QUERIES: dict[str, str] = {
               FROM daily) s
           LEFT JOIN daily d ON s.date = d.date
         WHERE s.date >= DATE '{MART_LO}' AND s.date <= DATE '{MART_HI}'""",
+    "extract_window_text": f"""
+        SELECT id, bibnumber, checkoutdatetime FROM loans
+        WHERE CAST(checkoutdatetime AS TIMESTAMP) > TIMESTAMP '{SHIP_LO}'
+          AND CAST(checkoutdatetime AS TIMESTAMP) <= TIMESTAMP '{SHIP_HI}'""",
+    "loans_per_day_all": """
+        SELECT s.date, coalesce(d.count, 0) AS count
+        FROM (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+              FROM daily) s
+          LEFT JOIN daily d ON s.date = d.date""",
+    "dim_time_batches": """
+        SELECT CAST(d AS TIMESTAMP) AS time_key,
+               CAST(quarter(d) AS INTEGER) AS quarter_of_year,
+               CAST(dayofweek(d) AS INTEGER) AS day_of_week,
+               CAST(day(d) AS INTEGER) AS day,
+               CAST(month(d) AS INTEGER) AS month,
+               CAST(year(d) AS INTEGER) AS year
+        FROM (SELECT DISTINCT CAST(substr(checkoutdatetime, 1, 10) AS DATE) AS d FROM loans_1
+              UNION
+              SELECT DISTINCT CAST(substr(checkoutdatetime, 1, 10) AS DATE) AS d FROM loans_2)""",
+    "stream_fact_loans": """
+        SELECT l.id, CAST(CAST(substr(l.checkoutdatetime, 1, 10) AS DATE) AS TIMESTAMP) AS time_key,
+               l.itemtype, l.collection, l.bibnumber, md5(c.subjects) AS subject_group_id,
+               make_date(year(l.shipped), 12, 31) AS load_date
+        FROM loans l JOIN canon_2 c ON l.bibnumber = c.bibnum""",
     "popular_subjects": _top_subjects(),
     "popular_subjects_preagg": _top_subjects(),
     "popular_titles": _top_titles(),
