@@ -7,6 +7,7 @@ the run's slice, so a job is re-runnable for any ``(prev_run_date, run_date]``.
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +42,13 @@ def run_monthly(
     landing: str | None = None,
     allow_empty: bool = False,
     check: bool = True,
+    na_values: Iterable[str] | None = None,
 ) -> list[tuple[str, int, bool]]:
-    """Codes -> dim_collections; inventory -> dim_books, dim_subject, bridge_subject; gate."""
+    """Codes -> dim_collections; inventory -> dim_books, dim_subject, bridge_subject; gate.
+
+    ``na_values`` lists subjects strings that count as missing in the split (for parity with
+    readers that turn words such as ``NA`` into missing values); the fact still hashes them.
+    """
     wh.create_all()
     inv_cols = schemas.STAGING_INVENTORY.fieldNames()
     inventory = extract_window(inventory_source, "reportdate", prev_run_date, run_date, inv_cols)
@@ -60,7 +66,7 @@ def run_monthly(
     wh.replace(CANONICAL, model.canonical_inventory(staged))
     wh.append("dim_books", model.new_dim_books(wh.scan(CANONICAL), wh.scan("dim_books")))
 
-    wh.replace("staging_exploded_subjects", model.subject_tokens(staged))
+    wh.replace("staging_exploded_subjects", model.subject_tokens(staged, na_values))
     tokens = wh.scan("staging_exploded_subjects")
     wh.append("dim_subject", model.new_dim_subject(tokens, wh.scan("dim_subject")))
     wh.append("bridge_subject", model.new_bridge(tokens, wh.scan("dim_subject"), wh.scan("bridge_subject")))

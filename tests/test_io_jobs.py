@@ -194,3 +194,15 @@ def test_malformed_delimited_row_fails_the_read(spark):
     schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("s", T.StringType())])
     with pytest.raises(Exception):
         read_delimited(spark, path, schema).collect()
+
+
+def test_monthly_na_values_only_affect_the_split(spark):
+    wh = _wh(spark)
+    inv = spark.createDataFrame(
+        [(1, "t", None, None, "p", None, None, None, None, "2018-05-01T00:00:00.000", 1, "a", "NA"),
+         (2, "u", None, None, "p", None, None, None, None, "2018-05-01T00:00:00.000", 1, "a", "X")],
+        schemas.STAGING_INVENTORY)
+    codes = spark.createDataFrame([("a", None, None, None, None, "F", None, None)], schemas.STAGING_CODES)
+    jobs.run_monthly(wh, inv, codes, "2018-04-30", "2018-05-31", na_values=["NA"])
+    assert rows(wh.scan("dim_subject")) == [("X", 1)]
+    assert wh.row_count("dim_books") == 2
