@@ -26,7 +26,7 @@ from circulation.plans import fixtures as fx  # noqa: E402
 from circulation.plans import jobs, marts, model  # noqa: E402
 from circulation.plans.quality import row_count_checks  # noqa: E402
 from circulation.plans.star import Star, apply_day, apply_month, empty  # noqa: E402
-from circulation.session import ensure_checkpoint_dir, scratch_path  # noqa: E402
+from circulation.session import apply_runtime_conf, ensure_checkpoint_dir, scratch_path  # noqa: E402
 from circulation.sinks import Warehouse, write_delimited  # noqa: E402
 from circulation.sources import extract_size, extract_window, read_delimited, union_slices  # noqa: E402
 
@@ -37,7 +37,7 @@ RUNS = (("1900-01-01", "1998-06-30"), ("1998-06-30", "2100-01-01"))
 
 
 def _prepare(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    apply_runtime_conf(spark)
     ensure_checkpoint_dir(spark)
 
 
@@ -52,8 +52,11 @@ def build_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def _warehouse(spark: SparkSession, label: str) -> Warehouse:
+    """A scratch warehouse under the shared checkpoint folder. Buckets follow the cluster's
+    cores (defaultParallelism), so a small local run does not write hundreds of tiny files."""
     _prepare(spark)
-    return Warehouse(spark, f"circ_{label}_{uuid.uuid4().hex[:12]}", scratch_path(spark, label))
+    buckets = max(1, spark.sparkContext.defaultParallelism)
+    return Warehouse(spark, f"circ_{label}_{uuid.uuid4().hex[:12]}", scratch_path(spark, label), buckets=buckets)
 
 
 def _all_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,11 +268,20 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: top subjects (the group bridge) over the sf0.001 tables."""
+    _prepare(spark)
     return _subjects(True)(spark, SMOKE_DIR)
 
 
+def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _prepare(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {name: _prepared(fn) for name, fn in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

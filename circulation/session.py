@@ -46,6 +46,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+# Settings above that a running session accepts (the cleaner setting only applies at start-up).
+RUNTIME_SQL_CONF = {k: v for k, v in SESSION_CONF.items() if k.startswith("spark.sql.")}
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Apply the SQL settings to a session someone else built (time zone, AQE, broadcast policy)."""
+    for key, value in RUNTIME_SQL_CONF.items():
+        spark.conf.set(key, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, setting one only where none is configured."""
     sc = spark.sparkContext
