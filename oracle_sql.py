@@ -100,11 +100,6 @@ CTES: dict[str, str] = {
         WHERE time_key >= CAST(DATE '{MART_LO}' AS TIMESTAMP) AND time_key <= CAST(DATE '{MART_HI}' AS TIMESTAMP)""",
 }
 
-_BASE_TABLES = {
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-}
-
 
 def _deps(sql: str) -> list[str]:
     words = set(re.findall(r"\b[a-z_][a-z0-9_]*\b", sql))
