@@ -1,7 +1,9 @@
 """Warehouse tables (S8-S13) as catalog parquet tables in one database.
 
 Create-if-absent, truncate-and-load, append, drop and scan are plain Spark SQL / writer
-calls. The fact table is partitioned by ``load_date`` (the run date) so a re-run replaces
+calls. With a ``location`` each table lives at ``<location>/<table>`` as an external table, so
+a new process (the next day's job, or a driver restarted after a failure) re-attaches the same
+data even on a session-scoped catalog; partitions of the fact are recovered on attach. The fact table is partitioned by ``load_date`` (the run date) so a re-run replaces
 exactly its own partition under dynamic partition overwrite; it is never partitioned by
 ``time_key``, because a midnight loan shares its day with the next run.
 """
@@ -11,6 +13,8 @@ from __future__ import annotations
 import logging
 import re
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +60,7 @@ class Warehouse:
             raise ValueError(f"bad database name {database!r}")
         self.spark = spark
         self.database = database
+        self.location = location.rstrip("/") if location is not None else None
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._created: set[str] = set()
         if location is not None:
@@ -80,12 +85,20 @@ class Warehouse:
     def create(self, table: str) -> None:
         if table in self._created:
             return
-        layout = f" PARTITIONED BY ({LOAD_DATE})" if table == "fact_loans" else ""
+        partitioned = table == "fact_loans"
+        layout = f" PARTITIONED BY ({LOAD_DATE})" if partitioned else ""
         if table in BUCKET_KEYS:
             layout += f" CLUSTERED BY ({BUCKET_KEYS[table]}) INTO {self.buckets} BUCKETS"
+        if self.location is not None:
+            layout += f" LOCATION '{self.location}/{table}'"
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_ddl(self.schema_of(table))}) USING parquet{layout}"
         )
+        if partitioned and self.location is not None:
+            try:  # pick up load_date partitions written by an earlier process
+                self.spark.sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
+            except (AnalysisException, Py4JJavaError):
+                pass  # no directory yet: nothing written so far
         self._created.add(table)
 
     def create_all(self) -> None:
@@ -132,8 +145,21 @@ class Warehouse:
     def row_count(self, table: str) -> int:
         return self.scan(table).count()
 
-    # S11
+    def truncate(self, table: str) -> None:
+        """Delete every row (all partitions): a static-mode overwrite with no rows."""
+        self.create(table)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, "static")
+        try:
+            self.spark.createDataFrame([], self.schema_of(table)).write.insertInto(self.name(table), overwrite=True)
+        finally:
+            self.spark.conf.set(key, before)
+
+    # An external table keeps its files on DROP, so its rows are deleted first.
     def drop(self, table: str) -> None:
+        if self.location is not None:
+            self.truncate(table)
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
         self._created.discard(table)
 

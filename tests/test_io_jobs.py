@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from circulation import schemas
@@ -206,3 +207,25 @@ def test_monthly_na_values_only_affect_the_split(spark):
     jobs.run_monthly(wh, inv, codes, "2018-04-30", "2018-05-31", na_values=["NA"])
     assert rows(wh.scan("dim_subject")) == [("X", 1)]
     assert wh.row_count("dim_books") == 2
+
+
+def test_warehouse_reattaches_after_a_new_catalog_and_drop_deletes_rows(spark):
+    location = scratch_path(spark, "attach")
+    first = Warehouse(spark, f"circ_a_{uuid.uuid4().hex[:10]}", location)
+    facts = spark.createDataFrame(
+        [("a", dt.datetime(2020, 1, 1), "t", "c", 1, "g", dt.date(2020, 1, 1)),
+         ("b", dt.datetime(2020, 1, 2), "t", "c", 1, "g", dt.date(2020, 1, 2))],
+        first.schema_of("fact_loans"))
+    first.replace_partitions("fact_loans", facts)
+    first.append("dim_books", spark.createDataFrame([(1, "T", "p", "a")], schemas.DIM_BOOKS))
+    # Another database name over the same files stands in for a fresh session's catalog.
+    second = Warehouse(spark, f"circ_b_{uuid.uuid4().hex[:10]}", location)
+    second.create_all()
+    assert second.row_count("fact_loans") == 2 and second.row_count("dim_books") == 1
+    redo = facts.where("id = 'b'").withColumn("itemtype", F.lit("u"))
+    second.replace_partitions("fact_loans", redo)
+    assert rows(second.scan("fact_loans"), "id", "itemtype") == [("a", "t"), ("b", "u")]
+    second.drop_all()
+    third = Warehouse(spark, f"circ_c_{uuid.uuid4().hex[:10]}", location)
+    third.create_all()
+    assert third.row_count("fact_loans") == 0 and third.row_count("dim_books") == 0
