@@ -105,8 +105,9 @@ class Warehouse:
         for table in [*schemas.TABLES, CANONICAL]:
             self.create(table)
 
-    # S13
+    # Attaches the table first, so a new process reads what earlier ones wrote.
     def scan(self, table: str) -> DataFrame:
+        self.create(table)
         return self.spark.table(self.name(table))
 
     def _insert(self, table: str, df: DataFrame, overwrite: bool) -> int:

@@ -229,3 +229,23 @@ def test_warehouse_reattaches_after_a_new_catalog_and_drop_deletes_rows(spark):
     third = Warehouse(spark, f"circ_c_{uuid.uuid4().hex[:10]}", location)
     third.create_all()
     assert third.row_count("fact_loans") == 0 and third.row_count("dim_books") == 0
+
+
+def test_cli_monthly_daily_report(spark):
+    from circulation import cli
+
+    base = scratch_path(spark, "cli")
+    _inventory_rows(spark).write.parquet(f"{base}/inventory")
+    _loan_rows(spark).write.parquet(f"{base}/loans")
+    spark.createDataFrame([("a", None, None, None, None, "F", None, None)], schemas.STAGING_CODES) \
+        .write.parquet(f"{base}/codes")
+    common = ["--warehouse", f"circ_cli_{uuid.uuid4().hex[:8]}", "--location", f"{base}/wh"]
+    out = cli.run(["monthly", *common, "--inventory", f"{base}/inventory", "--codes", f"{base}/codes",
+                   "--prev", "2018-04-30", "--run", "2018-05-31"], spark)
+    assert all(c["passed"] for c in out["checks"])
+    assert cli.run(["daily", *common, "--loans", f"{base}/loans", "--prev", "2018-05-30", "--run", "2018-05-31"],
+                   spark) == {"fact_rows": 1}
+    report = cli.run(["report", *common], spark)
+    assert report["range"] == ["2018-05-31", "2018-05-31"]
+    assert report["loans_per_day"] == [["2018-05-31", 1]]
+    assert report["popular_titles"] == [["Book one b", 1]]
