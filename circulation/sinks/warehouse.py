@@ -1,11 +1,13 @@
 """Warehouse tables (S8-S13) as catalog parquet tables in one database.
 
 Create-if-absent, truncate-and-load, append, drop and scan are plain Spark SQL / writer
-calls. With a ``location`` each table lives at ``<location>/<table>`` as an external table, so
-a new process (the next day's job, or a driver restarted after a failure) re-attaches the same
-data even on a session-scoped catalog; partitions of the fact are recovered on attach. The fact table is partitioned by ``load_date`` (the run date) so a re-run replaces
-exactly its own partition under dynamic partition overwrite; it is never partitioned by
-``time_key``, because a midnight loan shares its day with the next run.
+calls. With a ``location`` each table lives at ``<location>/<table>`` as an external table,
+so a new process (the next day's job, or a driver restarted after a failure) re-attaches the
+same data even on a session-scoped catalog; partitions of the fact are recovered on attach.
+
+The fact table is partitioned by ``load_date`` (the run date) so a re-run replaces exactly
+its own partition under dynamic partition overwrite; it is never partitioned by ``time_key``,
+because a midnight loan shares its day with the next run.
 """
 
 from __future__ import annotations
