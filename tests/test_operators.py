@@ -142,3 +142,14 @@ def test_fits(spark, n):
     df = spark.range(n)
     assert fits(df, 5) is True
     assert fits(spark.range(6), 5) is False
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.sets(st.text(alphabet="abcXY ,", min_size=0, max_size=5), max_size=40),
+       st.integers(0, 1000), st.integers(1, 9))
+def test_assign_ids_property_dense_after_max(spark, members, base, parts):
+    existing = spark.createDataFrame([("zz-existing", base)], schemas.DIM_SUBJECT)
+    new = spark.createDataFrame([(m,) for m in members], "subject string").repartition(parts)
+    got = sorted((r.subject_id, r.subject) for r in assign_ids(new, "subject", "subject_id", existing).collect())
+    want = [(base + i + 1, m) for i, m in enumerate(sorted(members, key=lambda x: x.encode()))]
+    assert got == want
