@@ -61,7 +61,7 @@ def _parser() -> argparse.ArgumentParser:
     c = sub.add_parser("catchup", help="load every landed run date not yet processed")
     common(c)
     c.add_argument("--landing", required=True, help="directory of run_date=YYYY-MM-DD loan folders")
-    c.add_argument("--checkpoint", help="stream checkpoint (default: under spark.checkpoint.dir)")
+    c.add_argument("--checkpoint", help="stream checkpoint (default: under the warehouse location)")
 
     r = sub.add_parser("report", help="dashboard marts as JSON (C8-C11)")
     common(r)

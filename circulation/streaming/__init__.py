@@ -1,3 +1,3 @@
-from circulation.streaming.daily_catchup import RUN_DATE, load_run_dates, start_daily_catchup
+from circulation.streaming.daily_catchup import RUN_DATE, default_checkpoint, load_run_dates, start_daily_catchup
 
-__all__ = ["RUN_DATE", "load_run_dates", "start_daily_catchup"]
+__all__ = ["RUN_DATE", "default_checkpoint", "load_run_dates", "start_daily_catchup"]

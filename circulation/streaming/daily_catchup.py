@@ -48,6 +48,16 @@ def load_run_dates(wh: Warehouse, landing: str, run_dates: list[str]) -> int:
     return rows
 
 
+def default_checkpoint(wh: Warehouse) -> str:
+    """Where the stream keeps its progress, stable across processes: under the warehouse
+    location, else under the configured checkpoint base (the per-application dir that
+    ``getCheckpointDir`` returns changes with every run, which would restart the catch-up)."""
+    if wh.location is not None:
+        return f"{wh.location}/_streams/daily_catchup"
+    base = wh.spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(wh.spark)
+    return f"{base.rstrip('/')}/streams/{wh.database}_daily_catchup"
+
+
 def start_daily_catchup(
     wh: Warehouse,
     landing: str,
@@ -58,7 +68,7 @@ def start_daily_catchup(
     spark = wh.spark
     wh.create_all()
     if checkpoint_location is None:
-        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{wh.database}_daily"
+        checkpoint_location = default_checkpoint(wh)
     schema = T.StructType(schemas.STAGING_LOANS.fields + [T.StructField(RUN_DATE, T.StringType())])
     reader = (
         spark.readStream.schema(schema)

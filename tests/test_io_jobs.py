@@ -249,3 +249,27 @@ def test_cli_monthly_daily_report(spark):
     assert report["range"] == ["2018-05-31", "2018-05-31"]
     assert report["loans_per_day"] == [["2018-05-31", 1]]
     assert report["popular_titles"] == [["Book one b", 1]]
+
+
+def test_catchup_progress_survives_a_new_process(spark):
+    from circulation.streaming import default_checkpoint, start_daily_catchup
+
+    location = scratch_path(spark, "stream-wh")
+    wh = Warehouse(spark, f"circ_s1_{uuid.uuid4().hex[:8]}", location)
+    inv, loans = _inventory_rows(spark), _loan_rows(spark)
+    codes = spark.createDataFrame([("a", None, None, None, None, "F", None, None)], schemas.STAGING_CODES)
+    jobs.run_monthly(wh, inv, codes, "2018-05-31", "2018-06-30")
+    landing = scratch_path(spark, "stream-landing2")
+    write_delimited(extract_window(loans, "checkoutdatetime", "2018-05-31", "2018-06-01"),
+                    f"{landing}/run_date=2018-06-01")
+    q = start_daily_catchup(wh, landing)
+    q.awaitTermination(300)
+    assert sum(p["numInputRows"] for p in q.recentProgress) > 0
+    # A later process: same location, fresh catalog entry; the stream finds nothing new.
+    later = Warehouse(spark, f"circ_s2_{uuid.uuid4().hex[:8]}", location)
+    assert default_checkpoint(later) == default_checkpoint(wh)
+    q2 = start_daily_catchup(later, landing)
+    q2.awaitTermination(300)
+    assert sum(p["numInputRows"] for p in q2.recentProgress) == 0
+    # (05-31, 06-01] holds l2, l3, l4; only l4's book is held in June.
+    assert later.row_count("fact_loans") == wh.row_count("fact_loans") == 1
