@@ -144,6 +144,17 @@ class Warehouse:
     def append(self, table: str, df: DataFrame) -> int:
         return self._insert(table, df, overwrite=False)
 
+    def compact(self, table: str) -> int:
+        """Rewrite a table into one file per bucket (appends add a file per bucket each time).
+
+        The rows are checkpointed to the shared checkpoint folder first, so the overwrite
+        reads that copy and not the table it replaces. Not for the partitioned fact, whose
+        partitions are written once per run."""
+        if table == "fact_loans":
+            raise ValueError("fact_loans is written once per load_date partition; nothing to compact")
+        snapshot = self.scan(table).checkpoint(eager=True)
+        return self.replace(table, snapshot)
+
     # S12
     def row_count(self, table: str) -> int:
         return self.scan(table).count()

@@ -273,3 +273,15 @@ def test_catchup_progress_survives_a_new_process(spark):
     assert sum(p["numInputRows"] for p in q2.recentProgress) == 0
     # (05-31, 06-01] holds l2, l3, l4; only l4's book is held in June.
     assert later.row_count("fact_loans") == wh.row_count("fact_loans") == 1
+
+
+def test_compact_keeps_rows_and_bucketing(spark):
+    wh = Warehouse(spark, f"circ_k_{uuid.uuid4().hex[:8]}", scratch_path(spark, "compact"), buckets=4)
+    for i in range(3):
+        wh.append("dim_books", spark.createDataFrame([(i * 10 + j, f"t{j}", "p", "a") for j in range(10)],
+                                                     schemas.DIM_BOOKS))
+    before = rows(wh.scan("dim_books"))
+    files_before = len(wh.scan("dim_books").inputFiles())
+    assert wh.compact("dim_books") == 30
+    assert rows(wh.scan("dim_books")) == before
+    assert len(wh.scan("dim_books").inputFiles()) <= 4 < files_before
