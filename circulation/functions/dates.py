@@ -7,6 +7,8 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from circulation.constants import DAY_PATTERN, DAY_TEXT_LENGTH
+
 DateLike = str | _dt.date | _dt.datetime
 
 
@@ -16,8 +18,8 @@ def day_of(text: Column | str, strict: bool = True) -> Column:
     ``strict`` raises on malformed text (the reference's load fails); otherwise NULL.
     """
     c = F.col(text) if isinstance(text, str) else text
-    head = F.substring(c, 1, 10)
-    return F.to_date(head, "yyyy-MM-dd") if strict else F.try_to_date(head, "yyyy-MM-dd")
+    head = F.substring(c, 1, DAY_TEXT_LENGTH)
+    return F.to_date(head, DAY_PATTERN) if strict else F.try_to_date(head, DAY_PATTERN)
 
 
 def time_key(day: Column) -> Column:

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# md5 of the empty subjects string: a book without subjects lands in this group, which
-# has no bridge rows, so its loans are counted under a NULL subject.
-EMPTY_GROUP_ID = "d41d8cd98f00b204e9800998ecf8427e"
+from circulation.constants import EMPTY_GROUP_ID
+
+__all__ = ["EMPTY_GROUP_ID", "group_key"]
+
+# A book without subjects lands in the md5('') group (EMPTY_GROUP_ID), which has no bridge
+# rows, so its loans are counted under a NULL subject.
 
 
 def group_key(subjects: Column | str) -> Column:

@@ -8,6 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from circulation.constants import SUBJECT_SEPARATOR
+
 
 def is_missing(c: Column, na_values: Iterable[str] | None = None) -> Column:
     """NULL or empty text counts as missing; ``na_values`` adds words such as ``NA`` for parity
@@ -19,7 +21,7 @@ def is_missing(c: Column, na_values: Iterable[str] | None = None) -> Column:
     return cond
 
 
-def split_tokens(c: Column, sep: str = ",", trim: bool = False, dedupe: bool = False) -> Column:
+def split_tokens(c: Column, sep: str = SUBJECT_SEPARATOR, trim: bool = False, dedupe: bool = False) -> Column:
     """Array of tokens. ``split`` takes a regex, so the separator is quoted; limit -1 keeps
     trailing empty tokens. No trimming and no de-duplication unless asked for."""
     tokens = F.split(c, re.escape(sep), -1)
@@ -34,7 +36,7 @@ def explode_tokens(
     df: DataFrame,
     column: str,
     new_column: str,
-    sep: str = ",",
+    sep: str = SUBJECT_SEPARATOR,
     keep: bool = False,
     trim: bool = False,
     dedupe: bool = False,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from circulation import schemas
+from circulation.constants import QUALITY_MINIMUM_ROWS, QUALITY_TABLES
 from circulation.functions.dates import DateLike, as_date
 from circulation.plans import model
 from circulation.plans.quality import enforce, row_count_checks
@@ -21,7 +22,6 @@ from circulation.sources import EmptyExtractError, extract_window, read_delimite
 
 log = logging.getLogger(__name__)
 
-QUALITY_TABLES = ("dim_books", "dim_collections", "bridge_subject", "dim_subject")
 
 
 def _land(wh: Warehouse, df: DataFrame, landing: str | None, dataset: str, run_date: DateLike, schema) -> DataFrame:
@@ -73,7 +73,7 @@ def run_monthly(
 
     if not check:
         return []
-    return enforce(row_count_checks({t: wh.scan(t) for t in QUALITY_TABLES}))
+    return enforce(row_count_checks({t: wh.scan(t) for t in QUALITY_TABLES}, QUALITY_MINIMUM_ROWS))
 
 
 def run_daily(

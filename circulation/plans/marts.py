@@ -12,12 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from circulation.constants import TOP_SUBJECTS, TOP_TITLES
 from circulation.functions import midnight_lit
 from circulation.functions.dates import DateLike, as_date
 from circulation.operators import align_to_calendar, date_spine, lookup_join, top_k
 
-TOP_SUBJECTS = 30
-TOP_TITLES = 20
 
 
 def in_range(fact: DataFrame, lo: DateLike | None, hi: DateLike | None) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from circulation.constants import SUBJECT_SEPARATOR
 from circulation.functions import date_parts, day_of, group_key, time_key
 from circulation.operators import assign_ids, explode_tokens, first_per_key, lookup_join, only_new
 
@@ -32,7 +33,7 @@ def subject_tokens(inventory: DataFrame, na_values: Iterable[str] | None = None)
     and the partial aggregate of ``distinct`` absorbs a string held by a third of the rows.
     """
     distinct = inventory.select(F.col("subjects").alias("subjects_string")).distinct()
-    return explode_tokens(distinct, "subjects_string", "subject", sep=",", na_values=na_values)
+    return explode_tokens(distinct, "subjects_string", "subject", sep=SUBJECT_SEPARATOR, na_values=na_values)
 
 
 def new_dim_time(loans: DataFrame, existing: DataFrame | None = None) -> DataFrame:

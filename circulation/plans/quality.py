@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from circulation.constants import QUALITY_MINIMUM_ROWS
+
 log = logging.getLogger(__name__)
 
 
@@ -16,7 +18,7 @@ class QualityError(Exception):
     pass
 
 
-def row_count_checks(tables: Mapping[str, DataFrame], minimum: int = 1) -> DataFrame:
+def row_count_checks(tables: Mapping[str, DataFrame], minimum: int = QUALITY_MINIMUM_ROWS) -> DataFrame:
     """One row per table: (check, value, passed) with value = row count, passed = value >= minimum.
 
     Each count is a partial + final aggregate; the union is one job with one row per check.
@@ -34,7 +36,7 @@ def enforce(checks: DataFrame) -> list[tuple[str, int, bool]]:
     rows = [(r["check"], int(r["value"]), bool(r["passed"])) for r in checks.collect()]
     failed = [r for r in rows if not r[2]]
     for name, value, _ in failed:
-        log.warning("data check %s failed: value %d < 1", name, value)
+        log.warning("data check %s failed: value %d below the minimum", name, value)
     if failed:
         raise QualityError("At least one data check has failed: " + ", ".join(r[0] for r in failed))
     return rows

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from circulation.constants import ALL_TABLES
+
 S, L, I = T.StringType(), T.LongType(), T.IntegerType()
 
 
@@ -47,7 +49,7 @@ FACT_LOANS = _struct(
 
 BRIDGE_SUBJECT = _struct(("subject_group_id", S), ("subject_id", L), ("subjects_string", S))
 
-# Table name -> schema, in the order the reference drops them all.
+# Table name -> schema, in the drop-all order of constants.ALL_TABLES.
 TABLES: dict[str, T.StructType] = {
     "staging_loans": STAGING_LOANS,
     "staging_inventory": STAGING_INVENTORY,
@@ -60,3 +62,5 @@ TABLES: dict[str, T.StructType] = {
     "bridge_subject": BRIDGE_SUBJECT,
     "fact_loans": FACT_LOANS,
 }
+
+assert tuple(TABLES) == ALL_TABLES

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from circulation.constants import FILE_SEPARATOR
 from circulation.sources.delimited import CSV_OPTIONS
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = "|", mode: str = "overwrite") -> None:
+def write_delimited(df: DataFrame, path: str, sep: str = FILE_SEPARATOR, mode: str = "overwrite") -> None:
     """Write ``df`` as delimited text under ``path`` (one directory per run date).
 
     Spark's CSV writer trims blanks by default, which would turn a token ``" B"`` into

@@ -7,9 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from circulation.constants import FILE_HEADER, FILE_QUOTE, FILE_SEPARATOR
+
 # Reader and writer options that make a write -> read round trip lossless for the separator,
 # quotes, backslashes, embedded CR/LF and leading or trailing blanks.
-CSV_OPTIONS = {"sep": "|", "header": "true", "quote": '"', "escape": '"'}
+CSV_OPTIONS = {
+    "sep": FILE_SEPARATOR,
+    "header": str(FILE_HEADER).lower(),
+    "quote": FILE_QUOTE,
+    "escape": FILE_QUOTE,
+}
 
 
 def blank_strings(df: DataFrame) -> DataFrame:
@@ -22,7 +29,7 @@ def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
     schema: T.StructType,
-    sep: str = "|",
+    sep: str = FILE_SEPARATOR,
     multi_line: bool = True,
 ) -> DataFrame:
     """Read one or more delimited files (or directories) into ``schema`` by position.
