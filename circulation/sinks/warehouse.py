@@ -65,11 +65,27 @@ class Warehouse:
         self.location = location.rstrip("/") if location is not None else None
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._created: set[str] = set()
+        if self.location is not None:
+            self.buckets = self._settle_layout(buckets)
         if location is not None:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
         else:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
 
+    def _settle_layout(self, requested: int | None) -> int:
+        """The bucket count is part of the stored data: files written with one count must not be
+        read as another (a bucketed join would silently miss rows). The first process records
+        it next to the tables; later ones adopt it, and an explicit different count fails."""
+        path = f"{self.location}/_layout"
+        try:
+            stored = int(self.spark.read.parquet(path).first()["buckets"])
+        except AnalysisException:  # first use of this location
+            self.spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.parquet(path)
+            return self.buckets
+        if requested is not None and requested != stored:
+            raise ValueError(f"warehouse at {self.location} is bucketed {stored} ways, not {requested}")
+        return stored
+
     def name(self, table: str) -> str:
         if not _NAME.match(table):
             raise ValueError(f"bad table name {table!r}")

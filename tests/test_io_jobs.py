@@ -285,3 +285,14 @@ def test_compact_keeps_rows_and_bucketing(spark):
     assert wh.compact("dim_books") == 30
     assert rows(wh.scan("dim_books")) == before
     assert len(wh.scan("dim_books").inputFiles()) <= 4 < files_before
+
+
+def test_bucket_layout_is_recorded_and_adopted(spark):
+    location = scratch_path(spark, "layout")
+    first = Warehouse(spark, f"circ_l1_{uuid.uuid4().hex[:8]}", location, buckets=4)
+    first.append("dim_books", spark.createDataFrame([(i, f"t{i}", "p", "a") for i in range(20)], schemas.DIM_BOOKS))
+    later = Warehouse(spark, f"circ_l2_{uuid.uuid4().hex[:8]}", location)  # session default would be 8
+    assert later.buckets == 4
+    assert later.row_count("dim_books") == 20
+    with pytest.raises(ValueError, match="bucketed 4 ways"):
+        Warehouse(spark, f"circ_l3_{uuid.uuid4().hex[:8]}", location, buckets=8)
