@@ -65,26 +65,30 @@ class Warehouse:
         self.location = location.rstrip("/") if location is not None else None
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self._created: set[str] = set()
+        self._fresh = False  # True when this process is the first to use the location
         if self.location is not None:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.location}'")
             self.buckets = self._settle_layout(buckets)
-        if location is not None:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
         else:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
 
     def _settle_layout(self, requested: int | None) -> int:
         """The bucket count is part of the stored data: files written with one count must not be
         read as another (a bucketed join would silently miss rows). The first process records
-        it next to the tables; later ones adopt it, and an explicit different count fails."""
-        path = f"{self.location}/_layout"
-        try:
-            stored = int(self.spark.read.parquet(path).first()["buckets"])
-        except AnalysisException:  # first use of this location
-            self.spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.parquet(path)
+        it in a one-row table next to the tables; later ones adopt it, and an explicit
+        different count fails."""
+        layout = self.name("_layout")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {layout} (buckets INT) USING parquet LOCATION '{self.location}/_layout'"
+        )
+        stored = [int(r["buckets"]) for r in self.spark.table(layout).collect()]  # at most one row
+        if not stored:
+            self._fresh = True
+            self.spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.insertInto(layout)
             return self.buckets
-        if requested is not None and requested != stored:
-            raise ValueError(f"warehouse at {self.location} is bucketed {stored} ways, not {requested}")
-        return stored
+        if requested is not None and requested != stored[0]:
+            raise ValueError(f"warehouse at {self.location} is bucketed {stored[0]} ways, not {requested}")
+        return stored[0]
 
     def name(self, table: str) -> str:
         if not _NAME.match(table):
@@ -104,6 +108,8 @@ class Warehouse:
         if table in self._created:
             return
         partitioned = table == "fact_loans"
+        attach = partitioned and self.location is not None and not self._fresh and not self.spark.catalog.tableExists(
+            f"{self.database}.{table}")
         layout = f" PARTITIONED BY ({LOAD_DATE})" if partitioned else ""
         if table in BUCKET_KEYS:
             layout += f" CLUSTERED BY ({BUCKET_KEYS[table]}) INTO {self.buckets} BUCKETS"
@@ -112,12 +118,14 @@ class Warehouse:
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_ddl(self.schema_of(table))}) USING parquet{layout}"
         )
-        if partitioned and self.location is not None:
+        self._created.add(table)
+        if attach:
             try:  # pick up load_date partitions written by an earlier process
                 self.spark.sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
             except (AnalysisException, Py4JJavaError):
-                pass  # no directory yet: nothing written so far
-        self._created.add(table)
+                pass  # an earlier process stopped before writing any fact data
+        elif partitioned and self._fresh:
+            self.truncate(table)  # creates the directory, so later processes can recover into it
 
     def create_all(self) -> None:
         for table in [*schemas.TABLES, CANONICAL]:
