@@ -43,7 +43,7 @@ def load_run_dates(wh: Warehouse, landing: str, run_dates: list[str]) -> int:
     loans = blank_strings(_landing_reader(wh.spark).option("basePath", base).csv(paths))
     dated = loans.withColumn(LOAD_DATE, F.col(RUN_DATE).cast("date"))
     facts = model.fact_rows(dated, wh.scan(CANONICAL), carry=[LOAD_DATE])
-    rows = wh.replace_partitions("fact_loans", facts.sortWithinPartitions("time_key"))
+    rows = wh.replace_partitions("fact_loans", facts)
     wh.append("dim_time", model.new_dim_time(loans, wh.scan("dim_time")))
     return rows
 
