@@ -64,7 +64,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: a local run such as a test. A cluster always names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by the cluster: checkpoints and "
+                "scratch data must survive the loss of an executor"
+            )
+        # Unset on a local run, such as a test: a folder of our own.
         configured = tempfile.mkdtemp(prefix="circulation-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
