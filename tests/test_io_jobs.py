@@ -296,3 +296,24 @@ def test_bucket_layout_is_recorded_and_adopted(spark):
     assert later.row_count("dim_books") == 20
     with pytest.raises(ValueError, match="bucketed 4 ways"):
         Warehouse(spark, f"circ_l3_{uuid.uuid4().hex[:8]}", location, buckets=8)
+
+
+def test_cli_reads_delimited_landing_files(spark):
+    from circulation import cli
+
+    base = scratch_path(spark, "cli-text")
+    write_delimited(_inventory_rows(spark), f"{base}/inventory")
+    write_delimited(_loan_rows(spark), f"{base}/loans")
+    write_delimited(spark.createDataFrame([("a", None, None, None, None, "F", None, None)], schemas.STAGING_CODES),
+                    f"{base}/codes")
+    common = ["--warehouse", f"circ_clt_{uuid.uuid4().hex[:8]}", "--location", f"{base}/wh", "--format", "delimited"]
+    cli.run(["monthly", *common, "--inventory", f"{base}/inventory", "--codes", f"{base}/codes",
+             "--prev", "2018-05-31", "--run", "2018-06-30"], spark)
+    out = cli.run(["daily", *common, "--loans", f"{base}/loans", "--prev", "2018-05-31", "--run", "2018-06-01"], spark)
+    assert out == {"fact_rows": 1}  # l4; the text " B" and blank fields survive the landing
+
+
+def test_window_on_a_date_column(spark):
+    df = spark.createDataFrame([(1, dt.date(2018, 5, 20)), (2, dt.date(2018, 5, 21)), (3, dt.date(2018, 5, 22))],
+                               "i int, d date")
+    assert [r.i for r in extract_window(df, "d", "2018-05-20", "2018-05-21").collect()] == [2]
