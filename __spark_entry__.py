@@ -213,6 +213,13 @@ def _titles(preaggregate: bool):
     return run
 
 
+def _refresh(part: str):
+    def run(spark, sf_dir):
+        s = build_star(spark, sf_dir)
+        return marts.refresh(s.fact_loans, s.bridge_subject, s.dim_subject, s.dim_books, MART_LO, MART_HI)[part]
+    return run
+
+
 def q_quality_gate(spark, sf_dir):
     s = build_star(spark, sf_dir)
     return row_count_checks({
@@ -277,6 +284,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "popular_subjects_preagg": _subjects(True),
     "popular_titles": _titles(False),
     "popular_titles_preagg": _titles(True),
+    "refresh_loans_per_day": _refresh("loans_per_day"),
+    "refresh_popular_subjects": _refresh("popular_subjects"),
+    "refresh_popular_titles": _refresh("popular_titles"),
     "quality_gate": q_quality_gate,
     "replace_load": q_replace_load,
     "append_load": q_append_load,

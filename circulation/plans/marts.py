@@ -37,6 +37,20 @@ def date_bounds(fact: DataFrame) -> DataFrame:
     return fact.agg(F.min("time_key").alias("min_date"), F.max("time_key").alias("max_date"))
 
 
+def _series(bounds: DataFrame, daily: DataFrame, lo: DateLike | None, hi: DateLike | None) -> DataFrame:
+    """Gap-filled (date, count) from the fact's (lo, hi) bounds and per-day counts."""
+    spine = date_spine(bounds)
+    if lo is not None:
+        spine = spine.where(F.col("date") >= F.lit(as_date(lo)))
+    if hi is not None:
+        spine = spine.where(F.col("date") <= F.lit(as_date(hi)))
+    return align_to_calendar(spine, daily, "date", ["count"])
+
+
+def _day_bounds(fact: DataFrame) -> DataFrame:
+    return fact.agg(F.min("time_key").cast("date").alias("lo"), F.max("time_key").cast("date").alias("hi"))
+
+
 def loans_per_day(fact: DataFrame, lo: DateLike | None = None, hi: DateLike | None = None) -> DataFrame:
     """Loans per day, quiet days as 0. The calendar runs over the fact's own first to
     last day and is then cut to ``[lo, hi]``, so no zero rows appear outside the data.
@@ -46,21 +60,31 @@ def loans_per_day(fact: DataFrame, lo: DateLike | None = None, hi: DateLike | No
     pushed into the scan, so a short range reads only the row groups (and, on the stored fact,
     the load_date partitions) it needs. The spine and the counts are a few thousand rows.
     """
-    bounds = fact.agg(
-        F.min("time_key").cast("date").alias("lo"), F.max("time_key").cast("date").alias("hi")
-    )
-    spine = date_spine(bounds)
-    if lo is not None:
-        spine = spine.where(F.col("date") >= F.lit(as_date(lo)))
-    if hi is not None:
-        spine = spine.where(F.col("date") <= F.lit(as_date(hi)))
     daily = (
         in_range(fact, lo, hi)
         .where(F.col("time_key").isNotNull())
         .groupBy(F.col("time_key").cast("date").alias("date"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    return align_to_calendar(spine, daily, "date", ["count"])
+    return _series(_day_bounds(fact), daily, lo, hi)
+
+
+def _top_subjects(per_group: DataFrame, bridge: DataFrame, dim_subject: DataFrame, k: int) -> DataFrame:
+    """Top-k subjects from loan counts per subject group (``subject_group_id``, ``_n``)."""
+    links = bridge.select("subject_group_id", "subject_id")
+    names = dim_subject.select("subject_id", "subject")
+    fanned = lookup_join(per_group, links, "subject_group_id", "left")
+    named = lookup_join(fanned, names, "subject_id", "left")
+    counts = named.groupBy("subject").agg(F.sum("_n").cast("long").alias("count"))
+    return top_k(counts, k, [F.col("count").desc(), F.col("subject").asc_nulls_first()])
+
+
+def _top_titles(per_book: DataFrame, dim_books: DataFrame, k: int) -> DataFrame:
+    """Top-k titles from loan counts per book (``bibnumber``, ``_n``)."""
+    titles = dim_books.select(F.col("bibnum").alias("bibnumber"), "title")
+    named = lookup_join(per_book, titles, "bibnumber", "left")
+    counts = named.groupBy("title").agg(F.sum("_n").cast("long").alias("loan_numbers"))
+    return top_k(counts, k, [F.col("loan_numbers").desc(), F.col("title").asc_nulls_first()])
 
 
 def popular_subjects(
@@ -75,17 +99,14 @@ def popular_subjects(
     """Top-k subjects by loans in ``[lo, hi]``; loans whose group has no bridge rows
     count under a NULL subject, which competes for the top k."""
     loans = in_range(fact, lo, hi)
-    links = bridge.select("subject_group_id", "subject_id")
-    names = dim_subject.select("subject_id", "subject")
     if preaggregate:
         per_group = loans.groupBy("subject_group_id").agg(F.count(F.lit(1)).alias("_n"))
-        fanned = lookup_join(per_group, links, "subject_group_id", "left")
-        named = lookup_join(fanned, names, "subject_id", "left")
-        counts = named.groupBy("subject").agg(F.sum("_n").cast("long").alias("count"))
-    else:
-        fanned = loans.select("subject_group_id").join(links, "subject_group_id", "left")
-        named = fanned.join(names, "subject_id", "left")
-        counts = named.groupBy("subject").agg(F.count(F.lit(1)).alias("count"))
+        return _top_subjects(per_group, bridge, dim_subject, k)
+    links = bridge.select("subject_group_id", "subject_id")
+    names = dim_subject.select("subject_id", "subject")
+    fanned = loans.select("subject_group_id").join(links, "subject_group_id", "left")
+    named = fanned.join(names, "subject_id", "left")
+    counts = named.groupBy("subject").agg(F.count(F.lit(1)).alias("count"))
     return top_k(counts, k, [F.col("count").desc(), F.col("subject").asc_nulls_first()])
 
 
@@ -99,12 +120,51 @@ def popular_titles(
 ) -> DataFrame:
     """C11: top-k titles by loans in ``[lo, hi]``; books sharing a title are merged."""
     loans = in_range(fact, lo, hi)
-    titles = dim_books.select(F.col("bibnum").alias("bibnumber"), "title")
     if preaggregate:
         per_book = loans.groupBy("bibnumber").agg(F.count(F.lit(1)).alias("_n"))
-        named = lookup_join(per_book, titles, "bibnumber", "left")
-        counts = named.groupBy("title").agg(F.sum("_n").cast("long").alias("loan_numbers"))
-    else:
-        named = loans.select("bibnumber").join(titles, "bibnumber", "left")
-        counts = named.groupBy("title").agg(F.count(F.lit(1)).alias("loan_numbers"))
+        return _top_titles(per_book, dim_books, k)
+    titles = dim_books.select(F.col("bibnum").alias("bibnumber"), "title")
+    named = loans.select("bibnumber").join(titles, "bibnumber", "left")
+    counts = named.groupBy("title").agg(F.count(F.lit(1)).alias("loan_numbers"))
     return top_k(counts, k, [F.col("loan_numbers").desc(), F.col("title").asc_nulls_first()])
+
+
+# grouping_id of each grouping set over (date, subject_group_id, bibnumber): a bit is 1 when
+# that column is aggregated away.
+_BY_DAY, _BY_GROUP, _BY_BOOK = 0b011, 0b101, 0b110
+
+
+def refresh(
+    fact: DataFrame,
+    bridge: DataFrame,
+    dim_subject: DataFrame,
+    dim_books: DataFrame,
+    lo: DateLike | None = None,
+    hi: DateLike | None = None,
+) -> dict[str, DataFrame]:
+    """The dashboard's three results (C9, C10, C11) from one pass over the fact.
+
+    One ``GROUPING SETS ((date), (subject_group_id), (bibnumber))`` aggregate over the range
+    gives per-day, per-group and per-book counts in a single scan and shuffle; its size is
+    bounded by days + groups + books, not by loans. It is checkpointed to the shared folder
+    and the three marts are built from it. The calendar bounds still come from the whole fact
+    (a min/max over ``time_key``).
+    """
+    base = in_range(fact, lo, hi).select(
+        F.col("time_key").cast("date").alias("date"), "subject_group_id", "bibnumber"
+    )
+    counts = (
+        base.groupingSets([["date"], ["subject_group_id"], ["bibnumber"]], "date", "subject_group_id", "bibnumber")
+        .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+        .checkpoint(eager=True)
+    )
+
+    def part(code: int, *cols: str) -> DataFrame:
+        return counts.where(F.col("_set") == code).select(*cols, "_n")
+
+    daily = part(_BY_DAY, "date").where(F.col("date").isNotNull()).withColumnRenamed("_n", "count")
+    return {
+        "loans_per_day": _series(_day_bounds(fact), daily, lo, hi),
+        "popular_subjects": _top_subjects(part(_BY_GROUP, "subject_group_id"), bridge, dim_subject, TOP_SUBJECTS),
+        "popular_titles": _top_titles(part(_BY_BOOK, "bibnumber"), dim_books, TOP_TITLES),
+    }

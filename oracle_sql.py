@@ -146,6 +146,15 @@ def _top_titles() -> str:
         LIMIT 20"""
 
 
+def _series_in_range() -> str:
+    return f"""
+        SELECT s.date, coalesce(d.count, 0) AS count
+        FROM (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+              FROM daily) s
+          LEFT JOIN daily d ON s.date = d.date
+        WHERE s.date >= DATE '{MART_LO}' AND s.date <= DATE '{MART_HI}'"""
+
+
 QUERIES: dict[str, str] = {
     "extract_window": f"""
         SELECT event_id, ts, user_id, event_type, value FROM events
@@ -220,6 +229,9 @@ QUERIES: dict[str, str] = {
     "popular_subjects_preagg": _top_subjects(),
     "popular_titles": _top_titles(),
     "popular_titles_preagg": _top_titles(),
+    "refresh_loans_per_day": _series_in_range(),
+    "refresh_popular_subjects": _top_subjects(),
+    "refresh_popular_titles": _top_titles(),
     "quality_gate": """
         SELECT 'dim_books' AS "check", count(*) AS value, count(*) >= 1 AS passed FROM dim_books
         UNION ALL SELECT 'dim_collections', count(*), count(*) >= 1

@@ -101,3 +101,18 @@ def test_empty_range_gives_empty_frames_with_schema(spark):
     assert top.columns == ["subject", "count"] and top.count() == 0
     titles = marts.popular_titles(fact, books, lo, hi)
     assert titles.columns == ["title", "loan_numbers"] and titles.count() == 0
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 9), st.sampled_from(["g1", "g2", "g3", None]), st.integers(1, 4)),
+                min_size=1, max_size=30))
+def test_one_pass_refresh_equals_the_three_marts(spark, data):
+    fact = _fact(spark, [(str(i), D(2020, 1, 1 + d), b, g) for i, (d, g, b) in enumerate(data)])
+    bridge = _bridge(spark, [("g1", 1, "x"), ("g1", 2, "x"), ("g2", 2, "y")])
+    subjects = _subjects(spark, [("A", 1), ("B", 2)])
+    books = spark.createDataFrame([(1, "T1", "p", "a"), (2, "T1", "p", "a"), (3, None, "p", "a")], schemas.DIM_BOOKS)
+    lo, hi = "2020-01-02", "2020-01-08"
+    got = marts.refresh(fact, bridge, subjects, books, lo, hi)
+    assert rows(got["loans_per_day"]) == rows(marts.loans_per_day(fact, lo, hi))
+    assert rows(got["popular_subjects"]) == rows(marts.popular_subjects(fact, bridge, subjects, lo, hi))
+    assert rows(got["popular_titles"]) == rows(marts.popular_titles(fact, books, lo, hi))
