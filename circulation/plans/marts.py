@@ -134,6 +134,17 @@ def popular_titles(
 _BY_DAY, _BY_GROUP, _BY_BOOK = 0b011, 0b101, 0b110
 
 
+def range_counts(fact: DataFrame, lo: DateLike | None = None, hi: DateLike | None = None) -> DataFrame:
+    """Loan counts of ``[lo, hi]`` per day, per subject group and per book in one aggregate:
+    ``(date, subject_group_id, bibnumber, _n, _set)`` where ``_set`` is the grouping id."""
+    base = in_range(fact, lo, hi).select(
+        F.col("time_key").cast("date").alias("date"), "subject_group_id", "bibnumber"
+    )
+    return base.groupingSets(
+        [["date"], ["subject_group_id"], ["bibnumber"]], "date", "subject_group_id", "bibnumber"
+    ).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+
+
 def refresh(
     fact: DataFrame,
     bridge: DataFrame,
@@ -150,14 +161,7 @@ def refresh(
     and the three marts are built from it. The calendar bounds still come from the whole fact
     (a min/max over ``time_key``).
     """
-    base = in_range(fact, lo, hi).select(
-        F.col("time_key").cast("date").alias("date"), "subject_group_id", "bibnumber"
-    )
-    counts = (
-        base.groupingSets([["date"], ["subject_group_id"], ["bibnumber"]], "date", "subject_group_id", "bibnumber")
-        .agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
-        .checkpoint(eager=True)
-    )
+    counts = range_counts(fact, lo, hi).checkpoint(eager=True)
 
     def part(code: int, *cols: str) -> DataFrame:
         return counts.where(F.col("_set") == code).select(*cols, "_n")

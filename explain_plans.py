@@ -70,6 +70,10 @@ def main() -> None:
         ("Top titles (C11)",
          "Counted per book before the lookup of titles.",
          lambda: marts.popular_titles(fact, wh.scan("dim_books"), LO, HI)),
+        ("One-pass refresh: the shared GROUPING SETS aggregate",
+         "One fact scan, one `Expand` into the three grouping sets, partial aggregate, one `Exchange`; "
+         "the result (days + groups + books) is checkpointed and the three marts read it.",
+         lambda: marts.range_counts(fact, LO, HI)),
     ]
     big_sections: list[tuple[str, str, object]] = [
         ("Fact load (C7) when the canonical inventory is over the broadcast bound",
