@@ -25,9 +25,9 @@ def assign_ids(new_members: DataFrame, key: str, id_col: str, existing: DataFram
     The members are range-partitioned and sorted by ``key``; each row's index inside its
     partition comes from ``monotonically_increasing_id``. That frame is checkpointed to the
     shared checkpoint folder, so both uses below read identical partitions and an executor
-    loss does not re-sample the range bounds. Per-partition counts (one row per partition,
-    plus one row carrying the existing maximum) are turned into running offsets in the only
-    single-partition step, then broadcast back; that side is bounded by the partition count.
+    loss does not re-sample the range bounds. Per-partition counts (one row per partition)
+    and per-partition maxima of the existing ids become running offsets in the only
+    single-partition step, then are broadcast back; that side is bounded by partition counts.
     """
     ranged = (
         new_members.repartitionByRange(F.col(key).asc_nulls_first())
@@ -36,14 +36,26 @@ def assign_ids(new_members: DataFrame, key: str, id_col: str, existing: DataFram
         .withColumn("_mono", F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.lit(None).cast("long").alias("_base"))
     if existing is not None:
-        base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_n")).select(
-            F.lit(-1).cast("long").alias("_pid"), "_n"
+        # The existing maximum enters as one row per existing partition (partial max per task).
+        base = (
+            existing.select(F.spark_partition_id().alias("_xp"), F.col(id_col).cast("long").alias("_id"))
+            .groupBy("_xp")
+            .agg(F.max("_id").alias("_base"))
+            .select(F.lit(-1).cast("long").alias("_pid"), F.lit(0).cast("long").alias("_n"), "_base")
         )
         counts = counts.unionByName(base)
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # One ordered window over these few rows (the only single-partition step): the existing
+    # maximum over all of them, plus the rows of every earlier partition.
+    ordered = Window.orderBy("_pid")
+    everything = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "_pid",
+        (F.coalesce(F.max("_base").over(everything), F.lit(0)) + F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .alias("_offset"),
+    ).where(F.col("_pid") >= 0)
     index_in_partition = F.col("_mono") - F.shiftleft(F.col("_pid"), 33)
     return ranged.join(F.broadcast(offsets), "_pid").select(
         *[c for c in new_members.columns],

@@ -52,8 +52,8 @@ def main() -> None:
          "so a book holding a third of the inventory costs one row per task in the shuffle.",
          lambda: model.canonical_inventory(wh.scan("staging_inventory"))),
         ("Surrogate ids (I1)",
-         "Two `Exchange SinglePartition`, both bounded: the running sum sees one row per partition, the global "
-         "max one partial row per task. The checkpointed range-partitioned members join the offsets by broadcast.",
+         "One `Exchange SinglePartition`, over one row per partition of the new members and one per partition "
+         "of the existing ids. The checkpointed range-partitioned members join the offsets by broadcast.",
          lambda: assign_ids(wh.scan("dim_subject").select("subject"), "subject", "subject_id", wh.scan("dim_subject"))),
         ("New books (C5): bucketed anti join",
          "Canonical inventory and `dim_books` are both bucketed by `bibnum`: `SortMergeJoin LeftAnti` without an "

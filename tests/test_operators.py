@@ -113,10 +113,9 @@ def test_assign_ids_single_partition_step_is_only_the_offset_table(spark):
     out = assign_ids(members, "subject", "subject_id", existing)
     out.collect()
     final = plan_text(out).split("== Initial Plan ==")[0]
-    # Two single-partition steps, both bounded: the running sum over one row per partition
-    # and the global max of the existing ids (one partial row per task).
-    assert final.count("Exchange SinglePartition") == 2
-    assert "partial_max(subject_id" in final
+    # One single-partition step, over one row per partition of the new members and of the
+    # existing ids.
+    assert final.count("Exchange SinglePartition") == 1
     assert "BroadcastHashJoin" in final
 
 
