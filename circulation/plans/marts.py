@@ -73,7 +73,10 @@ def _top_subjects(per_group: DataFrame, bridge: DataFrame, dim_subject: DataFram
     """Top-k subjects from loan counts per subject group (``subject_group_id``, ``_n``)."""
     links = bridge.select("subject_group_id", "subject_id")
     names = dim_subject.select("subject_id", "subject")
-    fanned = lookup_join(per_group, links, "subject_group_id", "left")
+    # The stored bridge is bucketed by group: the join reads it without a shuffle (and AQE
+    # broadcasts it once a shuffled bridge measures small). dim_subject is small and unbucketed:
+    # broadcast after the row check.
+    fanned = per_group.join(links, "subject_group_id", "left")
     named = lookup_join(fanned, names, "subject_id", "left")
     counts = named.groupBy("subject").agg(F.sum("_n").cast("long").alias("count"))
     return top_k(counts, k, [F.col("count").desc(), F.col("subject").asc_nulls_first()])
@@ -82,7 +85,9 @@ def _top_subjects(per_group: DataFrame, bridge: DataFrame, dim_subject: DataFram
 def _top_titles(per_book: DataFrame, dim_books: DataFrame, k: int) -> DataFrame:
     """Top-k titles from loan counts per book (``bibnumber``, ``_n``)."""
     titles = dim_books.select(F.col("bibnum").alias("bibnumber"), "title")
-    named = lookup_join(per_book, titles, "bibnumber", "left")
+    # Stored dim_books is bucketed by book: no shuffle of the lookup side (AQE broadcasts a
+    # shuffled one that measures small).
+    named = per_book.join(titles, "bibnumber", "left")
     counts = named.groupBy("title").agg(F.sum("_n").cast("long").alias("loan_numbers"))
     return top_k(counts, k, [F.col("loan_numbers").desc(), F.col("title").asc_nulls_first()])
 

@@ -81,7 +81,7 @@ def main() -> None:
          "no `Exchange` on its side. AQE skew splitting covers a hot book.",
          lambda: model.fact_rows(extract_window(loans, "checkoutdatetime", "1998-03-01", "1998-03-31"),
                                  wh.scan(CANONICAL))),
-        ("Top subjects (C10) when the bridge is over the broadcast bound",
+        ("Top subjects (C10) with broadcasting off",
          "The bridge is read bucketed by `subject_group_id`; only the per-group counts are shuffled.",
          lambda: marts.popular_subjects(fact, wh.scan("bridge_subject"), wh.scan("dim_subject"), LO, HI)),
     ]
