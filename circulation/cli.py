@@ -72,7 +72,11 @@ def _parser() -> argparse.ArgumentParser:
 
 def run(argv: Sequence[str], spark: SparkSession | None = None) -> dict:
     args = _parser().parse_args(list(argv))
-    spark = spark or SparkSession.builder.appName(f"circulation-{args.command}").getOrCreate()
+    spark = spark or (
+        SparkSession.builder.appName(f"circulation-{args.command}")
+        .config("spark.ui.enabled", "false")  # batch jobs: no web UI
+        .getOrCreate()
+    )
     apply_runtime_conf(spark)
     ensure_checkpoint_dir(spark)
     wh = Warehouse(spark, args.warehouse, args.location, buckets=args.buckets)
