@@ -308,9 +308,24 @@ def _prepared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return run
 
 
+try:  # the training-data operators are optional: the rest works without their folders
+    import corpus_pipeline
+    from circulation.llm import queries as _llm
+except ImportError:
+    _llm = corpus_pipeline = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _prepared(fn) for name, fn in _QUERIES.items()}
+    found = {name: _prepared(fn) for name, fn in _QUERIES.items()}
+    if _llm:
+        found |= {name: _prepared(fn) for name, fn in _llm.QUERIES.items()} | {"pipeline": _prepared(corpus_pipeline.run)}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle.oracle_sql()
+    found = _oracle.oracle_sql()
+    if _llm:
+        found |= _llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
