@@ -39,6 +39,11 @@ RUNS = (("1900-01-01", "1998-06-30"), ("1998-06-30", "2100-01-01"))
 def _prepare(spark: SparkSession) -> None:
     apply_runtime_conf(spark)
     ensure_checkpoint_dir(spark)
+    # Python workers import the package from here, wherever the driver was started.
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _HERE not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([_HERE, *paths])
 
 
 _STARS: dict[tuple[str, str], tuple[SparkSession, Star]] = {}
