@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circulation.llm import minhash, packing, sharding, token_matrix
+from circulation.llm import minhash, packing, quality, sharding, token_matrix
 from circulation.llm.common import written
 from circulation.session import ensure_checkpoint_dir
 
@@ -27,6 +27,13 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(slim, ["doc_id", "piece", "ids_crc32"])
 
 
+def op3_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    stats = quality.with_statistics(docs).drop("text")
+    return quality.verdicts(stats).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+
+
 def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", sharding.row_size("text").alias("size"),
@@ -46,6 +53,7 @@ def op6_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_mcd_quality": op3_mcd_quality,
     "op5_byte_shards": op5_byte_shards,
     "op6_token_matrices": op6_token_matrices,
 }
