@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circulation.llm import minhash, packing, quality, sharding, token_matrix
+from circulation.llm import minhash, packing, quality, sharding, token_matrix, url_filter, warc
 from circulation.llm.common import written
 from circulation.session import ensure_checkpoint_dir
 
@@ -50,14 +50,72 @@ def op6_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("positions").alias("positions_crc32"), "cu_seqlens", "doc_ids", "starts")
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"), url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+]
+
+
+def url_list(pages: DataFrame) -> DataFrame:
+    """The universe of the corpus's keys (host and path) and the listed ones among them: a list that
+    grows with the corpus, of the keys whose MD5 begins with 0 or 1."""
+    keys = url_filter.with_url_key(pages.select("url")).select("url_key").distinct()
+    return keys.withColumn("listed", F.substring(F.md5("url_key"), 1, 1).isin("0", "1"))
+
+
+def op8_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    levels = url_filter.build_cascade(url_list(pages), "url_key", "listed")
+    judged = url_filter.judge_urls(pages, URL_RULES, levels)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    places = warc.look_up(captures, warc.build_index(captures))
+    return warc.read_records(places, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_mcd_quality": op3_mcd_quality,
     "op5_byte_shards": op5_byte_shards,
     "op6_token_matrices": op6_token_matrices,
+    "op8_bloom_cascade": op8_bloom_cascade,
+    "op10_warc_index": op10_warc_index,
 }
 
 
+OP8_SQL = """
+WITH parts AS (
+  SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), named AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts
+), ruled AS (
+  SELECT *, CASE
+      WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+      WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+      WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+      WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
+    END AS rule
+  FROM named
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN substr(md5(host || path), 1, 1) IN ('0', '1') THEN 'block'
+    ELSE 'allow'
+  END AS verdict
+FROM ruled
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_bloom_cascade": OP8_SQL}
