@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circulation.llm import minhash, packing, quality, sharding, token_matrix, url_filter, warc
+from circulation.llm import minhash, packing, pii, quality, sharding, token_matrix, url_filter, warc
 from circulation.llm.common import written
 from circulation.session import ensure_checkpoint_dir
 
@@ -50,6 +50,10 @@ def op6_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("positions").alias("positions_crc32"), "cu_seqlens", "doc_ids", "starts")
 
 
+def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 URL_RULES = [
     url_filter.Rule("allow", "com", "/"), url_filter.Rule("block", "example.com", "/en/"),
     url_filter.Rule("allow", "www.example.com", "/en/"), url_filter.Rule("block", "net", "/es/"),
@@ -57,11 +61,15 @@ URL_RULES = [
 ]
 
 
+# The words of a host's name for which its keys are listed.
+SPAM_HOST = r"(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)"
+
+
 def url_list(pages: DataFrame) -> DataFrame:
-    """The universe of the corpus's keys (host and path) and the listed ones among them: a list that
-    grows with the corpus, of the keys whose MD5 begins with 0 or 1."""
-    keys = url_filter.with_url_key(pages.select("url")).select("url_key").distinct()
-    return keys.withColumn("listed", F.substring(F.md5("url_key"), 1, 1).isin("0", "1"))
+    """The universe of the corpus's keys (host and path) and the listed ones among them: the captures of
+    hosts with a spam word in their name, a list that grows with the corpus."""
+    keys = url_filter.with_url_key(pages.select("url")).select("url_key", "host").distinct()
+    return keys.select("url_key", F.col("host").rlike(SPAM_HOST).alias("listed"))
 
 
 def op8_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,12 +92,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mcd_quality": op3_mcd_quality,
     "op5_byte_shards": op5_byte_shards,
     "op6_token_matrices": op6_token_matrices,
+    "op7_feistel_pseudonyms": op7_feistel_pseudonyms,
     "op8_bloom_cascade": op8_bloom_cascade,
     "op10_warc_index": op10_warc_index,
 }
 
 
-OP8_SQL = """
+OP8_SQL = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), named AS (
@@ -110,7 +119,7 @@ WITH parts AS (
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
     WHEN rule IS NOT NULL THEN 'block'
-    WHEN substr(md5(host || path), 1, 1) IN ('0', '1') THEN 'block'
+    WHEN regexp_matches(host, '(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)') THEN 'block'
     ELSE 'allow'
   END AS verdict
 FROM ruled
