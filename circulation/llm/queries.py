@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circulation.llm import minhash, packing, pii, quality, sharding, token_matrix, url_filter, warc
+from circulation.llm import lm, minhash, packing, pii, quality, sharding, token_matrix, url_filter, warc
 from circulation.llm.common import written
 from circulation.session import ensure_checkpoint_dir
 
@@ -34,6 +34,10 @@ def op3_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
 
 
+def op4_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.interpolated_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", sharding.row_size("text").alias("size"),
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_mcd_quality": op3_mcd_quality,
+    "op4_deleted_interpolation": op4_deleted_interpolation,
     "op5_byte_shards": op5_byte_shards,
     "op6_token_matrices": op6_token_matrices,
     "op7_feistel_pseudonyms": op7_feistel_pseudonyms,
