@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circulation.llm import lm, minhash, packing, pii, quality, sharding, token_matrix, url_filter, warc
+from circulation.llm import decontam, lm, minhash, packing, pii, quality, sharding, token_matrix, url_filter, warc
 from circulation.llm.common import written
 from circulation.session import ensure_checkpoint_dir
 
@@ -83,6 +83,12 @@ def op8_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontam.marked(docs, table(spark, sf_dir, "benchmark")).select("doc_id", F.explode("leaks").alias("x"))
+    return marked.select("doc_id", "x.item_id", "x.lcs_words", "x.item_words", "x.answer_found", "x.cosine")
+
+
 def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     places = warc.look_up(captures, warc.build_index(captures))
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_matrices": op6_token_matrices,
     "op7_feistel_pseudonyms": op7_feistel_pseudonyms,
     "op8_bloom_cascade": op8_bloom_cascade,
+    "op9_latent_decontamination": op9_latent_decontamination,
     "op10_warc_index": op10_warc_index,
 }
 
