@@ -23,7 +23,7 @@ from circulation.session import scratch_path
 BATCH_BYTES = 16 << 20
 
 
-def limit_batches(spark: SparkSession) -> None:
+def bound_memory(spark: SparkSession) -> None:
     """Bound Arrow batches by bytes, as rows of text differ in size by orders of magnitude."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

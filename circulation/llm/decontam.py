@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from circulation.llm.common import free_name, limit_batches, without, written
+from circulation.llm.common import free_name, bound_memory, without, written
 from circulation.llm.minhash import words
 
 HALF = 16
@@ -288,7 +288,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: s
            out: str = "leaks", rank: int = RANK) -> DataFrame:
     """``docs`` with ``out``: the confirmed benchmark items of each row, its best place for each."""
     spark = docs.sparkSession
-    limit_batches(spark)
+    bound_memory(spark)
     docs = without(docs, [out])
     # The stated query set: its size is bounded by MAX_WORDS below.
     stated = benchmark.select(F.col(item_id).cast("long"), F.col(item_text).cast("string")).collect()

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from circulation.llm.common import limit_batches, shuffle_partitions, written
+from circulation.llm.common import bound_memory, shuffle_partitions, written
 from circulation.llm.minhash import word_hashes, words
 
 ORDER = 2
@@ -73,7 +73,7 @@ def _assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _source(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    limit_batches(docs.sparkSession)
+    bound_memory(docs.sparkSession)
     return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")
                        ).select("doc_id", fold_of().alias("fold"), "text")
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from circulation.llm.common import limit_batches, written
+from circulation.llm.common import bound_memory, written
 from circulation.llm.components import components
 
 K, BANDS, BITS = 128, 32, 2
@@ -133,7 +133,7 @@ def signatures(docs: DataFrame, n: int, text: str = "text", id_col: str = "doc_i
     """Per row: doc_id, node (digest of the set, null if empty), n_shingles, bits (longs), bands (longs)."""
     import xxhash
 
-    limit_batches(docs.sparkSession)
+    bound_memory(docs.sparkSession)
     schema = "doc_id long, node binary, n_shingles long, bits array<long>, bands array<long>"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,9 +290,16 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: int = THRESHOLD, tex
 def dedupe(docs: DataFrame, n: int = 5, threshold: int = THRESHOLD, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each group of near-duplicates: the one with the least id.
 
-    Texts without words all stay; of repeated rows of one id and text one stays."""
-    found = near_duplicates(docs, n, threshold, text, id_col)
-    gone = written(found.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct(), "minhash-gone")
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, id_col, "left_anti").dropDuplicates()
+    Texts without words all stay. Rows that share an id are taken for one document: they go together, unless
+    one of them is its group's least, and of those with equal texts one stays. Rows without an id stay."""
+    found = written(near_duplicates(docs, n, threshold, text, id_col), "dedupe-classes")
+    ids = written(found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg(
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).where("NOT kept OR rows > 1"), "dedupe-ids")
+    same = docs[f"`{id_col}`"].cast("long") == F.col("__id")
+    small = ids.count() <= BROADCAST_IDS
+    of = lambda condition: F.broadcast(ids.where(condition)) if small else ids.where(condition)
+    out = docs.join(of("NOT kept"), same, "left_anti")
+    if ids.where("kept").isEmpty():
+        return out
+    once = out.join(of("kept"), same, "left_semi").dropDuplicates([id_col, text])
+    return out.join(of("kept"), same, "left_anti").unionByName(once)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from circulation.llm.common import free_name, global_prefix, limit_batches, without
+from circulation.llm.common import free_name, global_prefix, bound_memory, without
 from circulation.llm.tokens import END_ID, encoder, vocabulary_path
 
 CAPACITY = 1024
@@ -44,7 +44,7 @@ def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
 def token_pieces(docs: DataFrame, text: str = "text", id_col: str = "doc_id", capacity: int = CAPACITY,
                  vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
     """The pieces of every document: doc_id, piece, start, length, ids (little-endian uint32)."""
-    limit_batches(docs.sparkSession)
+    bound_memory(docs.sparkSession)
     path = vocabulary or vocabulary_path()
     end = np.array([end_id], "<u4").tobytes()
 

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from circulation.llm import decontam, lm, minhash, packing, pii, quality, sharding, token_matrix, url_filter, warc
 from circulation.llm.common import written
+from circulation.llm.common import bound_memory
 from circulation.session import ensure_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
+    bound_memory(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from circulation.llm.common import limit_batches
+from circulation.llm.common import bound_memory
 from circulation.llm.packing import CAPACITY, cuts
 from circulation.llm.tokens import END_ID, encoder, vocabulary_path
 from circulation.session import scratch_path
@@ -96,7 +96,7 @@ def pack_matrices(docs: DataFrame, text: str = "text", id_col: str = "doc_id", c
     """One row per packed sequence of every whole text, as ``PACKED`` says. capacity: at most 65,535."""
     if not 0 < capacity < 1 << 16:
         raise ValueError("positions are stored in 16 bits: capacity must lie in 1 .. 65535")
-    limit_batches(docs.sparkSession)
+    bound_memory(docs.sparkSession)
     path = vocabulary or vocabulary_path()
     end = np.array([end_id], "<u4").tobytes()
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from circulation.llm.common import limit_batches, shuffle_partitions, written
+from circulation.llm.common import bound_memory, shuffle_partitions, written
 from circulation.llm.urls import reversed_host_key
 from circulation.session import scratch_path
 
@@ -159,7 +159,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int = 0, page_id: str = "page_id",
                    url: str = "url", payload: str = "html") -> DataFrame:
     """Write a record per row of ``pages``; returns the written captures (``CAPTURES``)."""
-    limit_batches(pages.sparkSession)
+    bound_memory(pages.sparkSession)
     folder = folder or scratch_path(pages.sparkSession, "warc")
     address = F.coalesce(F.col(f"`{url}`").cast("string"), F.lit(""))
     source = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), address.alias("url"),
