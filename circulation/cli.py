@@ -6,7 +6,7 @@
     python -m circulation report  --warehouse W --location L [--lo D --hi D]
 
 Sources are parquet by default (``--format delimited`` reads ``|`` text with a header into the
-staging schema). ``report`` prints the dashboard's three results as JSON: the daily series, the
+staging schema, ``--format landed`` a dataset folder of the typed landing). ``report`` prints the dashboard's three results as JSON: the daily series, the
 top 30 subjects and the top 20 titles; all three are bounded by days or k.
 """
 
@@ -23,10 +23,13 @@ from circulation import schemas
 from circulation.plans import jobs, marts
 from circulation.session import apply_runtime_conf, ensure_checkpoint_dir
 from circulation.sinks import Warehouse
-from circulation.sources import read_delimited
+from circulation.sources import read_delimited, read_landed
 
 
-def _source(spark: SparkSession, path: str, fmt: str, schema) -> DataFrame:
+def _source(spark: SparkSession, path: str, fmt: str, schema, stamp: str | None = None) -> DataFrame:
+    if fmt == "landed" and stamp is not None:
+        root, _, dataset = path.rstrip("/").rpartition("/")
+        return read_landed(spark, root, dataset, schema, stamp)
     if fmt == "delimited":
         return read_delimited(spark, path, schema)
     return spark.read.parquet(path)
@@ -47,7 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--codes", required=True)
     m.add_argument("--prev", required=True)
     m.add_argument("--run", required=True)
-    m.add_argument("--format", choices=["parquet", "delimited"], default="parquet")
+    m.add_argument("--format", choices=["parquet", "delimited", "landed"], default="parquet")
     m.add_argument("--allow-empty", action="store_true")
 
     d = sub.add_parser("daily", help="loans -> fact_loans and dim_time (C14)")
@@ -55,7 +58,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--loans", required=True)
     d.add_argument("--prev", required=True)
     d.add_argument("--run", required=True)
-    d.add_argument("--format", choices=["parquet", "delimited"], default="parquet")
+    d.add_argument("--format", choices=["parquet", "delimited", "landed"], default="parquet")
     d.add_argument("--allow-empty", action="store_true")
 
     c = sub.add_parser("catchup", help="load every landed run date not yet processed")
@@ -82,12 +85,12 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> dict:
     wh = Warehouse(spark, args.warehouse, args.location, buckets=args.buckets)
 
     if args.command == "monthly":
-        inventory = _source(spark, args.inventory, args.format, schemas.STAGING_INVENTORY)
+        inventory = _source(spark, args.inventory, args.format, schemas.STAGING_INVENTORY, "reportdate")
         codes = _source(spark, args.codes, args.format, schemas.STAGING_CODES)
         checks = jobs.run_monthly(wh, inventory, codes, args.prev, args.run, allow_empty=args.allow_empty)
         return {"checks": [{"check": c, "value": v, "passed": p} for c, v, p in checks]}
     if args.command == "daily":
-        loans = _source(spark, args.loans, args.format, schemas.STAGING_LOANS)
+        loans = _source(spark, args.loans, args.format, schemas.STAGING_LOANS, "checkoutdatetime")
         return {"fact_rows": jobs.run_daily(wh, loans, args.prev, args.run, allow_empty=args.allow_empty)}
     if args.command == "catchup":
         from circulation.streaming import start_daily_catchup
@@ -95,12 +98,12 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> dict:
         start_daily_catchup(wh, args.landing, args.checkpoint).awaitTermination()
         return {"fact_rows": wh.row_count("fact_loans")}
 
-    fact = wh.scan("fact_loans")
-    bounds = marts.date_bounds(fact).first()
+    fact, days = wh.scan("fact_loans"), wh.load_days()
+    bounds = marts.date_bounds(fact, days).first()
     lo = args.lo or (bounds["min_date"].date().isoformat() if bounds["min_date"] else None)
     hi = args.hi or (bounds["max_date"].date().isoformat() if bounds["max_date"] else None)
     # One pass over the fact for all three results.
-    out = marts.refresh(fact, wh.scan("bridge_subject"), wh.scan("dim_subject"), wh.scan("dim_books"), lo, hi)
+    out = marts.refresh(fact, wh.scan("bridge_subject"), wh.scan("dim_subject"), wh.scan("dim_books"), lo, hi, days)
     return {
         "range": [lo, hi],
         "loans_per_day": [[r["date"].isoformat(), r["count"]] for r in out["loans_per_day"].orderBy("date").collect()],

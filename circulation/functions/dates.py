@@ -56,15 +56,6 @@ def as_midnight(value: DateLike) -> _dt.datetime:
     return _dt.datetime(d.year, d.month, d.day)
 
 
-def date_lit(value: DateLike) -> Column:
-    """A bound DATE literal (never string-formatted into SQL)."""
-    return F.lit(as_date(value))
-
-
 def midnight_lit(value: DateLike) -> Column:
     """A bound TIMESTAMP_NTZ literal at midnight of ``value``."""
     return F.lit(as_midnight(value)).cast("timestamp_ntz")
-
-
-def zero_if_null(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0))

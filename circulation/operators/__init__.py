@@ -1,18 +1,16 @@
 from circulation.operators.calendar import align_to_calendar, date_spine
 from circulation.operators.dedupe import first_per_key
-from circulation.operators.joins import BROADCAST_MAX_ROWS, fits, lookup_join
+from circulation.operators.joins import lookup_join
 from circulation.operators.members import assign_ids, only_new
 from circulation.operators.tokens import explode_tokens, is_missing, split_tokens
 from circulation.operators.topk import top_k
 
 __all__ = [
-    "BROADCAST_MAX_ROWS",
     "align_to_calendar",
     "assign_ids",
     "date_spine",
     "explode_tokens",
     "first_per_key",
-    "fits",
     "is_missing",
     "lookup_join",
     "only_new",

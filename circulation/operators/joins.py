@@ -1,32 +1,17 @@
-"""Lookup joins with a size-checked broadcast."""
+"""Lookup joins."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Rows a lookup side may have and still be broadcast. Callers project the lookup side to the
-# few narrow columns they need first, so the bound in bytes stays in the tens of MB.
-BROADCAST_MAX_ROWS = 1_000_000
 
+def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str, how: str = "inner") -> DataFrame:
+    """Join ``big`` to a lookup side without a hint or a count of its own.
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str] | str,
-    how: str = "inner",
-    max_rows: int | None = None,
-) -> DataFrame:
-    """Join ``big`` to a lookup side; broadcast the lookup side only after checking its row
-    count, otherwise leave the choice to the planner (sort-merge with AQE skew splitting,
-    or a runtime broadcast once the measured shuffle size is small)."""
-    limit = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    side = F.broadcast(small) if limit > 0 and fits(small, limit) else small
-    return big.join(side, on, how)
+    Both sides are shuffled on the key unless adaptive execution has measured the lookup side's bytes
+    under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and broadcasts it; a key with a large share
+    of ``big`` is split, as long as neither side is read in a bucketed layout.
+    """
+    return big.join(small, on, how)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from circulation.session import materialise
+
 
 def only_new(candidates: DataFrame, existing: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     """Rows of ``candidates`` whose key is not yet in ``existing`` (left anti join).
@@ -22,10 +24,9 @@ def assign_ids(new_members: DataFrame, key: str, id_col: str, existing: DataFram
     """Give each row of ``new_members`` (unique on ``key``) an id max(existing)+1, +2, ... in
     ascending ``key`` order, without a global window.
 
-    The members are range-partitioned and sorted by ``key``; each row's index inside its
-    partition comes from ``monotonically_increasing_id``. That frame is checkpointed to the
-    shared checkpoint folder, so both uses below read identical partitions and an executor
-    loss does not re-sample the range bounds. Per-partition counts (one row per partition)
+    The members are range-partitioned and sorted by ``key``; each row's partition and its index
+    inside it are written with the row to the shared scratch folder, so both uses below
+    read the same numbers and an executor loss does not re-sample the range bounds. Per-partition counts (one row per partition)
     and per-partition maxima of the existing ids become running offsets in the only
     single-partition step, then are broadcast back; that side is bounded by partition counts.
     """
@@ -33,9 +34,9 @@ def assign_ids(new_members: DataFrame, key: str, id_col: str, existing: DataFram
         new_members.repartitionByRange(F.col(key).asc_nulls_first())
         .sortWithinPartitions(F.col(key).asc_nulls_first())
         .withColumn("_pid", F.spark_partition_id().cast("long"))
-        .withColumn("_mono", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .withColumn("_index", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid"), 33))
     )
+    ranged = materialise(ranged, "new-members")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.lit(None).cast("long").alias("_base"))
     if existing is not None:
         # The existing maximum enters as one row per existing partition (partial max per task).
@@ -56,8 +57,7 @@ def assign_ids(new_members: DataFrame, key: str, id_col: str, existing: DataFram
         (F.coalesce(F.max("_base").over(everything), F.lit(0)) + F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .alias("_offset"),
     ).where(F.col("_pid") >= 0)
-    index_in_partition = F.col("_mono") - F.shiftleft(F.col("_pid"), 33)
     return ranged.join(F.broadcast(offsets), "_pid").select(
         *[c for c in new_members.columns],
-        (F.col("_offset") + index_in_partition + 1).cast("long").alias(id_col),
+        (F.col("_offset") + F.col("_index") + 1).cast("long").alias(id_col),
     )

@@ -1,9 +1,9 @@
 """Staging-shaped lending data derived from the driver tables (FIXTURES.md §2).
 
 The driver tables hold no lending data, so loans come from ``lineitem``, inventory from
-``lineitem`` joined to ``part`` and codes from ``nation`` and ``region``. Every table is read
-whole; filters below are part of what the views mean (a library closed on Mondays, parts over
-size 40 not held, two inventory months split at ``BATCH_SPLIT``).
+``lineitem`` joined to ``part`` and codes from ``nation`` and ``region``. Every row of the tables is
+kept: quiet days, books that loans do not find and members that come with the second month are made by
+moving rows (to another day, book number or report date), never by dropping them.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from circulation import schemas
 
 # Fixed values of the fixture mapping.
 BATCH_SPLIT = _dt.datetime(1998, 7, 1)  # first day of the second inventory month
-CLOSED_WEEKDAY = 2  # Spark dayofweek: 1 = Sunday, 2 = Monday -> closed on Mondays
-MAX_HELD_SIZE = 40  # parts over this size are not in the inventory
-MONTH1_MISSING_PUBLISHER_SUFFIX = "5"  # month 1 lacks brands ending in 5
+CLOSED_WEEKDAY = 2  # Spark dayofweek: 1 = Sunday, 2 = Monday -> Monday's loans count on Tuesday
+MAX_HELD_SIZE = 40  # parts over this size are held under another book number
+OTHER_BOOK_NUMBERS = 1_000_000_000  # added to the number of such parts
+MONTH2_PUBLISHER_SUFFIX = "5"  # brands ending in 5 are first reported in month 2
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +46,10 @@ def _conform(df: DataFrame, schema) -> DataFrame:
 
 
 def loans(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
-    """``staging_loans`` rows: one per shipped line item, on days the library is open."""
+    """``staging_loans`` rows: one per shipped line item; a closed day's on the day after."""
     li = read_table(spark, sf_dir, "lineitem")
-    li = li.where(F.dayofweek("l_shipdate") != CLOSED_WEEKDAY)
+    next_day = F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")
+    li = li.withColumn("l_shipdate", F.when(F.dayofweek("l_shipdate") == CLOSED_WEEKDAY, next_day).otherwise(F.col("l_shipdate")))
     split = F.lit(BATCH_SPLIT).cast("timestamp_ntz")
     if batch == 1:
         li = li.where(F.col("l_shipdate") < split)
@@ -72,21 +74,23 @@ def subjects_expr() -> Column:
 
 
 def inventory(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
-    """``staging_inventory`` rows. ``batch`` 1 or 2 gives one inventory month; month 1 lacks
-    some publishers so month 2 adds members."""
+    """``staging_inventory`` rows, one per line item. ``batch`` 1 or 2 gives one inventory month; some
+    publishers' rows are all reported in month 2, which so adds members."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
     )
     split = F.lit(BATCH_SPLIT).cast("timestamp_ntz")
-    part = read_table(spark, sf_dir, "part").where(F.col("p_size") <= MAX_HELD_SIZE)
+    part = read_table(spark, sf_dir, "part")
+    late = F.col("p_brand").endswith(MONTH2_PUBLISHER_SUFFIX) & (F.col("l_shipdate") < split)
+    joined = li.join(part, F.col("l_partkey") == F.col("p_partkey")).withColumn(
+        "l_shipdate", F.when(late, split).otherwise(F.col("l_shipdate")))
     if batch == 1:
-        li = li.where(F.col("l_shipdate") < split)
-        part = part.where(~F.col("p_brand").endswith(MONTH1_MISSING_PUBLISHER_SUFFIX))
+        joined = joined.where(F.col("l_shipdate") < split)
     elif batch == 2:
-        li = li.where(F.col("l_shipdate") >= split)
-    joined = li.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        joined = joined.where(F.col("l_shipdate") >= split)
+    held = F.col("p_size") <= MAX_HELD_SIZE
     out = joined.select(
-        F.col("l_partkey").alias("bibnum"),
+        F.when(held, F.col("l_partkey")).otherwise(F.col("l_partkey") + OTHER_BOOK_NUMBERS).alias("bibnum"),
         F.concat(F.col("p_name"), F.lit(" #"), F.col("l_suppkey").cast("string")).alias("title"),
         F.col("p_brand").alias("publisher"),
         F.col("p_type").alias("author"),

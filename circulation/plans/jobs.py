@@ -6,22 +6,17 @@ the run's slice, so a job is re-runnable for any ``(prev_run_date, run_date]``.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from circulation import schemas
 from circulation.constants import QUALITY_MINIMUM_ROWS, QUALITY_TABLES
 from circulation.functions.dates import DateLike, as_date
 from circulation.plans import model
 from circulation.plans.quality import enforce, row_count_checks
-from circulation.sinks import CANONICAL, LOAD_DATE, Warehouse, write_delimited
-from circulation.sources import EmptyExtractError, extract_window, read_delimited
-
-log = logging.getLogger(__name__)
-
+from circulation.sinks import CANONICAL, Warehouse, write_delimited
+from circulation.sources import extract_window, read_delimited, require_rows
 
 
 def _land(wh: Warehouse, df: DataFrame, landing: str | None, dataset: str, run_date: DateLike, schema) -> DataFrame:
@@ -46,6 +41,9 @@ def run_monthly(
 ) -> list[tuple[str, int, bool]]:
     """Codes -> dim_collections; inventory -> dim_books, dim_subject, bridge_subject; gate.
 
+    Both extracts are counted before anything is replaced. An empty one stops the run; with
+    ``allow_empty`` it changes nothing: the last month's canonical rows and the last collections stay.
+
     ``na_values`` lists subjects strings that count as missing in the split (for parity with
     readers that turn words such as ``NA`` into missing values); the fact still hashes them.
     """
@@ -56,20 +54,22 @@ def run_monthly(
     codes = _land(wh, codes_source.select(*schemas.STAGING_CODES.fieldNames()), landing, "codes", run_date,
                   schemas.STAGING_CODES)
 
-    wh.replace("staging_codes", codes)
-    if wh.replace("staging_inventory", inventory) == 0 and not allow_empty:
-        raise EmptyExtractError("inventory: the extract window holds no rows")
-    staged = wh.scan("staging_inventory")
-
-    wh.replace("dim_collections", model.dim_collections(wh.scan("staging_codes")))
-
-    wh.replace(CANONICAL, model.canonical_inventory(staged))
-    wh.append("dim_books", model.new_dim_books(wh.scan(CANONICAL), wh.scan("dim_books")))
-
-    wh.replace("staging_exploded_subjects", model.subject_tokens(staged, na_values))
-    tokens = wh.scan("staging_exploded_subjects")
-    wh.append("dim_subject", model.new_dim_subject(tokens, wh.scan("dim_subject")))
-    wh.append("bridge_subject", model.new_bridge(tokens, wh.scan("dim_subject"), wh.scan("bridge_subject")))
+    n_codes = require_rows(codes, "codes", allow_empty)
+    n_inventory = require_rows(inventory, "inventory", allow_empty)
+
+    if n_codes:
+        wh.replace("staging_codes", codes)
+        wh.replace("dim_collections", model.dim_collections(wh.scan("staging_codes")))
+    if n_inventory:
+        wh.replace("staging_inventory", inventory)
+        staged = wh.scan("staging_inventory")
+        wh.replace(CANONICAL, model.canonical_inventory(staged))
+        wh.append("dim_books", model.new_dim_books(wh.scan(CANONICAL), wh.scan("dim_books")))
+        wh.replace("staging_exploded_subjects", model.subject_tokens(staged, na_values))
+        tokens = wh.scan("staging_exploded_subjects")
+        wh.append("dim_subject", model.new_dim_subject(tokens, wh.scan("dim_subject")))
+        bridge = model.new_bridge(staged, wh.scan("dim_subject"), wh.scan("bridge_subject"), na_values)
+        wh.append("bridge_subject", bridge)
 
     if not check:
         return []
@@ -84,19 +84,17 @@ def run_daily(
     landing: str | None = None,
     allow_empty: bool = False,
 ) -> int:
-    """Loans -> fact_loans (this run's load_date partition replaced) and new dim_time days,
-    then the staging table is dropped. Returns the fact rows written."""
+    """Loans -> fact_loans (this run's load_date partition replaced, also by nothing) and new dim_time
+    days, then the staging table is dropped. Returns the facts the run date now has."""
     wh.create_all()
     loans = extract_window(loans_source, "checkoutdatetime", prev_run_date, run_date,
                            schemas.STAGING_LOANS.fieldNames())
     loans = _land(wh, loans, landing, "loans", run_date, schemas.STAGING_LOANS)
-    if wh.replace("staging_loans", loans) == 0 and not allow_empty:
-        raise EmptyExtractError("loans: the extract window holds no rows")
+    require_rows(loans, "loans", allow_empty)
+    wh.replace("staging_loans", loans)
     staged = wh.scan("staging_loans")
 
-    dated = staged.withColumn(LOAD_DATE, F.lit(as_date(run_date)))
-    facts = model.fact_rows(dated, wh.scan(CANONICAL), carry=[LOAD_DATE])
-    rows = wh.replace_partitions("fact_loans", facts)
+    rows = wh.replace_run(run_date, model.fact_rows(staged, wh.scan(CANONICAL)))
     wh.append("dim_time", model.new_dim_time(staged, wh.scan("dim_time")))
     wh.drop("staging_loans")
     return rows

@@ -9,41 +9,52 @@ aggregate per task instead of a skewed join key. ``preaggregate=False`` gives th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from circulation.constants import TOP_SUBJECTS, TOP_TITLES
 from circulation.functions import midnight_lit
 from circulation.functions.dates import DateLike, as_date
 from circulation.operators import align_to_calendar, date_spine, lookup_join, top_k
+from circulation.session import materialise
 
 
 
-def in_range(fact: DataFrame, lo: DateLike | None, hi: DateLike | None) -> DataFrame:
-    """Inclusive ``[lo, hi]`` on ``time_key``. When the fact is stored by ``load_date``
-    (the run date, never before the loan day) the lower bound also prunes partitions."""
+def _day_range(day: str, lo: DateLike | None, hi: DateLike | None) -> Column:
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (F.col(day) >= F.lit(as_date(lo)))
+    if hi is not None:
+        cond = cond & (F.col(day) <= F.lit(as_date(hi)))
+    return cond
+
+
+def in_range(fact: DataFrame, lo: DateLike | None, hi: DateLike | None, days: DataFrame | None = None) -> DataFrame:
+    """Inclusive ``[lo, hi]`` on ``time_key``.
+
+    ``days`` is the stored summary (day, loans, load_date): only the partitions of run dates with a day in
+    the range are read, whatever days a run date holds. The list has one entry per run date."""
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (F.col("time_key") >= midnight_lit(lo))
-        if "load_date" in fact.columns:
-            cond = cond & (F.col("load_date") >= F.lit(as_date(lo)))
     if hi is not None:
         cond = cond & (F.col("time_key") <= midnight_lit(hi))
+    if days is not None and (lo is not None or hi is not None):
+        runs = [r["load_date"] for r in days.where(_day_range("day", lo, hi)).select("load_date").distinct().collect()]
+        cond = cond & (F.col("load_date").isin(runs) if runs else F.lit(False))
     return fact.where(cond)
 
 
-def date_bounds(fact: DataFrame) -> DataFrame:
-    """First and last loan day."""
+def date_bounds(fact: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    """First and last loan day, from the stored summary if there is one."""
+    if days is not None:
+        return days.agg(F.min("day").cast("timestamp_ntz").alias("min_date"), F.max("day").cast("timestamp_ntz").alias("max_date"))
     return fact.agg(F.min("time_key").alias("min_date"), F.max("time_key").alias("max_date"))
 
 
 def _series(bounds: DataFrame, daily: DataFrame, lo: DateLike | None, hi: DateLike | None) -> DataFrame:
     """Gap-filled (date, count) from the fact's (lo, hi) bounds and per-day counts."""
-    spine = date_spine(bounds)
-    if lo is not None:
-        spine = spine.where(F.col("date") >= F.lit(as_date(lo)))
-    if hi is not None:
-        spine = spine.where(F.col("date") <= F.lit(as_date(hi)))
+    spine = date_spine(bounds).where(_day_range("date", lo, hi))
     return align_to_calendar(spine, daily, "date", ["count"])
 
 
@@ -51,15 +62,20 @@ def _day_bounds(fact: DataFrame) -> DataFrame:
     return fact.agg(F.min("time_key").cast("date").alias("lo"), F.max("time_key").cast("date").alias("hi"))
 
 
-def loans_per_day(fact: DataFrame, lo: DateLike | None = None, hi: DateLike | None = None) -> DataFrame:
+def loans_per_day(fact: DataFrame, lo: DateLike | None = None, hi: DateLike | None = None,
+                  days: DataFrame | None = None) -> DataFrame:
     """Loans per day, quiet days as 0. The calendar runs over the fact's own first to
     last day and is then cut to ``[lo, hi]``, so no zero rows appear outside the data.
 
-    Catalyst turns this into two narrow scans of ``time_key``: min/max over the column for the
+    With the stored summary ``days`` the fact is not read at all. Without it Catalyst turns this into two narrow scans of ``time_key``: min/max over the column for the
     calendar bounds (partial aggregates, one row per task), and per-day counts with the range
-    pushed into the scan, so a short range reads only the row groups (and, on the stored fact,
-    the load_date partitions) it needs. The spine and the counts are a few thousand rows.
+    pushed into the scan, so a short range reads only the row groups it needs. The spine and the
+    counts are a few thousand rows.
     """
+    if days is not None:
+        dated = days.where(F.col("day").isNotNull())
+        counts = dated.where(_day_range("day", lo, hi)).groupBy(F.col("day").alias("date")).agg(F.sum("loans").alias("count"))
+        return _series(dated.agg(F.min("day").alias("lo"), F.max("day").alias("hi")), counts, lo, hi)
     daily = (
         in_range(fact, lo, hi)
         .where(F.col("time_key").isNotNull())
@@ -73,9 +89,8 @@ def _top_subjects(per_group: DataFrame, bridge: DataFrame, dim_subject: DataFram
     """Top-k subjects from loan counts per subject group (``subject_group_id``, ``_n``)."""
     links = bridge.select("subject_group_id", "subject_id")
     names = dim_subject.select("subject_id", "subject")
-    # The stored bridge is bucketed by group: the join reads it without a shuffle (and AQE
-    # broadcasts it once a shuffled bridge measures small). dim_subject is small and unbucketed:
-    # broadcast after the row check.
+    # The stored bridge is bucketed by group: the join reads it without a shuffle. AQE broadcasts
+    # a shuffled side that measures small.
     fanned = per_group.join(links, "subject_group_id", "left")
     named = lookup_join(fanned, names, "subject_id", "left")
     counts = named.groupBy("subject").agg(F.sum("_n").cast("long").alias("count"))
@@ -100,10 +115,11 @@ def popular_subjects(
     hi: DateLike | None = None,
     k: int = TOP_SUBJECTS,
     preaggregate: bool = True,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Top-k subjects by loans in ``[lo, hi]``; loans whose group has no bridge rows
     count under a NULL subject, which competes for the top k."""
-    loans = in_range(fact, lo, hi)
+    loans = in_range(fact, lo, hi, days)
     if preaggregate:
         per_group = loans.groupBy("subject_group_id").agg(F.count(F.lit(1)).alias("_n"))
         return _top_subjects(per_group, bridge, dim_subject, k)
@@ -122,9 +138,10 @@ def popular_titles(
     hi: DateLike | None = None,
     k: int = TOP_TITLES,
     preaggregate: bool = True,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """C11: top-k titles by loans in ``[lo, hi]``; books sharing a title are merged."""
-    loans = in_range(fact, lo, hi)
+    loans = in_range(fact, lo, hi, days)
     if preaggregate:
         per_book = loans.groupBy("bibnumber").agg(F.count(F.lit(1)).alias("_n"))
         return _top_titles(per_book, dim_books, k)
@@ -134,20 +151,11 @@ def popular_titles(
     return top_k(counts, k, [F.col("loan_numbers").desc(), F.col("title").asc_nulls_first()])
 
 
-# grouping_id of each grouping set over (date, subject_group_id, bibnumber): a bit is 1 when
-# that column is aggregated away.
-_BY_DAY, _BY_GROUP, _BY_BOOK = 0b011, 0b101, 0b110
-
-
-def range_counts(fact: DataFrame, lo: DateLike | None = None, hi: DateLike | None = None) -> DataFrame:
-    """Loan counts of ``[lo, hi]`` per day, per subject group and per book in one aggregate:
-    ``(date, subject_group_id, bibnumber, _n, _set)`` where ``_set`` is the grouping id."""
-    base = in_range(fact, lo, hi).select(
-        F.col("time_key").cast("date").alias("date"), "subject_group_id", "bibnumber"
-    )
-    return base.groupingSets(
-        [["date"], ["subject_group_id"], ["bibnumber"]], "date", "subject_group_id", "bibnumber"
-    ).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+def range_counts(fact: DataFrame, lo: DateLike | None = None, hi: DateLike | None = None,
+                 days: DataFrame | None = None) -> DataFrame:
+    """Loan counts of ``[lo, hi]`` per subject group and book, ``(subject_group_id, bibnumber, _n)``: a book
+    has one group at a time, so this is about as many rows as books, and both top lists add up from it."""
+    return in_range(fact, lo, hi, days).groupBy("subject_group_id", "bibnumber").agg(F.count(F.lit(1)).alias("_n"))
 
 
 def refresh(
@@ -157,23 +165,19 @@ def refresh(
     dim_books: DataFrame,
     lo: DateLike | None = None,
     hi: DateLike | None = None,
+    days: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The dashboard's three results (C9, C10, C11) from one pass over the fact.
+    """The dashboard's three results (C9, C10, C11) from one pass over the range's facts.
 
-    One ``GROUPING SETS ((date), (subject_group_id), (bibnumber))`` aggregate over the range
-    gives per-day, per-group and per-book counts in a single scan and shuffle; its size is
-    bounded by days + groups + books, not by loans. It is checkpointed to the shared folder
-    and the three marts are built from it. The calendar bounds still come from the whole fact
-    (a min/max over ``time_key``).
-    """
-    counts = range_counts(fact, lo, hi).checkpoint(eager=True)
+    The loans are counted per group and book once; the counts are written to the shared scratch folder and
+    both top lists are built from them. The daily series comes from the stored summary ``days``."""
+    counts = materialise(range_counts(fact, lo, hi, days), "refresh")
 
-    def part(code: int, *cols: str) -> DataFrame:
-        return counts.where(F.col("_set") == code).select(*cols, "_n")
+    def part(key: str) -> DataFrame:
+        return counts.groupBy(key).agg(F.sum("_n").alias("_n"))
 
-    daily = part(_BY_DAY, "date").where(F.col("date").isNotNull()).withColumnRenamed("_n", "count")
     return {
-        "loans_per_day": _series(_day_bounds(fact), daily, lo, hi),
-        "popular_subjects": _top_subjects(part(_BY_GROUP, "subject_group_id"), bridge, dim_subject, TOP_SUBJECTS),
-        "popular_titles": _top_titles(part(_BY_BOOK, "bibnumber"), dim_books, TOP_TITLES),
+        "loans_per_day": loans_per_day(fact, lo, hi, days),
+        "popular_subjects": _top_subjects(part("subject_group_id"), bridge, dim_subject, TOP_SUBJECTS),
+        "popular_titles": _top_titles(part("bibnumber"), dim_books, TOP_TITLES),
     }

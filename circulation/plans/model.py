@@ -61,14 +61,18 @@ def new_dim_books(canonical: DataFrame, dim_books: DataFrame) -> DataFrame:
     return only_new(canonical, dim_books, "bibnum").select("bibnum", "title", "publisher", "author")
 
 
-def new_bridge(tokens: DataFrame, dim_subject: DataFrame, bridge: DataFrame) -> DataFrame:
+def new_bridge(inventory: DataFrame, dim_subject: DataFrame, bridge: DataFrame,
+               na_values: Iterable[str] | None = None) -> DataFrame:
     """Bridge rows of subject groups not yet in the bridge, with subject ids looked up.
 
-    ``dim_subject`` must already hold this batch's new subjects.
+    The distinct subjects strings meet the distinct group ids of the bridge before they are exploded,
+    so only new groups' tokens are ever made. ``dim_subject`` must already hold this batch's new subjects.
     """
-    keyed = tokens.withColumn("subject_group_id", group_key("subjects_string"))
-    fresh = only_new(keyed, bridge, "subject_group_id")
-    joined = lookup_join(fresh, dim_subject.select("subject", "subject_id"), "subject", "left")
+    strings = inventory.select(F.col("subjects").alias("subjects_string")).distinct()
+    keyed = strings.withColumn("subject_group_id", group_key("subjects_string"))
+    fresh = only_new(keyed, bridge.select("subject_group_id").distinct(), "subject_group_id")
+    tokens = explode_tokens(fresh, "subjects_string", "subject", sep=SUBJECT_SEPARATOR, na_values=na_values)
+    joined = lookup_join(tokens, dim_subject.select("subject", "subject_id"), "subject", "left")
     return joined.select("subject_group_id", F.col("subject_id").cast("long"), "subjects_string")
 
 

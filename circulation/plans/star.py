@@ -3,7 +3,7 @@
 ``jobs`` does the same against stored tables; this form lets every builder be checked
 against plain SQL on static inputs, with the previous state passed in as DataFrames.
 
-Each step checkpoints only the rows it adds (to the shared checkpoint dir) and unions them
+Each step writes only the rows it adds (to the shared scratch folder) and unions them
 onto the previous state, so lineage stays one scan per step instead of re-running every
 earlier month, and no step rewrites the whole table.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from circulation import schemas
 from circulation.plans import model
+from circulation.session import materialise
 
 
 def empty(spark: SparkSession, schema) -> DataFrame:
@@ -45,7 +46,7 @@ class Star:
 
 
 def _cut(df: DataFrame, materialize: bool) -> DataFrame:
-    return df.checkpoint(eager=True) if materialize else df
+    return materialise(df, "star") if materialize else df
 
 
 def apply_month(star: Star, inventory: DataFrame, codes: DataFrame | None = None, materialize: bool = True) -> Star:
@@ -53,7 +54,7 @@ def apply_month(star: Star, inventory: DataFrame, codes: DataFrame | None = None
     canonical = _cut(model.canonical_inventory(inventory), materialize)
     tokens = _cut(model.subject_tokens(inventory), materialize)
     dim_subject = star.dim_subject.unionByName(_cut(model.new_dim_subject(tokens, star.dim_subject), materialize))
-    new_links = model.new_bridge(tokens, dim_subject, star.bridge_subject)
+    new_links = model.new_bridge(inventory, dim_subject, star.bridge_subject)
     bridge = star.bridge_subject.unionByName(_cut(new_links, materialize))
     dim_books = star.dim_books.unionByName(_cut(model.new_dim_books(canonical, star.dim_books), materialize))
     collections = model.dim_collections(codes) if codes is not None else star.dim_collections

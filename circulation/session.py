@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on. Shuffle partition counts are left to the caller:
 # with AQE on, a high initial count is coalesced at run time to the measured size.
@@ -20,13 +20,11 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # No broadcast from file-size estimates (compressed parquet can grow many times in memory).
-    # Broadcasts come from an explicit row-count check (operators.lookup_join) or from AQE
-    # once the measured shuffle output of a side is under the adaptive threshold.
+    # Broadcasts come from AQE, once the measured shuffle output of a side is under the adaptive
+    # threshold (compressed bytes: in memory a side may take several times as much).
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    # Writes replace only the load_date partitions present in the new data.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Checkpoint files of the surrogate-key step are removed once no plan refers to them.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
+    # Checkpoint files are removed once no plan refers to them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -79,3 +77,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh directory under the shared checkpoint folder (never a machine-local temp dir)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared scratch folder and read it back: computed once, kept on
+    the loss of an executor, and scanned with column pruning afterwards."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,48 +3,55 @@
 Create-if-absent, truncate-and-load, append, drop and scan are plain Spark SQL / writer
 calls. With a ``location`` each table lives at ``<location>/<table>`` as an external table,
 so a new process (the next day's job, or a driver restarted after a failure) re-attaches the
-same data even on a session-scoped catalog; partitions of the fact are recovered on attach.
+same data even on a session-scoped catalog. Attaching never deletes anything, and every scan of a
+located table looks for partitions and files that other processes have written since.
 
-The fact table is partitioned by ``load_date`` (the run date) so a re-run replaces exactly
-its own partition under dynamic partition overwrite; it is never partitioned by ``time_key``,
-because a midnight loan shares its day with the next run.
+The fact table is partitioned by ``load_date`` (the run date) and a run replaces exactly its own
+partition, also with no rows; it is never partitioned by ``time_key``, because a midnight loan shares
+its day with the next run. ``fact_load_days`` keeps, per run date, the loans of each day: the calendar
+and the daily counts come from it, and it tells which partitions a range of days can lie in.
 """
 
 from __future__ import annotations
 
 import logging
 import re
+import uuid
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from circulation import schemas
+from circulation.functions.dates import DateLike, as_date
+from circulation.session import materialise
 
 log = logging.getLogger(__name__)
 
 # Extra storage column of fact_loans; the declared six columns come first.
 LOAD_DATE = "load_date"
 # Canonical inventory rows of the latest month, written once by the monthly job and read by
-# every daily job instead of re-ranking the whole month per day.
+# every daily job instead of re-ranking the whole month per day. Not bucketed: the daily fact join
+# shuffles both sides, so that adaptive execution can split a book that holds many of the loans.
 CANONICAL = "staging_canonical_inventory"
 CANONICAL_SCHEMA = T.StructType(
     [T.StructField(n, t, True) for n, t in [("bibnum", T.LongType()), ("title", T.StringType()),
                                               ("publisher", T.StringType()), ("author", T.StringType()),
                                               ("subjects", T.StringType())]]
 )
+# Loans per day of every run date: a few rows per run.
+LOAD_DAYS = "fact_load_days"
+LOAD_DAYS_SCHEMA = T.StructType([T.StructField("day", T.DateType(), True), T.StructField("loans", T.LongType(), True)])
+PARTITIONED = ("fact_loans", LOAD_DAYS)
+EXTRA_TABLES = (CANONICAL, LOAD_DAYS)
 
 _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 # Tables bucketed on the key they are joined on, so later joins read them without a shuffle:
-# the marts join the bridge on the group and dim_books on the book, the daily fact load and the
-# new-book anti join meet the canonical inventory on the book.
+# the marts join the bridge on the group and dim_books on the book, after counting per group or book.
 BUCKET_KEYS = {
     "bridge_subject": "subject_group_id",
     "dim_books": "bibnum",
-    CANONICAL: "bibnum",
 }
 
 
@@ -64,31 +71,35 @@ class Warehouse:
         self.database = database
         self.location = location.rstrip("/") if location is not None else None
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.generation = 0
         self._created: set[str] = set()
-        self._fresh = False  # True when this process is the first to use the location
         if self.location is not None:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.location}'")
-            self.buckets = self._settle_layout(buckets)
+            self._settle_layout(buckets)
         else:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
 
-    def _settle_layout(self, requested: int | None) -> int:
+    def _settle_layout(self, requested: int | None) -> None:
         """The bucket count is part of the stored data: files written with one count must not be
         read as another (a bucketed join would silently miss rows). The first process records
         it in a one-row table next to the tables; later ones adopt it, and an explicit
-        different count fails."""
+        different count fails (``rebucket`` changes it)."""
         layout = self.name("_layout")
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {layout} (buckets INT) USING parquet LOCATION '{self.location}/_layout'"
-        )
-        stored = [int(r["buckets"]) for r in self.spark.table(layout).collect()]  # at most one row
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {layout} (buckets INT, generation INT) USING parquet "
+                       f"LOCATION '{self.location}/_layout'")
+        self.spark.catalog.refreshTable(layout)
+        stored = self.spark.table(layout).collect()  # at most one row
         if not stored:
-            self._fresh = True
-            self.spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.insertInto(layout)
-            return self.buckets
-        if requested is not None and requested != stored[0]:
-            raise ValueError(f"warehouse at {self.location} is bucketed {stored[0]} ways, not {requested}")
-        return stored[0]
+            self._record_layout()
+            return
+        count = int(stored[0]["buckets"])
+        if requested is not None and requested != count:
+            raise ValueError(f"warehouse at {self.location} is bucketed {count} ways, not {requested}")
+        self.buckets, self.generation = count, int(stored[0]["generation"] or 0)
+
+    def _record_layout(self) -> None:
+        row = self.spark.createDataFrame([(self.buckets, self.generation)], "buckets int, generation int")
+        row.coalesce(1).write.insertInto(self.name("_layout"), overwrite=True)
 
     def name(self, table: str) -> str:
         if not _NAME.match(table):
@@ -96,109 +107,175 @@ class Warehouse:
         return f"`{self.database}`.`{table}`"
 
     def schema_of(self, table: str) -> T.StructType:
-        if table == CANONICAL:
-            return CANONICAL_SCHEMA
-        base = schemas.TABLES[table]
-        if table == "fact_loans":
+        base = {CANONICAL: CANONICAL_SCHEMA, LOAD_DAYS: LOAD_DAYS_SCHEMA}.get(table) or schemas.TABLES[table]
+        if table in PARTITIONED:
             return T.StructType(base.fields + [T.StructField(LOAD_DATE, T.DateType(), True)])
         return base
 
+    def _path(self, table: str) -> str:
+        suffix = f".g{self.generation}" if table in BUCKET_KEYS and self.generation else ""
+        return f"{self.location}/{table}{suffix}"
+
+    def _make_folder(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
     # S8
     def create(self, table: str) -> None:
+        """Create or attach. Whatever the location holds stays; a failure to read it is raised."""
         if table in self._created:
             return
-        partitioned = table == "fact_loans"
-        attach = partitioned and self.location is not None and not self._fresh and not self.spark.catalog.tableExists(
-            f"{self.database}.{table}")
-        layout = f" PARTITIONED BY ({LOAD_DATE})" if partitioned else ""
+        layout = f" PARTITIONED BY ({LOAD_DATE})" if table in PARTITIONED else ""
         if table in BUCKET_KEYS:
             layout += f" CLUSTERED BY ({BUCKET_KEYS[table]}) INTO {self.buckets} BUCKETS"
         if self.location is not None:
-            layout += f" LOCATION '{self.location}/{table}'"
+            self._make_folder(self._path(table))
+            layout += f" LOCATION '{self._path(table)}'"
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_ddl(self.schema_of(table))}) USING parquet{layout}"
         )
         self._created.add(table)
-        if attach:
-            try:  # pick up load_date partitions written by an earlier process
-                self.spark.sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
-            except (AnalysisException, Py4JJavaError):
-                pass  # an earlier process stopped before writing any fact data
-        elif partitioned and self._fresh:
-            self.truncate(table)  # creates the directory, so later processes can recover into it
 
     def create_all(self) -> None:
-        for table in [*schemas.TABLES, CANONICAL]:
+        for table in [*schemas.TABLES, *EXTRA_TABLES]:
             self.create(table)
 
     # Attaches the table first, so a new process reads what earlier ones wrote.
     def scan(self, table: str) -> DataFrame:
         self.create(table)
+        if self.location is not None:
+            if table in PARTITIONED:
+                self.spark.sql(f"MSCK REPAIR TABLE {self.name(table)} SYNC PARTITIONS")
+            self.spark.catalog.refreshTable(self.name(table))
         return self.spark.table(self.name(table))
 
     def _insert(self, table: str, df: DataFrame, overwrite: bool) -> int:
         self.create(table)
-        cols = self.schema_of(table).fieldNames()
         obs = Observation(f"load_{table}")
-        shaped = df.select(*[F.col(c) for c in cols])
+        shaped = df.select(*self.schema_of(table).fieldNames())
         if table in BUCKET_KEYS:
             # Same hash as the bucket id: each task writes one bucket, one file per append.
             shaped = shaped.repartition(self.buckets, F.col(BUCKET_KEYS[table]))
-        elif table == "fact_loans":
-            # AQE sizes the files of each load date (splitting a catch-up run that holds a third
-            # of all rows, merging small days); sorted by time_key inside each load date so
-            # row-group statistics prune date ranges. The order starts with the partition column,
-            # so the writer adds no sort of its own.
-            shaped = shaped.hint("rebalance", LOAD_DATE).sortWithinPartitions(LOAD_DATE, "time_key")
         shaped = shaped.observe(obs, F.count(F.lit(1)).alias("rows"))
         shaped.write.insertInto(self.name(table), overwrite=overwrite)
         rows = int(obs.get["rows"])
-        log.info("%s: %d rows %s", table, rows, "loaded" if overwrite else "appended")
+        log.info("%s: %d rows %s, %d in the table", table, rows, "loaded" if overwrite else "appended", self.row_count(table))
         return rows
 
     # The source must not read the target (Spark rejects overwriting a table it reads).
     def replace(self, table: str, df: DataFrame) -> int:
         return self._insert(table, df, overwrite=True)
 
-    def replace_partitions(self, table: str, df: DataFrame) -> int:
-        """Replace only the partitions present in ``df`` (safe re-run of one load date)."""
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "dynamic")
-        try:
-            return self._insert(table, df, overwrite=True)
-        finally:
-            self.spark.conf.set(key, before)
-
     # Reading the target in the same statement (anti join of new members) is allowed.
     def append(self, table: str, df: DataFrame) -> int:
         return self._insert(table, df, overwrite=False)
 
+    def _replace_partition(self, table: str, run_date: DateLike, df: DataFrame, order: str) -> None:
+        """Replace one load date, also by no rows. AQE sizes the files of a run, splitting one that holds
+        very many loans; rows are sorted inside each file so row-group statistics prune date ranges."""
+        self.create(table)
+        cols = [f.name for f in self.schema_of(table).fields if f.name != LOAD_DATE]
+        view = f"load_{uuid.uuid4().hex}"
+        df.select(*cols).hint("rebalance").sortWithinPartitions(order).createOrReplaceTempView(view)
+        try:
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} PARTITION ({LOAD_DATE} = DATE'{as_date(run_date)}') "
+                           f"SELECT {', '.join(cols)} FROM {view}")
+        finally:
+            self.spark.catalog.dropTempView(view)
+
+    def _days_of(self, fact: DataFrame) -> DataFrame:
+        return fact.groupBy(F.col("time_key").cast("date").alias("day")).agg(F.count(F.lit(1)).alias("loans"))
+
+    def replace_run(self, run_date: DateLike, facts: DataFrame) -> int:
+        """Make ``facts`` the whole of one run date's facts; returns how many the run date now has.
+
+        The run date's summary is emptied before and written after, from what is stored: a run that
+        stops in between leaves no summary that says otherwise, and ``load_days`` makes it anew."""
+        this = F.col(LOAD_DATE) == F.lit(as_date(run_date))
+        none = self.spark.createDataFrame([], LOAD_DAYS_SCHEMA)
+        self._replace_partition(LOAD_DAYS, run_date, none, "day")
+        self._replace_partition("fact_loans", run_date, facts, "time_key")
+        self._replace_partition(LOAD_DAYS, run_date, self._days_of(self.scan("fact_loans").where(this)), "day")
+        rows = self.scan(LOAD_DAYS).where(this).agg(F.coalesce(F.sum("loans"), F.lit(0))).first()[0]
+        log.info("fact_loans: %d rows under run date %s", rows, as_date(run_date))
+        return int(rows)
+
+    def load_days(self) -> DataFrame:
+        """(day, loans, load_date) of the whole fact; summaries that are missing are made first."""
+        self.create("fact_loans")
+        days = self.scan(LOAD_DAYS)
+        stored = {r[LOAD_DATE] for r in days.select(LOAD_DATE).distinct().collect()}  # one row per run date
+        self.scan("fact_loans")
+        found = [r["partition"].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.name('fact_loans')}").collect()]
+        for run in sorted(as_date(d) for d in found if d != "__HIVE_DEFAULT_PARTITION__"):
+            if run not in stored:
+                rows = self._days_of(self.scan("fact_loans").where(F.col(LOAD_DATE) == F.lit(run)))
+                self._replace_partition(LOAD_DAYS, run, rows, "day")
+        return self.scan(LOAD_DAYS)
+
     def compact(self, table: str) -> int:
         """Rewrite a table into one file per bucket (appends add a file per bucket each time).
 
-        The rows are checkpointed to the shared checkpoint folder first, so the overwrite
-        reads that copy and not the table it replaces. Not for the partitioned fact, whose
+        The rows are written to the shared scratch folder first, so the overwrite
+        reads that copy and not the table it replaces. Not for the partitioned tables, whose
         partitions are written once per run."""
-        if table == "fact_loans":
-            raise ValueError("fact_loans is written once per load_date partition; nothing to compact")
-        snapshot = self.scan(table).checkpoint(eager=True)
-        return self.replace(table, snapshot)
+        if table in PARTITIONED:
+            raise ValueError(f"{table} is written once per load_date partition; nothing to compact")
+        return self.replace(table, materialise(self.scan(table), f"compact-{table}"))
+
+    def rebucket(self, buckets: int) -> None:
+        """Write the bucketed tables anew with another bucket count, then switch to them.
+
+        Located tables are written to folders of a new generation and the layout record is replaced last,
+        so other processes see either the old files or the new ones; the old files are deleted after."""
+        old = {t: self.scan(t) for t in BUCKET_KEYS}
+        copies = {t: materialise(df, f"rebucket-{t}") for t, df in old.items()}
+        before = (self.buckets, self.generation)
+        paths = {t: self._path(t) for t in BUCKET_KEYS} if self.location is not None else {}
+        for t in BUCKET_KEYS:
+            self.spark.sql(f"DROP TABLE {self.name(t)}")  # located: the files stay
+            self._created.discard(t)
+        self.buckets, self.generation = buckets, self.generation + 1
+        try:
+            for t, copy in copies.items():
+                self.replace(t, copy)
+        except BaseException:
+            if self.location is not None:
+                self.buckets, self.generation = before
+            raise
+        if self.location is not None:
+            self._record_layout()
+            for path in paths.values():
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     # S12
     def row_count(self, table: str) -> int:
         return self.scan(table).count()
 
+    def counts(self, tables: list[str] | None = None) -> DataFrame:
+        """(table, rows): the rows each table holds, in one job."""
+        parts = [self.scan(t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table"), "rows")
+                 for t in tables or [*schemas.TABLES, *EXTRA_TABLES]]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def tables(self) -> list[str]:
+        """The warehouse tables that exist now."""
+        return [t for t in [*schemas.TABLES, *EXTRA_TABLES] if self.spark.catalog.tableExists(f"{self.database}.{t}")]
+
     def truncate(self, table: str) -> None:
-        """Delete every row (all partitions): a static-mode overwrite with no rows."""
-        self.create(table)
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "static")
-        try:
+        """Delete every row (all partitions): an overwrite with no rows."""
+        self.scan(table)
+        if table in PARTITIONED:
+            # Each partition on its own: how an overwrite of all is meant depends on the session.
+            for r in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect():
+                self._replace_partition(table, r["partition"].split("=", 1)[1],
+                                        self.spark.createDataFrame([], self.schema_of(table)), self.schema_of(table).names[1])
+        else:
             self.spark.createDataFrame([], self.schema_of(table)).write.insertInto(self.name(table), overwrite=True)
-        finally:
-            self.spark.conf.set(key, before)
 
     # An external table keeps its files on DROP, so its rows are deleted first.
     def drop(self, table: str) -> None:
@@ -208,5 +285,5 @@ class Warehouse:
         self._created.discard(table)
 
     def drop_all(self) -> None:
-        for table in [*schemas.TABLES, CANONICAL]:
+        for table in [*schemas.TABLES, *EXTRA_TABLES]:
             self.drop(table)

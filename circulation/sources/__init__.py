@@ -7,6 +7,7 @@ from circulation.sources.extract import (
     union_slices,
     window_predicate,
 )
+from circulation.sources.landing import land_typed, read_landed
 
 __all__ = [
     "CSV_OPTIONS",
@@ -14,7 +15,9 @@ __all__ = [
     "blank_strings",
     "extract_size",
     "extract_window",
+    "land_typed",
     "read_delimited",
+    "read_landed",
     "require_rows",
     "union_slices",
     "window_predicate",

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from circulation.functions import midnight_lit
-from circulation.functions.dates import DateLike
+from circulation.functions.dates import DateLike, as_date
+
+
+# Names of the typed landing (sources.landing): the parsed stamp beside the text one, the folders' key.
+TYPED = "_ts"
+RUN_DATE = "run_date"
 
 
 class EmptyExtractError(Exception):
@@ -22,8 +27,9 @@ def _as_timestamp(df: DataFrame, column: str) -> Column:
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.StringType):
         # ISO text such as 2018-05-27T00:00:00.000; comparing it as text would put the
-        # midnight row of the upper bound outside the window.
-        return c.cast("timestamp_ntz")
+        # midnight row of the upper bound outside the window. A blank stamp is a missing one,
+        # outside every window; other text that is no stamp still fails the read.
+        return F.nullif(c, F.lit("")).cast("timestamp_ntz")
     if isinstance(dtype, T.DateType):
         return c.cast("timestamp_ntz")
     return c
@@ -31,9 +37,15 @@ def _as_timestamp(df: DataFrame, column: str) -> Column:
 
 def window_predicate(df: DataFrame, column: str, lo: DateLike | None, hi: DateLike | None) -> Column:
     """Left-open, right-closed ``(lo, hi]`` on midnight bounds: a row stamped exactly at
-    ``hi`` 00:00 belongs to this run, one stamped at ``lo`` 00:00 to the previous one."""
-    ts = _as_timestamp(df, column)
+    ``hi`` 00:00 belongs to this run, one stamped at ``lo`` 00:00 to the previous one.
+
+    On a typed landing the parsed stamp is compared and, as no row is stamped after its run date,
+    folders up to ``lo`` are pruned; both reach the scan."""
+    typed = column + TYPED in df.columns
+    ts = F.col(column + TYPED) if typed else _as_timestamp(df, column)
     cond = F.lit(True)
+    if typed and RUN_DATE in df.columns and lo is not None:
+        cond = cond & (F.col(RUN_DATE) > F.lit(as_date(lo)))
     if lo is not None:
         cond = cond & (ts > midnight_lit(lo))
     if hi is not None:

@@ -1,53 +1,62 @@
 """Daily loads as a catch-up stream over the loan landing zone (C14 with scheduler catch-up).
 
-Each run date lands its loans under ``<landing>/run_date=YYYY-MM-DD/``. A file-source
-stream with ``trigger(availableNow=True)`` finds the files not yet processed (progress is kept
-in the stream checkpoint on shared storage), and every micro-batch rebuilds the complete
-``load_date`` partitions of the run dates it touched, with the same builders as the batch job.
-Rebuilding whole partitions makes a replayed micro-batch, or a run date whose files arrive
-across two micro-batches, write the same result again instead of duplicating rows.
+Each run date lands its loans under ``<landing>/run_date=YYYY-MM-DD/``. A file stream with
+``trigger(availableNow=True)`` finds the files not yet processed (progress is kept in the stream
+checkpoint on shared storage); it reads their names only. Every run date with a new file is then
+loaded whole from its folder, once, replacing its ``load_date`` partition, so a replayed micro-batch, or a
+run date whose files arrive across two runs, writes the same result again instead of duplicating rows.
+
+Nothing is left out in silence: a file outside a ``run_date=`` folder, and loans stamped after their
+run date, fail the stream with their number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from circulation import schemas
 from circulation.plans import model
 from circulation.session import ensure_checkpoint_dir
-from circulation.sinks import CANONICAL, LOAD_DATE, Warehouse
-from circulation.sources.delimited import CSV_OPTIONS, blank_strings
+from circulation.sinks import CANONICAL, Warehouse
+from circulation.sources import read_delimited
+from circulation.sources.extract import RUN_DATE, window_predicate
 
-RUN_DATE = "run_date"
+log = logging.getLogger(__name__)
 
+_FOLDER = re.compile(rf"/{RUN_DATE}=(\d{{4}}-\d{{2}}-\d{{2}})/")
+_FILES = "path string, modificationTime timestamp, length long, content binary"
 
-def _landing_reader(spark: SparkSession):
-    return (
-        spark.read.schema(schemas.STAGING_LOANS)
-        .options(**CSV_OPTIONS)
-        .option("multiLine", "true")
-        .option("mode", "FAILFAST")
-    )
 
+class LateLoansError(Exception):
+    pass
 
-def load_run_dates(wh: Warehouse, landing: str, run_dates: list[str]) -> int:
-    """Rebuild fact_loans for whole run dates from their landing directories; add new days."""
-    if not run_dates:
-        return 0
-    base = landing.rstrip("/")
-    paths = [f"{base}/{RUN_DATE}={d}" for d in run_dates]
-    # basePath keeps run_date as a partition column of the batch read.
-    loans = blank_strings(_landing_reader(wh.spark).option("basePath", base).csv(paths))
-    dated = loans.withColumn(LOAD_DATE, F.col(RUN_DATE).cast("date"))
-    facts = model.fact_rows(dated, wh.scan(CANONICAL), carry=[LOAD_DATE])
-    rows = wh.replace_partitions("fact_loans", facts)
+
+def load_run_date(wh: Warehouse, landing: str, run_date: str) -> int:
+    """Load one run date from its landing folder: staged once, checked, then its partition replaced."""
+    loans = read_delimited(wh.spark, f"{landing.rstrip('/')}/{RUN_DATE}={run_date}", schemas.STAGING_LOANS)
+    wh.replace("staging_loans", loans)
+    staged = wh.scan("staging_loans")
+    inside = window_predicate(staged, "checkoutdatetime", None, run_date)
+    seen = staged.agg(F.count_if(~inside).alias("late"), F.count_if(inside.isNull()).alias("blank")).first()
+    if seen["late"]:
+        raise LateLoansError(f"run date {run_date}: {seen['late']} loans are stamped after it")
+    log.info("run date %s: %d loans without a stamp are in no window", run_date, seen["blank"])
+    loans = staged.where(inside)
+    rows = wh.replace_run(run_date, model.fact_rows(loans, wh.scan(CANONICAL)))
     wh.append("dim_time", model.new_dim_time(loans, wh.scan("dim_time")))
+    wh.drop("staging_loans")
     return rows
 
 
+def load_run_dates(wh: Warehouse, landing: str, run_dates: list[str]) -> int:
+    return sum(load_run_date(wh, landing, d) for d in run_dates)
+
+
 def default_checkpoint(wh: Warehouse) -> str:
     """Where the stream keeps its progress, stable across processes: under the warehouse
     location, else under the configured checkpoint base (the per-application dir that
@@ -64,29 +73,28 @@ def start_daily_catchup(
     checkpoint_location: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the stream; with ``availableNow`` it stops once every landed file is processed."""
-    spark = wh.spark
+    """Start the stream; with ``availableNow`` it stops once every landed file is processed.
+
+    Only names are streamed, so one micro-batch over all new files is cheap; with
+    ``max_files_per_trigger`` below a folder's files that folder is loaded once per micro-batch."""
     wh.create_all()
     if checkpoint_location is None:
         checkpoint_location = default_checkpoint(wh)
-    schema = T.StructType(schemas.STAGING_LOANS.fields + [T.StructField(RUN_DATE, T.StringType())])
-    reader = (
-        spark.readStream.schema(schema)
-        .options(**CSV_OPTIONS)
-        .option("multiLine", "true")
-        .option("mode", "FAILFAST")
-    )
+    reader = wh.spark.readStream.format("binaryFile").schema(_FILES).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.csv(landing)
+    paths = reader.load(landing).select("path")
 
     def process(batch: DataFrame, _epoch: int) -> None:
+        run_date = F.regexp_extract("path", _FOLDER.pattern, 1).alias(RUN_DATE)
         # One row per run date in this micro-batch: a handful of dates, never loan rows.
-        dates = sorted(r[RUN_DATE] for r in batch.select(RUN_DATE).distinct().collect() if r[RUN_DATE])
-        load_run_dates(wh, landing, dates)
+        found = {r[RUN_DATE]: r["n"] for r in batch.groupBy(run_date).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if "" in found:
+            raise ValueError(f"{found['']} landed files are in no {RUN_DATE}=YYYY-MM-DD folder")
+        load_run_dates(wh, landing, sorted(found))
 
     return (
-        stream.writeStream.foreachBatch(process)
+        paths.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint_location)
         .trigger(availableNow=True)
         .start()

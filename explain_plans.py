@@ -14,7 +14,6 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from circulation.operators import joins  # noqa: E402
 from circulation.plans import fixtures as fx  # noqa: E402
 from circulation.plans import jobs, marts, model  # noqa: E402
 from circulation.session import build_session, scratch_path  # noqa: E402
@@ -40,7 +39,7 @@ def main() -> None:
     for lo, hi in RUNS:
         jobs.run_monthly(wh, inventory, codes, lo, hi)
         jobs.run_daily(wh, loans, lo, hi)
-    fact = wh.scan("fact_loans")
+    fact, days = wh.scan("fact_loans"), wh.load_days()
 
     sections: list[tuple[str, str, object]] = [
         ("Window extract on a typed timestamp (S2, S3)",
@@ -53,32 +52,30 @@ def main() -> None:
          lambda: model.canonical_inventory(wh.scan("staging_inventory"))),
         ("Surrogate ids (I1)",
          "One `Exchange SinglePartition`, over one row per partition of the new members and one per partition "
-         "of the existing ids. The checkpointed range-partitioned members join the offsets by broadcast.",
+         "of the existing ids. The written range-partitioned members join the offsets by broadcast.",
          lambda: assign_ids(wh.scan("dim_subject").select("subject"), "subject", "subject_id", wh.scan("dim_subject"))),
-        ("New books (C5): bucketed anti join",
-         "Canonical inventory and `dim_books` are both bucketed by `bibnum`: `SortMergeJoin LeftAnti` without an "
-         "`Exchange` on either side.",
+        ("New books (C5): anti join against the bucketed table",
+         "`dim_books` is read bucketed by `bibnum`; only the canonical inventory is shuffled.",
          lambda: model.new_dim_books(wh.scan(CANONICAL), wh.scan("dim_books"))),
         ("Loans per day (C9)",
-         "Two narrow scans of `time_key`: min/max for the calendar, and per-day counts with the range pushed "
-         "into the scan and `load_date` partitions pruned.",
-         lambda: marts.loans_per_day(fact, LO, HI)),
+         "Calendar ends and per-day counts come from `fact_load_days`; the fact is not scanned.",
+         lambda: marts.loans_per_day(fact, LO, HI, days)),
         ("Top subjects (C10)",
          "The fact is counted per group (`partial_count` below the first join) before meeting the bridge; "
          "`TakeOrderedAndProject` keeps k rows per task.",
-         lambda: marts.popular_subjects(fact, wh.scan("bridge_subject"), wh.scan("dim_subject"), LO, HI)),
+         lambda: marts.popular_subjects(fact, wh.scan("bridge_subject"), wh.scan("dim_subject"), LO, HI, days=days)),
         ("Top titles (C11)",
          "Counted per book before the lookup of titles.",
-         lambda: marts.popular_titles(fact, wh.scan("dim_books"), LO, HI)),
-        ("One-pass refresh: the shared GROUPING SETS aggregate",
-         "One fact scan, one `Expand` into the three grouping sets, partial aggregate, one `Exchange`; "
-         "the result (days + groups + books) is checkpointed and the three marts read it.",
-         lambda: marts.range_counts(fact, LO, HI)),
+         lambda: marts.popular_titles(fact, wh.scan("dim_books"), LO, HI, days=days)),
+        ("One-pass refresh: counts per group and book",
+         "One fact scan over the partitions that the range can lie in, partial aggregate, one `Exchange`; the result "
+         "(about one row per book) is written and both top lists read it.",
+         lambda: marts.range_counts(fact, LO, HI, days)),
     ]
     big_sections: list[tuple[str, str, object]] = [
         ("Fact load (C7) when the canonical inventory is over the broadcast bound",
-         "The day's loans are shuffled to the bucket layout; the canonical inventory is read bucketed, "
-         "no `Exchange` on its side. AQE skew splitting covers a hot book.",
+         "Both sides are shuffled on the book, so AQE can split a book that holds a large share of the loans "
+         "(`tests/test_plans_scale.py` sees the split on the stored table).",
          lambda: model.fact_rows(extract_window(loans, "checkoutdatetime", "1998-03-01", "1998-03-31"),
                                  wh.scan(CANONICAL))),
         ("Top subjects (C10) with broadcasting off",
@@ -96,15 +93,12 @@ def main() -> None:
 
     keys = ("spark.sql.adaptive.autoBroadcastJoinThreshold",)
     saved = {k: spark.conf.get(k) for k in keys}
-    saved_rows = joins.BROADCAST_MAX_ROWS
     for k in keys:
         spark.conf.set(k, "-1")
-    joins.BROADCAST_MAX_ROWS = 0
     try:
         for title, note, build in big_sections:
             out += [f"## {title}", "", note, "", "```", final_plan(build()), "```", ""]
     finally:
-        joins.BROADCAST_MAX_ROWS = saved_rows
         for k, v in saved.items():
             spark.conf.set(k, v)
 

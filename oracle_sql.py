@@ -14,6 +14,7 @@ SPLIT = "1998-07-01"
 MART_LO = "1995-01-15"
 MART_HI = "2001-10-15"
 EVENTS_LO, EVENTS_HI = "2024-01-08", "2024-01-22"
+LATE_LO, LATE_HI = "1998-05-01", "1999-02-10"
 SHIP_LO, SHIP_HI = "1998-06-01", "1998-07-01"
 
 _ISO = "concat(strftime(l_shipdate, '%Y-%m-%d'), 'T00:00:00.000')"
@@ -22,26 +23,33 @@ _CANON_ORDER = (
     "author ASC NULLS FIRST, subjects ASC NULLS FIRST"
 )
 
+_FACT = """
+        SELECT l.id, CAST(CAST(substr(l.checkoutdatetime, 1, 10) AS DATE) AS TIMESTAMP) AS time_key,
+               l.itemtype, l.collection, l.bibnumber, md5(c.subjects) AS subject_group_id"""
+
 CTES: dict[str, str] = {
-    # DuckDB dayofweek: 0 = Sunday, 1 = Monday (closed).
+    # DuckDB dayofweek: 0 = Sunday, 1 = Monday (closed: counted on the day after).
     "loans": f"""
         SELECT concat(l_orderkey, '-', l_linenumber) AS id, l_partkey AS bibnumber,
                l_returnflag AS itemtype, l_linestatus AS collection,
-               {_ISO} AS checkoutdatetime, l_shipdate AS shipped
-        FROM lineitem WHERE dayofweek(l_shipdate) <> 1""",
+               {_ISO.replace('l_shipdate', 'shipped')} AS checkoutdatetime, shipped
+        FROM (SELECT *, CASE WHEN dayofweek(l_shipdate) = 1 THEN l_shipdate + INTERVAL 1 DAY ELSE l_shipdate END AS shipped
+              FROM lineitem)""",
     "loans_1": f"SELECT * FROM loans WHERE shipped < TIMESTAMP '{SPLIT}'",
     "loans_2": f"SELECT * FROM loans WHERE shipped >= TIMESTAMP '{SPLIT}'",
     "inventory": f"""
-        SELECT l_partkey AS bibnum, concat(p_name, ' #', l_suppkey) AS title,
+        SELECT CASE WHEN p_size <= 40 THEN l_partkey ELSE l_partkey + 1000000000 END AS bibnum, concat(p_name, ' #', l_suppkey) AS title,
                p_brand AS publisher, p_type AS author,
                CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST(trunc(l_quantity) AS INTEGER) END AS itemcount,
-               {_ISO} AS reportdate,
+               {_ISO.replace('l_shipdate', 'shipped')} AS reportdate,
                CASE WHEN p_size % 10 = 0 THEN ''
                     ELSE concat(replace(p_name, ' ', ', '), ',', p_type, ',', p_brand,
                                 CASE WHEN p_size % 7 = 0 THEN concat(',', p_type) ELSE '' END) END AS subjects,
-               l_shipdate AS shipped
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size <= 40""",
-    "inventory_1": f"SELECT * FROM inventory WHERE shipped < TIMESTAMP '{SPLIT}' AND publisher NOT LIKE '%5'",
+               shipped
+        FROM (SELECT *, CASE WHEN p_brand LIKE '%5' AND l_shipdate < TIMESTAMP '{SPLIT}' THEN TIMESTAMP '{SPLIT}'
+                             ELSE l_shipdate END AS shipped
+              FROM lineitem JOIN part ON l_partkey = p_partkey)""",
+    "inventory_1": f"SELECT * FROM inventory WHERE shipped < TIMESTAMP '{SPLIT}'",
     "inventory_2": f"SELECT * FROM inventory WHERE shipped >= TIMESTAMP '{SPLIT}'",
     "inventory_all": "SELECT * FROM inventory_1 UNION ALL SELECT * FROM inventory_2",
     "codes": """
@@ -224,7 +232,7 @@ QUERIES: dict[str, str] = {
         SELECT l.id, CAST(CAST(substr(l.checkoutdatetime, 1, 10) AS DATE) AS TIMESTAMP) AS time_key,
                l.itemtype, l.collection, l.bibnumber, md5(c.subjects) AS subject_group_id,
                make_date(year(l.shipped), 12, 31) AS load_date
-        FROM loans l JOIN canon_2 c ON l.bibnumber = c.bibnum""",
+        FROM loans l JOIN canon_all c ON l.bibnumber = c.bibnum""",
     "popular_subjects": _top_subjects(),
     "popular_subjects_preagg": _top_subjects(),
     "popular_titles": _top_titles(),
@@ -237,7 +245,44 @@ QUERIES: dict[str, str] = {
         UNION ALL SELECT 'dim_collections', count(*), count(*) >= 1
                   FROM codes WHERE category_group <> ''
         UNION ALL SELECT 'bridge_subject', count(*), count(*) >= 1 FROM bridge
-        UNION ALL SELECT 'dim_subject', count(*), count(*) >= 1 FROM dim_subject""",
+        UNION ALL SELECT 'dim_subject', count(*), count(*) >= 1 FROM dim_subject
+        UNION ALL SELECT 'loans_without_book', 1 - count(*), count(*) = 0 FROM (
+            SELECT DISTINCT bibnumber FROM fact WHERE bibnumber NOT IN (SELECT bibnum FROM dim_books))
+        UNION ALL SELECT 'repeated_books', 1 - count(*), count(*) = 0 FROM (
+            SELECT bibnum FROM dim_books GROUP BY bibnum HAVING count(*) > 1)""",
+    "load_counts": """
+        SELECT 'dim_time' AS "table", count(DISTINCT substr(checkoutdatetime, 1, 10)) AS rows FROM loans
+        UNION ALL SELECT 'dim_books', count(*) FROM dim_books
+        UNION ALL SELECT 'dim_collections', count(*) FROM codes WHERE category_group <> ''
+        UNION ALL SELECT 'dim_subject', count(*) FROM dim_subject
+        UNION ALL SELECT 'bridge_subject', count(*) FROM bridge
+        UNION ALL SELECT 'fact_loans', count(*) FROM fact
+        UNION ALL SELECT 'fact_load_days', count(*) FROM daily""",
+    "replace_landing": "SELECT id, bibnumber, checkoutdatetime FROM loans_2",
+    "drop_tables": """
+        SELECT 'staging_loans' AS "table", 0 AS rows
+        UNION ALL SELECT 'staging_codes', count(*) FROM codes
+        UNION ALL SELECT 'staging_exploded_subjects', count(*) FROM tokens_1
+        UNION ALL SELECT 'staging_canonical_inventory', count(*) FROM canon_1
+        UNION ALL SELECT 'dim_time', 0
+        UNION ALL SELECT 'dim_books', count(*) FROM books_1
+        UNION ALL SELECT 'dim_collections', count(*) FROM codes WHERE category_group <> ''
+        UNION ALL SELECT 'dim_subject', count(*) FROM subject_1
+        UNION ALL SELECT 'bridge_subject', count(*) FROM bridge_1
+        UNION ALL SELECT 'fact_loans', 0
+        UNION ALL SELECT 'fact_load_days', 0
+        UNION ALL SELECT 'after drop_all', 0""",
+    "rerun_replaces_day": f"{_FACT} FROM loans_1 l JOIN canon_all c ON l.bibnumber = c.bibnum",
+    "empty_month_keeps_state": f"{_FACT} FROM loans_1 l JOIN canon_1 c ON l.bibnumber = c.bibnum",
+    "late_row_in_range": f"""
+        SELECT s.date, coalesce(d.count, 0) AS count
+        FROM (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+              FROM daily_all) s
+          LEFT JOIN daily_all d ON s.date = d.date
+        WHERE s.date >= DATE '{LATE_LO}' AND s.date <= DATE '{LATE_HI}'
+        UNION ALL
+        SELECT NULL, coalesce(sum(count), 0)::BIGINT FROM daily_all
+        WHERE date >= DATE '{LATE_LO}' AND date <= DATE '{LATE_HI}'""",
     "replace_load": "SELECT code, category_group AS item_type FROM codes WHERE category_group <> ''",
     "append_load": "SELECT bibnum, title, publisher, author FROM dim_books",
     "pipeline_subjects": _top_subjects(),
@@ -247,6 +292,13 @@ CTES["tokens_all"] = """
         SELECT subjects_string, unnest(string_split(subjects_string, ',')) AS subject
         FROM (SELECT DISTINCT subjects AS subjects_string FROM inventory_all)
         WHERE subjects_string IS NOT NULL AND subjects_string <> ''"""
+CTES["canon_all"] = f"""
+        SELECT bibnum, title, publisher, author, subjects FROM (
+          SELECT *, row_number() OVER (PARTITION BY bibnum ORDER BY {_CANON_ORDER}) AS num FROM inventory_all
+        ) WHERE num = 1"""
+CTES["daily_all"] = """
+        SELECT CAST(l.shipped AS DATE) AS date, count(*) AS count
+        FROM loans l JOIN canon_all c ON l.bibnumber = c.bibnum GROUP BY 1"""
 CTES["daily"] = """
         SELECT CAST(time_key AS DATE) AS date, count(*) AS count FROM fact
         WHERE time_key IS NOT NULL GROUP BY 1"""

@@ -26,11 +26,15 @@ def test_entry_smoke(spark):
     assert 0 < len(df.collect()) <= 30
 
 
+# The queries of the optional training-data operators are tested beside them.
+OWN = sorted(entry._QUERIES)
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(OWN) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]

@@ -11,9 +11,18 @@ from pyspark.sql import types as T
 
 from circulation import schemas
 from circulation.plans import jobs, marts
-from circulation.plans.quality import QualityError, enforce, row_count_checks
+from circulation.plans.quality import (
+    Check,
+    QualityError,
+    duplicate_check,
+    enforce,
+    orphan_check,
+    row_count_checks,
+    scalar_checks,
+)
 from circulation.session import scratch_path
-from circulation.sinks import Warehouse, write_delimited
+from circulation.sinks import LOAD_DAYS, Warehouse, write_delimited
+from circulation.sinks.warehouse import LOAD_DAYS_SCHEMA
 from circulation.sources import EmptyExtractError, extract_size, extract_window, read_delimited, union_slices
 
 from conftest import rows
@@ -216,21 +225,101 @@ def test_warehouse_reattaches_after_a_new_catalog_and_drop_deletes_rows(spark):
         [("a", dt.datetime(2020, 1, 1), "t", "c", 1, "g", dt.date(2020, 1, 1)),
          ("b", dt.datetime(2020, 1, 2), "t", "c", 1, "g", dt.date(2020, 1, 2))],
         first.schema_of("fact_loans"))
-    first.replace_partitions("fact_loans", facts)
+    for day in (1, 2):
+        first.replace_run(f"2020-01-0{day}", facts.where(f"load_date = '2020-01-0{day}'"))
     first.append("dim_books", spark.createDataFrame([(1, "T", "p", "a")], schemas.DIM_BOOKS))
     # Another database name over the same files stands in for a fresh session's catalog.
     second = Warehouse(spark, f"circ_b_{uuid.uuid4().hex[:10]}", location)
     second.create_all()
     assert second.row_count("fact_loans") == 2 and second.row_count("dim_books") == 1
     redo = facts.where("id = 'b'").withColumn("itemtype", F.lit("u"))
-    second.replace_partitions("fact_loans", redo)
+    assert second.replace_run("2020-01-02", redo) == 1
     assert rows(second.scan("fact_loans"), "id", "itemtype") == [("a", "t"), ("b", "u")]
+    # The first catalog sees what the second wrote, run dates it has never heard of included.
+    second.replace_run("2020-01-03", facts.where("id = 'a'"))
+    assert first.row_count("fact_loans") == 3
+    assert rows(first.load_days(), "loans") == [(1,), (1,), (1,)]
+    # A corrected run without facts leaves none, and a day's summary that is missing is made again.
+    assert second.replace_run("2020-01-03", facts.where("false")) == 0
+    assert first.row_count("fact_loans") == 2
+    second._replace_partition(LOAD_DAYS, "2020-01-02", spark.createDataFrame([], LOAD_DAYS_SCHEMA), "day")
+    assert sorted(str(r.day) for r in second.load_days().collect()) == ["2020-01-01", "2020-01-02"]
     second.drop_all()
     third = Warehouse(spark, f"circ_c_{uuid.uuid4().hex[:10]}", location)
     third.create_all()
     assert third.row_count("fact_loans") == 0 and third.row_count("dim_books") == 0
 
 
+def test_attaching_never_deletes(spark):
+    """Facts at a location without a layout record stay when a process attaches."""
+    location = scratch_path(spark, "no-layout")
+    day = spark.createDataFrame([("a", dt.datetime(2020, 1, 1), "t", "c", 1, "g")], schemas.FACT_LOANS)
+    day.write.parquet(f"{location}/fact_loans/load_date=2020-01-01")
+    wh = Warehouse(spark, f"circ_n_{uuid.uuid4().hex[:10]}", location)
+    assert wh.row_count("fact_loans") == 1
+    assert [tuple(r)[:2] for r in wh.load_days().collect()] == [(dt.date(2020, 1, 1), 1)]
+
+
+def test_empty_extracts_change_nothing(spark):
+    wh = _wh(spark)
+    inv, loans = _inventory_rows(spark), _loan_rows(spark)
+    codes = spark.createDataFrame([("a", None, None, None, None, "F", None, None)], schemas.STAGING_CODES)
+    jobs.run_monthly(wh, inv, codes, "2018-04-30", "2018-05-31")
+    for no_codes, window in ((codes.where("false"), ("2018-05-31", "2018-06-30")), (codes, ("2019-01-01", "2019-02-01"))):
+        with pytest.raises(EmptyExtractError):
+            jobs.run_monthly(wh, inv, no_codes, *window)
+    jobs.run_monthly(wh, inv, codes.where("false"), "2019-01-01", "2019-02-01", allow_empty=True)
+    assert wh.row_count("dim_collections") == 1 and wh.row_count("staging_canonical_inventory") == 3
+    assert jobs.run_daily(wh, loans, "2018-05-30", "2018-05-31") == 1
+
+
+def test_catchup_refuses_late_and_unplaced_files(spark):
+    from circulation.streaming.daily_catchup import LateLoansError, load_run_date, start_daily_catchup
+
+    wh = _wh(spark)
+    codes = spark.createDataFrame([("a", None, None, None, None, "F", None, None)], schemas.STAGING_CODES)
+    jobs.run_monthly(wh, _inventory_rows(spark), codes, "2018-05-31", "2018-06-30")
+    landing = scratch_path(spark, "late")
+    loans = _loan_rows(spark)
+    blank = loans.limit(1).withColumn("checkoutdatetime", F.lit(""))
+    write_delimited(loans.unionByName(blank), f"{landing}/run_date=2018-06-01")
+    with pytest.raises(LateLoansError, match="2 loans"):
+        load_run_date(wh, landing, "2018-06-01")
+    write_delimited(loans.unionByName(blank), f"{landing}/run_date=2018-06-02")
+    assert load_run_date(wh, landing, "2018-06-02") == 3  # l1, l4, l5 have June books; the blank stamp is in no window
+    write_delimited(loans, f"{landing}/elsewhere")
+    with pytest.raises(Exception, match="no run_date"):
+        start_daily_catchup(wh, landing, scratch_path(spark, "late-ckpt")).awaitTermination(300)
+
+
+def test_blank_stamps_are_outside_every_window(spark):
+    df = spark.createDataFrame([(1, ""), (2, "2018-05-21T00:00:00.000"), (3, None)], "i int, ts string")
+    assert [r.i for r in extract_window(df, "ts", "2018-05-20", "2018-05-21").collect()] == [2]
+    with pytest.raises(Exception):
+        extract_window(spark.createDataFrame([("x y",)], "ts string"), "ts", "2018-05-20", "2018-05-21").collect()
+
+
+def test_rebucket_moves_to_a_new_generation(spark):
+    location = scratch_path(spark, "rebucket")
+    wh = Warehouse(spark, f"circ_r1_{uuid.uuid4().hex[:8]}", location, buckets=3)
+    wh.append("dim_books", spark.createDataFrame([(i, f"t{i}", "p", "a") for i in range(50)], schemas.DIM_BOOKS))
+    wh.rebucket(5)
+    later = Warehouse(spark, f"circ_r2_{uuid.uuid4().hex[:8]}", location)
+    assert later.buckets == 5 and later.row_count("dim_books") == wh.row_count("dim_books") == 50
+    later.append("dim_books", spark.createDataFrame([(99, "t", "p", "a")], schemas.DIM_BOOKS))
+    assert wh.row_count("dim_books") == 51
+
+
+def test_checks_take_any_scalar(spark):
+    fact = spark.createDataFrame([(1,), (2,), (2,)], "b long")
+    dim = spark.createDataFrame([(1,), (1,)], "k long")
+    checks = scalar_checks([Check("total", fact.selectExpr("sum(b) AS s"), 5), Check("none", fact.where("false").selectExpr("max(b)")),
+                            orphan_check(fact, dim, "b", "k", "orphans"), duplicate_check(dim, "k", "twice")])
+    assert rows(checks) == [("none", None, False), ("orphans", 0, False), ("total", 5, True), ("twice", 0, False)]
+    with pytest.raises(QualityError, match="orphans = 0"):
+        enforce(checks)
+
+
 def test_cli_monthly_daily_report(spark):
     from circulation import cli
 

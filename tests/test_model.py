@@ -72,7 +72,7 @@ def test_group_key_of_empty_subjects_and_order(spark):
     assert fact["l1"] == EMPTY_GROUP_ID
     assert fact["l2"] != fact["l3"]
     tokens = model.subject_tokens(inv)
-    bridge = model.new_bridge(tokens, model.new_dim_subject(tokens, spark.createDataFrame([], schemas.DIM_SUBJECT)),
+    bridge = model.new_bridge(inv, model.new_dim_subject(tokens, spark.createDataFrame([], schemas.DIM_SUBJECT)),
                               spark.createDataFrame([], schemas.BRIDGE_SUBJECT))
     groups = {r.subject_group_id for r in bridge.collect()}
     assert EMPTY_GROUP_ID not in groups and len(groups) == 2

@@ -134,15 +134,6 @@ def test_top_k_total_order_and_plan(spark):
     assert "TakeOrderedAndProject" in plan_text(out)
 
 
-@pytest.mark.parametrize("n", [0, 1, 5])
-def test_fits(spark, n):
-    from circulation.operators import fits
-
-    df = spark.range(n)
-    assert fits(df, 5) is True
-    assert fits(spark.range(6), 5) is False
-
-
 @settings(max_examples=12, deadline=None)
 @given(st.sets(st.text(alphabet="abcXY ,", min_size=0, max_size=5), max_size=40),
        st.integers(0, 1000), st.integers(1, 9))

@@ -6,10 +6,15 @@ import datetime as dt
 import uuid
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from circulation import schemas
 from circulation.plans import jobs, marts, model
 from circulation.session import scratch_path
-from circulation.sinks import Warehouse
+from circulation.sinks import CANONICAL, Warehouse
+from circulation.sources import extract_window, land_typed, read_landed
+from circulation.sources.landing import StampAfterRunError
 
 from conftest import plan_text
 
@@ -63,7 +68,7 @@ def test_hot_keys_against_brute_force(spark):
     fact = model.fact_rows(loans, canonical)
     tokens = model.subject_tokens(inv)
     dim_subject = model.new_dim_subject(tokens, spark.createDataFrame([], schemas.DIM_SUBJECT))
-    bridge = model.new_bridge(tokens, dim_subject, spark.createDataFrame([], schemas.BRIDGE_SUBJECT))
+    bridge = model.new_bridge(inv, dim_subject, spark.createDataFrame([], schemas.BRIDGE_SUBJECT))
 
     # Brute force in Python over the same rows.
     inv_rows = inv.collect()
@@ -97,49 +102,85 @@ def test_popular_subjects_aggregates_before_bridge_join(spark):
     assert "TakeOrderedAndProject" in final
 
 
-def test_warehouse_fact_prunes_by_load_date_and_bridge_join_reads_buckets(spark, monkeypatch):
-    from circulation.operators import joins
-
+def _loaded(spark):
     wh = Warehouse(spark, f"circ_p_{uuid.uuid4().hex[:10]}", scratch_path(spark, "plans"))
     inv, loans = _hot_inventory(spark), _hot_loans(spark)
     codes = spark.createDataFrame([("a", None, None, None, None, "F", None, None)], schemas.STAGING_CODES)
     jobs.run_monthly(wh, inv, codes, "2018-04-30", "2018-05-31")
-    for day in range(1, 21):  # runs (04-30, 05-01] ... (05-19, 05-20]
+    for day in range(1, 7):  # runs (04-30, 05-01] ... (05-05, 05-06]
         hi = dt.date(2018, 5, day)
         jobs.run_daily(wh, loans, hi - dt.timedelta(days=1), hi)
-    fact = wh.scan("fact_loans")
-    ranged = marts.in_range(fact, "2018-05-10", "2018-05-12")
-    plan = _final(ranged)
-    assert "PartitionFilters: [isnotnull(load_date" in plan and "load_date" in plan.split("PartitionFilters")[1]
+    return wh
+
+
+def test_stored_marts_prune_and_read_buckets(spark):
+    wh = _loaded(spark)
+    fact, days = wh.scan("fact_loans"), wh.load_days()
+    plan = _final(marts.in_range(fact, "2018-05-02", "2018-05-03", days))
+    assert "load_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "PushedFilters: [IsNotNull(time_key), GreaterThanOrEqual(time_key" in plan
+    # The calendar and the daily counts come from the summary: the fact is not scanned.
+    for df in (marts.loans_per_day(fact, "2018-05-02", "2018-05-03", days), marts.date_bounds(fact, days)):
+        assert "fact_loans/" not in _final(df) and "fact_load_days" in _final(df)
 
     _no_broadcast(spark)
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)  # as if the bridge were too big to broadcast
     try:
-        top = marts.popular_subjects(fact, wh.scan("bridge_subject"), wh.scan("dim_subject"), k=5)
-        plan = _final(top)
+        plan = _final(marts.popular_subjects(fact, wh.scan("bridge_subject"), wh.scan("dim_subject"), k=5))
     finally:
         _restore_broadcast(spark)
-    bridge_scan = [line for line in plan.splitlines() if "bridge_subject" in line and "FileScan" in line]
-    assert bridge_scan and "Bucketed: true" in bridge_scan[0]
     # No exchange directly above the bucketed bridge scan.
     lines = plan.splitlines()
     i = next(k for k, line in enumerate(lines) if "bridge_subject" in line and "FileScan" in line)
+    assert "Bucketed: true" in lines[i]
     assert "Exchange" not in lines[i - 1] and "Exchange" not in lines[i - 2]
 
 
-def test_fact_join_broadcasts_only_under_the_row_bound(spark, monkeypatch):
-    from circulation.operators import joins
-
-    inv, loans = _hot_inventory(spark), _hot_loans(spark)
-    canonical = model.canonical_inventory(inv)
-    assert "BroadcastHashJoin" in _final(model.fact_rows(loans, canonical))
+def test_fact_join_on_the_stored_table_splits_a_hot_book(spark):
+    wh = Warehouse(spark, f"circ_p_{uuid.uuid4().hex[:10]}", scratch_path(spark, "skew"))
+    books = spark.range(2000).selectExpr("id AS bibnum", "'t' AS title", "'p' AS publisher", "'a' AS author", "'s' AS subjects")
+    wh.replace(CANONICAL, books)
+    loans = spark.range(0, 400_000, 1, 8).selectExpr(
+        "cast(id AS string) AS id", "2018 AS checkoutyear", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 2000 END AS bibnumber",
+        "uuid() AS itemtype", "'c' AS collection", "'2018-05-01T00:00:00.000' AS checkoutdatetime")
+    wanted = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
     _no_broadcast(spark)
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 10)  # 60 books > 10: no broadcast
     try:
-        plan = _final(model.fact_rows(loans, canonical))
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        fact = model.fact_rows(loans, wh.scan(CANONICAL))
+        n = fact.groupBy("subject_group_id").count()
+        assert n.collect()[0]["count"] == 400_000
+        plan = plan_text(n)
     finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
         _restore_broadcast(spark)
-    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
-    # AQE skew splitting stays on for the sort-merge fallback.
-    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_bridge_drops_known_groups_before_it_explodes(spark):
+    inv = _hot_inventory(spark)
+    dim = spark.createDataFrame([("Fiction", 1)], schemas.DIM_SUBJECT)
+    bridge = spark.createDataFrame([("g0", 1, "x")], schemas.BRIDGE_SUBJECT)
+    plan = _final(model.new_bridge(inv, dim, bridge))
+    # Children are printed after their parents: the anti join lies under the explode.
+    assert plan.index("Generate explode") < plan.index("LeftAnti")
+
+
+def test_daily_extract_prunes_the_typed_landing(spark):
+    root, loans = scratch_path(spark, "typed"), _hot_loans(spark)
+    blank = loans.limit(1).withColumn("id", F.lit("blank")).withColumn("checkoutdatetime", F.lit(""))
+    for lo, hi in (("2018-04-30", "2018-05-10"), ("2018-05-10", "2018-05-20")):
+        land_typed(extract_window(loans, "checkoutdatetime", lo, hi).unionByName(blank), root, "loans", hi, "checkoutdatetime")
+    landed = read_landed(spark, root, "loans", schemas.STAGING_LOANS, "checkoutdatetime")
+    part = extract_window(landed, "checkoutdatetime", "2018-05-12", "2018-05-14", schemas.STAGING_LOANS.fieldNames())
+    plan = _final(part)
+    assert "run_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThan(checkoutdatetime_ts" in pushed and "LessThanOrEqu" in pushed  # the plan text is cut here
+    want = extract_window(loans, "checkoutdatetime", "2018-05-12", "2018-05-14")
+    assert part.count() == want.count() > 0
+    with pytest.raises(StampAfterRunError, match="stamped after"):
+        land_typed(loans, root, "loans", "2018-05-02", "checkoutdatetime")
