@@ -23,9 +23,15 @@ from circulation.session import scratch_path
 BATCH_BYTES = 16 << 20
 
 
+# What adaptive execution may broadcast once it has measured a side's shuffled bytes: packed rows of
+# arrays and digests take several times that in the driver's and the executors' memory.
+MEASURED_BROADCAST = 4 << 20
+
+
 def bound_memory(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes, as rows of text differ in size by orders of magnitude."""
+    """Bound Arrow batches by bytes, as rows of text differ in size by orders of magnitude, and broadcasts."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(MEASURED_BROADCAST))
 
 
 def written(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -40,8 +40,8 @@ K, BANDS, BITS = 128, 32, 2
 THRESHOLD = 80
 # Buckets are compared in square blocks of so many nodes.
 BLOCK = 2048
-# Ids of so many texts may be broadcast to find the texts again: 24 bytes each, 24 MB.
-BROADCAST_IDS = 1_000_000
+# Ids of so many texts may be broadcast to find the texts again: about 100 bytes each in memory, 20 MB.
+BROADCAST_IDS = 200_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
