@@ -112,6 +112,51 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+OP1_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+      lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE
+      WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM split
+), grams AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared WHERE 100 * k >= 80 * (na + nb - k)
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.r = links.a
+), component AS (
+  SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN component USING (doc_id)
+"""
+OP10_SQL = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS s,
+         min(page_id) OVER (PARTITION BY sha1(coalesce(html, ''))) AS first
+  FROM pages
+), bits AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i: substr(
+      '0000000100100011010001010110011110001001101010111100110111101111',
+      4 * (instr('0123456789abcdef', substr(s, i, 1)) - 1) + 1, 4)), '') AS b
+  FROM hashed
+)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + 16 * substr(b, 5 * i + 1, 1)::INTEGER + 8 * substr(b, 5 * i + 2, 1)::INTEGER + 4 * substr(b, 5 * i + 3, 1)::INTEGER
+           + 2 * substr(b, 5 * i + 4, 1)::INTEGER + substr(b, 5 * i + 5, 1)::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM bits
+"""
 OP8_SQL = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -141,4 +186,4 @@ FROM ruled
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_bloom_cascade": OP8_SQL}
+    return {"op1_bbit_minhash": OP1_SQL, "op8_bloom_cascade": OP8_SQL, "op10_warc_index": OP10_SQL}

@@ -44,7 +44,7 @@ def shard_by_bytes(df: DataFrame, size: str, order: Sequence[str], n_shards: int
             .select(*df.columns, "shard", "slot"))
 
 
-def write_shards(df: DataFrame, path: str, files_per_shard: int = 1) -> None:
+def write_shards(df: DataFrame, path: str, n_shards: int, files_per_shard: int = 1) -> None:
     """Write a sharded table as ``path/shard=<k>`` folders, rows in slot order inside each file."""
-    dealt = df.repartitionByRange(max(1, files_per_shard) * 40, "shard", "slot")
+    dealt = df.repartitionByRange(n_shards * max(1, files_per_shard), "shard", "slot")
     dealt.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
