@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from circulation.session import scratch_path
 
 # Bytes of one Arrow batch handed to Python: bounds a worker's memory whatever the texts' lengths.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 # What adaptive execution may broadcast once it has measured a side's shuffled bytes: packed rows of

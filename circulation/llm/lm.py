@@ -35,7 +35,7 @@ from circulation.llm.minhash import word_hashes, words
 
 ORDER = 2
 FOLDS, TEST_FOLD, HELD_FOLD = 5, 1, 0
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 6 << 20
 STEPS_PER_OCTAVE = 8
 EM_ROUNDS = 60
 
@@ -143,6 +143,7 @@ def _requests(source: DataFrame, order: int, buckets: int) -> DataFrame:
                 g = c & 1
                 if g in open_ and open_[g][0] != c:
                     yield from _chunk_requests(*open_.pop(g), order, buckets)
+                    pa.default_memory_pool().release_unused()
                 open_.setdefault(g, (c, []))[1].append((flat[np.repeat(mine, lengths)], lengths[mine], folds[mine]))
         for c, parts in open_.values():
             yield from _chunk_requests(c, parts, order, buckets)
@@ -150,13 +151,14 @@ def _requests(source: DataFrame, order: int, buckets: int) -> DataFrame:
     return source.mapInArrow(ask, "chunk long, level int, bucket int, keys binary, counted binary, held binary")
 
 
-ANSWER = ("chunk long, level int, bucket int, counted binary, held binary, sum_counted long, sum_held long, "
-          "seen_counted long, seen long")
+ANSWER = ("chunk long, level int, bucket int, counted binary, total binary, wide boolean, sum_counted long, "
+          "sum_held long, seen_counted long, seen long")
 
 
 def _answers(requests: DataFrame) -> DataFrame:
-    """Totals for every request; and for every bucket one row of sums with chunk -1."""
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
+    """Totals for every request, and of the counting part alone for held-out chunks (odd), which learn the
+    weights; numbers of 32 bits, or of 64 (``wide``) if need be. For every bucket one row of sums with chunk -1."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_(), *[pa.int64()] * 4]
     names = [x.split()[0] for x in ANSWER.split(", ")]
 
     def batch(rows: list) -> pa.RecordBatch:
@@ -165,20 +167,21 @@ def _answers(requests: DataFrame) -> DataFrame:
     def summed(level: int, bucket: int, rows: list) -> Iterator[pa.RecordBatch]:
         keys = [np.frombuffer(r[3], np.uint64) for r in rows]
         distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = []
-        for col in (4, 5):
-            n = np.concatenate([np.frombuffer(r[col], np.uint32) for r in rows])
-            totals.append(np.bincount(inverse, weights=n, minlength=len(distinct)).astype(np.int64))
-        counted, held = totals
-        yield batch([(-1, level, bucket, None, None, int(counted.sum()), int(held.sum()), int((counted > 0).sum()),
-                      int((counted + held > 0).sum()))])
+        counted, held = (np.bincount(inverse, weights=np.concatenate([np.frombuffer(r[col], np.uint32) for r in rows]),
+                                     minlength=len(distinct)).astype(np.int64) for col in (4, 5))
+        total = counted + held
+        yield batch([(-1, level, bucket, None, None, None, int(counted.sum()), int(held.sum()), int((counted > 0).sum()),
+                      int((total > 0).sum()))])
+        wide = bool(total.max(initial=0) >= 1 << 32)
+        kind = "<u8" if wide else "<u4"
+        counted, total = counted.astype(kind), total.astype(kind)
         at, out, size = 0, [], 0
         for r, k in zip(rows, keys):
             mine = inverse[at:at + len(k)]
             at += len(k)
-            out.append((r[0], level, bucket, counted[mine].astype("<u8").tobytes(), held[mine].astype("<u8").tobytes(),
+            out.append((r[0], level, bucket, counted[mine].tobytes() if r[0] & 1 else None, total[mine].tobytes(), wide,
                         None, None, None, None))
-            size += 16 * len(k)
+            size += 8 * len(k)
             if size > 8 << 20:
                 yield batch(out)
                 out, size = [], 0
@@ -203,23 +206,22 @@ def _answers(requests: DataFrame) -> DataFrame:
 
 # --- a chunk beside its answers --------------------------------------------------------------
 
-def _counts(texts: pa.Table, answers: pa.Table, order: int, held_too: bool):
+def _counts(texts: pa.Table, answers: pa.Table, order: int):
     """Of a chunk's tokens: lengths of the texts, counts of each n-gram and of its context, by order."""
     flat, lengths = tokens(texts["text"].combine_chunks())
-    rows = sorted(zip(*(answers[c].to_pylist() for c in ("level", "bucket", "counted", "held"))), key=lambda r: r[:2])
-    by_level = {}
-    for level, _, counted, held in rows:
-        n = np.frombuffer(counted, "<u8").astype(np.float64)
-        by_level.setdefault(level, []).append(n + np.frombuffer(held, "<u8") if held_too else n)
+    rows = sorted(zip(*(answers[c].to_pylist() for c in ("level", "bucket", "n", "wide"))), key=lambda r: r[:2])
+    by_level: dict[int, list[np.ndarray]] = {}
+    for level, _, n, wide in rows:
+        by_level.setdefault(level, []).append(np.frombuffer(n, "<u8" if wide else "<u4"))
     firsts = np.cumsum(lengths) - lengths
-    before = np.full(len(flat), by_level[0][0][0])  # the padded context: as often as there are documents
+    before = np.full(len(flat), float(by_level[0][0][0]))  # the padded context: as often as there are documents
     found = []
     for level, keys in enumerate(grams(flat, lengths, order), 1):
         distinct, inverse = np.unique(keys, return_inverse=True)
         totals = np.concatenate(by_level.get(level, [np.zeros(0)]))
         if len(totals) != len(distinct):
             raise RuntimeError("the answers do not fit the chunk: the input was not scanned alike twice")
-        c = totals[inverse]
+        c = totals[inverse].astype(np.float64)
         found.append((c, before))
         start = before[firsts[0]] if len(firsts) else 0.0
         before = np.concatenate([[start], c[:-1]])
@@ -251,14 +253,14 @@ def held_out_events(source: DataFrame, answers: DataFrame, order: int, n_tokens:
     def events(texts: pa.Table, replies: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return schema.empty_table()
-        _, found = _counts(texts, replies, order, held_too=False)
+        _, found = _counts(texts, replies, order)
         probs, bucket = _estimates(found, n_tokens)
         rows, n = np.unique(np.column_stack([bucket, _quantised(probs).T]), axis=0, return_counts=True)
         return pa.table([pa.array(rows[:, 0]), pa.array(list(rows[:, 1:]), pa.list_(pa.int64())), pa.array(n)], schema=schema)
 
     mine = source.where(F.col("fold") == HELD_FOLD)
     # Odd chunks hold the held-out documents.
-    asked = answers.where("chunk % 2 = 1 AND chunk >= 0").select("chunk", "level", "bucket", "counted", "held")
+    asked = answers.where("chunk % 2 = 1 AND chunk >= 0").select("chunk", "level", "bucket", F.col("counted").alias("n"), "wide")
     return _beside(mine, asked, events, "bucket long, steps array<long>, n long").groupBy("bucket", "steps").agg(F.sum("n").alias("n"))
 
 
@@ -294,7 +296,7 @@ def interpolated_scores(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_
     Documents of fold 1 of 5 (CRC-32 of the id) teach the model nothing."""
     spark = docs.sparkSession
     source = _source(docs, doc_id, text)
-    buckets = min(1 << 24, shuffle_partitions(spark))
+    buckets = min(1 << 24, 4 * shuffle_partitions(spark))
     answers = written(_answers(_requests(source, order, buckets)), "lm-answers")
     # One row per bucket and order, of numbers only, summed to one.
     sums = answers.where("chunk = -1 AND level = 1").agg(*[F.sum(c) for c in ("sum_counted", "sum_held", "seen_counted", "seen")])
@@ -310,7 +312,7 @@ def interpolated_scores(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_
     def score(texts: pa.Table, replies: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return out.empty_table()
-        lengths, found = _counts(texts, replies, order, held_too=True)
+        lengths, found = _counts(texts, replies, order)
         probs, bucket = _estimates(found, n_all)
         w = table[np.minimum(bucket, len(table) - 1)]
         p = w[:, 0] / (v_all + 1) + (w[:, 1:] * probs.T).sum(axis=1) if n_all else np.ones(len(bucket))
@@ -322,5 +324,5 @@ def interpolated_scores(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_
                          total((c > 0).astype(np.int64)), pa.array(np.full(len(lengths), int(n_all))), total(base),
                          total(np.log10(p))], schema=out)
 
-    asked = answers.where("chunk >= 0").select("chunk", "level", "bucket", "counted", "held")
+    asked = answers.where("chunk >= 0").select("chunk", "level", "bucket", F.col("total").alias("n"), "wide")
     return _beside(source, asked, score, SCORES)
