@@ -5,11 +5,11 @@
 2. ``BANDS`` bands of the minima give buckets. Of each minimum only ``BITS`` low bits are retained,
    packed into longs; two nodes' similarity is estimated from the bit count of their difference,
    corrected for low bits that agree by chance.
-3. Every node of a bucket is paired with the bucket's least node; the pairs that could be links by
-   their estimate are confirmed on the full sets, best estimate of each node first, and joined to
-   components. In buckets that then still hold several components, pairs across components are
-   compared block by block, so no pair that shares a bucket is left untried, while a large group of
-   copies costs as many comparisons as it has members.
+3. Every node of a bucket is paired with the bucket's least node; of the pairs that could be links by
+   their estimate each node's best one is confirmed on the full sets, and components are formed.
+4. Nodes that still share a bucket with a node of another component to which they may be linked, by the
+   estimate, are joined among themselves by exact bounds on their sets and confirmed, so no link
+   that shares a bucket is lost, while a large group of copies never comes out as all its pairs.
 
 A pair at the threshold of 0.8 shares no band of 4 in 32 with probability 5e-8; an estimate is cut
 six standard deviations below the threshold.
@@ -201,25 +201,55 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
             .select("a", "b", "est"))
 
 
-def _rest_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: int, block: int) -> DataFrame:
-    """(a, b): pairs of one bucket in different components that may be links, compared in square blocks."""
+def _blocked(rows: DataFrame, key: str, block: int) -> DataFrame:
+    """``rows`` with the number of square blocks of their key's group, and the block of each row's node."""
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    counted = rows.join(sizes, key).withColumn("blocks", F.ceil(F.col("c") / block).cast("int"))
+    return counted.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).drop("c")
+
+
+def _suspects(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, threshold: int, block: int) -> DataFrame:
+    """(node, root): nodes that share a bucket with a node of another component to which they may be linked.
+
+    A semi join: a node comes out once, however many such nodes there are; large buckets are met block by block."""
     placed = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                      F.count(F.lit(1)).alias("c")).where("lo != hi").select("key", "c")
-    members = placed.join(open_, "key").join(nodes.select("node", "n_shingles", "bits"), "node")
-    members = members.withColumn("blocks", F.ceil(F.col("c") / block).cast("int")).withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    open_ = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
+    members = _blocked(placed.join(open_, "key"), "key", block).join(nodes.select("node", "n_shingles", "bits"), "node")
     members = written(members.select("key", "node", "root", "n_shingles", "bits", "blocks", "own"), "minhash-open")
-    side = lambda s, lo, hi: members.select(
+    side = lambda s, mine, others: members.select(
         "key", F.col("node").alias(s), F.col("root").alias(f"root_{s}"), F.col("n_shingles").alias(f"n{s}"),
-        F.col("bits").alias(f"bits_{s}"), F.col("own").alias(f"own_{s}"), F.explode(F.sequence(lo, hi)).alias("other"))
-    left = side("a", F.col("own"), F.col("blocks") - 1).withColumnRenamed("other", "j").withColumnRenamed("own_a", "i")
-    right = side("b", F.lit(0), F.col("own")).withColumnRenamed("other", "i").withColumnRenamed("own_b", "j")
+        F.col("bits").alias(f"bits_{s}"), F.col("own").alias(mine),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(others))
+    left, right = side("a", "i", "j").alias("l"), side("b", "j", "i").alias("r")
     fits = (F.col("root_a") != F.col("root_b")) & _near_size(threshold) & (
         estimate("bits_a", "bits_b") >= least_estimate(threshold))
-    once = (F.col("l.i") < F.col("l.j")) | (F.col("a") < F.col("b"))
     on = (F.col("l.key") == F.col("r.key")) & (F.col("l.i") == F.col("r.i")) & (F.col("l.j") == F.col("r.j"))
-    return left.alias("l").join(right.alias("r"), on & once & fits).select("a", "b").distinct()
+    return left.join(right, on & fits, "left_semi").select(F.col("a").alias("node"), F.col("root_a").alias("root")).distinct()
+
+
+def _rest_pairs(suspects: DataFrame, sets: DataFrame, threshold: int, block: int) -> DataFrame:
+    """(a, b): all pairs of suspects of different components that can reach the threshold, by exact bounds.
+
+    Each set is ordered by how rare its shingles are among the suspects. Two sets at the threshold share a
+    shingle among their first 1 - threshold (prefix), and after the first shared one enough shingles are left
+    in both (position). Copies that differ in shingles of their own share none of those, so a large group
+    of copies below the threshold yields next to no pairs."""
+    each = sets.join(suspects, "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("g"))
+    rare = each.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
+    ordered = each.join(rare, "g").groupBy("node", "root", "n").agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("by"))
+    first = F.col("n") - F.ceil(F.col("n") * threshold / 100).cast("int") + 1
+    prefix = ordered.select("node", "root", "n", F.posexplode(F.slice("by", F.lit(1), first)).alias("place", "x")).where("x.f > 1")
+    rows = written(_blocked(prefix.select(F.col("x.g").alias("key"), "node", "root", "n", "place"), "key", block), "minhash-prefix")
+    side = lambda s, lo, hi, mine, others: rows.select(
+        "key", F.col("node").alias(s), F.col("root").alias(f"root_{s}"), F.col("n").alias(f"n{s}"),
+        F.col("place").alias(f"place_{s}"), F.col("own").alias(mine), F.explode(F.sequence(lo, hi)).alias(others)).alias(s)
+    left, right = side("a", F.col("own"), F.col("blocks") - 1, "i", "j"), side("b", F.lit(0), F.col("own"), "j", "i")
+    left_in = F.least(F.col("na") - F.col("place_a"), F.col("nb") - F.col("place_b"))
+    enough = left_in * (100 + threshold) >= (F.col("na") + F.col("nb")) * threshold
+    once = (F.col("a.i") < F.col("a.j")) | (F.col("a.a") < F.col("b.b"))
+    on = (F.col("a.key") == F.col("b.key")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
+    fits = (F.col("root_a") != F.col("root_b")) & _near_size(threshold) & enough & once
+    return left.join(right, on & fits).select(F.least("a.a", "b.b").alias("a"), F.greatest("a.a", "b.b").alias("b")).distinct()
 
 
 def _sets_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -242,10 +272,8 @@ def _sets_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, n: int) -> Da
     return written(texts.mapInArrow(sets, "node binary, shingles array<long>").dropDuplicates(["node"]), "minhash-sets")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, threshold: int, label: str) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int, label: str) -> DataFrame:
     """Of the pairs (a, b) those whose full sets reach the threshold."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = _sets_of(wanted, docs, nodes, n)
     of = lambda s: sets.select(F.col("node").alias(s), F.col("shingles").alias(f"set_{s}"))
     both = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
@@ -264,18 +292,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: int = THRESHOLD, tex
         F.first("bands").alias("bands")), "minhash-nodes")
     buckets = nodes.select(F.explode("bands").alias("key"), "node")
     pairs = written(_hub_pairs(buckets, nodes, threshold), "minhash-pairs")
-    best = pairs.groupBy("a").agg(F.max(F.struct("est", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    first = _confirmed(written(best, "minhash-best"), docs, nodes, n, threshold, "minhash-links")
+    best = written(pairs.groupBy("a").agg(F.max(F.struct("est", "b")).alias("m")).select("a", F.col("m.b").alias("b")), "minhash-best")
+    both = best.select(F.col("a").alias("node")).union(best.select("b")).distinct()
+    first = _confirmed(best, _sets_of(both, docs, nodes, n), threshold, "minhash-links")
     roots = components(first, "minhash-cc")
-    root_of = lambda s: roots.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}"))
-    across = (pairs.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
-              .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
-    rest = across.union(_rest_pairs(buckets, nodes, roots, threshold, block)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = written(rest.join(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
-                             ["a", "b"], "left_anti"), "minhash-rest")
-    if not rest.isEmpty():
-        more = _confirmed(rest, docs, nodes, n, threshold, "minhash-more")
+    suspects = written(_suspects(buckets, nodes, roots, threshold, block), "minhash-suspects")
+    if not suspects.isEmpty():
+        sets = _sets_of(suspects.select("node"), docs, nodes, n)
+        rest = written(_rest_pairs(suspects, sets, threshold, block), "minhash-rest")
+        more = _confirmed(rest, sets, threshold, "minhash-more")
         if not more.isEmpty():
             roots = components(first.union(more), "minhash-cc2")
     named = nodes.select("node", "min_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
