@@ -5,8 +5,9 @@
 2. ``BANDS`` bands of the minima give buckets. Of each minimum only ``BITS`` low bits are retained,
    packed into longs; two nodes' similarity is estimated from the bit count of their difference,
    corrected for low bits that agree by chance.
-3. Every node of a bucket is paired with the bucket's least node; of the pairs that could be links by
-   their estimate each node's best one is confirmed on the full sets, and components are formed.
+3. Every node of a bucket is paired with the bucket's least and greatest node. Of the pairs that could be
+   links by their estimate each node's best one is confirmed on the full sets and components are formed,
+   then those that lie across components.
 4. Nodes that still share a bucket with a node of another component to which they may be linked, by the
    estimate, are joined among themselves by exact bounds on their sets and confirmed, so no link
    that shares a bucket is lost, while a large group of copies never comes out as all its pairs.
@@ -188,9 +189,10 @@ def _near_size(threshold: int) -> Column:
 
 
 def _hub_pairs(buckets: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
-    """(a, b, est): every node with the least node of each of its buckets, if they may be a link."""
-    hubs = buckets.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    pairs = buckets.join(hubs, "key").where("node != b").select(F.col("node").alias("a"), "b").distinct()
+    """(a, b, est): every node with the least and the greatest node of each of its buckets, if they may be a link."""
+    hubs = buckets.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
+    met = buckets.join(hubs, "key").select(F.col("node").alias("a"), F.explode(F.array("lo", "hi")).alias("b"))
+    pairs = met.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     return _estimated(pairs, nodes, threshold)
 
 
@@ -296,6 +298,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: int = THRESHOLD, tex
     both = best.select(F.col("a").alias("node")).union(best.select("b")).distinct()
     first = _confirmed(best, _sets_of(both, docs, nodes, n), threshold, "minhash-links")
     roots = components(first, "minhash-cc")
+    root_of = lambda s: roots.select(F.col("node").alias(s), F.col("root").alias(f"root_{s}"))
+    across = (pairs.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+              .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+              .join(best, ["a", "b"], "left_anti"))
+    across = written(across, "minhash-across")
+    if not across.isEmpty():
+        both = across.select(F.col("a").alias("node")).union(across.select("b")).distinct()
+        first = first.union(_confirmed(across, _sets_of(both, docs, nodes, n), threshold, "minhash-hubs"))
+        roots = components(first, "minhash-cc1")
     suspects = written(_suspects(buckets, nodes, roots, threshold, block), "minhash-suspects")
     if not suspects.isEmpty():
         sets = _sets_of(suspects.select("node"), docs, nodes, n)
