@@ -3,10 +3,11 @@
 1. Documents become word ids of the benchmark's vocabulary (words that no item has match nothing).
    Passages are windows of ``WINDOW`` words, one every half window.
 2. The passages' TF-IDF matrix is factored by a randomised SVD: each pass multiplies a thin matrix by
-   A and A transposed, task by task; the sums over tasks, (terms x ``RANK`` + some) numbers, go to the driver,
-   which orthogonalises them. Two passes and a Rayleigh-Ritz step give the latent space.
+   A and A transposed, task by task; the sums over tasks, (terms x ``RANK`` + some) numbers, go to the driver.
+   One such pass and the singular vectors of what it gives (a Nystroem step) make the latent space.
 3. Passages are compared with the passages of every item by cosine in that space; those above
-   ``LEAST_COSINE`` are candidates, without a limit on their number.
+   ``LEAST_COSINE`` are candidates, without a limit on their number. Items of up to ``SHORT_ITEM``
+   words, which a window would dilute, are compared with windows of half the length.
 4. A candidate is confirmed on words: the longest common subsequence of the item and its place in
    the document covers ``VERBATIM`` of the item, or ``PARAPHRASE`` of it and the item's answer, its
    last ``ANSWER`` words, stands there in one run. Items of under ``SHORT`` words need all words in one run.
@@ -26,17 +27,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from circulation.llm.common import free_name, bound_memory, without, written
+from circulation.llm.common import bound_memory, free_name, shuffle_partitions, without, written
 from circulation.llm.minhash import words
 
 HALF = 16
 WINDOW = 2 * HALF
+# Items of up to SHORT_ITEM words are sought in windows of 2 CELLs, one every CELL.
+CELL = HALF // 2
+SHORT_ITEM = 3 * CELL
 RANK, EXTRA = 64, 16
-LEAST_COSINE = 0.4
+LEAST_COSINE, LEAST_COSINE_SHORT = 0.5, 0.45
 VERBATIM, PARAPHRASE = 0.8, 0.6
 ANSWER, SHORT = 5, 8
 MAX_TERMS = 32_768
@@ -66,16 +71,27 @@ def word_ids(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, n
 
 # --- passages --------------------------------------------------------------------------------
 
-def halves(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each half window begins among all words, and its number in its text."""
-    n = -(-lengths // HALF)
+def halves(lengths: np.ndarray, size: int = HALF) -> tuple[np.ndarray, np.ndarray]:
+    """Where each half window (of ``size`` words) begins among all words, and its number in its text."""
+    n = -(-lengths // size)
     of = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return np.repeat(np.cumsum(lengths) - lengths, n) + of * HALF, of
+    return np.repeat(np.cumsum(lengths) - lengths, n) + of * size, of
 
 
-def half_sums(ids: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """For each half window the sum of its words' rows; the last row is that of unknown words, zero."""
-    return np.add.reduceat(rows[ids], starts, axis=0) if len(starts) else np.zeros((0, rows.shape[1]), rows.dtype)
+def known_words(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words in the vocabulary, and the half window of each."""
+    half = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
+    known = ids >= 0
+    return ids[known], half[known]
+
+
+def half_sums(known: np.ndarray, half: np.ndarray, n: int, rows: np.ndarray) -> np.ndarray:
+    """For each of n half windows the sum of its known words' rows."""
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    heads = np.flatnonzero(np.diff(half, prepend=-1))
+    if len(heads):
+        out[half[heads]] = np.add.reduceat(rows[known], heads, axis=0)
+    return out
 
 
 def windows(sums: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -99,18 +115,29 @@ def _portions(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[
             lo = hi
 
 
-def _summed(parts: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
-    """The sum of all tasks' arrays, block by block on the executors; ``shape`` does not grow with the corpus."""
+PARTIAL = "part int, block int, data binary"
+FAN_IN = 64
+
+
+def _summed(parts: DataFrame, shape: tuple[int, ...], n_parts: int) -> np.ndarray:
+    """The sum of all tasks' arrays (``PARTIAL``), FAN_IN of them at a time and block by block on the
+    executors, until the sum of all is left; ``shape`` does not grow with the corpus."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+        total: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
-            for block, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                a = np.frombuffer(data)
-                total[block] = total[block] + a if block in total else a
+            for part, block, data in zip(*(c.to_pylist() for c in b.columns)):
+                a, key = np.frombuffer(data), (part, block)
+                total[key] = total[key] + a if key in total else a
         if total:
             yield _blocks(total)
 
-    got = parts.repartition(8, "block").mapInArrow(add, parts.schema).collect()
+    while True:
+        n_parts = -(-n_parts // FAN_IN)
+        parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
+        parts = parts.repartition(min(8 * n_parts, shuffle_partitions(parts.sparkSession)), "part", "block").mapInArrow(add, PARTIAL)
+        if n_parts == 1:
+            break
+    got = parts.collect()
     out = np.zeros(math.prod(shape))
     step = -(-out.size // 8)
     for r in got:
@@ -118,15 +145,16 @@ def _summed(parts: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
     return out.reshape(shape)
 
 
-def _blocks(total: dict[int, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([a.tobytes() for a in total.values()], pa.binary())],
-                                      names=["block", "data"])
+def _blocks(total: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array([p for p, _ in total], pa.int32()), pa.array([b for _, b in total], pa.int32()),
+        pa.array([a.tobytes() for a in total.values()], pa.binary())], names=["part", "block", "data"])
 
 
 def _cut(total: np.ndarray) -> pa.RecordBatch:
-    flat = total.ravel()
+    flat, part = total.ravel(), TaskContext.get().partitionId()
     step = -(-flat.size // 8)
-    return _blocks({i: flat[i * step:(i + 1) * step] for i in range(8) if i * step < flat.size})
+    return _blocks({(part, i): flat[i * step:(i + 1) * step] for i in range(8) if i * step < flat.size})
 
 
 def half_frequencies(passages: DataFrame, terms: int) -> tuple[np.ndarray, float]:
@@ -135,64 +163,61 @@ def half_frequencies(passages: DataFrame, terms: int) -> tuple[np.ndarray, float
         total = np.zeros(terms + 1)
         for ids, lengths in _portions(batches, 0):
             starts, _ = halves(lengths)
-            half = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
-            known = ids >= 0
-            pairs = np.unique(half[known] * terms + ids[known] % terms)
+            known, half = known_words(ids, starts)
+            pairs = np.unique(half * terms + known % terms)
             total[:terms] += np.bincount(pairs % terms, minlength=terms)
             total[terms] += len(starts)
         yield _cut(total)
 
-    total = _summed(passages.mapInArrow(count, "block int, data binary"), (terms + 1,))
+    total = _summed(passages.mapInArrow(count, PARTIAL), (terms + 1,), passages.rdd.getNumPartitions())
     return total[:terms], total[terms]
 
 
-def _with_unknown(rows: np.ndarray, n_words: int) -> np.ndarray:
-    """Rows by word id, a zero row last (which id -1 takes); beyond MAX_TERMS several words share a row."""
+def _by_word(rows: np.ndarray, n_words: int) -> np.ndarray:
+    """Rows by word id; beyond MAX_TERMS several words share a row."""
     terms = len(rows)
-    full = rows if n_words <= terms else rows[np.arange(n_words) % terms]
-    return np.vstack([full, np.zeros((1, rows.shape[1]))]).astype(np.float32)
+    return (rows if n_words <= terms else rows[np.arange(n_words) % terms]).astype(np.float32)
 
 
 def gram_product(passages: DataFrame, idf: np.ndarray, thin: np.ndarray, n_words: int) -> np.ndarray:
     """A^T (A thin) for the TF-IDF matrix A of all passages: one pass."""
     terms, width = thin.shape
-    held = passages.sparkSession.sparkContext.broadcast(_with_unknown(idf[:, None] * thin, n_words))
+    held = passages.sparkSession.sparkContext.broadcast(_by_word(idf[:, None] * thin, n_words))
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, total = held.value, np.zeros((terms, width))
         for ids, lengths in _portions(batches, 0):
             starts, number = halves(lengths)
-            p = windows(half_sums(ids, starts, rows), number)
+            known, half = known_words(ids, starts)
+            p = windows(half_sums(known, half, len(starts), rows), number)
             # A half belongs to the window it begins and to the one before.
             back = p.copy()
             follows = np.flatnonzero(number[1:] > 0) + 1
             back[follows] += p[follows - 1]
-            half = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
-            known = np.flatnonzero(ids >= 0)
-            term = ids[known] % terms
+            term = (known % terms).astype(np.uint16)
             order = np.argsort(term, kind="stable")
-            heads = np.flatnonzero(np.diff(term[order], prepend=-1))
+            heads = np.flatnonzero(np.diff(term[order].astype(np.int32), prepend=-1))
             if len(heads):
-                total[term[order][heads]] += np.add.reduceat(back[half[known[order]]], heads, axis=0)
+                total[term[order][heads]] += np.add.reduceat(back[half[order]], heads, axis=0)
         yield _cut(total)
 
-    return idf[:, None] * _summed(passages.mapInArrow(multiply, "block int, data binary"), (terms, width))
+    return idf[:, None] * _summed(passages.mapInArrow(multiply, PARTIAL), (terms, width), passages.rdd.getNumPartitions())
 
 
 def latent_rows(passages: DataFrame, n_words: int, rank: int = RANK) -> np.ndarray:
     """By word id: the word's idf-weighted coordinates in the whitened latent space."""
     terms = min(n_words, MAX_TERMS)
     df, n = half_frequencies(passages, terms)
-    idf = np.log((n + 1) / (df + 1))
+    idf = np.log((n + 1) / (df + 1)) + 0.1  # a word of every passage still counts a little
     width = min(rank + EXTRA, terms)
     thin = np.random.default_rng(7).standard_normal((terms, width))
-    basis, _ = np.linalg.qr(gram_product(passages, idf, thin, n_words))
-    image = gram_product(passages, idf, basis, n_words)
-    values, vectors = np.linalg.eigh((basis.T @ image + image.T @ basis) / 2)
-    top = np.argsort(values)[::-1][:rank]
-    top = top[values[top] > max(values.max(), 0) * 1e-9]
-    latent = basis @ vectors[:, top] / np.sqrt(values[top])
-    return _with_unknown(idf[:, None] * latent, n_words)
+    image = gram_product(passages, idf, thin, n_words)
+    # Of the Gram matrix G: G thin (thin' G thin)^-1 thin' G = B B', whose singular vectors are those sought.
+    values, vectors = np.linalg.eigh((thin.T @ image + image.T @ thin) / 2)
+    good = values > max(values.max(), 0) * 1e-12
+    left, singular, _ = np.linalg.svd(image @ (vectors[:, good] / np.sqrt(values[good])), full_matrices=False)
+    top = singular[:rank] > (singular[0] * 1e-6 if len(singular) else 0)
+    return _by_word(idf[:, None] * (left[:, :rank][:, top] / singular[:rank][top]), n_words)
 
 
 # --- confirmation ----------------------------------------------------------------------------
@@ -224,31 +249,59 @@ class Items:
             for k, w in enumerate(ids):
                 at[w] = at.get(w, 0) | 1 << k
             self.places.append(at)
-        vectors, of, start = [], [], []
-        for i, (_, ids) in enumerate(items):
-            for s in sorted({*range(0, max(1, len(ids) - WINDOW + 1), HALF), max(0, len(ids) - WINDOW)}):
-                vectors.append(rows[ids[s:s + WINDOW]].sum(axis=0))
-                of.append(i)
-                start.append(s)
-        self.vectors, self.of, self.start = _unit(np.array(vectors, np.float32)), np.array(of), np.array(start)
-
-    def confirm(self, i: int, ids: np.ndarray, begin: int) -> tuple[int, bool, int] | None:
-        """(common words, answer found, where) if item i stands in the document about word ``begin``."""
-        key, item = self.items[i]
-        n, slack = len(item), HALF + len(item) // 4
-        lo = max(0, begin - slack)
-        region = ids[lo:max(0, begin + n + slack)]
-        near = region[region >= 0].tolist()
-        places = self.places[i]
-        if sum(w in places for w in near) < PARAPHRASE * n:
+        # For windows and for short windows: the passages' vectors, items and starts.
+        self.passages = []
+        for short in (False, True):
+            found = [(rows[ids[s:s + WINDOW]].sum(axis=0), i, s) for i, (_, ids) in enumerate(items)
+                     if (len(ids) <= SHORT_ITEM) == short
+                     for s in sorted({*range(0, max(1, len(ids) - WINDOW + 1), HALF), max(0, len(ids) - WINDOW)})]
+            if found:
+                vectors, of, start = zip(*found)
+                self.passages.append((short, _unit(np.array(vectors, np.float32)), np.array(of), np.array(start)))
+        self.lengths = np.array([len(ids) for _, ids in items])
+        # Which words an item has: a table (its last row is for unknown words), or beyond 64 MB sorted pairs.
+        n = len(items)
+        self.member = np.unique(np.concatenate([np.array(ids, np.int64) * n + i for i, (_, ids) in enumerate(items)]))
+        self.table = None
+        if (len(rows) + 1) * n <= 64 << 20:
+            self.table = np.zeros((len(rows) + 1, n), bool)
+            self.table[self.member // n, self.member % n] = True
+
+    def likely(self, ids: np.ndarray, of: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """For which of the candidates (item, place ``lo`` to ``hi`` among ``ids``) enough words are the item's at all.
+
+        A common subsequence is no longer than the number of such words, so no candidate is lost."""
+        out = np.zeros(len(of), bool)
+        for a in range(0, len(of), 20_000):
+            s = slice(a, a + 20_000)
+            width = hi[s] - lo[s]
+            firsts = np.cumsum(width) - width
+            item = np.repeat(of[s], width)
+            words = ids[np.arange(width.sum()) + np.repeat(lo[s] - firsts, width)]
+            if self.table is not None:
+                hit = self.table[words, item]
+            else:
+                hit = np.isin(words.astype(np.int64) * len(self.items) + item, self.member) & (words >= 0)
+            full = np.flatnonzero(width)
+            n = np.zeros(len(width), np.int64)
+            if len(full):
+                n[full] = np.add.reduceat(hit, firsts[full], dtype=np.int64)
+            out[s] = n >= PARAPHRASE * self.lengths[of[s]]
+        return out
+
+    def confirm(self, i: int, region: np.ndarray) -> tuple[int, bool] | None:
+        """(common words, answer found) if item i stands in the region."""
+        _, item = self.items[i]
+        n, places = len(item), self.places[i]
+        common = lcs_length(region[region >= 0].tolist(), places, n)
+        if common < PARAPHRASE * n:
             return None
-        common = lcs_length(near, places, n)
         answer = _has_run(region.tolist(), item[-ANSWER:])
         if n < SHORT:
             good = _has_run(region.tolist(), item)
         else:
             good = common >= VERBATIM * n or (common >= PARAPHRASE * n and answer)
-        return (common, answer, lo) if good else None
+        return (common, answer) if good else None
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -257,30 +310,34 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 def _leaks(ids: np.ndarray, lengths: np.ndarray, rows: np.ndarray, items: Items) -> dict[int, list[dict]]:
     """Confirmed leaks by the text's number in this portion."""
-    starts, number = halves(lengths)
-    vectors = _unit(windows(half_sums(ids, starts, rows), number))
-    text = np.repeat(np.arange(len(lengths)), -(-lengths // HALF))
+    starts, number = halves(lengths, CELL)
+    cells = half_sums(*known_words(ids, starts), len(starts), rows)
+    text = np.repeat(np.arange(len(lengths)), -(-lengths // CELL))
+    even = np.flatnonzero(number % 2 == 0)
+    pairs = windows(cells, number)  # 2 cells from each cell on: short windows, and from even cells on half windows
     firsts = np.cumsum(lengths) - lengths
     best: dict[tuple[int, int], dict] = {}
-    nearest: dict[tuple[int, int], float] = {}
-    tried = set()
-    for lo in range(0, len(items.of), ITEMS_AT_ONCE):
-        cosines = vectors @ items.vectors[lo:lo + ITEMS_AT_ONCE].T
-        at, of = np.nonzero(cosines >= LEAST_COSINE)
-        for h, p, c in zip(at.tolist(), of.tolist(), cosines[at, of].tolist()):
-            i, t = int(items.of[lo + p]), int(text[h])
-            nearest[t, i] = max(c, nearest.get((t, i), c))
-            begin = int(number[h]) * HALF - int(items.start[lo + p])
-            if (t, i, begin // HALF) in tried:
-                continue
-            tried.add((t, i, begin // HALF))
-            found = items.confirm(i, ids[firsts[t]:firsts[t] + lengths[t]], begin)
-            if found and found[0] > best.get((t, i), {"lcs_words": -1})["lcs_words"]:
-                best[t, i] = {"item_id": items.items[i][0], "lcs_words": found[0], "item_words": len(items.items[i][1]),
-                              "answer_found": found[1], "word_offset": found[2]}
+    found = [(short, *passages, block) for short, *passages in items.passages for block in range(0, len(passages[1]), ITEMS_AT_ONCE)]
+    for short, targets, of_item, in_item, block in found:
+        mine = np.arange(len(number)) if short else even
+        vectors = _unit(pairs if short else windows(pairs[even], number[even] // 2))
+        cosines = vectors @ targets[block:block + ITEMS_AT_ONCE].T
+        at, of = np.nonzero(cosines >= (LEAST_COSINE_SHORT if short else LEAST_COSINE))
+        cosine, item, t = cosines[at, of], of_item[block + of], text[mine[at]]
+        # Where the item would begin, and its place with room on both sides.
+        begin = number[mine[at]] * CELL - in_item[block + of]
+        slack = HALF + items.lengths[item] // 4
+        lo = firsts[t] + np.clip(begin - slack, 0, lengths[t])
+        hi = firsts[t] + np.clip(begin + items.lengths[item] + slack, 0, lengths[t])
+        for k in np.flatnonzero(items.likely(ids, item, lo, hi)).tolist():
+            i, pair = int(item[k]), (int(t[k]), int(item[k]))
+            leak = items.confirm(i, ids[lo[k]:hi[k]])
+            if leak and leak[0] > best.get(pair, {"lcs_words": -1})["lcs_words"]:
+                best[pair] = {"item_id": items.items[i][0], "lcs_words": leak[0], "item_words": len(items.items[i][1]),
+                              "answer_found": leak[1], "cosine": float(cosine[k]), "word_offset": int(lo[k] - firsts[pair[0]])}
     out: dict[int, list[dict]] = {}
-    for (t, i), leak in sorted(best.items()):
-        out.setdefault(t, []).append(leak | {"cosine": nearest[t, i]})
+    for (t_, _), leak in sorted(best.items()):
+        out.setdefault(t_, []).append(leak)
     return out
 
 
