@@ -7,7 +7,10 @@
    One such pass and the singular vectors of what it gives (a Nystroem step) make the latent space.
 3. Passages are compared with the passages of every item by cosine in that space; those above
    ``LEAST_COSINE`` are candidates, without a limit on their number. Items of up to ``SHORT_ITEM``
-   words, which a window would dilute, are compared with windows of half the length.
+   words, which a window would dilute, are compared with windows of half the length. Candidates are
+   also all places where an item's answer stands, so that no paraphrase is lost that rests on it,
+   and all where ``SEED`` words of an item stand in a row: of 0.8 of an item's words so many always do,
+   unless words were put between them.
 4. A candidate is confirmed on words: the longest common subsequence of the item and its place in
    the document covers ``VERBATIM`` of the item, or ``PARAPHRASE`` of it and the item's answer, its
    last ``ANSWER`` words, stands there in one run. Items of under ``SHORT`` words need all words in one run.
@@ -41,9 +44,9 @@ WINDOW = 2 * HALF
 CELL = HALF // 2
 SHORT_ITEM = 3 * CELL
 RANK, EXTRA = 64, 16
-LEAST_COSINE, LEAST_COSINE_SHORT = 0.5, 0.45
+LEAST_COSINE, LEAST_COSINE_SHORT = 0.4, 0.35
 VERBATIM, PARAPHRASE = 0.8, 0.6
-ANSWER, SHORT = 5, 8
+ANSWER, SHORT, SEED = 5, 8, 3
 MAX_TERMS = 32_768
 MAX_WORDS = 2_000_000
 ITEMS_AT_ONCE = 8192
@@ -238,6 +241,44 @@ def _has_run(a: list[int], run: list[int]) -> bool:
     return any(a[k:k + n] == run for k in range(len(a) - n + 1) if a[k] == run[0])
 
 
+class Runs:
+    """Runs of words of the items, and where they stand in texts."""
+
+    def __init__(self, runs: list[tuple[tuple[int, ...], int, int]], n_words: int):
+        """``runs``: words, item, and the run's place in the item."""
+        # By length: which words begin a run, and the runs' sorted keys, items and places.
+        self.by_length = []
+        for n in sorted({len(words) for words, _, _ in runs}):
+            words, of, start = (np.array(x) for x in zip(*(r for r in runs if len(r[0]) == n)))
+            begins = np.zeros(n_words + 1, bool)  # the last is for unknown words
+            begins[words[:, 0]] = True
+            keys = self._keys(words.T)
+            order = np.argsort(keys, kind="stable")
+            self.by_length.append((n, begins, keys[order], of[order], start[order]))
+
+    @staticmethod
+    def _keys(words: np.ndarray) -> np.ndarray:
+        """A 64-bit key of each column of words; confirmation tells runs of one key apart."""
+        out = np.zeros(words.shape[1], np.uint64)
+        for w in words:
+            out = (out + w.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            out ^= out >> np.uint64(29)
+        return out
+
+    def places(self, ids: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """(word, item, word where the item would begin) of all runs in the texts; ``text``: each word's text."""
+        found = [np.zeros((3, 0), np.int64)]
+        for n, begins, keys, of, start in self.by_length:
+            at = np.flatnonzero(begins[ids[:len(ids) - n + 1]]) if len(ids) >= n else np.zeros(0, np.int64)
+            at = at[text[at] == text[at + n - 1]]
+            sought = self._keys(np.stack([ids[at + k] for k in range(n)]))
+            lo = np.searchsorted(keys, sought)
+            n_runs = np.searchsorted(keys, sought, side="right") - lo
+            at, run = np.repeat(at, n_runs), np.repeat(lo - np.cumsum(n_runs) + n_runs, n_runs) + np.arange(n_runs.sum())
+            found.append(np.stack([at, of[run], at - start[run]]))
+        return np.concatenate(found, axis=1)
+
+
 class Items:
     """The benchmark by word ids, and its passages in the latent space."""
 
@@ -258,6 +299,9 @@ class Items:
             if found:
                 vectors, of, start = zip(*found)
                 self.passages.append((short, _unit(np.array(vectors, np.float32)), np.array(of), np.array(start)))
+        full = [(i, tuple(ids)) for i, (_, ids) in enumerate(items) if len(ids) >= SHORT]
+        self.answers = Runs([(ids[-ANSWER:], i, len(ids) - ANSWER) for i, ids in full], len(rows))
+        self.seeds = Runs([(ids[k:k + SEED], i, k) for i, ids in full for k in range(len(ids) - SEED + 1)], len(rows))
         self.lengths = np.array([len(ids) for _, ids in items])
         # Which words an item has: a table (its last row is for unknown words), or beyond 64 MB sorted pairs.
         n = len(items)
@@ -267,10 +311,11 @@ class Items:
             self.table = np.zeros((len(rows) + 1, n), bool)
             self.table[self.member // n, self.member % n] = True
 
-    def likely(self, ids: np.ndarray, of: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    def likely(self, ids: np.ndarray, of: np.ndarray, lo: np.ndarray, hi: np.ndarray, answers: np.ndarray) -> np.ndarray:
         """For which of the candidates (item, place ``lo`` to ``hi`` among ``ids``) enough words are the item's at all.
 
-        A common subsequence is no longer than the number of such words, so no candidate is lost."""
+        A common subsequence is no longer than the number of such words, so no candidate is lost. ``PARAPHRASE`` is
+        enough where the item's answer stands; ``answers``: item * len(ids) + word of all answers, rising."""
         out = np.zeros(len(of), bool)
         for a in range(0, len(of), 20_000):
             s = slice(a, a + 20_000)
@@ -286,7 +331,8 @@ class Items:
             n = np.zeros(len(width), np.int64)
             if len(full):
                 n[full] = np.add.reduceat(hit, firsts[full], dtype=np.int64)
-            out[s] = n >= PARAPHRASE * self.lengths[of[s]]
+            answer = np.searchsorted(answers, of[s] * len(ids) + hi[s] - ANSWER, side="right") > np.searchsorted(answers, of[s] * len(ids) + lo[s])
+            out[s] = n >= np.where(answer | (self.lengths[of[s]] < SHORT), PARAPHRASE, VERBATIM) * self.lengths[of[s]]
         return out
 
     def confirm(self, i: int, region: np.ndarray) -> tuple[int, bool] | None:
@@ -317,24 +363,36 @@ def _leaks(ids: np.ndarray, lengths: np.ndarray, rows: np.ndarray, items: Items)
     pairs = windows(cells, number)  # 2 cells from each cell on: short windows, and from even cells on half windows
     firsts = np.cumsum(lengths) - lengths
     best: dict[tuple[int, int], dict] = {}
+    of_word = np.repeat(np.arange(len(lengths)), lengths)
+    ended, seeded = items.answers.places(ids, of_word), items.seeds.places(ids, of_word)
+    answers = np.sort(ended[1] * len(ids) + ended[0])
     found = [(short, *passages, block) for short, *passages in items.passages for block in range(0, len(passages[1]), ITEMS_AT_ONCE)]
-    for short, targets, of_item, in_item, block in found:
-        mine = np.arange(len(number)) if short else even
-        vectors = _unit(pairs if short else windows(pairs[even], number[even] // 2))
-        cosines = vectors @ targets[block:block + ITEMS_AT_ONCE].T
-        at, of = np.nonzero(cosines >= (LEAST_COSINE_SHORT if short else LEAST_COSINE))
-        cosine, item, t = cosines[at, of], of_item[block + of], text[mine[at]]
-        # Where the item would begin, and its place with room on both sides.
-        begin = number[mine[at]] * CELL - in_item[block + of]
+
+    def confirmed(t: np.ndarray, item: np.ndarray, begin: np.ndarray, cosine: np.ndarray | None) -> None:
+        """Looks through the candidates: an item and where it would begin in a text, with room on both sides."""
         slack = HALF + items.lengths[item] // 4
         lo = firsts[t] + np.clip(begin - slack, 0, lengths[t])
         hi = firsts[t] + np.clip(begin + items.lengths[item] + slack, 0, lengths[t])
-        for k in np.flatnonzero(items.likely(ids, item, lo, hi)).tolist():
+        for k in np.flatnonzero(items.likely(ids, item, lo, hi, answers)).tolist():
             i, pair = int(item[k]), (int(t[k]), int(item[k]))
             leak = items.confirm(i, ids[lo[k]:hi[k]])
             if leak and leak[0] > best.get(pair, {"lcs_words": -1})["lcs_words"]:
+                near = best.get(pair, {"cosine": None})["cosine"] if cosine is None else float(cosine[k])
                 best[pair] = {"item_id": items.items[i][0], "lcs_words": leak[0], "item_words": len(items.items[i][1]),
-                              "answer_found": leak[1], "cosine": float(cosine[k]), "word_offset": int(lo[k] - firsts[pair[0]])}
+                              "answer_found": leak[1], "cosine": near, "word_offset": int(lo[k] - firsts[pair[0]])}
+
+    for short, targets, of_item, in_item, block in found:
+        mine = np.arange(len(number)) if short else even
+        vectors = _unit(pairs if short else windows(pairs[even], number[even] // 2))
+        cosines = vectors @ targets[block:block + ITEMS_AT_ONCE].T
+        at, of = np.nonzero(cosines >= (LEAST_COSINE_SHORT if short else LEAST_COSINE))
+        confirmed(text[mine[at]], of_item[block + of], number[mine[at]] * CELL - in_item[block + of], cosines[at, of])
+    at, item, begin = np.concatenate([ended, seeded], axis=1)
+    order = np.lexsort((begin, item, of_word[at]))
+    t, item, begin = of_word[at][order], item[order], begin[order] - firsts[of_word[at][order]]
+    once = np.ones(len(t), bool)  # of runs that place an item within one CELL, the first
+    once[1:] = (np.diff(t) != 0) | (np.diff(item) != 0) | (np.diff(begin // CELL) != 0)
+    confirmed(t[once], item[once], begin[once], None)
     out: dict[int, list[dict]] = {}
     for (t_, _), leak in sorted(best.items()):
         out.setdefault(t_, []).append(leak)

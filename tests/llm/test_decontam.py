@@ -64,6 +64,26 @@ def test_planted_items_are_found_and_clean_ones_stay(documents, cluster):
     assert kept == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_paraphrases_of_every_share_that_the_rule_accepts_are_found(documents, cluster):
+    rng = random.Random(4)
+    words = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "ne", "ru") for b in ("ta", "si", "vo", "pe") for c in ("du", "gi", "ha", "zo", "x")]
+    weights = [1 / (i + 3) for i in range(len(words))]
+    text = lambda n: rng.choices(words, weights, k=n)
+    items = [text(n) for n in (9, 12, 20, 25, 28, 30, 32, 40, 55)]
+    docs, want = [], set()
+    for i in range(270):
+        k, share = i % len(items), (0.62, 0.7, 0.85)[i % 27 // 9]
+        new = list(items[k])
+        body = len(new) if share >= decontam.VERBATIM else len(new) - decontam.ANSWER  # the answer stays in a paraphrase
+        for at in rng.sample(range(body), min(body, int((1 - share) * len(new)))):
+            new[at] = "quux" if i % 2 else text(1)[0]
+        docs.append((i, " ".join(text(60) + new + text(60))))
+        want.add((i, k))
+    benchmark = cluster.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    rows = decontam.marked(documents(docs), benchmark).select("doc_id", F.col("leaks.item_id").alias("items")).collect()
+    assert not want - {(r["doc_id"], k) for r in rows for k in r["items"]}
+
+
 def test_short_items_need_all_words_in_a_run(documents, cluster):
     benchmark = cluster.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
     docs = documents([(1, "x Alpha beta, gamma y"), (2, "alpha x beta gamma"), (3, "gamma beta alpha")])
