@@ -1,6 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Documents become word ids of the benchmark's vocabulary (words that no item has match nothing).
+   Items and documents are cut alike, at any white space; free-standing punctuation is no word.
    Passages are windows of ``WINDOW`` words, one every half window.
 2. The passages' TF-IDF matrix is factored by a randomised SVD: each pass multiplies a thin matrix by
    A and A transposed, task by task; the sums over tasks, (terms x ``RANK`` + some) numbers, go to the driver.
@@ -13,7 +14,8 @@
    unless words were put between them.
 4. A candidate is confirmed on words: the longest common subsequence of the item and its place in
    the document covers ``VERBATIM`` of the item, or ``PARAPHRASE`` of it and the item's answer, its
-   last ``ANSWER`` words, stands there in one run. Items of under ``SHORT`` words need all words in one run.
+   last ``ANSWER`` words, stands there in one run. Items of under ``SHORT`` words need all words in one run, and are
+   sought as such, without the latent space.
 
 Counts, idf and the factorisation cover all documents; the benchmark is a stated query set, at most
 ``MAX_WORDS`` distinct words, compared in blocks of ``ITEMS_AT_ONCE`` passages.
@@ -30,13 +32,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from circulation.llm.common import bound_memory, free_name, shuffle_partitions, without, written
-from circulation.llm.minhash import words
 
 HALF = 16
 WINDOW = 2 * HALF
@@ -51,6 +53,7 @@ MAX_TERMS = 32_768
 MAX_WORDS = 2_000_000
 ITEMS_AT_ONCE = 8192
 TOKENS_AT_ONCE = 100_000
+NO_WORD = -2
 # Punctuation that does not belong to a word.
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#$%&-_/\\«»„“”‘’¿¡…"
 
@@ -64,11 +67,22 @@ def clean(word: str) -> str:
     return word.strip(PUNCTUATION).lower()
 
 
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts one after another, cut at white space, and where each text's begin and end."""
+    parts = pc.utf8_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    flat, ends = parts.flatten(), parts.offsets.to_numpy()
+    full = pc.greater(pc.binary_length(flat), 0)
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return flat.filter(full), before[ends - ends[0]]
+
+
 def word_ids(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """The vocabulary's id (or -1) of every word of the texts, and where each text begins and ends."""
-    flat, ends = words(texts, lower=False)
+    """The vocabulary's id (-1 if it has none, NO_WORD for mere punctuation) of every word of the texts, and where each
+    text begins and ends."""
+    flat, ends = words(texts)
     coded = flat.dictionary_encode()
-    known = np.array([vocabulary.get(clean(w), -1) for w in coded.dictionary.to_pylist()] or [-1], np.int32)
+    cleaned = map(clean, coded.dictionary.to_pylist())
+    known = np.array([vocabulary.get(w, -1) if w else NO_WORD for w in cleaned] or [-1], np.int32)
     return known[coded.indices.to_numpy()] if len(flat) else np.zeros(0, np.int32), ends
 
 
@@ -105,16 +119,20 @@ def windows(sums: np.ndarray, number: np.ndarray) -> np.ndarray:
     return out
 
 
-def _portions(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, lengths) of whole texts, about TOKENS_AT_ONCE words at a time."""
+def _portions(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(ids, lengths, place of each word in its text, number of the first text in its batch) of whole texts, about
+    TOKENS_AT_ONCE words at a time. Mere punctuation is left out of the ids and lengths; it counts in the places."""
     for b in batches:
         texts = b.column(column)
         flat, ends = texts.flatten().to_numpy(), texts.offsets.to_numpy() - texts.offsets[0].as_py()
         lo = 0
         while lo < len(texts):
             hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + TOKENS_AT_ONCE, side="right")) - 1)
-            if ends[hi] > ends[lo]:
-                yield flat[ends[lo]:ends[hi]], np.diff(ends[lo:hi + 1])
+            ids = flat[ends[lo]:ends[hi]]
+            at = np.flatnonzero(ids != NO_WORD)
+            if len(at):
+                lengths = np.diff(np.searchsorted(at, ends[lo:hi + 1] - ends[lo]))
+                yield ids[at], lengths, at - np.repeat(ends[lo:hi] - ends[lo], lengths), lo
             lo = hi
 
 
@@ -164,7 +182,7 @@ def half_frequencies(passages: DataFrame, terms: int) -> tuple[np.ndarray, float
     """In how many half windows each term stands, and how many there are."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(terms + 1)
-        for ids, lengths in _portions(batches, 0):
+        for ids, lengths, _, _ in _portions(batches, 0):
             starts, _ = halves(lengths)
             known, half = known_words(ids, starts)
             pairs = np.unique(half * terms + known % terms)
@@ -189,7 +207,7 @@ def gram_product(passages: DataFrame, idf: np.ndarray, thin: np.ndarray, n_words
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, total = held.value, np.zeros((terms, width))
-        for ids, lengths in _portions(batches, 0):
+        for ids, lengths, _, _ in _portions(batches, 0):
             starts, number = halves(lengths)
             known, half = known_words(ids, starts)
             p = windows(half_sums(known, half, len(starts), rows), number)
@@ -294,14 +312,15 @@ class Items:
         self.passages = []
         for short in (False, True):
             found = [(rows[ids[s:s + WINDOW]].sum(axis=0), i, s) for i, (_, ids) in enumerate(items)
-                     if (len(ids) <= SHORT_ITEM) == short
+                     if (len(ids) <= SHORT_ITEM) == short and len(ids) >= SHORT
                      for s in sorted({*range(0, max(1, len(ids) - WINDOW + 1), HALF), max(0, len(ids) - WINDOW)})]
             if found:
                 vectors, of, start = zip(*found)
                 self.passages.append((short, _unit(np.array(vectors, np.float32)), np.array(of), np.array(start)))
         full = [(i, tuple(ids)) for i, (_, ids) in enumerate(items) if len(ids) >= SHORT]
+        whole = [(tuple(ids), i, 0) for i, (_, ids) in enumerate(items) if len(ids) < SHORT]
         self.answers = Runs([(ids[-ANSWER:], i, len(ids) - ANSWER) for i, ids in full], len(rows))
-        self.seeds = Runs([(ids[k:k + SEED], i, k) for i, ids in full for k in range(len(ids) - SEED + 1)], len(rows))
+        self.seeds = Runs(whole + [(ids[k:k + SEED], i, k) for i, ids in full for k in range(len(ids) - SEED + 1)], len(rows))
         self.lengths = np.array([len(ids) for _, ids in items])
         # Which words an item has: a table (its last row is for unknown words), or beyond 64 MB sorted pairs.
         n = len(items)
@@ -332,7 +351,7 @@ class Items:
             if len(full):
                 n[full] = np.add.reduceat(hit, firsts[full], dtype=np.int64)
             answer = np.searchsorted(answers, of[s] * len(ids) + hi[s] - ANSWER, side="right") > np.searchsorted(answers, of[s] * len(ids) + lo[s])
-            out[s] = n >= np.where(answer | (self.lengths[of[s]] < SHORT), PARAPHRASE, VERBATIM) * self.lengths[of[s]]
+            out[s] = n >= np.where(answer, PARAPHRASE, VERBATIM) * self.lengths[of[s]]
         return out
 
     def confirm(self, i: int, region: np.ndarray) -> tuple[int, bool] | None:
@@ -354,7 +373,7 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
-def _leaks(ids: np.ndarray, lengths: np.ndarray, rows: np.ndarray, items: Items) -> dict[int, list[dict]]:
+def _leaks(ids: np.ndarray, lengths: np.ndarray, places: np.ndarray, rows: np.ndarray, items: Items) -> dict[int, list[dict]]:
     """Confirmed leaks by the text's number in this portion."""
     starts, number = halves(lengths, CELL)
     cells = half_sums(*known_words(ids, starts), len(starts), rows)
@@ -379,7 +398,7 @@ def _leaks(ids: np.ndarray, lengths: np.ndarray, rows: np.ndarray, items: Items)
             if leak and leak[0] > best.get(pair, {"lcs_words": -1})["lcs_words"]:
                 near = best.get(pair, {"cosine": None})["cosine"] if cosine is None else float(cosine[k])
                 best[pair] = {"item_id": items.items[i][0], "lcs_words": leak[0], "item_words": len(items.items[i][1]),
-                              "answer_found": leak[1], "cosine": near, "word_offset": int(lo[k] - firsts[pair[0]])}
+                              "answer_found": leak[1], "cosine": near, "word_offset": int(places[lo[k]])}
 
     for short, targets, of_item, in_item, block in found:
         mine = np.arange(len(number)) if short else even
@@ -407,7 +426,9 @@ def marked(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: s
     docs = without(docs, [out])
     # The stated query set: its size is bounded by MAX_WORDS below.
     stated = benchmark.select(F.col(item_id).cast("long"), F.col(item_text).cast("string")).collect()
-    cleaned = [(k, [w for w in map(clean, (t or "").split()) if w]) for k, t in stated]
+    flat, ends = words(pa.array([r[1] for r in stated], pa.large_string()))
+    flat = list(map(clean, flat.to_pylist()))
+    cleaned = [(r[0], [w for w in flat[a:b] if w]) for r, a, b in zip(stated, ends, ends[1:])]
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in cleaned for w in ws}))}
     if len(vocabulary) > MAX_WORDS:
         raise ValueError(f"the benchmark has over {MAX_WORDS} distinct words: mark the documents part by part")
@@ -436,16 +457,9 @@ def marked(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: s
         rows, items = held.value
         for b in batches:
             found: list[list[dict]] = [[] for _ in range(b.num_rows)]
-            column = b.column(len(names))
-            full = np.flatnonzero(np.diff(column.offsets.to_numpy()))
-            done = 0
-            for ids, lengths in _portions([b], len(names)):
-                n_full = int((lengths > 0).sum())
-                mine = full[done:done + n_full]
-                done += n_full
-                order = np.cumsum(lengths > 0) - 1
-                for t, leaks in _leaks(ids, lengths, rows, items).items():
-                    found[mine[order[t]]] = leaks
+            for ids, lengths, places, first in _portions([b], len(names)):
+                for t, leaks in _leaks(ids, lengths, places, rows, items).items():
+                    found[first + t] = leaks
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, kind)], names=[*names, out])
 
     return passages.mapInArrow(search, out_schema)

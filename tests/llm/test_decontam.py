@@ -90,6 +90,26 @@ def test_short_items_need_all_words_in_a_run(documents, cluster):
     assert [r["doc_id"] for r in decontam.decontaminated(docs, benchmark).orderBy("doc_id").collect()] == [2, 3]
 
 
+def test_copies_of_short_items_are_found_through_punctuation_and_any_space(documents, cluster):
+    rng = random.Random(9)
+    common = ["the", "of", "what", "is", "a", "in", "and", "to"]
+    short = [rng.choices(common + [f"w{n}"], k=n - 1) + [f"w{n}"] for n in range(1, 9)]
+    items = [(n, " ".join(w)) for n, w in enumerate(short, 1)] + [
+        (20, "What is 3 * 4 ?"), (21, "one / two - three & four | five six seven eight nine ten eleven"),
+        (22, "le\u00a0chat dort\u3000ici"), (23, "quel est son nom ?"), (24, "* ?")]
+    noise = lambda n: rng.choices(common, k=n)
+    docs = [(k, " ".join([*noise(40), *t.split(), *noise(40)])) for k, t in items]
+    docs += [(120, "so What is 3 * 4 ? then"), (121, "x one two quux quux quux quux seven eight * nine ten / eleven"),
+             (122, "x le chat dort ici"), (123, "Quel est son\u00a0nom\u00a0?"), (220, "what is 3 times 4"), (221, "- ?")]
+    benchmark = cluster.createDataFrame(items, "item_id long, text string")
+    rows = decontam.marked(documents(docs), benchmark).select("doc_id", "leaks").collect()
+    found = {(r["doc_id"], x["item_id"]): x for r in rows for x in r["leaks"]}
+    assert {(k, k) for k, _ in items if k != 24} | {(k + 100, k) for k in range(20, 24)} <= set(found)
+    assert not {(220, 20)} & set(found) and not any(24 in pair for pair in found) and not any(d == 221 for d, _ in found)
+    far = decontam.marked(documents([(1, "- * " * 30 + "Quel est son nom")]), benchmark).first()["leaks"]
+    assert [(x["item_id"], x["word_offset"]) for x in far] == [(23, 60)]
+
+
 def test_empty_sides(documents, cluster):
     none = cluster.createDataFrame([], "item_id long, text string")
     assert decontam.decontaminated(documents([(1, "a b")]), none).count() == 1
