@@ -2,7 +2,7 @@
 
 Main path: DataFrame functions only. Candidates are found by one pattern, validated (Luhn digit,
 calendar, number plan, octets), and mapped by a keyed Feistel permutation of their own format: cards to
-cards with a right check digit, dates to dates of a 400-year span, phone numbers to numbers of the
+cards with a right check digit, dates to dates (those of 1800 to 2199 among themselves), phone numbers to numbers of the
 plan, IPv4 addresses to addresses. Addresses of mail and credentials keep the class of every
 character. A permutation has no collisions, and one key maps equal values alike in every
 document, so records stay linked; whoever holds the key can invert it.
@@ -29,7 +29,10 @@ KEY = "change-me"
 MAIL = r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9][A-Za-z0-9.-]{0,250}\.[A-Za-z]{2,24}(?![\w-])"
 CREDENTIAL = r"(?<!\w)(?:AKIA[0-9A-Z]{16}|(?:password|passwd|token|secret|api_key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_/+-]{8,})(?![\w/+-])"
 PHONE = r"(?<![\w+.-])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}(?![\w-]|[.][0-9])"
-E164 = r"(?<![\w+.-])\+[0-9]{8,15}(?!\w)"
+# Digits, or groups of them with single separators; dots alone only between three groups or more, as one is a decimal point.
+_GAP = "[ \u00a0\u202f/-]?"
+E164 = (r"(?<![\w+.-])\+(?:[0-9]{1,3}" + _GAP + r"\([0-9]{1,4}\)(?:[ \u00a0\u202f./-]?[0-9]){5,8}|(?=[0-9]+\.[0-9]+\.)[0-9](?:\.?[0-9]){7,14}|"
+        r"[0-9](?:" + _GAP + r"[0-9]){7,14})(?!\w)")
 SOCIAL = r"(?<![\w.+-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]|[.][0-9])"
 CARD = r"(?<![\w.+-])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![\w-]|[.][0-9])"
 ADDRESS = r"(?<![\w.+-])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\w|[.-][0-9])"
@@ -38,8 +41,13 @@ _KINDS = [MAIL, CREDENTIAL, PHONE, E164, SOCIAL, CARD, ADDRESS, DATE]
 # In one pattern the card's groups keep their numbers, as no other kind has any.
 CANDIDATE = "|".join(_KINDS)
 
-# 400 Gregorian years, 146,097 days, are 189 x 773.
-FIRST_DAY, DAY_SIDES = "1800-01-01", (189, 773)
+# Days, and days after the 12th of their month (the only ones that show a date to be day-first), of the years 1 to 9999
+# are counted from 0001-01-01. Those of the 400 years 1800 to 2199 (where they begin, and their number as a product) are
+# permuted among themselves, and so are all others.
+FIRST_DAY = "0001-01-01"
+DAYS = (657071, (189, 773), (6, 584327))
+LATE_DAYS = (398015, (9, 9833), (6, 353951))
+LATE_A_MONTH = 88497 / 4800
 
 
 # --- permutations ----------------------------------------------------------------------------
@@ -154,7 +162,9 @@ def _phone(m: Column, key: str) -> Column:
 
 
 def _e164(m: Column, key: str) -> Column:
-    return F.concat(F.substring(m, 1, 2), feistel_classes(F.substring(m, 3, 20), key, "e164"))
+    """All digits but the first; one number maps alike with and without separators."""
+    return let(_digits(m), lambda d: _filled(m, F.concat(
+        F.substring(d, 1, 1), feistel_classes(F.substring(d, 2, 20), key, "e164"))))
 
 
 def _social(m: Column, key: str) -> Column:
@@ -179,20 +189,45 @@ def _address(m: Column, key: str) -> Column:
     return let(octets, lambda o: F.when(F.array_max(o) <= 255, permuted(o)).otherwise(m))
 
 
+def _late_before(month: Column) -> Column:
+    """How many days after the 12th the months before this one (0 is January of year 1) have."""
+    first = F.lit(FIRST_DAY).cast("date")
+    return F.datediff(F.add_months(first, month.cast("int")), first) - 12 * month
+
+
+def _late_day(n: Column) -> Column:
+    def placed(guess: Column) -> Column:
+        month = F.when(_late_before(guess + 1) <= n, guess + 1).when(_late_before(guess) <= n, guess).otherwise(guess - 1)
+        return let(month, lambda k: F.date_add(F.add_months(F.lit(FIRST_DAY).cast("date"), k.cast("int")), (n - _late_before(k) + 12).cast("int")))
+    return let(F.floor(n / LATE_A_MONTH), placed)
+
+
 def _date(m: Column, key: str) -> Column:
-    """Days of 1800 to 2199, in the format they have: 2001-12-31, 31.12.2001 or 12/31/2001."""
-    a, b = DAY_SIDES
+    """Days in the format they have: 2001-12-31, 31.12.2001, 12/31/2001, or 31/12/2001 where that can be no month."""
     first = F.lit(FIRST_DAY).cast("date")
 
-    def permuted(form: str) -> Column:
-        def moved(day: Column) -> Column:
-            n = F.datediff(day, first).cast("long")
-            pair = feistel_pair(F.floor(n / b), a, F.pmod(n, F.lit(b)), b, key, "date")
-            new = let(pair, lambda s: F.date_format(F.date_add(first, (s["l"] * b + s["r"]).cast("int")), form))
-            return F.when(n.between(0, a * b - 1), new).otherwise(m)
-        return let(F.try_to_date(m, form), lambda day: F.when(day.isNull(), m).otherwise(moved(day)))
-    return F.when(m.contains("-"), permuted("yyyy-MM-dd")).when(m.contains("."), permuted("dd.MM.yyyy")).otherwise(
-        permuted("MM/dd/yyyy"))
+    def permuted(n: Column, span: tuple[int, tuple[int, int], tuple[int, int]], tweak: str) -> Column:
+        begin, (a, b), (c, d) = span
+        size = a * b
+
+        def mapped(k: Column, one: int, two: int, t: str) -> Column:
+            return let(feistel_pair(F.floor(k / two), one, F.pmod(k, F.lit(two)), two, key, t), lambda s: s["l"] * two + s["r"])
+        near = mapped(n - begin, a, b, tweak) + begin
+        far = let(mapped(F.when(n < begin, n).otherwise(n - size), c, d, f"far {tweak}"), lambda k: F.when(k < begin, k).otherwise(k + size))
+        return F.when(n.between(begin, begin + size - 1), near).otherwise(far)
+
+    def moved(day: Column) -> Column:
+        days = let(F.datediff(day, first).cast("long"), lambda n: let(permuted(n, DAYS, "date"), lambda x: F.date_add(first, x.cast("int"))))
+        month = (F.year(day) - 1) * 12 + F.month(day) - 1
+        late_days = let((_late_before(month) + F.dayofmonth(day) - 13).cast("long"),
+                        lambda n: let(permuted(n, LATE_DAYS, "late date"), _late_day))
+        return F.when(late, late_days).otherwise(days)
+
+    late = m.contains("/") & F.try_to_date(m, "MM/dd/yyyy").isNull()
+    form = lambda f: F.when(m.contains("-"), f("yyyy-MM-dd")).when(m.contains("."), f("dd.MM.yyyy")).when(
+        late, f("dd/MM/yyyy")).otherwise(f("MM/dd/yyyy"))
+    return let(form(lambda x: F.try_to_date(m, x)), lambda day: F.when(day.isNull() | (day < first), m).otherwise(
+        let(moved(day), lambda new: form(lambda x: F.date_format(new, x)))))
 
 
 def _mail(m: Column, key: str) -> Column:

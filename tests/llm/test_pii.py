@@ -65,6 +65,41 @@ def test_formats_stay_valid_and_values_linked(documents):
     assert replaced(documents, texts[:3], key="other") != got[:3]
 
 
+def test_day_first_dates_and_any_year_are_permuted(cluster, documents):
+    texts = ["le 31/12/1999.", "13/01/1800", "31/12/2199", "29/02/2024", "31.12.1750", "2345-06-07", "12/31/1066", "31/12/0999", "9999-12-31", "0001-01-01"]
+    got = replaced(documents, texts)
+    assert [n for _, n in got] == [1] * len(texts)
+    assert got[0][0].startswith("le ") and got[0][0].endswith(".")
+    for (new, _), form in zip(got, ["le %d/%m/%Y.", *["%d/%m/%Y"] * 3, "%d.%m.%Y", "%Y-%m-%d", "%m/%d/%Y", "%d/%m/%Y", "%Y-%m-%d", "%Y-%m-%d"]):
+        assert dt.datetime.strptime(new, form)
+    assert all(int(got[k][0].removeprefix("le ")[:2]) > 12 for k in (0, 1, 2, 3, 7))  # they still show to be day-first
+    assert all(1800 <= int(got[k][0].strip(".")[-4:]) <= 2199 for k in (0, 1, 2, 3))
+    wrong = ["31/13/1999", "30/02/1999", "32/01/1999", "0000-01-01"]
+    assert replaced(documents, wrong) == [(t, 0) for t in wrong]
+    days = [d for d in (dt.date(2000, 1, 1) + dt.timedelta(k) for k in range(1500)) if d.day > 12]
+    new = [t for t, _ in replaced(documents, [d.strftime("%d/%m/%Y") for d in days])]
+    assert len(set(new)) == len(days) and all(dt.datetime.strptime(t, "%d/%m/%Y").day > 12 for t in new)
+    # Days after the 12th are counted without gaps, and back.
+    counts = [0, 1, 18, 19, 397_999, pii.LATE_DAYS[0], pii.LATE_DAYS[0] + 88_496, 2_212_202]
+    every = cluster.range(2_212_203).where(f"id % 997 = 0 or id in ({', '.join(map(str, counts))})")
+    back = every.select("id", pii._late_day(F.col("id")).alias("d")).withColumn(
+        "n", pii._late_before((F.year("d") - 1) * 12 + F.month("d") - 1) + F.dayofmonth("d") - 13)
+    assert back.where("n <> id or day(d) < 13 or year(d) > 9999").count() == 0
+
+
+def test_international_numbers_with_separators_are_permuted(documents):
+    values = ["+44 20 7946 0958", "+33 1 23 45 67 89", "+33.1.23.45.67.89", "+49-30-1234567", "+44 (0)20 7946 0958", "+1 319 555 5132",
+              "+33\u00a01\u202f23 45 67 89", "+49 30/1234567", "+442079460958"]
+    got = replaced(documents, [f"tel {v}, ok" for v in values])
+    assert [n for _, n in got] == [1] * len(values)
+    new = [t[4:-4] for t, _ in got]
+    for old, now in zip(values, new):
+        assert old != now and re.sub(r"\d", "9", old) == re.sub(r"\d", "9", now)
+    assert re.sub(r"\D", "", new[0]) == re.sub(r"\D", "", new[-1]) and re.sub(r"\D", "", new[1]) == re.sub(r"\D", "", new[2])
+    clean = ["+3.14159265 rad", "+12.5 and +1 2 3", "a+44 20 7946 0958b"]
+    assert replaced(documents, clean) == [(t, 0) for t in clean]
+
+
 def test_clean_and_invalid_texts_stay(documents):
     texts = [None, "", "plain words only", "Version 2.0. of 3. things 1,234.5", "4539148803436468 is no card", "999.1.1.1",
              "2023-02-30", "000-12-3456", "1.2.3.4.5", "a@b", "call 555-1234", "word " * 20_000 + "12", "x1234567890123456y", "é\u0000 $1 \\1"]
