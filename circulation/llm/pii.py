@@ -267,8 +267,8 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text", count: st
         return joined
 
     same = F.struct(t.alias("text"), F.lit(0).cast("long").alias("n"))
-    # A text without a digit, an at sign or a credential's name is not searched any further.
-    maybe = t.rlike("[0-9@]|password|passwd|token|secret|api_key")
+    # A text without a digit, an at sign, AKIA or a credential's name is not searched any further.
+    maybe = t.rlike("[0-9@]|AKIA|password|passwd|token|secret|api_key")
     found = F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))
     out = F.when(maybe, let(found, lambda ms: F.when(F.size(ms) > 0, replaced(ms)).otherwise(same))).otherwise(same)
     work = df.withColumn("__pii", out)
