@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from circulation.llm import decontam, lm, minhash, packing, pii, quality, sharding, token_matrix, url_filter, warc
-from circulation.llm.common import written
-from circulation.llm.common import bound_memory
+from circulation.llm.common import bound_memory, written
 from circulation.session import ensure_checkpoint_dir
 
 
@@ -71,16 +70,16 @@ URL_RULES = [
 SPAM_HOST = r"(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)"
 
 
-def url_list(pages: DataFrame) -> DataFrame:
-    """The universe of the corpus's keys (host and path) and the listed ones among them: the captures of
-    hosts with a spam word in their name, a list that grows with the corpus."""
-    keys = url_filter.with_url_key(pages.select("url")).select("url_key", "host").distinct()
-    return keys.select("url_key", F.col("host").rlike(SPAM_HOST).alias("listed"))
+def spam_list(pages: DataFrame) -> DataFrame:
+    """A list table that grows with the corpus: the keys (host and path) of hosts with a spam word in their name."""
+    return url_filter.with_url_key(pages.select("url")).where(F.col("host").rlike(SPAM_HOST)).select("url_key")
 
 
 def op8_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    levels = url_filter.build_cascade(url_list(pages), "url_key", "listed")
+    listed = written(spam_list(pages), "url-list")
+    universe = url_filter.marked_universe(url_filter.with_url_key(pages), listed, "url_key")
+    levels = url_filter.build_cascade(universe, "url_key", "listed")
     judged = url_filter.judge_urls(pages, URL_RULES, levels)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
