@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from circulation.llm import decontam, lm, minhash, packing, pii, quality, sharding, token_matrix, url_filter, warc
+from circulation.llm import (
+    decontam,
+    lm,
+    minhash,
+    packing,
+    pii,
+    quality,
+    ranked_search,
+    sharding,
+    token_matrix,
+    url_filter,
+    warc,
+)
 from circulation.llm.common import bound_memory, written
 from circulation.session import ensure_checkpoint_dir
 
@@ -97,6 +109,11 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_norm_bucket_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                       table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -108,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bloom_cascade": op8_bloom_cascade,
     "op9_latent_decontamination": op9_latent_decontamination,
     "op10_warc_index": op10_warc_index,
+    "op11_norm_bucket_search": op11_norm_bucket_search,
 }
 
 
@@ -183,6 +201,37 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id, row_number() OVER () AS i, unnest(list_distinct(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS t
+  FROM benchmark
+), totals AS (
+  SELECT count(*) AS nd, sum(len(w))::BIGINT AS nt FROM docs WHERE len(w) > 0
+), counted AS (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM docs) GROUP BY r, t
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counted, totals GROUP BY t
+), lengths AS (
+  SELECT r, doc_id, 100 - 50 + ((50 * len(w)::BIGINT * nd) // nt) AS m FROM docs, totals WHERE len(w) > 0
+), scored AS (
+  SELECT i, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM items JOIN weights USING (t) JOIN counted USING (t) JOIN lengths USING (r)
+  GROUP BY i, r
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_bbit_minhash": OP1_SQL, "op8_bloom_cascade": OP8_SQL, "op10_warc_index": OP10_SQL}
+    return {"op1_bbit_minhash": OP1_SQL, "op8_bloom_cascade": OP8_SQL, "op10_warc_index": OP10_SQL,
+            "op11_norm_bucket_search": OP11_SQL}
