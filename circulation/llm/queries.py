@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from circulation.llm import (
+    conversations,
     decontam,
     lm,
     minhash,
@@ -114,6 +115,12 @@ def op11_norm_bucket_search(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        table(spark, sf_dir, "benchmark"), k=50)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"), "present")
+    return conversations.repair(rows, "present").select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -126,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_latent_decontamination": op9_latent_decontamination,
     "op10_warc_index": op10_warc_index,
     "op11_norm_bucket_search": op11_norm_bucket_search,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 
@@ -232,6 +240,88 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
 
 
+def _op12_sql() -> str:
+    """The cheapest edits by a backward recursion over the rows: of each role state (0 nothing, 1 system, 2 user, 3
+    assistant) the least string of ten digits of cost and the audit."""
+    after, takes = (2, 2, 3, 2), ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+
+    def add(state: str, cost: str, edits: str) -> str:
+        return f"lpad((substr({state}, 1, 10)::BIGINT + {cost})::VARCHAR, 10, '0') || '{edits}' || substr({state}, 11)"
+
+    taken = []
+    for s in range(4):
+        kept = " ".join(f"WHEN x = '{x}' THEN {add(f'b{t}', 't', 'K')}" for x, t in takes[s].items())
+        taken.append(f"least({add(f'b{s}', '3', 'D')}, CASE WHEN must THEN NULL {kept} END, "
+                     f"CASE WHEN NOT must THEN {add(f'b{after[s]}', '(2 + t)', 'R')} END) AS o{s}")
+    best = [f"least(o{s}, {add(f'o{after[s]}', '2', 'I')}, {add(f'o{after[after[s]]}', '4', 'II')}) AS b{s}" for s in range(4)]
+    return rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations
+), hashed AS (
+  SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT),
+    lambda c, b: list_reduce([xor(c, b)] || list_transform(range(8), lambda z: 0::BIGINT),
+      lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 20 AS kind
+  FROM keyed
+), rows_left AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM hashed WHERE kind <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM rows_left
+), coded AS (
+  SELECT *, substr(role, 1, 1) AS x, CASE
+      WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+      WHEN regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') THEN 't'
+      ELSE 'o' END AS f
+  FROM placed
+), convs AS (
+  SELECT conv_id, row_number() OVER () AS c, count(*) AS n, list(x ORDER BY i) AS xs, list(f ORDER BY i) AS fs,
+         list(role ORDER BY i) AS roles, list(text ORDER BY i) AS texts,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM coded GROUP BY conv_id
+), steps AS (
+  SELECT c, n AS i, '0000000000' AS b0, '0000000004II' AS b1, '0000000002I' AS b2, '0000000000' AS b3 FROM convs
+  UNION ALL
+  SELECT c, i, {', '.join(best)} FROM (
+    SELECT c, i, {', '.join(taken)} FROM (
+      SELECT steps.c, steps.i - 1 AS i, b0, b1, b2, b3, xs[steps.i] AS x, fs[steps.i] IN ('b', 'd') AS must,
+             CASE WHEN fs[steps.i] = 't' THEN 1 ELSE 0 END AS t
+      FROM steps JOIN convs USING (c) WHERE steps.i > 0))
+), solved AS (
+  SELECT c, substr(b0, 1, 10)::BIGINT AS cost, substr(b0, 11) AS audit FROM steps WHERE i = 0
+), letters AS (
+  SELECT c, audit, unnest(range(1, length(audit) + 1)) AS j FROM solved
+), spelled AS (
+  SELECT c, j, substr(audit, j, 1) AS edit, length(replace(substr(audit, 1, j), 'I', '')) AS r,
+         length(replace(substr(audit, 1, j), 'D', '')) AS p
+  FROM letters
+), placed_edits AS (
+  SELECT *, max(CASE WHEN p = 1 AND edit = 'K' AND xs[r] = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY c) AS sys
+  FROM spelled JOIN convs USING (c) WHERE edit <> 'D'
+), repaired AS (
+  SELECT c, string_agg(CASE WHEN edit = 'K' THEN roles[r] WHEN (p - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+                       || CASE WHEN edit = 'I' THEN '' ELSE texts[r] END, chr(10) ORDER BY j) AS whole
+  FROM placed_edits GROUP BY c
+), answers AS (
+  SELECT conv_id, gaps::BIGINT AS gaps, len(list_filter(fs, lambda v: v = 'b'))::BIGINT AS blank,
+         len(list_filter(fs, lambda v: v = 'd'))::BIGINT AS duplicate, len(list_filter(fs, lambda v: v = 't'))::BIGINT AS truncated,
+         len(list_filter(range(2, n + 1), lambda v: xs[v - 1] || xs[v] NOT IN ('su', 'ua', 'au')))::BIGINT AS illegal,
+         cost, audit, sha256(coalesce(whole, '')) AS repaired_sha256
+  FROM convs JOIN solved USING (c) LEFT JOIN repaired USING (c)
+), every AS (
+  SELECT DISTINCT conv_id FROM conversations
+)
+SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM every LEFT JOIN answers ON every.conv_id IS NOT DISTINCT FROM answers.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_bbit_minhash": OP1_SQL, "op8_bloom_cascade": OP8_SQL, "op10_warc_index": OP10_SQL,
-            "op11_norm_bucket_search": OP11_SQL}
+            "op11_norm_bucket_search": OP11_SQL, "op12_conversation_repair": _op12_sql()}

@@ -1,0 +1,151 @@
+"""Conversation repair against exhaustive search, whole and in blocks, and the defined edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from circulation.llm import conversations as cv
+
+LEGAL = re.compile(r"(s?(ua)+)?")
+
+
+def brute(initials, faults):
+    """The least (cost, audit) over every string of edits up to two inserts longer than needed, by the rules alone."""
+    n, best = len(initials), None
+    for inserts in range(n + 3):
+        for length in [n + inserts]:
+            for where in itertools.combinations(range(length), inserts):
+                for edits in itertools.product("DKR", repeat=n):
+                    if any(f >= cv.BLANK and e != "D" for f, e in zip(faults, edits)):
+                        continue
+                    cost = 2 * inserts + sum({"D": 3, "K": 0, "R": 2}[e] + (f == cv.TRUNCATED and e != "D") for e, f in zip(edits, faults))
+                    if best and cost > best[0]:
+                        continue
+                    it = iter(zip(edits, initials))
+                    steps = [("I", "?") if i in where else next(it) for i in range(length)]
+                    roles = [x if e == "K" else "?" for e, x in steps if e != "D"]
+                    audit = "".join(e for e, _ in steps)
+                    if fits(roles) and (best is None or (cost, audit) < best):
+                        best = (cost, audit)
+    return best
+
+
+def fits(roles):
+    """Whether the open places can be user or assistant so that the roles are legal."""
+    return any(all(a in ("?", b) for a, b in zip(roles, want)) and (not roles or roles[0] != "?" or want[0] != "s")
+               for want in ("ua" * 9, "s" + "ua" * 9) for want in [want[:len(roles)]] if len(want) == len(roles) and LEGAL.fullmatch(want))
+
+
+def test_search_equals_exhaustive_search():
+    rng = random.Random(4)
+    for _ in range(150):
+        n = rng.choice([0, 1, 2, 3, 3])
+        initials, faults = [rng.choice("suax") for _ in range(n)], [rng.choice([0, 0, 0, 1, 2, 3]) for _ in range(n)]
+        assert cv.search(initials, faults) == brute(initials, faults), (initials, faults)
+
+
+def backward(initials, faults):
+    """The least (cost, audit) by a plain recursion from the end, for longer conversations."""
+    best = {s: cv.LEGAL_ENDS[s] for s in range(4)}
+    for x, f in zip(reversed(initials), reversed(faults)):
+        taken = {}
+        for s in range(4):
+            options = [(best[s][0] + 3, "D" + best[s][1])]
+            if f < cv.BLANK:
+                options.append((best[cv.NEXT[s]][0] + 2 + f, "R" + best[cv.NEXT[s]][1]))
+                if x in cv.TAKES[s]:
+                    options.append((best[cv.TAKES[s][x]][0] + f, "K" + best[cv.TAKES[s][x]][1]))
+            taken[s] = min(options)
+        best = {s: min(taken[s], (taken[cv.NEXT[s]][0] + 2, "I" + taken[cv.NEXT[s]][1])) for s in range(4)}
+    return best[cv.START]
+
+
+@pytest.mark.parametrize("n", [8, 40, 3000])
+def test_search_equals_recursion_on_long_conversations(n):
+    rng = random.Random(n)
+    for _ in range(200 if n < 100 else 3):
+        initials, faults = [rng.choice("suuaax") for _ in range(n)], [rng.choice([0, 0, 0, 1, 2, 3]) for _ in range(n)]
+        assert cv.search(initials, faults) == backward(initials, faults)
+
+
+def expected(rows):
+    """{conv_id: (gaps, blank, duplicate, truncated, illegal, cost, audit, hash)} of rows (conv_id, turn, role, text, present)."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        mine = sorted(((t is not None, t or 0, " " if r is None else r, " " if x is None else x) for c, t, r, x, p in rows if c == conv and p))
+        seen, faults = set(), []
+        for _, _, role, text in mine:
+            bare = text.strip(" \t\n\x0b\x0c\r")
+            faults.append(2 if not bare else 3 if (role, text) in seen else int(bare[-1] not in ".!?"))
+            seen.add((role, text))
+        initials = [m[2][:1] for m in mine]
+        cost, audit = backward(initials, faults)
+        turns = {m[1] for m in mine if m[0]}
+        left, it, state = [], iter(mine), 0
+        for e in audit:
+            row = None if e == "I" else next(it)
+            if e == "D":
+                continue
+            state = cv.TAKES[state][row[2][:1]] if e == "K" else cv.NEXT[state]
+            left.append((row[2] if e == "K" else {2: "user", 3: "assistant"}[state]) + ":" + (row[3] if row else ""))
+        pairs = [a + b for a, b in zip(initials, initials[1:])]
+        out[conv] = (max(turns) - min(turns) + 1 - len(turns) if turns else 0, faults.count(2), faults.count(3), faults.count(1),
+                     sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, hashlib.sha256("\n".join(left).encode()).hexdigest())
+    return out
+
+
+def made(seed, n_convs, most):
+    rng = random.Random(seed)
+    rows = []
+    for c in [None, *range(n_convs)]:
+        for _ in range(rng.randrange(1, most)):
+            rows.append((c, rng.choice([None, 1, 2, 5, 9]), rng.choice(["user", "assistant", "system", "tool", "", None, "Übung"]),
+                         rng.choice(["Yes.", "no", "Why?\n", " \t", "", None, "Ende ", "é!"]), rng.random() < 0.9))
+    rows.append((9999, 1, "user", "gone", False))
+    return rows
+
+
+COLUMNS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+@pytest.mark.parametrize("block,broadcast", [(1 << 16, 100_000), (5, 100_000), (5, 0)])
+def test_rows_equal_plain_python_whole_and_in_blocks(cluster, monkeypatch, block, broadcast):
+    monkeypatch.setattr(cv, "BLOCK", block)
+    monkeypatch.setattr(cv, "BROADCAST_LONG", broadcast)
+    rows = made(7, 40, 30)
+    df = cluster.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, here boolean, audit int")
+    got = cv.repair(df.repartition(4), "here").collect()
+    assert len(got) == len({r[0] for r in rows})
+    assert {r["conv_id"]: tuple(r[c] for c in COLUMNS) for r in got} == expected(rows)
+    for r in got:
+        if r["repaired"] is not None:
+            whole = "\n".join(f"{x['role']}:{x['text']}" for x in r["repaired"])
+            assert hashlib.sha256(whole.encode()).hexdigest() == r["repaired_sha256"]
+
+
+def test_long_texts_and_empty_table(cluster):
+    schema = "conv_id long, turn long, role string, text string"
+    assert cv.repair(cluster.createDataFrame([], schema)).collect() == []
+    text = "word " * 60_000 + "."
+    got = cv.repair(cluster.createDataFrame([(1, 1, "user", text), (1, 2, "assistant", "ok")], schema)).first()
+    assert (got["cost"], got["audit"]) == (1, "KK")
+    assert got["repaired_sha256"] == hashlib.sha256(f"user:{text}\nassistant:ok".encode()).hexdigest()
+
+
+def test_damage_follows_the_checksum(cluster):
+    rows = [(c, t, r, x) for c in [None, *range(30)] for t in [None, 0, 1, 2] for r, x in [("assistant", "A. B! C?"), (None, None)]]
+    df = cluster.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    want = []
+    for c, t, r, x in rows:
+        r, x = r or " ", x or " "
+        kind = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        x = {1: "", 2: re.sub("[.!?]", "", x)}.get(kind, x)
+        want += [(c, t, "user" if kind == 4 else r, x, kind != 0)] * (2 if kind == 3 else 1)
+    got = [tuple(r) for r in cv.damaged(df.withColumn("kind", df.turn), "present").collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
