@@ -18,6 +18,7 @@ from circulation.llm import (
     ranked_search,
     sharding,
     token_matrix,
+    toxicity,
     url_filter,
     warc,
 )
@@ -121,6 +122,14 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
 
 
+def op13_gated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(toxicity.remainder(F.col("doc_id")) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                         "window_start")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bbit_minhash": op1_bbit_minhash,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -134,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc_index": op10_warc_index,
     "op11_norm_bucket_search": op11_norm_bucket_search,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_gated_toxicity": op13_gated_toxicity,
 }
 
 
@@ -273,9 +283,12 @@ WITH RECURSIVE keyed AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM rows_left
 ), coded AS (
   SELECT *, substr(role, 1, 1) AS x, CASE
-      WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+      WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b'
       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
-      WHEN regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') THEN 't'
+      WHEN regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') THEN 't'
       ELSE 'o' END AS f
   FROM placed
 ), convs AS (
