@@ -24,7 +24,13 @@ from circulation import schemas  # noqa: E402
 from circulation.operators import explode_tokens  # noqa: E402
 from circulation.plans import fixtures as fx  # noqa: E402
 from circulation.plans import jobs, marts, model  # noqa: E402
-from circulation.plans.quality import duplicate_check, orphan_check, row_count_checks, scalar_checks  # noqa: E402
+from circulation.plans.quality import (  # noqa: E402
+    QualityError,
+    duplicate_check,
+    orphan_check,
+    row_count_checks,
+    scalar_checks,
+)
 from circulation.plans.star import Star, apply_month, empty  # noqa: E402
 from circulation.session import apply_runtime_conf, ensure_checkpoint_dir, materialise, scratch_path  # noqa: E402
 from circulation.sinks import Warehouse, write_delimited  # noqa: E402
@@ -322,6 +328,51 @@ def q_pipeline_subjects(spark, sf_dir):
                                   MART_LO, MART_HI, days=wh.load_days())
 
 
+def q_publish_after_checks(spark, sf_dir):
+    """Month 1, then month 2 with a check that fails: every table stays that of month 1."""
+    wh = _warehouse(spark, "publish")
+    inventory, codes = _all_inventory(spark, sf_dir), fx.codes(spark, sf_dir)
+    jobs.run_monthly(wh, inventory, codes, *RUNS[0])
+
+    def no_new_books(view):
+        return [orphan_check(view.scan("dim_books"), held, "bibnum", "bibnum", "books_that_are_new")]
+
+    held = wh.scan("dim_books")
+    try:
+        jobs.run_monthly(wh, inventory, codes, *RUNS[1], checks=no_new_books)
+    except QualityError:
+        return wh.scan("dim_subject")
+    raise RuntimeError("the run was published although its check failed")
+
+
+def q_empty_run_report(spark, sf_dir):
+    """Two run dates without loans beside the others: the report reads them as empty runs and writes nothing."""
+    wh = _stored(spark, sf_dir, "empty_runs")
+    for day in ("2200-01-01", "2200-01-02"):
+        jobs.run_daily(wh, fx.loans(spark, sf_dir), day, day, allow_empty=True)
+    return marts.dashboard(wh.snapshot())["loans_per_day"]
+
+
+def q_catchup_months(spark, sf_dir):
+    """Month 1 loaded, then all missed runs of both schedules caught up in their order."""
+    wh = _warehouse(spark, "catchup")
+    inventory, codes, loans = _all_inventory(spark, sf_dir), fx.codes(spark, sf_dir), fx.loans(spark, sf_dir)
+    jobs.run_monthly(wh, inventory, codes, *RUNS[0], check=False)
+    ends = [hi for _, hi in RUNS]
+    jobs.catch_up(wh, inventory, codes, loans, ends, ends)
+    return wh.scan("fact_loans").drop("load_date")
+
+
+def q_rolled_subjects(spark, sf_dir):
+    """The dashboard's subjects from the stored roll-ups, without a scan of facts."""
+    return marts.rolled_subjects(_stored(spark, sf_dir, "rolled").snapshot(), MART_LO, MART_HI)
+
+
+def q_rolled_titles(spark, sf_dir):
+    """The dashboard's titles from the stored roll-ups by the three-phase top-k (C11)."""
+    return marts.rolled_titles(_stored(spark, sf_dir, "rolled").snapshot(), MART_LO, MART_HI)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_window": q_extract_window,
     "extract_window_midnight": q_extract_window_midnight,
@@ -361,6 +412,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rerun_replaces_day": q_rerun_replaces_day,
     "late_row_in_range": q_late_row_in_range,
     "empty_month_keeps_state": q_empty_month_keeps_state,
+    "publish_after_checks": q_publish_after_checks,
+    "empty_run_report": q_empty_run_report,
+    "catchup_months": q_catchup_months,
+    "rolled_subjects": q_rolled_subjects,
+    "rolled_titles": q_rolled_titles,
 }
 
 

@@ -2,8 +2,12 @@
 
     python -m circulation monthly --warehouse W --location L --inventory P --codes P --prev D --run D
     python -m circulation daily   --warehouse W --location L --loans P --prev D --run D
-    python -m circulation catchup --warehouse W --location L --landing DIR
+    python -m circulation catchup --warehouse W --location L --landing DIR [--format delimited | landed]
+    python -m circulation catchup-months --warehouse W --location L --inventory P --codes P --until D
+    python -m circulation land    --source P --dataset loans | inventory --landing DIR --prev D --run D
     python -m circulation report  --warehouse W --location L [--lo D --hi D]
+    python -m circulation drop    --warehouse W --location L --table T | --all
+    python -m circulation vacuum  --warehouse W --location L
 
 Sources are parquet by default (``--format delimited`` reads ``|`` text with a header into the
 staging schema, ``--format landed`` a dataset folder of the typed landing). ``report`` prints the dashboard's three results as JSON: the daily series, the
@@ -23,7 +27,7 @@ from circulation import schemas
 from circulation.plans import jobs, marts
 from circulation.session import apply_runtime_conf, ensure_checkpoint_dir
 from circulation.sinks import Warehouse
-from circulation.sources import read_delimited, read_landed
+from circulation.sources import extract_window, land_typed, read_delimited, read_landed
 
 
 def _source(spark: SparkSession, path: str, fmt: str, schema, stamp: str | None = None) -> DataFrame:
@@ -66,6 +70,31 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--landing", required=True, help="directory of run_date=YYYY-MM-DD loan folders")
     c.add_argument("--checkpoint", help="stream checkpoint (default: under the warehouse location)")
 
+    c.add_argument("--format", choices=["delimited", "landed"], default="delimited")
+
+    cm = sub.add_parser("catchup-months", help="every month that has ended and was not loaded, in order")
+    common(cm)
+    cm.add_argument("--inventory", required=True)
+    cm.add_argument("--codes", required=True)
+    cm.add_argument("--until", required=True)
+    cm.add_argument("--since", help="first month, if none was loaded yet")
+    cm.add_argument("--format", choices=["parquet", "delimited", "landed"], default="parquet")
+
+    ld = sub.add_parser("land", help="one run's window of a source -> the typed landing")
+    ld.add_argument("--source", required=True)
+    ld.add_argument("--dataset", choices=["loans", "inventory"], required=True)
+    ld.add_argument("--landing", required=True)
+    ld.add_argument("--prev", required=True)
+    ld.add_argument("--run", required=True)
+    ld.add_argument("--format", choices=["parquet", "delimited"], default="parquet")
+
+    dr = sub.add_parser("drop", help="drop one table or all")
+    common(dr)
+    dr.add_argument("--table")
+    dr.add_argument("--all", action="store_true")
+
+    common(sub.add_parser("vacuum", help="delete what killed runs left"))
+
     r = sub.add_parser("report", help="dashboard marts as JSON (C8-C11)")
     common(r)
     r.add_argument("--lo")
@@ -82,8 +111,30 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> dict:
     )
     apply_runtime_conf(spark)
     ensure_checkpoint_dir(spark)
+    if args.command == "land":
+        schema, stamp = {"loans": (schemas.STAGING_LOANS, "checkoutdatetime"),
+                         "inventory": (schemas.STAGING_INVENTORY, "reportdate")}[args.dataset]
+        rows = extract_window(_source(spark, args.source, args.format, schema), stamp, args.prev, args.run, schema.fieldNames())
+        land_typed(rows, args.landing, args.dataset, args.run, stamp)
+        return {"dataset": args.dataset, "run_date": args.run}
     wh = Warehouse(spark, args.warehouse, args.location, buckets=args.buckets)
 
+    if args.command == "drop":
+        if args.all == bool(args.table):
+            raise SystemExit("drop: name one --table, or --all")
+        wh.drop_all() if args.all else wh.drop(args.table)
+        return {"tables": wh.tables()}
+    if args.command == "vacuum":
+        return {"folders": wh.vacuum()}
+    if args.command == "catchup-months":
+        inventory = _source(spark, args.inventory, args.format, schemas.STAGING_INVENTORY, "reportdate")
+        codes = _source(spark, args.codes, args.format, schemas.STAGING_CODES)
+        first = args.since or wh.frontier.get("monthly")
+        if first is None:
+            raise SystemExit("catchup-months: no month was loaded yet, so name the first one with --since")
+        none = spark.createDataFrame([], schemas.STAGING_LOANS)
+        runs = jobs.catch_up(wh, inventory, codes, none, jobs.month_ends(first, args.until), [], allow_empty=False)
+        return {"runs": [list(r) for r in runs]}
     if args.command == "monthly":
         inventory = _source(spark, args.inventory, args.format, schemas.STAGING_INVENTORY, "reportdate")
         codes = _source(spark, args.codes, args.format, schemas.STAGING_CODES)
@@ -95,15 +146,16 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> dict:
     if args.command == "catchup":
         from circulation.streaming import start_daily_catchup
 
-        start_daily_catchup(wh, args.landing, args.checkpoint).awaitTermination()
+        landed = "typed" if args.format == "landed" else "delimited"
+        start_daily_catchup(wh, args.landing, args.checkpoint, landed=landed).awaitTermination()
         return {"fact_rows": wh.row_count("fact_loans")}
 
-    fact, days = wh.scan("fact_loans"), wh.load_days()
+    view = wh.snapshot()  # one state for all three results, whatever is published meanwhile
+    fact, days = view.scan("fact_loans"), view.load_days()
     bounds = marts.date_bounds(fact, days).first()
     lo = args.lo or (bounds["min_date"].date().isoformat() if bounds["min_date"] else None)
     hi = args.hi or (bounds["max_date"].date().isoformat() if bounds["max_date"] else None)
-    # One pass over the fact for all three results.
-    out = marts.refresh(fact, wh.scan("bridge_subject"), wh.scan("dim_subject"), wh.scan("dim_books"), lo, hi, days)
+    out = marts.dashboard(view, lo, hi)
     return {
         "range": [lo, hi],
         "loans_per_day": [[r["date"].isoformat(), r["count"]] for r in out["loans_per_day"].orderBy("date").collect()],

@@ -1,4 +1,4 @@
 from circulation.sinks.delimited import write_delimited
-from circulation.sinks.warehouse import CANONICAL, LOAD_DATE, LOAD_DAYS, Warehouse
+from circulation.sinks.warehouse import CANONICAL, LOAD_DATE, LOAD_DAYS, ConcurrentRunError, Snapshot, Warehouse
 
-__all__ = ["CANONICAL", "LOAD_DATE", "LOAD_DAYS", "Warehouse", "write_delimited"]
+__all__ = ["CANONICAL", "LOAD_DATE", "LOAD_DAYS", "ConcurrentRunError", "Snapshot", "Warehouse", "write_delimited"]

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from circulation import schemas
-from circulation.plans import model
+from circulation.plans.jobs import load_loans
 from circulation.session import ensure_checkpoint_dir
-from circulation.sinks import CANONICAL, Warehouse
+from circulation.sinks import Warehouse
 from circulation.sources import read_delimited
 from circulation.sources.extract import RUN_DATE, window_predicate
 
@@ -36,25 +36,28 @@ class LateLoansError(Exception):
     pass
 
 
-def load_run_date(wh: Warehouse, landing: str, run_date: str) -> int:
-    """Load one run date from its landing folder: staged once, checked, then its partition replaced."""
-    loans = read_delimited(wh.spark, f"{landing.rstrip('/')}/{RUN_DATE}={run_date}", schemas.STAGING_LOANS)
-    wh.replace("staging_loans", loans)
-    staged = wh.scan("staging_loans")
-    inside = window_predicate(staged, "checkoutdatetime", None, run_date)
-    seen = staged.agg(F.count_if(~inside).alias("late"), F.count_if(inside.isNull()).alias("blank")).first()
-    if seen["late"]:
-        raise LateLoansError(f"run date {run_date}: {seen['late']} loans are stamped after it")
-    log.info("run date %s: %d loans without a stamp are in no window", run_date, seen["blank"])
-    loans = staged.where(inside)
-    rows = wh.replace_run(run_date, model.fact_rows(loans, wh.scan(CANONICAL)))
-    wh.append("dim_time", model.new_dim_time(loans, wh.scan("dim_time")))
-    wh.drop("staging_loans")
-    return rows
+def load_run_date(wh: Warehouse, landing: str, run_date: str, landed: str = "delimited") -> int:
+    """Load one run date from its landing folder: staged once, checked, then its partition replaced and published.
+    ``landed`` is the folder's format: ``delimited`` text or the ``typed`` landing."""
+    folder = f"{landing.rstrip('/')}/{RUN_DATE}={run_date}"
+    with wh.transaction():
+        wh.create_all()
+        if landed == "typed":
+            loans = wh.spark.read.schema(schemas.STAGING_LOANS).parquet(folder)
+        else:
+            loans = read_delimited(wh.spark, folder, schemas.STAGING_LOANS)
+        wh.replace("staging_loans", loans)
+        staged = wh.scan("staging_loans")
+        inside = window_predicate(staged, "checkoutdatetime", None, run_date)
+        seen = staged.agg(F.count_if(~inside).alias("late"), F.count_if(inside.isNull()).alias("blank")).first()
+        if seen["late"]:
+            raise LateLoansError(f"run date {run_date}: {seen['late']} loans are stamped after it")
+        log.info("run date %s: %d loans without a stamp are in no window", run_date, seen["blank"])
+        return load_loans(wh, staged.where(inside), run_date)
 
 
-def load_run_dates(wh: Warehouse, landing: str, run_dates: list[str]) -> int:
-    return sum(load_run_date(wh, landing, d) for d in run_dates)
+def load_run_dates(wh: Warehouse, landing: str, run_dates: list[str], landed: str = "delimited") -> int:
+    return sum(load_run_date(wh, landing, d, landed) for d in run_dates)
 
 
 def default_checkpoint(wh: Warehouse) -> str:
@@ -72,6 +75,7 @@ def start_daily_catchup(
     landing: str,
     checkpoint_location: str | None = None,
     max_files_per_trigger: int | None = None,
+    landed: str = "delimited",
 ) -> StreamingQuery:
     """Start the stream; with ``availableNow`` it stops once every landed file is processed.
 
@@ -91,7 +95,7 @@ def start_daily_catchup(
         found = {r[RUN_DATE]: r["n"] for r in batch.groupBy(run_date).agg(F.count(F.lit(1)).alias("n")).collect()}
         if "" in found:
             raise ValueError(f"{found['']} landed files are in no {RUN_DATE}=YYYY-MM-DD folder")
-        load_run_dates(wh, landing, sorted(found))
+        load_run_dates(wh, landing, sorted(found), landed)
 
     return (
         paths.writeStream.foreachBatch(process)

@@ -286,6 +286,15 @@ QUERIES: dict[str, str] = {
     "replace_load": "SELECT code, category_group AS item_type FROM codes WHERE category_group <> ''",
     "append_load": "SELECT bibnum, title, publisher, author FROM dim_books",
     "pipeline_subjects": _top_subjects(),
+    "publish_after_checks": "SELECT subject, subject_id FROM subject_1",
+    "empty_run_report": """
+        SELECT s.date, coalesce(d.count, 0) AS count
+        FROM (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+              FROM daily) s
+          LEFT JOIN daily d ON s.date = d.date""",
+    "catchup_months": "SELECT id, time_key, itemtype, collection, bibnumber, subject_group_id FROM fact",
+    "rolled_subjects": _top_subjects(),
+    "rolled_titles": _top_titles(),
 }
 
 CTES["tokens_all"] = """

@@ -115,6 +115,7 @@ def _loaded(spark):
 
 def test_stored_marts_prune_and_read_buckets(spark):
     wh = _loaded(spark)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     fact, days = wh.scan("fact_loans"), wh.load_days()
     plan = _final(marts.in_range(fact, "2018-05-02", "2018-05-03", days))
     assert "load_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
