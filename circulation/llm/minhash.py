@@ -9,8 +9,8 @@
    links by their estimate each node's best one is confirmed on the full sets and components are formed,
    then those that lie across components.
 4. Nodes that still share a bucket with a node of another component to which they may be linked, by the
-   estimate, are joined among themselves by exact bounds on their sets and confirmed, so no link
-   that shares a bucket is lost, while a large group of copies never comes out as all its pairs.
+   estimate, are joined among themselves by exact bounds, the full sets decided inside the join: no link
+   that shares a bucket is lost, and no pair comes out that is none, however large a group of copies is.
 
 A pair at the threshold of 0.8 shares no band of 4 in 32 with probability 5e-8; an estimate is cut
 six standard deviations below the threshold.
@@ -229,29 +229,39 @@ def _suspects(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, threshold:
     return left.join(right, on & fits, "left_semi").select(F.col("a").alias("node"), F.col("root_a").alias("root")).distinct()
 
 
-def _rest_pairs(suspects: DataFrame, sets: DataFrame, threshold: int, block: int) -> DataFrame:
-    """(a, b): all pairs of suspects of different components that can reach the threshold, by exact bounds.
+def _rest_links(suspects: DataFrame, sets: DataFrame, threshold: int, block: int) -> DataFrame:
+    """(a, b): the links among suspects of different components. No other pair comes out of any join.
 
     Each set is ordered by how rare its shingles are among the suspects. Two sets at the threshold share a
     shingle among their first 1 - threshold (prefix), and after the first shared one enough shingles are left
-    in both (position). Copies that differ in shingles of their own share none of those, so a large group
-    of copies below the threshold yields next to no pairs."""
+    in both (position). A semi join by these exact bounds keeps the prefix rows that have a partner at all; those
+    take their node's set along, and the join that pairs them decides by the full sets in its own condition."""
     each = sets.join(suspects, "node").select("node", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("g"))
     rare = each.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
     ordered = each.join(rare, "g").groupBy("node", "root", "n").agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("by"))
     first = F.col("n") - F.ceil(F.col("n") * threshold / 100).cast("int") + 1
     prefix = ordered.select("node", "root", "n", F.posexplode(F.slice("by", F.lit(1), first)).alias("place", "x")).where("x.f > 1")
     rows = written(_blocked(prefix.select(F.col("x.g").alias("key"), "node", "root", "n", "place"), "key", block), "minhash-prefix")
-    side = lambda s, lo, hi, mine, others: rows.select(
-        "key", F.col("node").alias(s), F.col("root").alias(f"root_{s}"), F.col("n").alias(f"n{s}"),
-        F.col("place").alias(f"place_{s}"), F.col("own").alias(mine), F.explode(F.sequence(lo, hi)).alias(others)).alias(s)
-    left, right = side("a", F.col("own"), F.col("blocks") - 1, "i", "j"), side("b", F.lit(0), F.col("own"), "j", "i")
+
+    def side(df: DataFrame, s: str, lo: Column, hi: Column, mine: str, others: str) -> DataFrame:
+        carried = [F.col("shingles").alias(f"set_{s}")] if "shingles" in df.columns else []
+        return df.select("key", F.col("node").alias(s), F.col("root").alias(f"root_{s}"), F.col("n").alias(f"n{s}"),
+                         F.col("place").alias(f"place_{s}"), F.col("own").alias(mine), F.explode(F.sequence(lo, hi)).alias(others), *carried).alias(s)
+
     left_in = F.least(F.col("na") - F.col("place_a"), F.col("nb") - F.col("place_b"))
     enough = left_in * (100 + threshold) >= (F.col("na") + F.col("nb")) * threshold
-    once = (F.col("a.i") < F.col("a.j")) | (F.col("a.a") < F.col("b.b"))
+    may = (F.col("root_a") != F.col("root_b")) & _near_size(threshold) & enough
     on = (F.col("a.key") == F.col("b.key")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
-    fits = (F.col("root_a") != F.col("root_b")) & _near_size(threshold) & enough & once
-    return left.join(right, on & fits).select(F.least("a.a", "b.b").alias("a"), F.greatest("a.a", "b.b").alias("b")).distinct()
+    last = F.col("blocks") - 1
+    met = side(rows, "a", F.lit(0), last, "i", "j").join(
+        side(rows, "b", F.lit(0), last, "j", "i"), on & may, "left_semi").select("key", F.col("a").alias("node")).distinct()
+    live = rows.join(met, ["key", "node"], "left_semi").join(sets, "node")
+    live = written(live.select("key", "node", "root", "n", "place", "blocks", "own", "shingles"), "minhash-live")
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    linked = shared * (100 + threshold) >= (F.col("na") + F.col("nb")) * threshold
+    once = (F.col("a.i") < F.col("a.j")) | (F.col("a.a") < F.col("b.b"))
+    pairs = side(live, "a", F.col("own"), last, "i", "j").join(side(live, "b", F.lit(0), F.col("own"), "j", "i"), on & (may & once & linked))
+    return pairs.select(F.least("a.a", "b.b").alias("a"), F.greatest("a.a", "b.b").alias("b")).distinct()
 
 
 def _sets_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -310,8 +320,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, threshold: int = THRESHOLD, tex
     suspects = written(_suspects(buckets, nodes, roots, threshold, block), "minhash-suspects")
     if not suspects.isEmpty():
         sets = _sets_of(suspects.select("node"), docs, nodes, n)
-        rest = written(_rest_pairs(suspects, sets, threshold, block), "minhash-rest")
-        more = _confirmed(rest, sets, threshold, "minhash-more")
+        more = written(_rest_links(suspects, sets, threshold, block), "minhash-more")
         if not more.isEmpty():
             roots = components(first.union(more), "minhash-cc2")
     named = nodes.select("node", "min_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

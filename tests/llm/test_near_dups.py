@@ -108,3 +108,37 @@ def test_components_of_chains_and_stars(cluster):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
     got = components(cluster.createDataFrame(edges, "a long, b long"), "test-cc").collect()
     assert {(r["node"], r["root"]) for r in got} == {(i, 0) for i in range(41)} | {(i, 100) for i in range(100, 160)}
+
+
+def test_a_group_of_near_copies_yields_no_pair_that_is_no_link(documents, monkeypatch):
+    """Near copies just under the threshold: what the rest's joins put out grows with the group, not with its square."""
+    plain, seen = minhash.written, {}
+
+    def counted(df, label, *rest):
+        out = plain(df, label, *rest)
+        seen[label] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "written", counted)
+    sizes = []
+    for n_docs in (150, 300):
+        rng = random.Random(11)
+        base = [f"b{i}" for i in range(120)]
+        rows = []
+        for i in range(n_docs):
+            words = list(base)
+            for at in rng.sample(range(120), 4):
+                words[at] = f"own{i}x{at}"
+            rows.append((i, " ".join(words)))
+        seen.clear()
+        got = minhash.near_duplicates(documents(rows), n=4).collect()
+        assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 4)
+        links = sum(1 for i in range(n_docs) for j in range(i) if similar(rows[i][1], rows[j][1], 4))
+        assert seen.get("minhash-more", 0) <= links
+        sizes.append(seen.get("minhash-live", 0))
+    assert sizes[1] <= 3 * max(sizes[0], 1) + 300
+
+
+def similar(a, b, n):
+    a, b = ({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} for w in (a.split(), b.split()))
+    return 100 * len(a & b) >= 80 * len(a | b)
