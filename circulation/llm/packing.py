@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from circulation.llm.common import free_name, global_prefix, bound_memory, without
+from circulation.llm.common import bound_memory, global_prefix, without
 from circulation.llm.tokens import END_ID, encoder, vocabulary_path
 
 CAPACITY = 1024
@@ -123,26 +123,25 @@ def best_fit_pack(pieces: DataFrame, order: Sequence[str], length: str = "length
     """
     spark = pieces.sparkSession
     pieces = without(pieces, ["sequence_id", "offset"])
-    rank = free_name(pieces.columns, "rank")
-    keys = [F.col(f"`{length}`").desc()] + [F.col(f"`{c}`").asc_nulls_first() for c in order]
-    ranked = global_prefix(pieces, keys, [], "packing", rank=rank).drop("rows_total")
+    # The row goes along as one value, so that no column of its can clash with those that are added on the way.
+    slim = pieces.select(F.struct(*[pieces[f"`{c}`"] for c in pieces.columns]).alias("row"), F.col(f"`{length}`").cast("long").alias("length"),
+                         *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order)])
+    keys = [F.col("length").desc(), *[F.col(f"k{i}").asc_nulls_first() for i in range(len(order))]]
+    ranked = global_prefix(slim, keys, [], "packing").select("row", "length", "rank")
     # One row per length, so at most ``capacity`` rows.
-    counted = ranked.groupBy(F.col(length).alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()
+    counted = ranked.groupBy(F.col("length").alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()
     counts = {r["l"]: r["n"] for r in counted}
     if any(c is None or not 0 < c <= capacity for c in counts):
         raise ValueError(f"piece lengths must lie in 1 .. {capacity}")
     plan = spark.sparkContext.broadcast(sweep_plan(counts, capacity))
-    schema = T.StructType([f for f in ranked.schema if f.name != rank] + [
-        T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = plan.value
         for b in batches:
-            at = b.schema.get_field_index(rank)
-            r = b.column(at).to_numpy()
+            r = b.column("rank").to_numpy()
             run = runs[np.searchsorted(runs[:, 0], r, side="right") - 1] if len(runs) else runs
-            cols = [c for i, c in enumerate(b.columns) if i != at]
-            yield pa.RecordBatch.from_arrays(
-                cols + [pa.array(run[:, 1] + r - run[:, 0]), pa.array(run[:, 2])], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(run[:, 1] + r - run[:, 0]), pa.array(run[:, 2])],
+                                             names=["row", "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, schema)
+    schema = T.StructType([ranked.schema["row"], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    return ranked.select("row", "rank").mapInArrow(place, schema).select("row.*", "sequence_id", "offset")

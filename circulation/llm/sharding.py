@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from circulation.llm.common import free_name, global_prefix, without
+from circulation.llm.common import global_prefix, without
 
 ROW_OVERHEAD = 16
 
@@ -32,16 +32,17 @@ def shard_by_bytes(df: DataFrame, size: str, order: Sequence[str], n_shards: int
     ``size`` names a column of non-negative bytes, ``order`` the columns whose order the shards follow.
     """
     df = without(df, ["shard", "slot"])
-    rank = free_name(df.columns, "rank")
-    placed = global_prefix(df, [F.col(f"`{c}`").asc_nulls_first() for c in order], [size], "shards", rank=rank)
-    mid = F.col(size + "_before") * 2 + F.coalesce(F.col(size), F.lit(0))
-    twice = F.greatest(F.col(size + "_total") * 2, F.lit(1))
+    # The row goes along as one value, so that no column of its can clash with those that are added on the way.
+    keys = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order)]
+    slim = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), F.col(f"`{size}`").cast("long").alias("size"), *keys)
+    placed = global_prefix(slim, [F.col(f"k{i}").asc_nulls_first() for i in range(len(keys))], ["size"], "shards")
+    mid = F.col("size_before") * 2 + F.coalesce(F.col("size"), F.lit(0))
+    twice = F.greatest(F.col("size_total") * 2, F.lit(1))
     shard = F.least(F.expr(f"{n_shards}L - 1"), F.floor((mid.cast("decimal(38,0)") * n_shards) / twice)).cast("int")
     placed = placed.withColumn("shard", shard)
     # One row per shard: its first rank.
-    first = placed.groupBy("shard").agg(F.min(rank).alias("gp_first"))
-    return (placed.join(F.broadcast(first), "shard").withColumn("slot", F.col(rank) - F.col("gp_first"))
-            .select(*df.columns, "shard", "slot"))
+    first = placed.groupBy("shard").agg(F.min("rank").alias("first"))
+    return placed.join(F.broadcast(first), "shard").select("row.*", "shard", (F.col("rank") - F.col("first")).alias("slot"))
 
 
 def write_shards(df: DataFrame, path: str, n_shards: int, files_per_shard: int = 1) -> None:

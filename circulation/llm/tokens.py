@@ -4,7 +4,8 @@ The vocabulary file is a parameter (by default the one of the installed ``public
 package). A text is cut at single spaces; since the vocabulary's split pattern attaches one
 space to the word after it, each piece is encoded on its own and remembered. Pieces next to
 other white space (doubled spaces, a space beside a line break, a space at the end) fall back to
-encoding the text whole, so ids always equal those of the whole text.
+encoding the text whole, so ids always equal those of the whole text. The vocabulary's added tokens are found in
+texts first, as the published tokenizer does by default: what lies between them is encoded on its own.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from functools import lru_cache
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END_ID = 2
+# The added tokens of the published vocabulary.
+ADDED = {"<|endoftext|>": 50256}
 # Words remembered per Python worker: about 100 MB. The cache is emptied when full.
 CACHE_WORDS = 400_000
 
@@ -51,6 +54,12 @@ class Encoder:
         return ids.tobytes()
 
     def encode(self, text: str) -> bytes:
+        for token, number in ADDED.items():
+            if token in text:
+                return number.to_bytes(4, "little").join(map(self._between, text.split(token)))
+        return self._between(text)
+
+    def _between(self, text: str) -> bytes:
         if not text:
             return b""
         first, *rest = text.split(" ")

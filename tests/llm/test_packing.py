@@ -15,7 +15,7 @@ from circulation.llm import packing, sharding, token_matrix
 from circulation.llm.tokens import Encoder, vocabulary_path
 
 TEXTS = ["", "one", "Hello  world", "tabs\there ", " lead", "trail ", "a b\nc d", "été naïve 12,345.67!", "it's we'll x's",
-         "<|endoftext|> is text", " odd spaces 　 here", "word " * 3000, "x" * 5000]
+         "<|endoftext|> is a token", "alpha <|endoftext|> beta", "a  <|endoftext|><|endoftext|>\n b<|endoftext|>", "<|endoftext", " odd spaces 　 here", "word " * 3000, "x" * 5000]
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +24,6 @@ def reference():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -158,3 +157,18 @@ def test_shards_are_contiguous_and_balanced(documents):
         last = max(d for _, d, _ in placed)
         assert abs(sum(x for _, _, x in placed) - total / 7) <= 9016
     assert sharding.shard_by_bytes(documents([]).withColumn("size", F.lit(1)), "size", ["doc_id"], 3).collect() == []
+
+
+def test_columns_of_any_name_are_kept(cluster):
+    names = ["rows_total", "size_before", "size_total", "gp_n", "gp_t0", "gp_first", "gp_part", "rank", "row", "k0", "length_before"]
+    from circulation.llm import sharding
+
+    df = cluster.createDataFrame([(i, 10 + i % 3, 5, *range(i, i + len(names))) for i in range(40)],
+                                 f"id long, size long, length int, {', '.join(n + ' long' for n in names)}")
+    dealt = sharding.shard_by_bytes(df, "size", ["id"], 4)
+    assert dealt.columns == [*df.columns, "shard", "slot"]
+    packed = packing.best_fit_pack(df, ["id"], capacity=16)
+    assert packed.columns == [*df.columns, "sequence_id", "offset"]
+    for out in (dealt, packed):
+        assert sorted(tuple(r)[:len(df.columns)] for r in out.collect()) == sorted(map(tuple, df.collect()))
+    assert {r["shard"] for r in dealt.collect()} == {0, 1, 2, 3} and {r["offset"] for r in packed.collect()} == {0, 5, 10}
