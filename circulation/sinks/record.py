@@ -31,6 +31,7 @@ class Part:
     rows: int | None = None
     values: dict[str, str] = field(default_factory=dict)
     rolled: bool = False  # a part of the facts whose counts are in the nodes
+    counted: bool = False  # a part of the facts whose days are in the summary
 
 
 @dataclass
@@ -40,6 +41,7 @@ class Record:
     tables: dict[str, list[Part]] = field(default_factory=dict)
     frontier: dict[str, str] = field(default_factory=dict)
     nodes: dict[str, str] = field(default_factory=dict)  # level/node of the roll-ups -> the write that holds it
+    node_rows: dict[str, int] = field(default_factory=dict)  # rows of titles of each write
     unknown_books: bool = False  # whether a node holds loans of books that were not known
     trash: list[tuple[int, str]] = field(default_factory=list)  # (record that dropped it, folder)
 

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,8 +93,9 @@ class Snapshot:
     def load_days(self) -> DataFrame:
         """(day, loans, load_date) of the whole fact. Run dates that came without a summary are counted here, not stored."""
         stored = self.scan(LOAD_DAYS)
-        known = {r[LOAD_DATE].isoformat() for r in stored.select(LOAD_DATE).distinct().collect()}  # one row per run date
-        missing = [p.values[LOAD_DATE] for p in self.record.tables.get("fact_loans", []) if p.values[LOAD_DATE] not in known]
+        found = [p.values[LOAD_DATE] for p in self.record.tables.get("fact_loans", []) if not p.counted]
+        known = {r[LOAD_DATE].isoformat() for r in stored.select(LOAD_DATE).distinct().collect()} if found else set()
+        missing = [d for d in found if d not in known]
         if not missing:
             return stored
         rows = self.scan("fact_loans").where(F.col(LOAD_DATE).isin([as_date(d) for d in missing]))
@@ -122,18 +123,16 @@ class Snapshot:
         for level, n in nodes:
             writes.setdefault(self.record.nodes[f"{level}/{n}"], []).append((level, n))
         # A write holds the nodes that its run changed, sorted by node: the filter on them skips row groups. Which of its
-        # nodes are still its own is told by its folder.
+        # nodes are still its own is told by its folder (of a few writes, each is read on its own).
+        if len(writes) <= 4:
+            of = [self.wh.spark.read.schema(schema).parquet(f"{self.wh.location}/tables/{table}/{PART}={part}").where(_in_nodes(own))
+                  for part, own in writes.items()]
+            return reduce(DataFrame.unionByName, of)
         place, kept = F.regexp_extract(F.input_file_name(), f"/{PART}=([^/]+)/", 1), F.lit(False)
         for part, own in writes.items():
-            here = F.lit(False)
-            for level in {level for level, _ in own}:
-                here = here | ((F.col("level") == level) & F.col("node").isin([n for x, n in own if x == level]))
-            kept = kept | (here & (F.col("_write") == part))
-        among = F.lit(False)
-        for level in {level for level, _ in nodes}:
-            among = among | ((F.col("level") == level) & F.col("node").isin([n for x, n in nodes if x == level]))
+            kept = kept | (_in_nodes(own) & (F.col("_write") == part))
         paths = [f"{self.wh.location}/tables/{table}/{PART}={part}" for part in writes]
-        rows = self.wh.spark.read.schema(schema).parquet(*paths).where(among)
+        rows = self.wh.spark.read.schema(schema).parquet(*paths).where(_in_nodes(nodes))
         return rows.withColumn("_write", place).where(kept).drop("_write")
 
     def group_counts(self, lo: DateLike | None = None, hi: DateLike | None = None) -> DataFrame | None:
@@ -143,8 +142,9 @@ class Snapshot:
             return None
         return self._read_nodes("fact_group_nodes", nodes).groupBy("subject_group_id").agg(F.sum("loans").alias("_n"))
 
-    def title_counts(self, lo: DateLike | None = None, hi: DateLike | None = None) -> tuple[DataFrame, int] | None:
-        """(title, loans, level, node), each title once a node, and the number of nodes; None if facts lack theirs."""
+    def title_counts(self, lo: DateLike | None = None, hi: DateLike | None = None) -> tuple[DataFrame, int, int] | None:
+        """(title, loans, level, node), each title once a node, the number of nodes, and the most rows that the writes with
+        them hold; None if facts lack theirs."""
         nodes = self._nodes(lo, hi)
         if nodes is None:
             return None
@@ -153,7 +153,8 @@ class Snapshot:
             books = self.scan("dim_books").select(F.col("bibnum").alias("bibnumber"), F.col("title").alias("late"))
             rows = rows.join(books, "bibnumber", "left").withColumn("title", F.coalesce("title", "late"))
             rows = rows.groupBy("title", "level", "node").agg(F.sum("loans").alias("loans"))
-        return rows.select("title", "loans", "level", "node"), len(nodes)
+        most = sum(self.record.node_rows.get(part, 0) for part in {self.record.nodes[f"{level}/{n}"] for level, n in nodes})
+        return rows.select("title", "loans", "level", "node"), len(nodes), most
 
     def row_count(self, table: str) -> int:
         """The rows counted as they were written; a scan only for parts found without a count."""
@@ -172,6 +173,11 @@ class Snapshot:
         return out
 
 
+def _in_nodes(nodes: list[Node]) -> Column:
+    levels = sorted({level for level, _ in nodes})
+    return reduce(Column.__or__, [(F.col("level") == x) & F.col("node").isin([n for level, n in nodes if level == x]) for x in levels])
+
+
 def _days_of(fact: DataFrame) -> DataFrame:
     return fact.groupBy(F.col("time_key").cast("date").alias("day"), LOAD_DATE).agg(F.count(F.lit(1)).alias("loans")).select(
         "day", "loans", LOAD_DATE)
@@ -425,7 +431,7 @@ class Warehouse:
     def _roll(self, run_date: DateLike, gone: list[Part], new: Part | None) -> None:
         """Change the nodes of the days of a run date by the difference between its new facts and those that go."""
         if new is not None:
-            new.rolled = True
+            new.rolled = new.counted = True
         gone = [p for p in gone if p.rolled]
         change = [self._facts_in(parts, sign) for parts, sign in ((gone, -1), ([new] if new else [], 1)) if parts]
         if not change:
@@ -436,8 +442,9 @@ class Warehouse:
         view, record = Snapshot(self, self._open), self._open
         old = [n for n in nodes if f"{n[0]}/{n[1]}" in record.nodes]
         books = self.scan("dim_books").select(F.col("bibnum").alias("bibnumber"), "title", F.lit(True).alias("known"))
-        named = delta.join(books, "bibnumber", "left").withColumn(
-            "bibnumber", F.when(F.col("known").isNull(), F.col("bibnumber")))
+        strangers = Observation(f"roll_{uuid.uuid4().hex}")
+        named = delta.join(books, "bibnumber", "left").withColumn("bibnumber", F.when(F.col("known").isNull(), F.col("bibnumber")))
+        named = named.observe(strangers, F.count_if(F.col("known").isNull()).alias("rows"))
         part = f"{record.number + 1:06d}-{uuid.uuid4().hex[:12]}"
         for table, rows in (("fact_group_nodes", delta), ("fact_title_nodes", named)):
             keys = [f.name for f in T.StructType.fromDDL(NODES[table]).fields if f.name != "loans"]
@@ -447,15 +454,18 @@ class Warehouse:
             # By node, the greatest counts first: a filter on nodes and a threshold on counts skip row groups.
             dealt = sums.hint("rebalance", "level", "node").sortWithinPartitions("level", "node", F.col("loans").desc())
             self._made.append(f"tables/{table}/{PART}={part}")
-            dealt.select(*keys, "loans", "level", "node").write.parquet(f"{self.location}/tables/{table}/{PART}={part}")
-            if table == "fact_title_nodes" and not record.unknown_books and new is not None:
-                record.unknown_books = not named.where("known IS NULL").isEmpty()
+            held = Observation(f"nodes_{uuid.uuid4().hex}")
+            dealt.select(*keys, "loans", "level", "node").observe(held, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.location}/tables/{table}/{PART}={part}")
+            record.node_rows[part] = int(held.get["rows"])
+        record.unknown_books = record.unknown_books or (new is not None and int(strangers.get["rows"]) > 0)
         schema = T.StructType.fromDDL(f"{NODES['fact_group_nodes']}, level int, node int")
         stored = self.spark.read.schema(schema).parquet(f"{self.location}/tables/fact_group_nodes/{PART}={part}")
-        filled = {(r["level"], r["node"]) for r in stored.select("level", "node").distinct().collect()}  # of the run's days
+        # Additions leave no node empty; after a correction those that still have rows are looked up.
+        filled = {(r["level"], r["node"]) for r in stored.select("level", "node").distinct().collect()} if gone else set(nodes)
         before = {record.nodes.pop(f"{level}/{n}", None) for level, n in nodes} - {None}
         record.nodes |= {f"{level}/{n}": part for level, n in nodes if (level, n) in filled}
         held = set(record.nodes.values())
+        record.node_rows = {x: n for x, n in record.node_rows.items() if x in held}
         record.trash += [(record.number + 1, f"tables/{t}/{PART}={x}") for x in sorted(before - held) for t in NODES]
 
     def load_days(self) -> DataFrame:
