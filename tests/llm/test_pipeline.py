@@ -41,7 +41,7 @@ def test_clean_labelled_documents_pass_the_quality_stage(cluster):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_oracles(cluster, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = entry.queries()[name](cluster, SF_SMALL)
     want = con.sql(entry.oracle_sql()[name])
@@ -56,3 +56,20 @@ def test_shards_of_the_registered_query(cluster):
     assert len(rows) == len(texts) and {r["law"] for r in rows} == {"bytes"}
     for r in rows:
         assert r["size"] == len(texts[r["doc_id"]]) + 16 and r["text_crc32"] == zlib.crc32(texts[r["doc_id"]])
+
+
+def test_stages_take_odd_rows(documents, cluster):
+    """Nulls in any column, empty and very long texts, repeated rows, clashing extra columns, and an empty table."""
+    from pyspark.sql import functions as F
+
+    words = [f"word{i % 97}" for i in range(120)]
+    rows = [(1, None), (2, ""), (3, " ".join(words)), (3, " ".join(words)), (None, " ".join(reversed(words))), (4, "long " * 40_000 + "end")]
+    extra = {c: F.lit(7) for c in ("rows_total", "listed", "node", "rank", "row", "kept", "leaks")}
+    docs = documents(rows, extra).withColumn("lang", F.when(F.col("doc_id") != 3, F.col("lang")))
+    for table in (docs, docs.where("false")):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(cluster, table, "/root/testdata/sf0.001")
+            assert out.columns == table.columns, name
+            assert out.count() <= table.count(), name
+        packed = corpus_pipeline.STAGES[-1][1](cluster, table, "/root/testdata/sf0.001")
+        assert {r["doc_id"] for r in packed.select("doc_id").collect()} == {r["doc_id"] for r in table.select("doc_id").collect()}
