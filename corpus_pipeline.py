@@ -2,6 +2,12 @@
 
 Every stage works on all rows its predecessor kept; its result is written as Parquet and read again as
 the next one's documents. All but the last return the columns of ``documents``.
+
+Defined results, in every stage: an empty table gives no rows; extra columns go along, whatever their names. Null, empty
+and blank texts fail the base rules, so they go in the first stage; alone, the other stages keep them (packing gives each
+one sequence piece of its end token). A null language or source is a group of its own. Of repeated rows near_dedup keeps one;
+rows without an id stay. Ties fall to the least id. Texts of any length are read whole; packing cuts those over 1,024
+tokens into pieces. Pseudonyms change texts and count their lengths anew, and keep every row.
 """
 
 from __future__ import annotations
