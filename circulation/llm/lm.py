@@ -8,11 +8,13 @@ No table of n-grams is joined token by token. Tasks gather whole documents into
 bytes and send each chunk's distinct n-grams (64-bit hashes), with the chunk's own counts, as sorted
 arrays to key-range buckets. A bucket sums the counts and answers every chunk with the totals in the
 chunk's key order, and the chunk's documents are scored beside the answers. A frequent word is one key
-per chunk, however often it occurs. Shuffled bytes follow the corpus; nothing but the bucketed
-histogram of held-out events (bounded by its quantisation) and the weights reach the driver.
+per chunk, however often it occurs. Shuffled bytes follow the corpus, and so does the number of
+buckets, taken from the texts' bytes: the one bucket a task holds at a time stays of one size, but for 16
+bytes a chunk of each of its frequent keys. Nothing but the bucketed histogram of held-out events
+(bounded by its quantisation) and the weights reach the driver.
 
-Chunks are cut alike each time the table is scanned; answers that do not fit a chunk's keys fail the
-job. ``docs`` must therefore be a table read from files (or written first).
+Chunks are cut alike each time the table is scanned; answers whose number or checksum does not fit a
+chunk's keys fail the job. ``docs`` must therefore be a table read from files (or written first).
 
 Defined results: a null or empty text is the end token alone; a null id falls into the fold of the empty
 id text; without training documents every token has probability 1; repeated rows each count and each get
@@ -33,9 +35,13 @@ from pyspark.sql import functions as F
 from circulation.llm.common import bound_memory, shuffle_partitions, written
 from circulation.llm.minhash import word_hashes, words
 
-ORDER = 2
+ORDER = 3
 FOLDS, TEST_FOLD, HELD_FOLD = 5, 1, 0
 CHUNK_BYTES = 6 << 20
+# Requests take up to some 4 bytes a byte of text and order. A task holds one bucket of them, and reads its
+# buckets one after another.
+REQUEST_RATIO = 4
+BUCKET_BYTES, TASK_BYTES, MOST_TASKS = 32 << 20, 64 << 20, 100_000
 STEPS_PER_OCTAVE = 8
 EM_ROUNDS = 60
 
@@ -118,8 +124,7 @@ def _chunk_requests(chunk: int, parts: list, order: int, buckets: int) -> Iterat
     held_chunk = chunk & 1
     counts = (folds != TEST_FOLD)
     weight = np.repeat(counts, lengths)
-    rows = [(chunk, 0, 0, np.array([_START]).tobytes(),
-             *(np.array([x], np.uint32).tobytes() for x in ((0, counts.sum()) if held_chunk else (counts.sum(), 0))))]
+    rows = []
     for level, keys in enumerate(grams(flat, lengths, order), 1):
         distinct, inverse = np.unique(keys, return_inverse=True)
         n = np.bincount(inverse, weights=weight, minlength=len(distinct)).astype(np.uint32)
@@ -151,14 +156,19 @@ def _requests(source: DataFrame, order: int, buckets: int) -> DataFrame:
     return source.mapInArrow(ask, "chunk long, level int, bucket int, keys binary, counted binary, held binary")
 
 
-ANSWER = ("chunk long, level int, bucket int, counted binary, total binary, wide boolean, sum_counted long, "
-          "sum_held long, seen_counted long, seen long")
+ANSWER = ("chunk long, level int, bucket int, counted binary, total binary, wide boolean, checksum long, "
+          "sum_counted long, sum_held long, seen_counted long, seen long")
 
 
-def _answers(requests: DataFrame) -> DataFrame:
+def _checksum(keys: np.ndarray) -> int:
+    return int(np.bitwise_xor.reduce(keys).astype(np.int64)) if len(keys) else 0
+
+
+def _answers(requests: DataFrame, tasks: int) -> DataFrame:
     """Totals for every request, and of the counting part alone for held-out chunks (odd), which learn the
-    weights; numbers of 32 bits, or of 64 (``wide``) if need be. For every bucket one row of sums with chunk -1."""
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_(), *[pa.int64()] * 4]
+    weights; numbers of 32 bits, or of 64 (``wide``) if need be; and a checksum of the request's keys. For
+    every bucket one row of sums with chunk -1."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_(), *[pa.int64()] * 5]
     names = [x.split()[0] for x in ANSWER.split(", ")]
 
     def batch(rows: list) -> pa.RecordBatch:
@@ -170,7 +180,7 @@ def _answers(requests: DataFrame) -> DataFrame:
         counted, held = (np.bincount(inverse, weights=np.concatenate([np.frombuffer(r[col], np.uint32) for r in rows]),
                                      minlength=len(distinct)).astype(np.int64) for col in (4, 5))
         total = counted + held
-        yield batch([(-1, level, bucket, None, None, None, int(counted.sum()), int(held.sum()), int((counted > 0).sum()),
+        yield batch([(-1, level, bucket, None, None, None, None, int(counted.sum()), int(held.sum()), int((counted > 0).sum()),
                       int((total > 0).sum()))])
         wide = bool(total.max(initial=0) >= 1 << 32)
         kind = "<u8" if wide else "<u4"
@@ -180,7 +190,7 @@ def _answers(requests: DataFrame) -> DataFrame:
             mine = inverse[at:at + len(k)]
             at += len(k)
             out.append((r[0], level, bucket, counted[mine].tobytes() if r[0] & 1 else None, total[mine].tobytes(), wide,
-                        None, None, None, None))
+                        _checksum(k), None, None, None, None))
             size += 8 * len(k)
             if size > 8 << 20:
                 yield batch(out)
@@ -200,26 +210,28 @@ def _answers(requests: DataFrame) -> DataFrame:
         if rows:
             yield from summed(*now, rows)
 
-    dealt = requests.repartition(shuffle_partitions(requests.sparkSession), "level", "bucket")
+    dealt = requests.repartition(tasks, "level", "bucket")
     return dealt.sortWithinPartitions("level", "bucket").mapInArrow(answer, ANSWER)
 
 
 # --- a chunk beside its answers --------------------------------------------------------------
 
-def _counts(texts: pa.Table, answers: pa.Table, order: int):
+def _counts(texts: pa.Table, answers: pa.Table, order: int, n_docs: int):
     """Of a chunk's tokens: lengths of the texts, counts of each n-gram and of its context, by order."""
     flat, lengths = tokens(texts["text"].combine_chunks())
-    rows = sorted(zip(*(answers[c].to_pylist() for c in ("level", "bucket", "n", "wide"))), key=lambda r: r[:2])
+    rows = sorted(zip(*(answers[c].to_pylist() for c in ("level", "bucket", "n", "wide", "checksum"))), key=lambda r: r[:2])
     by_level: dict[int, list[np.ndarray]] = {}
-    for level, _, n, wide in rows:
+    checksums: dict[int, int] = {}
+    for level, _, n, wide, checksum in rows:
         by_level.setdefault(level, []).append(np.frombuffer(n, "<u8" if wide else "<u4"))
+        checksums[level] = checksums.get(level, 0) ^ checksum
     firsts = np.cumsum(lengths) - lengths
-    before = np.full(len(flat), float(by_level[0][0][0]))  # the padded context: as often as there are documents
+    before = np.full(len(flat), float(n_docs))  # the padded context: as often as there are documents
     found = []
     for level, keys in enumerate(grams(flat, lengths, order), 1):
         distinct, inverse = np.unique(keys, return_inverse=True)
         totals = np.concatenate(by_level.get(level, [np.zeros(0)]))
-        if len(totals) != len(distinct):
+        if len(totals) != len(distinct) or checksums.get(level, 0) != _checksum(distinct):
             raise RuntimeError("the answers do not fit the chunk: the input was not scanned alike twice")
         c = totals[inverse].astype(np.float64)
         found.append((c, before))
@@ -246,43 +258,51 @@ def _beside(source: DataFrame, answers: DataFrame, fn, schema: str) -> DataFrame
     return source.mapInArrow(_assign, CHUNKED).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(fn, schema)
 
 
-def held_out_events(source: DataFrame, answers: DataFrame, order: int, n_tokens: int) -> DataFrame:
+def held_out_events(source: DataFrame, answers: DataFrame, order: int, n_tokens: int, n_docs: int) -> DataFrame:
     """(bucket, steps, n): how many held-out tokens have that context bucket and those estimates."""
-    schema = pa.schema([("bucket", pa.int64()), ("steps", pa.list_(pa.int64())), ("n", pa.int64())])
+    schema = pa.schema([("bucket", pa.int32()), ("steps", pa.list_(pa.int16())), ("n", pa.int64())])
 
     def events(texts: pa.Table, replies: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return schema.empty_table()
-        _, found = _counts(texts, replies, order)
+        _, found = _counts(texts, replies, order, n_docs)
         probs, bucket = _estimates(found, n_tokens)
         rows, n = np.unique(np.column_stack([bucket, _quantised(probs).T]), axis=0, return_counts=True)
-        return pa.table([pa.array(rows[:, 0]), pa.array(list(rows[:, 1:]), pa.list_(pa.int64())), pa.array(n)], schema=schema)
+        steps = pa.ListArray.from_arrays(pa.array(np.arange(0, rows[:, 1:].size + 1, order, dtype=np.int32)),
+                                         pa.array(rows[:, 1:].ravel(), pa.int16()))
+        return pa.table([pa.array(rows[:, 0], pa.int32()), steps, pa.array(n, pa.int64())], schema=schema)
 
     mine = source.where(F.col("fold") == HELD_FOLD)
     # Odd chunks hold the held-out documents.
-    asked = answers.where("chunk % 2 = 1 AND chunk >= 0").select("chunk", "level", "bucket", F.col("counted").alias("n"), "wide")
-    return _beside(mine, asked, events, "bucket long, steps array<long>, n long").groupBy("bucket", "steps").agg(F.sum("n").alias("n"))
+    asked = answers.where("chunk % 2 = 1 AND chunk >= 0").select(
+        "chunk", "level", "bucket", F.col("counted").alias("n"), "wide", "checksum")
+    return _beside(mine, asked, events, "bucket int, steps array<smallint>, n long").groupBy("bucket", "steps").agg(F.sum("n").alias("n"))
 
 
 def learn_weights(events: list[tuple[int, list[int], int]], order: int, uniform: float) -> dict[int, np.ndarray]:
+    """``weights_of`` for events as rows."""
+    bucket, steps, n = zip(*events) if events else ((), (), ())
+    return weights_of(np.array(bucket, np.int64), np.array(steps, np.int64).reshape(-1, order), np.array(n), uniform)
+
+
+def weights_of(bucket: np.ndarray, steps: np.ndarray, n: np.ndarray, uniform: float) -> dict[int, np.ndarray]:
     """Weights (uniform, order 1, 2, ...) of each bucket, and of all together under -1, by expectation-maximisation.
 
     Each bucket starts from, and is held by ten events to, the weights of all buckets together."""
-    def run(rows: list, prior: np.ndarray, strength: float) -> np.ndarray:
-        steps = np.array([r[1] for r in rows], np.float64).reshape(len(rows), order)
-        probs = np.column_stack([np.full(len(rows), uniform), np.where(steps < 0, 0.0, 2.0 ** (-steps / STEPS_PER_OCTAVE))])
-        n, w = np.array([r[2] for r in rows], np.float64), prior
+    def run(mine: np.ndarray | slice, prior: np.ndarray, strength: float) -> np.ndarray:
+        at, counts, w = steps[mine], n[mine].astype(np.float64), prior
+        probs = np.column_stack([np.full(len(at), uniform), np.where(at < 0, 0.0, 2.0 ** (-at / STEPS_PER_OCTAVE))])
         for _ in range(EM_ROUNDS):
-            share = probs * w
-            share *= (n / share.sum(axis=1))[:, None]
-            w = share.sum(axis=0) + prior * strength
+            # Each event's share falls to the components as their weighted probabilities.
+            w = w * (probs.T @ (counts / (probs @ w))) + prior * strength
             w = w / w.sum()
         return w
 
+    order = steps.shape[1]
     even = np.full(order + 1, 1.0 / (order + 1))
-    weights = {-1: run(events, even, 1.0) if events else even}
-    for b in {r[0] for r in events}:
-        weights[b] = run([r for r in events if r[0] == b], weights[-1], 10.0)
+    weights = {-1: run(slice(None), even, 1.0) if len(n) else even}
+    for b in np.unique(bucket).tolist():
+        weights[b] = run(bucket == b, weights[-1], 10.0)
     return weights
 
 
@@ -296,13 +316,19 @@ def interpolated_scores(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_
     Documents of fold 1 of 5 (CRC-32 of the id) teach the model nothing."""
     spark = docs.sparkSession
     source = _source(docs, doc_id, text)
-    buckets = min(1 << 24, 4 * shuffle_partitions(spark))
-    answers = written(_answers(_requests(source, order, buckets)), "lm-answers")
+    trains, counts = F.col("fold") != TEST_FOLD, ~F.col("fold").isin(TEST_FOLD, HELD_FOLD)
+    size, docs_counted, docs_all = (int(x or 0) for x in source.agg(
+        F.sum(F.octet_length("text")), F.count_if(counts), F.count_if(trains)).first())
+    asked_bytes = REQUEST_RATIO * size
+    buckets = min(1 << 24, max(shuffle_partitions(spark), asked_bytes // BUCKET_BYTES))
+    tasks = max(shuffle_partitions(spark), min(MOST_TASKS, order * asked_bytes // TASK_BYTES))
+    answers = written(_answers(_requests(source, order, buckets), tasks), "lm-answers")
     # One row per bucket and order, of numbers only, summed to one.
     sums = answers.where("chunk = -1 AND level = 1").agg(*[F.sum(c) for c in ("sum_counted", "sum_held", "seen_counted", "seen")])
     counted, held, seen_counted, seen = (int(x or 0) for x in sums.first())
-    events = [(r["bucket"], list(r["steps"]), r["n"]) for r in held_out_events(source, answers, order, counted).collect()]
-    weights = learn_weights(events, order, 1.0 / (seen_counted + 1))
+    events = held_out_events(source, answers, order, counted, docs_counted).toArrow().combine_chunks()
+    steps = pc.list_flatten(events["steps"]).to_numpy().reshape(-1, order)
+    weights = weights_of(events["bucket"].to_numpy(), steps, events["n"].to_numpy(), 1.0 / (seen_counted + 1))
     top = max(weights)
     table = np.array([weights.get(b, weights[-1]) for b in range(max(top, 0) + 1)] + [weights[-1]])
     n_all, v_all = float(counted + held), float(seen)
@@ -312,7 +338,7 @@ def interpolated_scores(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_
     def score(texts: pa.Table, replies: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return out.empty_table()
-        lengths, found = _counts(texts, replies, order)
+        lengths, found = _counts(texts, replies, order, docs_all)
         probs, bucket = _estimates(found, n_all)
         w = table[np.minimum(bucket, len(table) - 1)]
         p = w[:, 0] / (v_all + 1) + (w[:, 1:] * probs.T).sum(axis=1) if n_all else np.ones(len(bucket))
@@ -324,5 +350,5 @@ def interpolated_scores(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_
                          total((c > 0).astype(np.int64)), pa.array(np.full(len(lengths), int(n_all))), total(base),
                          total(np.log10(p))], schema=out)
 
-    asked = answers.where("chunk >= 0").select("chunk", "level", "bucket", F.col("total").alias("n"), "wide")
+    asked = answers.where("chunk >= 0").select("chunk", "level", "bucket", F.col("total").alias("n"), "wide", "checksum")
     return _beside(source, asked, score, SCORES)

@@ -111,3 +111,36 @@ def test_grams_do_not_cross_texts():
     for b, edges in ((5, lm._bucket_edges(np.sort(keys[0]), 5)),):
         seen[b] = set(edges.tolist())
         assert edges[0] == 0 and edges[-1] == 6
+
+
+def test_no_group_gathers_all_chunks_and_buckets_follow_the_bytes(documents, monkeypatch):
+    # Many small chunks and buckets: the scores are the same, and every bucket is a range of keys of one order.
+    rows = corpus()
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 2_000)
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 4_000)
+    kept = []
+    real = lm.written
+    monkeypatch.setattr(lm, "written", lambda df, label: kept.append(real(df, label)) or kept[-1])
+    got = sorted(tuple(r) for r in lm.interpolated_scores(documents(rows), 3).collect())
+    for a, b in zip(got, brute(rows, 3), strict=True):
+        assert a[:5] == b[:5] and math.isclose(a[6], b[6], rel_tol=1e-6, abs_tol=1e-9), (a, b)
+    per_level = {r["level"]: r["n"] for r in kept[0].where("chunk = -1").groupBy("level").agg({"*": "count"})
+                 .withColumnRenamed("count(1)", "n").collect()}
+    assert set(per_level) == {1, 2, 3} and per_level[3] > 8
+
+
+def test_answers_of_other_keys_are_refused():
+    import pyarrow as pa
+
+    texts = pa.table({"text": pa.array(["a b"])})
+    flat, lengths = lm.tokens(texts["text"].combine_chunks())
+    keys = np.unique(flat * 0 + lm.grams(flat, lengths, 1)[0])
+    n = np.ones(len(keys), "<u4").tobytes()
+
+    def answer(checksum):
+        return pa.table({"level": [1], "bucket": [0], "n": [n], "wide": [False], "checksum": [checksum]})
+
+    lengths, found = lm._counts(texts, answer(lm._checksum(keys)), 1, 5)
+    assert lengths.tolist() == [3] and found[0][0].tolist() == [1.0, 1.0, 1.0]
+    with pytest.raises(RuntimeError, match="scanned alike"):
+        lm._counts(texts, answer(lm._checksum(keys) ^ 1), 1, 5)
