@@ -108,6 +108,41 @@ def grams(flat: np.ndarray, lengths: np.ndarray, order: int) -> list[np.ndarray]
     return keys
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` with the inverse, sorting high bits and places together where that tells keys apart."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64)
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(keys)
+        ordered = keys[order]
+    first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(first) - 1
+    return ordered[first], inverse
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers as their first bytes, then their second ones, and so on: high bytes of small numbers compress away."""
+    return numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T.tobytes()
+
+
+def _numbers(planes: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted distinct keys as planes of their steps."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(packed, "<u8"), dtype=np.uint64)
+
+
 def _bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Where in sorted keys each of the buckets, equal ranges of keys, begins; and the end."""
     bucket = ((keys >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
@@ -115,25 +150,21 @@ def _bucket_edges(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 _REQUEST = pa.schema([("chunk", pa.int64()), ("level", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()),
-                      ("counted", pa.binary()), ("held", pa.binary())])
+                      ("n", pa.binary())])
 
 
 def _chunk_requests(chunk: int, parts: list, order: int, buckets: int) -> Iterator[pa.RecordBatch]:
     flat, lengths = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     folds = np.concatenate([p[2] for p in parts])
-    held_chunk = chunk & 1
-    counts = (folds != TEST_FOLD)
-    weight = np.repeat(counts, lengths)
+    weight = np.repeat(folds != TEST_FOLD, lengths)
     rows = []
     for level, keys in enumerate(grams(flat, lengths, order), 1):
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        n = np.bincount(inverse, weights=weight, minlength=len(distinct)).astype(np.uint32)
-        zero = np.zeros_like(n)
+        distinct, inverse = _distinct(keys)
+        n = np.bincount(inverse, weights=weight, minlength=len(distinct)).astype("<u4")
         edges = _bucket_edges(distinct, buckets)
         for b in np.flatnonzero(np.diff(edges)).tolist():
             s = slice(edges[b], edges[b + 1])
-            counted, held = (zero[s], n[s]) if held_chunk else (n[s], zero[s])
-            rows.append((chunk, level, b, distinct[s].tobytes(), counted.tobytes(), held.tobytes()))
+            rows.append((chunk, level, b, _packed_keys(distinct[s]), _planes(n[s])))
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _REQUEST.types)], schema=_REQUEST)
 
 
@@ -153,7 +184,7 @@ def _requests(source: DataFrame, order: int, buckets: int) -> DataFrame:
         for c, parts in open_.values():
             yield from _chunk_requests(c, parts, order, buckets)
 
-    return source.mapInArrow(ask, "chunk long, level int, bucket int, keys binary, counted binary, held binary")
+    return source.mapInArrow(ask, "chunk long, level int, bucket int, keys binary, n binary")
 
 
 ANSWER = ("chunk long, level int, bucket int, counted binary, total binary, wide boolean, checksum long, "
@@ -175,10 +206,11 @@ def _answers(requests: DataFrame, tasks: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     def summed(level: int, bucket: int, rows: list) -> Iterator[pa.RecordBatch]:
-        keys = [np.frombuffer(r[3], np.uint64) for r in rows]
-        distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        counted, held = (np.bincount(inverse, weights=np.concatenate([np.frombuffer(r[col], np.uint32) for r in rows]),
-                                     minlength=len(distinct)).astype(np.int64) for col in (4, 5))
+        keys = [_keys(r[3]) for r in rows]
+        distinct, inverse = _distinct(np.concatenate(keys))
+        n = np.concatenate([_numbers(r[4], "<u4") for r in rows])
+        odd = np.repeat([r[0] & 1 for r in rows], [len(k) for k in keys])  # held-out documents
+        counted, held = (np.bincount(inverse, weights=n * (odd == x), minlength=len(distinct)).astype(np.int64) for x in (0, 1))
         total = counted + held
         yield batch([(-1, level, bucket, None, None, None, None, int(counted.sum()), int(held.sum()), int((counted > 0).sum()),
                       int((total > 0).sum()))])
@@ -189,7 +221,7 @@ def _answers(requests: DataFrame, tasks: int) -> DataFrame:
         for r, k in zip(rows, keys):
             mine = inverse[at:at + len(k)]
             at += len(k)
-            out.append((r[0], level, bucket, counted[mine].tobytes() if r[0] & 1 else None, total[mine].tobytes(), wide,
+            out.append((r[0], level, bucket, _planes(counted[mine]) if r[0] & 1 else None, _planes(total[mine]), wide,
                         _checksum(k), None, None, None, None))
             size += 8 * len(k)
             if size > 8 << 20:
@@ -223,13 +255,13 @@ def _counts(texts: pa.Table, answers: pa.Table, order: int, n_docs: int):
     by_level: dict[int, list[np.ndarray]] = {}
     checksums: dict[int, int] = {}
     for level, _, n, wide, checksum in rows:
-        by_level.setdefault(level, []).append(np.frombuffer(n, "<u8" if wide else "<u4"))
+        by_level.setdefault(level, []).append(_numbers(n, "<u8" if wide else "<u4"))
         checksums[level] = checksums.get(level, 0) ^ checksum
     firsts = np.cumsum(lengths) - lengths
     before = np.full(len(flat), float(n_docs))  # the padded context: as often as there are documents
     found = []
     for level, keys in enumerate(grams(flat, lengths, order), 1):
-        distinct, inverse = np.unique(keys, return_inverse=True)
+        distinct, inverse = _distinct(keys)
         totals = np.concatenate(by_level.get(level, [np.zeros(0)]))
         if len(totals) != len(distinct) or checksums.get(level, 0) != _checksum(distinct):
             raise RuntimeError("the answers do not fit the chunk: the input was not scanned alike twice")

@@ -135,7 +135,7 @@ def test_answers_of_other_keys_are_refused():
     texts = pa.table({"text": pa.array(["a b"])})
     flat, lengths = lm.tokens(texts["text"].combine_chunks())
     keys = np.unique(flat * 0 + lm.grams(flat, lengths, 1)[0])
-    n = np.ones(len(keys), "<u4").tobytes()
+    n = lm._planes(np.ones(len(keys), "<u4"))
 
     def answer(checksum):
         return pa.table({"level": [1], "bucket": [0], "n": [n], "wide": [False], "checksum": [checksum]})
@@ -144,3 +144,17 @@ def test_answers_of_other_keys_are_refused():
     assert lengths.tolist() == [3] and found[0][0].tolist() == [1.0, 1.0, 1.0]
     with pytest.raises(RuntimeError, match="scanned alike"):
         lm._counts(texts, answer(lm._checksum(keys) ^ 1), 1, 5)
+
+
+def test_packed_numbers_and_distinct_keys_round_trip():
+    rng = np.random.default_rng(3)
+    near = np.uint64(7 << 50) + rng.integers(0, 40, 500).astype(np.uint64)  # keys that only their low bits tell apart
+    for keys in (rng.integers(0, 2**64, 3000, dtype=np.uint64), near, np.repeat(near[:3], 50), np.zeros(0, np.uint64),
+                 np.array([2**64 - 1, 0, 2**64 - 1], np.uint64)):
+        distinct, inverse = lm._distinct(keys)
+        assert (distinct == np.unique(keys)).all() and (distinct[inverse] == keys).all()
+        assert (lm._keys(lm._packed_keys(distinct)) == distinct).all()
+    for kind in ("<u4", "<u8"):
+        n = rng.integers(0, 2**31, 100).astype(kind)
+        assert (lm._numbers(lm._planes(n), kind) == n).all()
+    assert len(lm._numbers(lm._planes(np.zeros(0, "<u4")), "<u4")) == 0
