@@ -281,16 +281,17 @@ def _estimates(found: list, n_tokens: float) -> tuple[np.ndarray, np.ndarray]:
     return np.array(probs), np.floor(np.log2(context + 1)).astype(np.int64)
 
 
-def _quantised(p: np.ndarray) -> np.ndarray:
-    """Steps of log2, -1 for a probability of 0."""
-    return np.where(p > 0, np.round(-STEPS_PER_OCTAVE * np.log2(np.where(p > 0, p, 1.0))), -1).astype(np.int64)
+def _quantised(p: np.ndarray, octave: int) -> np.ndarray:
+    """Steps of log2, ``octave`` to one, -1 for a probability of 0."""
+    return np.where(p > 0, np.round(-octave * np.log2(np.where(p > 0, p, 1.0))), -1).astype(np.int64)
 
 
 def _beside(source: DataFrame, answers: DataFrame, fn, schema: str) -> DataFrame:
     return source.mapInArrow(_assign, CHUNKED).groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(fn, schema)
 
 
-def held_out_events(source: DataFrame, answers: DataFrame, order: int, n_tokens: int, n_docs: int) -> DataFrame:
+def held_out_events(source: DataFrame, answers: DataFrame, order: int, n_tokens: int, n_docs: int,
+                    octave: int = STEPS_PER_OCTAVE) -> DataFrame:
     """(bucket, steps, n): how many held-out tokens have that context bucket and those estimates."""
     schema = pa.schema([("bucket", pa.int32()), ("steps", pa.list_(pa.int16())), ("n", pa.int64())])
 
@@ -299,7 +300,7 @@ def held_out_events(source: DataFrame, answers: DataFrame, order: int, n_tokens:
             return schema.empty_table()
         _, found = _counts(texts, replies, order, n_docs)
         probs, bucket = _estimates(found, n_tokens)
-        rows, n = np.unique(np.column_stack([bucket, _quantised(probs).T]), axis=0, return_counts=True)
+        rows, n = np.unique(np.column_stack([bucket, _quantised(probs, octave).T]), axis=0, return_counts=True)
         steps = pa.ListArray.from_arrays(pa.array(np.arange(0, rows[:, 1:].size + 1, order, dtype=np.int32)),
                                          pa.array(rows[:, 1:].ravel(), pa.int16()))
         return pa.table([pa.array(rows[:, 0], pa.int32()), steps, pa.array(n, pa.int64())], schema=schema)
@@ -317,13 +318,14 @@ def learn_weights(events: list[tuple[int, list[int], int]], order: int, uniform:
     return weights_of(np.array(bucket, np.int64), np.array(steps, np.int64).reshape(-1, order), np.array(n), uniform)
 
 
-def weights_of(bucket: np.ndarray, steps: np.ndarray, n: np.ndarray, uniform: float) -> dict[int, np.ndarray]:
+def weights_of(bucket: np.ndarray, steps: np.ndarray, n: np.ndarray, uniform: float,
+               octave: int = STEPS_PER_OCTAVE) -> dict[int, np.ndarray]:
     """Weights (uniform, order 1, 2, ...) of each bucket, and of all together under -1, by expectation-maximisation.
 
     Each bucket starts from, and is held by ten events to, the weights of all buckets together."""
     def run(mine: np.ndarray | slice, prior: np.ndarray, strength: float) -> np.ndarray:
         at, counts, w = steps[mine], n[mine].astype(np.float64), prior
-        probs = np.column_stack([np.full(len(at), uniform), np.where(at < 0, 0.0, 2.0 ** (-at / STEPS_PER_OCTAVE))])
+        probs = np.column_stack([np.full(len(at), uniform), np.where(at < 0, 0.0, 2.0 ** (-at / octave))])
         for _ in range(EM_ROUNDS):
             # Each event's share falls to the components as their weighted probabilities.
             w = w * (probs.T @ (counts / (probs @ w))) + prior * strength
@@ -342,10 +344,13 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
           "score double")
 
 
-def interpolated_scores(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def interpolated_scores(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str = "text",
+                        octave: int = STEPS_PER_OCTAVE) -> DataFrame:
     """Per row of ``docs`` its fold, known tokens, the unigram base score and the mixture's log10 probability.
 
-    Documents of fold 1 of 5 (CRC-32 of the id) teach the model nothing."""
+    Documents of fold 1 of 5 (CRC-32 of the id) teach the model nothing. The weights are learned from estimates
+    rounded to ``octave`` steps an octave; fewer steps bound what the driver gets more tightly: at most
+    (40 * octave) ** order cells a context bucket, of which those that occur are sent."""
     spark = docs.sparkSession
     source = _source(docs, doc_id, text)
     trains, counts = F.col("fold") != TEST_FOLD, ~F.col("fold").isin(TEST_FOLD, HELD_FOLD)
@@ -358,9 +363,9 @@ def interpolated_scores(docs: DataFrame, order: int = ORDER, doc_id: str = "doc_
     # One row per bucket and order, of numbers only, summed to one.
     sums = answers.where("chunk = -1 AND level = 1").agg(*[F.sum(c) for c in ("sum_counted", "sum_held", "seen_counted", "seen")])
     counted, held, seen_counted, seen = (int(x or 0) for x in sums.first())
-    events = held_out_events(source, answers, order, counted, docs_counted).toArrow().combine_chunks()
+    events = held_out_events(source, answers, order, counted, docs_counted, octave).toArrow().combine_chunks()
     steps = pc.list_flatten(events["steps"]).to_numpy().reshape(-1, order)
-    weights = weights_of(events["bucket"].to_numpy(), steps, events["n"].to_numpy(), 1.0 / (seen_counted + 1))
+    weights = weights_of(events["bucket"].to_numpy(), steps, events["n"].to_numpy(), 1.0 / (seen_counted + 1), octave)
     top = max(weights)
     table = np.array([weights.get(b, weights[-1]) for b in range(max(top, 0) + 1)] + [weights[-1]])
     n_all, v_all = float(counted + held), float(seen)

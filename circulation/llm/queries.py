@@ -50,7 +50,7 @@ def op3_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.interpolated_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lm.interpolated_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), order=3, octave=2)
 
 
 def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

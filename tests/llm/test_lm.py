@@ -29,7 +29,7 @@ def corpus():
     return rows + [(500, None), (501, ""), (502, "unseen"), (503, "a\x0bb  c\n"), (3, rows[3][1]), (504, "t1 " * 30_000)]
 
 
-def brute(rows, order):
+def brute(rows, order, octave=8):
     texts = [WORD.findall((t or "").translate(LOWER)) + [None] for _, t in rows]
     folds = [zlib.crc32(str(k).encode()) % 5 for k, _ in rows]
 
@@ -62,8 +62,10 @@ def brute(rows, order):
         if f == 0:
             for i in range(len(t)):
                 bucket, probs = estimates(part, t, i)
-                events[bucket, tuple(-1 if p == 0 else round(-8 * math.log2(p)) for p in probs)] += 1
-    weights = lm.learn_weights([(b, list(s), n) for (b, s), n in events.items()], order, 1 / (len(part[0][1]) + 1))
+                events[bucket, tuple(-1 if p == 0 else round(-octave * math.log2(p)) for p in probs)] += 1
+    steps = np.array([s for _, s in events]).reshape(-1, order)
+    weights = lm.weights_of(np.array([b for b, _ in events]), steps, np.array(list(events.values())),
+                            1 / (len(part[0][1]) + 1), octave)
     n, v = sum(full[0][1].values()), len(full[0][1])
     out = []
     for (key, _), t, f in zip(rows, texts, folds):
@@ -158,3 +160,12 @@ def test_packed_numbers_and_distinct_keys_round_trip():
         n = rng.integers(0, 2**31, 100).astype(kind)
         assert (lm._numbers(lm._planes(n), kind) == n).all()
     assert len(lm._numbers(lm._planes(np.zeros(0, "<u4")), "<u4")) == 0
+
+
+def test_coarse_steps_equal_brute_force_and_cost_little(documents):
+    rows = corpus()
+    coarse = sorted(tuple(r) for r in lm.interpolated_scores(documents(rows), 3, octave=2).collect())
+    for a, b in zip(coarse, brute(rows, 3, 2), strict=True):
+        assert a[:5] == b[:5] and math.isclose(a[6], b[6], rel_tol=1e-6, abs_tol=1e-9), (a, b)
+    held = [sum(r[6] for r in x if r[1] and r[2] < 1000) for x in (coarse, brute(rows, 3))]
+    assert abs(held[0] - held[1]) < 0.005 * abs(held[1])  # likelihood of unseen texts, against eight steps an octave
