@@ -40,6 +40,7 @@ from circulation.sources import (  # noqa: E402
     land_typed,
     read_delimited,
     read_landed,
+    read_split_delimited,
     union_slices,
 )
 
@@ -127,6 +128,15 @@ def q_delimited_roundtrip(spark, sf_dir):
     return read_delimited(spark, path, docs.schema)
 
 
+def q_delimited_split_scan(spark, sf_dir):
+    """S1 on files that several tasks may share: records put together from lines by quote parity."""
+    _prepare(spark)
+    docs = fx.read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "delimited-split")
+    write_delimited(docs, path)
+    return read_split_delimited(spark, path, docs.schema)
+
+
 def q_explode_tokens(spark, sf_dir):
     return model.subject_tokens(_all_inventory(spark, sf_dir))
 
@@ -380,6 +390,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_slices": q_union_slices,
     "extract_window_text": q_extract_window_text,
     "delimited_roundtrip": q_delimited_roundtrip,
+    "delimited_split_scan": q_delimited_split_scan,
     "explode_tokens": q_explode_tokens,
     "explode_tokens_keep": q_explode_tokens_keep,
     "first_per_key": q_first_per_key,

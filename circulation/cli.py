@@ -10,7 +10,7 @@
     python -m circulation vacuum  --warehouse W --location L
 
 Sources are parquet by default (``--format delimited`` reads ``|`` text with a header into the
-staging schema, ``--format landed`` a dataset folder of the typed landing). ``report`` prints the dashboard's three results as JSON: the daily series, the
+staging schema, ``--format split`` the same from few large files, each by many tasks, ``--format landed`` a dataset folder of the typed landing). ``report`` prints the dashboard's three results as JSON: the daily series, the
 top 30 subjects and the top 20 titles; all three are bounded by days or k.
 """
 
@@ -27,7 +27,7 @@ from circulation import schemas
 from circulation.plans import jobs, marts
 from circulation.session import apply_runtime_conf, ensure_checkpoint_dir
 from circulation.sinks import Warehouse
-from circulation.sources import extract_window, land_typed, read_delimited, read_landed
+from circulation.sources import extract_window, land_typed, read_delimited, read_landed, read_split_delimited
 
 
 def _source(spark: SparkSession, path: str, fmt: str, schema, stamp: str | None = None) -> DataFrame:
@@ -36,6 +36,8 @@ def _source(spark: SparkSession, path: str, fmt: str, schema, stamp: str | None
         return read_landed(spark, root, dataset, schema, stamp)
     if fmt == "delimited":
         return read_delimited(spark, path, schema)
+    if fmt == "split":
+        return read_split_delimited(spark, path, schema)
     return spark.read.parquet(path)
 
 
@@ -54,7 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--codes", required=True)
     m.add_argument("--prev", required=True)
     m.add_argument("--run", required=True)
-    m.add_argument("--format", choices=["parquet", "delimited", "landed"], default="parquet")
+    m.add_argument("--format", choices=["parquet", "delimited", "split", "landed"], default="parquet")
     m.add_argument("--allow-empty", action="store_true")
 
     d = sub.add_parser("daily", help="loans -> fact_loans and dim_time (C14)")
@@ -62,7 +64,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--loans", required=True)
     d.add_argument("--prev", required=True)
     d.add_argument("--run", required=True)
-    d.add_argument("--format", choices=["parquet", "delimited", "landed"], default="parquet")
+    d.add_argument("--format", choices=["parquet", "delimited", "split", "landed"], default="parquet")
     d.add_argument("--allow-empty", action="store_true")
 
     c = sub.add_parser("catchup", help="load every landed run date not yet processed")
@@ -78,7 +80,7 @@ def _parser() -> argparse.ArgumentParser:
     cm.add_argument("--codes", required=True)
     cm.add_argument("--until", required=True)
     cm.add_argument("--since", help="first month, if none was loaded yet")
-    cm.add_argument("--format", choices=["parquet", "delimited", "landed"], default="parquet")
+    cm.add_argument("--format", choices=["parquet", "delimited", "split", "landed"], default="parquet")
 
     ld = sub.add_parser("land", help="one run's window of a source -> the typed landing")
     ld.add_argument("--source", required=True)
@@ -86,7 +88,7 @@ def _parser() -> argparse.ArgumentParser:
     ld.add_argument("--landing", required=True)
     ld.add_argument("--prev", required=True)
     ld.add_argument("--run", required=True)
-    ld.add_argument("--format", choices=["parquet", "delimited"], default="parquet")
+    ld.add_argument("--format", choices=["parquet", "delimited", "split"], default="parquet")
 
     dr = sub.add_parser("drop", help="drop one table or all")
     common(dr)

@@ -1,4 +1,4 @@
-from circulation.sources.delimited import CSV_OPTIONS, blank_strings, read_delimited
+from circulation.sources.delimited import CSV_OPTIONS, blank_strings, read_delimited, read_split_delimited
 from circulation.sources.extract import (
     EmptyExtractError,
     extract_size,
@@ -18,6 +18,7 @@ __all__ = [
     "land_typed",
     "read_delimited",
     "read_landed",
+    "read_split_delimited",
     "require_rows",
     "union_slices",
     "window_predicate",

@@ -177,6 +177,9 @@ QUERIES: dict[str, str] = {
     "delimited_roundtrip": """
         SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                n_chars FROM documents""",
+    "delimited_split_scan": """
+        SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               n_chars FROM documents""",
     "explode_tokens": "SELECT subjects_string, subject FROM tokens_all",
     "explode_tokens_keep": """
         SELECT subjects_string, unnest(CASE WHEN len(string_split(subjects_string, ',')) > 1
