@@ -39,9 +39,11 @@ from circulation.sources import (  # noqa: E402
     extract_window,
     land_typed,
     read_delimited,
+    read_indexed,
     read_landed,
     read_split_delimited,
     union_slices,
+    update_stamp_index,
 )
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -120,6 +122,17 @@ def q_extract_window_text(spark, sf_dir):
     return extract_window(loans, "checkoutdatetime", _oracle.SHIP_LO, _oracle.SHIP_HI, cols)
 
 
+def q_extract_indexed(spark, sf_dir):
+    """S2 over a parquet source with text stamps: files that cannot hold rows of the window are not opened."""
+    _prepare(spark)
+    loans, source, index = fx.loans(spark, sf_dir), scratch_path(spark, "loans"), scratch_path(spark, "loans-index")
+    loans.write.parquet(source)
+    update_stamp_index(spark, source, loans.schema, "checkoutdatetime", index)
+    rows = read_indexed(spark, source, loans.schema, index, _oracle.SHIP_LO, _oracle.SHIP_HI)
+    cols = ["id", "bibnumber", "checkoutdatetime"]
+    return extract_window(rows, "checkoutdatetime", _oracle.SHIP_LO, _oracle.SHIP_HI, cols)
+
+
 def q_delimited_roundtrip(spark, sf_dir):
     _prepare(spark)
     docs = fx.read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
@@ -389,6 +402,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_size": q_extract_size,
     "union_slices": q_union_slices,
     "extract_window_text": q_extract_window_text,
+    "extract_indexed": q_extract_indexed,
     "delimited_roundtrip": q_delimited_roundtrip,
     "delimited_split_scan": q_delimited_split_scan,
     "explode_tokens": q_explode_tokens,

@@ -27,7 +27,7 @@ from circulation import schemas
 from circulation.plans import jobs, marts
 from circulation.session import apply_runtime_conf, ensure_checkpoint_dir
 from circulation.sinks import Warehouse
-from circulation.sources import extract_window, land_typed, read_delimited, read_landed, read_split_delimited
+from circulation.sources import extract_window, land_typed, read_delimited, read_indexed, read_landed, read_split_delimited, update_stamp_index
 
 
 def _source(spark: SparkSession, path: str, fmt: str, schema, stamp: str | None = None) -> DataFrame:
@@ -66,6 +66,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--run", required=True)
     d.add_argument("--format", choices=["parquet", "delimited", "split", "landed"], default="parquet")
     d.add_argument("--allow-empty", action="store_true")
+    d.add_argument("--index", help="folder of the source's file index (parquet): updated, then used to skip files")
 
     c = sub.add_parser("catchup", help="load every landed run date not yet processed")
     common(c)
@@ -143,7 +144,13 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> dict:
         checks = jobs.run_monthly(wh, inventory, codes, args.prev, args.run, allow_empty=args.allow_empty)
         return {"checks": [{"check": c, "value": v, "passed": p} for c, v, p in checks]}
     if args.command == "daily":
-        loans = _source(spark, args.loans, args.format, schemas.STAGING_LOANS, "checkoutdatetime")
+        if args.index:
+            if args.format != "parquet":
+                raise SystemExit("daily: --index goes with --format parquet")
+            update_stamp_index(spark, args.loans, schemas.STAGING_LOANS, "checkoutdatetime", args.index)
+            loans = read_indexed(spark, args.loans, schemas.STAGING_LOANS, args.index, args.prev, args.run)
+        else:
+            loans = _source(spark, args.loans, args.format, schemas.STAGING_LOANS, "checkoutdatetime")
         return {"fact_rows": jobs.run_daily(wh, loans, args.prev, args.run, allow_empty=args.allow_empty)}
     if args.command == "catchup":
         from circulation.streaming import start_daily_catchup

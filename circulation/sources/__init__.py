@@ -8,6 +8,7 @@ from circulation.sources.extract import (
     window_predicate,
 )
 from circulation.sources.landing import land_typed, read_landed
+from circulation.sources.stamp_index import files_of_window, read_indexed, update_stamp_index
 
 __all__ = [
     "CSV_OPTIONS",
@@ -15,11 +16,14 @@ __all__ = [
     "blank_strings",
     "extract_size",
     "extract_window",
+    "files_of_window",
     "land_typed",
     "read_delimited",
+    "read_indexed",
     "read_landed",
     "read_split_delimited",
     "require_rows",
     "union_slices",
+    "update_stamp_index",
     "window_predicate",
 ]

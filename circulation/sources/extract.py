@@ -22,7 +22,7 @@ class EmptyExtractError(Exception):
     pass
 
 
-def _as_timestamp(df: DataFrame, column: str) -> Column:
+def as_timestamp(df: DataFrame, column: str) -> Column:
     c = F.col(column)
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.StringType):
@@ -42,7 +42,7 @@ def window_predicate(df: DataFrame, column: str, lo: DateLike | None, hi: DateLi
     On a typed landing the parsed stamp is compared and, as no row is stamped after its run date,
     folders up to ``lo`` are pruned; both reach the scan."""
     typed = column + TYPED in df.columns
-    ts = F.col(column + TYPED) if typed else _as_timestamp(df, column)
+    ts = F.col(column + TYPED) if typed else as_timestamp(df, column)
     cond = F.lit(True)
     if typed and RUN_DATE in df.columns and lo is not None:
         cond = cond & (F.col(RUN_DATE) > F.lit(as_date(lo)))

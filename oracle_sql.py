@@ -216,6 +216,10 @@ QUERIES: dict[str, str] = {
         SELECT id, bibnumber, checkoutdatetime FROM loans
         WHERE CAST(checkoutdatetime AS TIMESTAMP) > TIMESTAMP '{SHIP_LO}'
           AND CAST(checkoutdatetime AS TIMESTAMP) <= TIMESTAMP '{SHIP_HI}'""",
+    "extract_indexed": f"""
+        SELECT id, bibnumber, checkoutdatetime FROM loans
+        WHERE CAST(checkoutdatetime AS TIMESTAMP) > TIMESTAMP '{SHIP_LO}'
+          AND CAST(checkoutdatetime AS TIMESTAMP) <= TIMESTAMP '{SHIP_HI}'""",
     "loans_per_day_all": """
         SELECT s.date, coalesce(d.count, 0) AS count
         FROM (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
