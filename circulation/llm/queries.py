@@ -192,6 +192,29 @@ SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lamb
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM bits
 """
+# Sizes, the checksum by its polynomial, and one window sum: the row's midpoint falls into the equal part
+# of all bytes that is its shard.
+OP5_SQL = """
+WITH sized AS (
+  SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 16 AS size,
+         regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS octets
+  FROM documents
+), summed AS (
+  SELECT doc_id, size, xor(list_reduce([4294967295::BIGINT] || list_transform(octets, lambda h: ('0x' || h)::BIGINT),
+    lambda c, b: list_reduce([xor(c, b)] || list_transform(range(8), lambda z: 0::BIGINT),
+      lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) AS text_crc32
+  FROM sized
+), placed AS (
+  SELECT *, row_number() OVER ahead AS place, sum(size) OVER ahead - size AS before, sum(size) OVER () AS total
+  FROM summed WINDOW ahead AS (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING)
+), dealt AS (
+  SELECT *, least(39, ((2 * before + size) * 40) // (2 * total))::INTEGER AS shard FROM placed
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM dealt
+"""
+
 OP8_SQL = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -336,5 +359,5 @@ FROM every LEFT JOIN answers ON every.conv_id IS NOT DISTINCT FROM answers.conv_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_bbit_minhash": OP1_SQL, "op8_bloom_cascade": OP8_SQL, "op10_warc_index": OP10_SQL,
+    return {"op1_bbit_minhash": OP1_SQL, "op5_byte_shards": OP5_SQL, "op8_bloom_cascade": OP8_SQL, "op10_warc_index": OP10_SQL,
             "op11_norm_bucket_search": OP11_SQL, "op12_conversation_repair": _op12_sql()}
