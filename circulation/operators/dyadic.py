@@ -7,9 +7,10 @@ nodes a level, so a range's counts are sums of O(log days) stored rows per key.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -46,10 +47,45 @@ def holding(days: Iterable[dt.date | None]) -> list[Node]:
     return sorted(found)
 
 
-def spread(counts: DataFrame, day: str = "day") -> DataFrame:
-    """Each row once a level, with columns ``level`` and ``node`` in place of the day."""
-    dated = F.sequence(F.lit(0), F.lit(LEVELS - 1))
-    out = counts.withColumn("level", F.explode(F.when(F.col(day).isNull(), F.array(F.lit(UNDATED[0]))).otherwise(dated)))
+def node_sums(counts: DataFrame, keys: Sequence[str], count: str, tasks: int, day: str = "day") -> DataFrame:
+    """(``keys``, ``count``, level, node): the sums of every node, from one row per key and day.
+
+    The rows are shuffled once, by key, before they grow: a key's days in order give running sums, a row that is the last of
+    its key in some nodes gives those, and a node's sum is the running sum there less that at the end of its key's node before."""
+    number = F.datediff(F.col(day), F.lit(_EPOCH))
+    dealt = counts.select(*keys, number.alias("_day"), F.col(count).alias("_n")).repartition(tasks, *keys)
+    own = Window.partitionBy(*keys).orderBy("_day")
+    so_far, ahead = own.rowsBetween(Window.unboundedPreceding, Window.currentRow), own.rowsBetween(Window.unboundedPreceding, -1)
+    dated = F.col("_day").isNotNull()
+    run = dealt.withColumns({"_sum": F.sum(F.when(dated, F.col("_n"))).over(so_far), "_next": F.lead("_day").over(own)})
+    # The highest level at which the next day is in another node.
+    differ = F.col("_day").bitwiseXOR(F.col("_next"))
+    level = reduce(Column.__add__, [(differ >= F.lit(1 << x)).cast("int") for x in range(1, LEVELS)])
+    run = run.withColumn("_top", F.when(F.col("_next").isNull() | (differ < 0), F.lit(LEVELS - 1)).otherwise(level))
+    ends = run.withColumns({f"_end{x}": F.last(F.when(F.col("_top") >= x, F.col("_sum")), ignorenulls=True).over(ahead) for x in range(LEVELS)})
+    ended = F.slice(F.array(*[F.coalesce(f"_end{x}", F.lit(0)) for x in range(LEVELS)]), F.lit(1), F.col("_top") + 1)
+    rows = ends.select(*keys, "_day", "_n", "_sum", F.posexplode(F.when(dated, ended).otherwise(F.array(F.lit(0).cast("long")))).alias("_level", "_end"))
+    return rows.select(
+        *keys, F.when(dated, F.col("_sum") - F.col("_end")).otherwise(F.col("_n")).alias(count),
+        F.when(dated, F.col("_level")).otherwise(F.lit(UNDATED[0])).alias("level"),
+        F.when(dated, F.expr("shiftright(_day, _level)")).otherwise(F.lit(UNDATED[1])).alias("node"))
+
+
+def node_order(count: str) -> Column:
+    """Level, node, then ``count`` downwards, in one number, which Spark sorts by its bits; counts from 2^31 are alike in it."""
+    node = (F.col("level") + 1).cast("long") * (1 << 26) + F.col("node") + (1 << 25)
+    return node * (1 << 31) - F.least(F.col(count), F.lit((1 << 31) - 1))
+
+
+def spread(counts: DataFrame, nodes: Iterable[Node], day: str = "day") -> DataFrame:
+    """Each row once for each of some ``nodes`` that holds its day, with columns ``level`` and ``node`` in place of the day."""
+    of: dict[int, list[int]] = {}
+    for level, node in nodes:
+        of.setdefault(level, []).append(node)
+    number = F.datediff(F.col(day), F.lit(_EPOCH))
+    place = lambda level: F.shiftright(number, level) if level >= 0 else F.when(number.isNull(), F.lit(UNDATED[1]))
+    levels = [F.when(place(level).isin(held), F.lit(level)) for level, held in sorted(of.items())]
+    out = counts.withColumn("level", F.explode(F.array_compact(F.array(*levels))))
     shifted = F.expr(f"shiftright(datediff(`{day}`, DATE'1970-01-01'), level)")
     return out.withColumn("node", F.when(F.col("level") < 0, F.lit(UNDATED[1])).otherwise(shifted)).drop(day)
 

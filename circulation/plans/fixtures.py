@@ -32,7 +32,7 @@ def _null(dtype: str) -> Column:
 
 
 def _iso_midnight(ts: str) -> Column:
-    return F.concat(F.date_format(F.col(ts), "yyyy-MM-dd"), F.lit("T00:00:00.000"))
+    return F.concat(F.col(ts).cast("date").cast("string"), F.lit("T00:00:00.000"))
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
@@ -77,7 +77,8 @@ def inventory(spark: SparkSession, sf_dir: str, batch: int | None = None) -> Dat
     """``staging_inventory`` rows, one per line item. ``batch`` 1 or 2 gives one inventory month; some
     publishers' rows are all reported in month 2, which so adds members."""
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"
+        "l_partkey", "l_suppkey", "l_shipdate",
+        F.when(F.col("l_linenumber") == 7, _null("int")).otherwise(F.col("l_quantity").cast("int")).alias("itemcount"),
     )
     split = F.lit(BATCH_SPLIT).cast("timestamp_ntz")
     part = read_table(spark, sf_dir, "part")
@@ -95,7 +96,7 @@ def inventory(spark: SparkSession, sf_dir: str, batch: int | None = None) -> Dat
         F.col("p_brand").alias("publisher"),
         F.col("p_type").alias("author"),
         F.col("l_suppkey").cast("string").alias("itemlocation"),
-        F.when(F.col("l_linenumber") == 7, _null("int")).otherwise(F.col("l_quantity").cast("int")).alias("itemcount"),
+        "itemcount",
         _iso_midnight("l_shipdate").alias("reportdate"),
         subjects_expr().alias("subjects"),
     )
@@ -104,7 +105,7 @@ def inventory(spark: SparkSession, sf_dir: str, batch: int | None = None) -> Dat
 
 def inventory_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both inventory months as one dated source, for window extracts by ``reportdate``."""
-    return inventory(spark, sf_dir, 1).unionByName(inventory(spark, sf_dir, 2))
+    return inventory(spark, sf_dir).where(F.col("reportdate").isNotNull())  # rows without a date are in no month
 
 
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from circulation import schemas
 from circulation.functions.dates import DateLike, as_date
-from circulation.operators.dyadic import UNDATED, Node, cover, day_number, holding, spread
+from circulation.operators.dyadic import UNDATED, Node, cover, day_number, holding, node_order, node_sums, spread
 from circulation.session import materialise
 from circulation.sinks.record import RETAIN, ConcurrentRunError, Part, Record, RecordStore
 
@@ -63,6 +63,8 @@ EXTRA_SCHEMAS = {CANONICAL: CANONICAL_SCHEMA, LOAD_DAYS: LOAD_DAYS_SCHEMA}
 # Roll-ups: the rows of a node. A loan's title is looked up as it is stored (books are insert-only, so it stays); a book not
 # known then is kept by its number and looked up when it is read.
 NODES = {"fact_group_nodes": "subject_group_id string, loans long", "fact_title_nodes": "title string, bibnumber long, loans long"}
+# Loans whose nodes one task makes and sorts.
+LOANS_PER_TASK = 500_000
 EXTRA_TABLES = tuple(EXTRA_SCHEMAS)
 # Tables with partition columns before the part: (name, SQL type).
 PARTITIONED = {"fact_loans": ((LOAD_DATE, "DATE"),)}
@@ -183,6 +185,11 @@ def _days_of(fact: DataFrame) -> DataFrame:
         "day", "loans", LOAD_DATE)
 
 
+def _tasks(loans: int, cores: int) -> int:
+    """Tasks that make the nodes of some loans, so that one can sort its nodes in memory; few loans keep no more cores busy."""
+    return max(1, -(-loans // LOANS_PER_TASK), min(cores, -(-loans // 50_000)))
+
+
 class Warehouse:
     """``buckets`` sets the bucket count of the tables in ``BUCKET_KEYS`` (default: the session's
     shuffle partitions). Keep it at least ``spark.sql.shuffle.partitions``: when the other join
@@ -360,9 +367,6 @@ class Warehouse:
             shaped = shaped.repartition(record.buckets, F.col(BUCKET_KEYS[table]))
         elif files:
             shaped = shaped.coalesce(files)
-        elif order:
-            # AQE sizes the files of a run, splitting one that holds very many loans.
-            shaped = shaped.hint("rebalance")
         if order:
             shaped = shaped.sortWithinPartitions(order)  # row-group statistics prune ranges
         obs, view = Observation(f"load_{table}"), f"load_{uuid.uuid4().hex}"
@@ -406,15 +410,18 @@ class Warehouse:
         """Make ``facts`` the whole of one run date's facts; returns how many the run date now has."""
         day = as_date(run_date).isoformat()
         with self.transaction():
-            days = self.snapshot().load_days().where(F.col(LOAD_DATE) != F.lit(as_date(run_date)))
+            stored = self.snapshot().load_days()
+            days = stored.where(F.col(LOAD_DATE) != F.lit(as_date(run_date)))
+            # Days, not loans: a few rows per run date.
+            held = stored.where("loans > 0").select("day", (F.col(LOAD_DATE) == F.lit(as_date(run_date))).alias("own")).distinct().collect()
             others = [p for p in self._open.tables.get("fact_loans", []) if p.values[LOAD_DATE] != day]
             part = self._write("fact_loans", facts, {LOAD_DATE: day}, order="time_key")
-            self._roll(run_date, [p for p in self._open.tables.get("fact_loans", []) if p not in others], part)
+            counted = _days_of(self._parts("fact_loans", [part])).collect() if part else [(None, 0, as_date(run_date))]
+            gone = [p for p in self._open.tables.get("fact_loans", []) if p not in others and p.rolled]
+            mine = ({r["day"] for r in held if r["own"]} if gone else set()) | ({r["day"] for r in counted} if part else set())
+            self._roll(gone, part, mine, {r["day"] for r in held if not r["own"]})
             self._open.tables["fact_loans"] = others + ([part] if part else [])
-            if part:
-                new = _days_of(self.scan("fact_loans").where(F.col(LOAD_DATE) == F.lit(as_date(run_date))))
-            else:
-                new = self.spark.createDataFrame([(None, 0, as_date(run_date))], LOAD_DAYS_SCHEMA)
+            new = self.spark.createDataFrame(counted, LOAD_DAYS_SCHEMA)
             # A few rows per run date: one file.
             summary = self._write(LOAD_DAYS, days.unionByName(new), order=LOAD_DATE, files=1)
             self._open.tables[LOAD_DAYS] = [summary]
@@ -422,42 +429,55 @@ class Warehouse:
         log.info("fact_loans: %d rows under run date %s", rows, day)
         return rows
 
-    def _facts_in(self, parts: list[Part], sign: int) -> DataFrame:
-        """The loans per day, group and book of some parts of the fact, counted with a sign."""
-        view = Record(buckets=self._open.buckets, tables={"fact_loans": parts})
-        day = F.col("time_key").cast("date").alias("day")
-        return self._read(view, "fact_loans").groupBy(day, "subject_group_id", "bibnumber").agg((F.count(F.lit(1)) * sign).alias("loans"))
+    def _parts(self, table: str, parts: list[Part]) -> DataFrame:
+        return self._read(Record(buckets=self._open.buckets, tables={table: parts}), table)
+
+    def _changes(self, table: str, parts: list[Part], sign: int) -> DataFrame:
+        """The loans of some parts of the fact per day and key of a node table, counted with a sign."""
+        key = "subject_group_id" if table == "fact_group_nodes" else "bibnumber"
+        facts = self._parts("fact_loans", parts).select(F.col("time_key").cast("date").alias("day"), key)
+        counts = facts.groupBy("day", key).agg((F.count(F.lit(1)) * sign).alias("loans"))
+        if table == "fact_group_nodes":
+            return counts
+        books = self.scan("dim_books").select(F.col("bibnum").alias("bibnumber"), "title", F.lit(True).alias("known"))
+        named = counts.join(books, "bibnumber", "left").withColumn("bibnumber", F.when(F.col("known").isNull(), F.col("bibnumber")))
+        return named.groupBy("day", "title", "bibnumber").agg(F.sum("loans").alias("loans"))
+
+    def _roll(self, gone: list[Part], new: Part | None, mine: set, others: set) -> None:
+        """Make the nodes of the days of a run date (``mine``) those of its new facts and of the other runs' days.
 
-    def _roll(self, run_date: DateLike, gone: list[Part], new: Part | None) -> None:
-        """Change the nodes of the days of a run date by the difference between its new facts and those that go."""
+        A node without a day of ``others`` is that of the new facts alone. The rest, a few a level unless runs share many days,
+        change by the difference between the new facts and those that go."""
         if new is not None:
             new.rolled = new.counted = True
-        gone = [p for p in gone if p.rolled]
-        change = [self._facts_in(parts, sign) for parts, sign in ((gone, -1), ([new] if new else [], 1)) if parts]
-        if not change:
+        if not gone and new is None:
             return
-        delta = materialise(reduce(DataFrame.unionByName, change), "roll-delta")
-        days = [r["day"] for r in delta.select("day").distinct().collect()]  # the days of one run
-        nodes = holding(days)
-        view, record = Snapshot(self, self._open), self._open
-        old = [n for n in nodes if f"{n[0]}/{n[1]}" in record.nodes]
-        books = self.scan("dim_books").select(F.col("bibnum").alias("bibnumber"), "title", F.lit(True).alias("known"))
-        strangers = Observation(f"roll_{uuid.uuid4().hex}")
-        named = delta.join(books, "bibnumber", "left").withColumn("bibnumber", F.when(F.col("known").isNull(), F.col("bibnumber")))
-        named = named.observe(strangers, F.count_if(F.col("known").isNull()).alias("rows"))
+        view, record, nodes = Snapshot(self, self._open), self._open, holding(mine)
+        kept = set(holding(others))
+        shared = [n for n in nodes if n in kept and f"{n[0]}/{n[1]}" in record.nodes]
+        tasks = _tasks(new.rows, self.spark.sparkContext.defaultParallelism) if new else 1
         part = f"{record.number + 1:06d}-{uuid.uuid4().hex[:12]}"
-        for table, rows in (("fact_group_nodes", delta), ("fact_title_nodes", named)):
+        for table in NODES:
             keys = [f.name for f in T.StructType.fromDDL(NODES[table]).fields if f.name != "loans"]
-            changed = spread(rows.groupBy("day", *keys).agg(F.sum("loans").alias("loans")))
-            both = view._read_nodes(table, old).unionByName(changed.select(*keys, "loans", "level", "node"))
-            sums = both.groupBy("level", "node", *keys).agg(F.sum("loans").alias("loans")).where("loans != 0")
-            # By node, the greatest counts first: a filter on nodes and a threshold on counts skip row groups.
-            dealt = sums.hint("rebalance", "level", "node").sortWithinPartitions("level", "node", F.col("loans").desc())
+            rows = []
+            if new:
+                alone = node_sums(self._changes(table, [new], 1), keys, "loans", tasks)
+                rows.append(alone.where(~_in_nodes(shared)) if shared else alone)
+            if shared:
+                change = [self._changes(table, parts, sign) for parts, sign in ((gone, -1), ([new] if new else [], 1)) if parts]
+                both = [view._read_nodes(table, shared), *[spread(c, shared).select(*keys, "loans", "level", "node") for c in change]]
+                sums = reduce(DataFrame.unionByName, both).groupBy("level", "node", *keys).agg(F.sum("loans").alias("loans"))
+                rows.append(sums.where("loans != 0").select(*keys, "loans", "level", "node"))
+            changed = reduce(DataFrame.unionByName, rows) if rows else view._read_nodes(table, [])
+            # By node, the greatest counts first: a filter on nodes and a threshold on counts skip pages of every file.
+            dealt = changed.sortWithinPartitions(node_order("loans"))
             self._made.append(f"tables/{table}/{PART}={part}")
             held = Observation(f"nodes_{uuid.uuid4().hex}")
             dealt.select(*keys, "loans", "level", "node").observe(held, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.location}/tables/{table}/{PART}={part}")
             record.node_rows[part] = int(held.get["rows"])
-        record.unknown_books = record.unknown_books or (new is not None and int(strangers.get["rows"]) > 0)
+        if not record.unknown_books:
+            titles = self.spark.read.schema(f"{NODES['fact_title_nodes']}, level int, node int").parquet(f"{self.location}/tables/fact_title_nodes/{PART}={part}")
+            record.unknown_books = not titles.where("bibnumber IS NOT NULL").isEmpty()
         schema = T.StructType.fromDDL(f"{NODES['fact_group_nodes']}, level int, node int")
         stored = self.spark.read.schema(schema).parquet(f"{self.location}/tables/fact_group_nodes/{PART}={part}")
         # Additions leave no node empty; after a correction those that still have rows are looked up.
