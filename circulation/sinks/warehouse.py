@@ -16,8 +16,8 @@ each day (a run without facts has one row without a day): the calendar and the d
 tells which run dates a range of days can lie in.
 
 ``fact_group_nodes`` and ``fact_title_nodes`` hold the loans per subject group and per title of every dyadic interval of
-days (``circulation.operators.dyadic``). A run changes the nodes of its own days by the difference that it makes, in one
-aggregate, and publishes them with its facts: any range is a sum over a few nodes, without a scan of facts.
+days (``circulation.operators.dyadic``). A run makes the nodes of its own days anew, or changes those that other runs share by
+the difference, and publishes them with its facts: any range is a sum over a few nodes, without a scan of facts.
 """
 
 from __future__ import annotations
