@@ -21,6 +21,7 @@ if _HERE not in sys.path:
 
 import oracle_sql as _oracle  # noqa: E402
 from circulation import schemas  # noqa: E402
+from circulation.constants import LANDING_COMPRESSION  # noqa: E402
 from circulation.operators import explode_tokens  # noqa: E402
 from circulation.plans import fixtures as fx  # noqa: E402
 from circulation.plans import jobs, marts, model  # noqa: E402
@@ -227,7 +228,8 @@ def q_stream_fact_loans(spark, sf_dir):
     # The loans of 31 December belong to that day's run: its midnight closes the window.
     year = F.year(F.col("checkoutdatetime").cast("timestamp_ntz"))
     landing = scratch_path(spark, "stream-landing")
-    write_delimited(loans.withColumn("run_date", F.make_date(year, F.lit(12), F.lit(31))), landing, partition_by=["run_date"])
+    write_delimited(loans.withColumn("run_date", F.make_date(year, F.lit(12), F.lit(31))), landing, partition_by=["run_date"],
+                    compression=LANDING_COMPRESSION)
     query = start_daily_catchup(wh, landing, scratch_path(spark, "stream-ckpt"))
     query.awaitTermination()
     return wh.scan("fact_loans")

@@ -26,3 +26,5 @@ ALL_TABLES = (
     "dim_time", "dim_books", "dim_collections", "dim_subject", "bridge_subject", "fact_loans",
 )
 # --- end of fixed values ------------------------------------------------------------------
+# Codec of the jobs' delimited landing (a file is one task to its reader, compressed or not).
+LANDING_COMPRESSION = "gzip"

@@ -48,12 +48,13 @@ def holding(days: Iterable[dt.date | None]) -> list[Node]:
 
 
 def node_sums(counts: DataFrame, keys: Sequence[str], count: str, tasks: int, day: str = "day") -> DataFrame:
-    """(``keys``, ``count``, level, node): the sums of every node, from one row per key and day.
+    """(``keys``, ``count``, level, node): the sums of every node, from rows of a key and a day.
 
     The rows are shuffled once, by key, before they grow: a key's days in order give running sums, a row that is the last of
     its key in some nodes gives those, and a node's sum is the running sum there less that at the end of its key's node before."""
     number = F.datediff(F.col(day), F.lit(_EPOCH))
     dealt = counts.select(*keys, number.alias("_day"), F.col(count).alias("_n")).repartition(tasks, *keys)
+    dealt = dealt.groupBy(*keys, "_day").agg(F.sum("_n").alias("_n"))  # in place, as all rows of a key are in one task
     own = Window.partitionBy(*keys).orderBy("_day")
     so_far, ahead = own.rowsBetween(Window.unboundedPreceding, Window.currentRow), own.rowsBetween(Window.unboundedPreceding, -1)
     dated = F.col("_day").isNotNull()

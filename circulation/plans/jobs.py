@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from circulation import schemas
-from circulation.constants import QUALITY_MINIMUM_ROWS, QUALITY_TABLES
+from circulation.constants import LANDING_COMPRESSION, QUALITY_MINIMUM_ROWS, QUALITY_TABLES
 from circulation.functions.dates import DateLike, as_date
 from circulation.plans import model
 from circulation.plans.quality import Check, duplicate_check, enforce, scalar_checks
@@ -27,11 +27,12 @@ Checks = Callable[[Snapshot], Sequence[Check]]
 
 
 def _land(wh: Warehouse, df: DataFrame, landing: str | None, dataset: str, run_date: DateLike, schema) -> DataFrame:
-    """Optional landing round trip: write the run's file (replacing it) and stage from it."""
+    """Optional landing round trip: write the run's files (replacing them; compressed, as text takes many times what is staged
+    from it) and stage from them."""
     if landing is None:
         return df
     path = f"{landing.rstrip('/')}/{dataset}/run_date={as_date(run_date).isoformat()}"
-    write_delimited(df, path)
+    write_delimited(df, path, compression=LANDING_COMPRESSION)
     return read_delimited(wh.spark, path, schema)
 
 

@@ -433,15 +433,16 @@ class Warehouse:
         return self._read(Record(buckets=self._open.buckets, tables={table: parts}), table)
 
     def _changes(self, table: str, parts: list[Part], sign: int) -> DataFrame:
-        """The loans of some parts of the fact per day and key of a node table, counted with a sign."""
+        """The loans of some parts of the fact per day and key of a node table, counted with a sign (of titles, a row per book)."""
         key = "subject_group_id" if table == "fact_group_nodes" else "bibnumber"
         facts = self._parts("fact_loans", parts).select(F.col("time_key").cast("date").alias("day"), key)
         counts = facts.groupBy("day", key).agg((F.count(F.lit(1)) * sign).alias("loans"))
         if table == "fact_group_nodes":
             return counts
         books = self.scan("dim_books").select(F.col("bibnum").alias("bibnumber"), "title", F.lit(True).alias("known"))
+        # A row per book, not per title: what adds them up shuffles them by its own keys.
         named = counts.join(books, "bibnumber", "left").withColumn("bibnumber", F.when(F.col("known").isNull(), F.col("bibnumber")))
-        return named.groupBy("day", "title", "bibnumber").agg(F.sum("loans").alias("loans"))
+        return named.select("day", "title", "bibnumber", "loans")
 
     def _roll(self, gone: list[Part], new: Part | None, mine: set, others: set) -> None:
         """Make the nodes of the days of a run date (``mine``) those of its new facts and of the other runs' days.
