@@ -53,6 +53,8 @@ MAX_TERMS = 32_768
 MAX_WORDS = 2_000_000
 ITEMS_AT_ONCE = 8192
 TOKENS_AT_ONCE = 100_000
+# Words counted together for a bound on what an item has in a place, and items counted at once.
+BLOCK, ITEMS_IN_BLOCKS = 8, 256
 NO_WORD = -2
 # Punctuation that does not belong to a word.
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#$%&-_/\\«»„“”‘’¿¡…"
@@ -67,6 +69,15 @@ def clean(word: str) -> str:
     return word.strip(PUNCTUATION).lower()
 
 
+def cleaned_words(found: pa.Array) -> list[str]:
+    """``clean`` of every word. Those of ASCII alone are cleaned at once; the rest follow Python's rules of case."""
+    out = pc.ascii_lower(pc.utf8_trim(found, characters=PUNCTUATION)).to_pylist()
+    other = pc.invert(pc.string_is_ascii(found))
+    for k, word in zip(np.flatnonzero(other.to_numpy(zero_copy_only=False)).tolist(), found.filter(other).to_pylist()):
+        out[k] = clean(word)
+    return out
+
+
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts one after another, cut at white space, and where each text's begin and end."""
     parts = pc.utf8_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
@@ -81,8 +92,7 @@ def word_ids(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, n
     text begins and ends."""
     flat, ends = words(texts)
     coded = flat.dictionary_encode()
-    cleaned = map(clean, coded.dictionary.to_pylist())
-    known = np.array([vocabulary.get(w, -1) if w else NO_WORD for w in cleaned] or [-1], np.int32)
+    known = np.array([vocabulary.get(w, -1) if w else NO_WORD for w in cleaned_words(coded.dictionary)] or [-1], np.int32)
     return known[coded.indices.to_numpy()] if len(flat) else np.zeros(0, np.int32), ends
 
 
@@ -104,11 +114,18 @@ def known_words(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def half_sums(known: np.ndarray, half: np.ndarray, n: int, rows: np.ndarray) -> np.ndarray:
     """For each of n half windows the sum of its known words' rows."""
+    # The first word of every half, then the second of those that have one, and so on: the fullest come first, so that
+    # each step adds to the beginning of the array.
     out = np.zeros((n, rows.shape[1]), rows.dtype)
-    heads = np.flatnonzero(np.diff(half, prepend=-1))
-    if len(heads):
-        out[half[heads]] = np.add.reduceat(rows[known], heads, axis=0)
-    return out
+    counts = np.bincount(half, minlength=n)
+    fullest = np.argsort(-counts, kind="stable")
+    first, left = (np.cumsum(counts) - counts)[fullest], -counts[fullest]
+    for k in range(-left[0] if n else 0):
+        m = int(np.searchsorted(left, -k))
+        out[:m] += rows[known[first[:m] + k]]
+    back = np.empty_like(fullest)
+    back[fullest] = np.arange(n)
+    return out[back]
 
 
 def windows(sums: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -330,6 +347,26 @@ class Items:
             self.table = np.zeros((len(rows) + 1, n), bool)
             self.table[self.member // n, self.member % n] = True
 
+    def possible(self, ids: np.ndarray, of: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """The numbers of the candidates that ``likely`` may keep, by the item's words in all BLOCKs of words that the
+        place touches: sums over blocks are made once for all candidates of an item, so most go without their words being read."""
+        if self.table is None or not len(of):
+            return np.arange(len(of))
+        padded = np.full(-(-len(ids) // BLOCK) * BLOCK, -1, ids.dtype)
+        padded[:len(ids)] = ids
+        blocks, n = padded.reshape(-1, BLOCK), np.zeros(len(of), np.int32)
+        for a in range(0, len(self.items), ITEMS_IN_BLOCKS):
+            mine = np.flatnonzero((of >= a) & (of < a + ITEMS_IN_BLOCKS))
+            if len(mine):
+                table = np.ascontiguousarray(self.table[:, a:a + ITEMS_IN_BLOCKS]).view(np.uint8)
+                held = table[blocks[:, 0]]
+                for k in range(1, BLOCK):
+                    held += table[blocks[:, k]]
+                before = np.zeros((table.shape[1], len(blocks) + 1), np.int32)
+                np.cumsum(np.ascontiguousarray(held.T), axis=1, out=before[:, 1:])
+                n[mine] = before[of[mine] - a, -(-hi[mine] // BLOCK)] - before[of[mine] - a, lo[mine] // BLOCK]
+        return np.flatnonzero(n >= PARAPHRASE * self.lengths[of])
+
     def likely(self, ids: np.ndarray, of: np.ndarray, lo: np.ndarray, hi: np.ndarray, answers: np.ndarray) -> np.ndarray:
         """For which of the candidates (item, place ``lo`` to ``hi`` among ``ids``) enough words are the item's at all.
 
@@ -358,7 +395,11 @@ class Items:
         """(common words, answer found) if item i stands in the region."""
         _, item = self.items[i]
         n, places = len(item), self.places[i]
-        common = lcs_length(region[region >= 0].tolist(), places, n)
+        known = region[region >= 0].tolist()
+        # No more words are common than the item has of those that stand here: most candidates end with that.
+        if sum(places[w].bit_count() for w in places.keys() & set(known)) < PARAPHRASE * n:
+            return None
+        common = lcs_length(known, places, n)
         if common < PARAPHRASE * n:
             return None
         answer = _has_run(region.tolist(), item[-ANSWER:])
@@ -387,31 +428,34 @@ def _leaks(ids: np.ndarray, lengths: np.ndarray, places: np.ndarray, rows: np.nd
     answers = np.sort(ended[1] * len(ids) + ended[0])
     found = [(short, *passages, block) for short, *passages in items.passages for block in range(0, len(passages[1]), ITEMS_AT_ONCE)]
 
-    def confirmed(t: np.ndarray, item: np.ndarray, begin: np.ndarray, cosine: np.ndarray | None) -> None:
+    def confirmed(t: np.ndarray, item: np.ndarray, begin: np.ndarray, cosine: np.ndarray) -> None:
         """Looks through the candidates: an item and where it would begin in a text, with room on both sides."""
         slack = HALF + items.lengths[item] // 4
         lo = firsts[t] + np.clip(begin - slack, 0, lengths[t])
         hi = firsts[t] + np.clip(begin + items.lengths[item] + slack, 0, lengths[t])
-        for k in np.flatnonzero(items.likely(ids, item, lo, hi, answers)).tolist():
+        good = items.possible(ids, item, lo, hi)
+        for k in good[items.likely(ids, item[good], lo[good], hi[good], answers)].tolist():
             i, pair = int(item[k]), (int(t[k]), int(item[k]))
             leak = items.confirm(i, ids[lo[k]:hi[k]])
             if leak and leak[0] > best.get(pair, {"lcs_words": -1})["lcs_words"]:
-                near = best.get(pair, {"cosine": None})["cosine"] if cosine is None else float(cosine[k])
+                near = best.get(pair, {"cosine": None})["cosine"] if np.isnan(cosine[k]) else float(cosine[k])
                 best[pair] = {"item_id": items.items[i][0], "lcs_words": leak[0], "item_words": len(items.items[i][1]),
                               "answer_found": leak[1], "cosine": near, "word_offset": int(places[lo[k]])}
 
+    candidates = []
     for short, targets, of_item, in_item, block in found:
         mine = np.arange(len(number)) if short else even
         vectors = _unit(pairs if short else windows(pairs[even], number[even] // 2))
         cosines = vectors @ targets[block:block + ITEMS_AT_ONCE].T
         at, of = np.nonzero(cosines >= (LEAST_COSINE_SHORT if short else LEAST_COSINE))
-        confirmed(text[mine[at]], of_item[block + of], number[mine[at]] * CELL - in_item[block + of], cosines[at, of])
+        candidates.append((text[mine[at]], of_item[block + of], number[mine[at]] * CELL - in_item[block + of], cosines[at, of]))
     at, item, begin = np.concatenate([ended, seeded], axis=1)
     order = np.lexsort((begin, item, of_word[at]))
     t, item, begin = of_word[at][order], item[order], begin[order] - firsts[of_word[at][order]]
     once = np.ones(len(t), bool)  # of runs that place an item within one CELL, the first
     once[1:] = (np.diff(t) != 0) | (np.diff(item) != 0) | (np.diff(begin // CELL) != 0)
-    confirmed(t[once], item[once], begin[once], None)
+    candidates.append((t[once], item[once], begin[once], np.full(once.sum(), np.nan, np.float32)))  # found without a cosine
+    confirmed(*map(np.concatenate, zip(*candidates)))
     out: dict[int, list[dict]] = {}
     for (t_, _), leak in sorted(best.items()):
         out.setdefault(t_, []).append(leak)
