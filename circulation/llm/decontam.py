@@ -114,15 +114,26 @@ def known_words(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def half_sums(known: np.ndarray, half: np.ndarray, n: int, rows: np.ndarray) -> np.ndarray:
     """For each of n half windows the sum of its known words' rows."""
-    # The first word of every half, then the second of those that have one, and so on: the fullest come first, so that
-    # each step adds to the beginning of the array.
+    # Word by word of all halves together, the fullest first, so that each step adds to a slice; in the order in which
+    # np.add.reduceat adds up to HALF rows (the first to the rest, a rest of 8 or more in pairs), so to the same last digit.
     out = np.zeros((n, rows.shape[1]), rows.dtype)
     counts = np.bincount(half, minlength=n)
     fullest = np.argsort(-counts, kind="stable")
     first, left = (np.cumsum(counts) - counts)[fullest], -counts[fullest]
-    for k in range(-left[0] if n else 0):
-        m = int(np.searchsorted(left, -k))
-        out[:m] += rows[known[first[:m] + k]]
+    holding = np.searchsorted(left, -np.arange(HALF + 2)).tolist()  # of so many words or more, in turn from more than 0
+    paired = holding[8]
+
+    def word(k: int, lo: int, hi: int) -> np.ndarray:
+        return rows[known[first[lo:hi] + k]]
+
+    if paired:
+        pairs = [word(k, 0, paired) + word(k + 1, 0, paired) for k in (1, 3, 5, 7)]
+        out[:paired] = (pairs[0] + pairs[1]) + (pairs[2] + pairs[3])
+    for k in range(1, HALF):
+        lo = paired if k < 8 else 0
+        if k != 8 and holding[k] > lo:
+            out[lo:holding[k]] += word(k, lo, holding[k])
+    out[:holding[0]] += word(0, 0, holding[0])
     back = np.empty_like(fullest)
     back[fullest] = np.arange(n)
     return out[back]
