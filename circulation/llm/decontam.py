@@ -28,7 +28,7 @@ rows; all columns are carried, and one named like an added one is replaced.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +55,8 @@ ITEMS_AT_ONCE = 8192
 TOKENS_AT_ONCE = 100_000
 # Words counted together for a bound on what an item has in a place, and items counted at once.
 BLOCK, ITEMS_IN_BLOCKS = 8, 256
+# Bits of a run's key that are looked up first.
+LOW_BITS = (1 << 20) - 1
 NO_WORD = -2
 # Punctuation that does not belong to a word.
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#$%&-_/\\«»„“”‘’¿¡…"
@@ -69,12 +71,32 @@ def clean(word: str) -> str:
     return word.strip(PUNCTUATION).lower()
 
 
+def _lowered(found: pa.Array) -> tuple[pa.Array, np.ndarray, list[str]]:
+    """The words without punctuation around them, ASCII in lower case, and of those with other letters the places and their
+    ``clean`` forms: these follow Python's rules of case."""
+    bare = pc.utf8_trim(found, characters=PUNCTUATION)
+    other = pc.invert(pc.string_is_ascii(bare))
+    return pc.ascii_lower(bare), np.flatnonzero(other.to_numpy(zero_copy_only=False)), [w.lower() for w in bare.filter(other).to_pylist()]
+
+
 def cleaned_words(found: pa.Array) -> list[str]:
-    """``clean`` of every word. Those of ASCII alone are cleaned at once; the rest follow Python's rules of case."""
-    out = pc.ascii_lower(pc.utf8_trim(found, characters=PUNCTUATION)).to_pylist()
-    other = pc.invert(pc.string_is_ascii(found))
-    for k, word in zip(np.flatnonzero(other.to_numpy(zero_copy_only=False)).tolist(), found.filter(other).to_pylist()):
-        out[k] = clean(word)
+    """``clean`` of every word."""
+    low, places, words_there = _lowered(found)
+    out = low.to_pylist()
+    for k, word in zip(places.tolist(), words_there):
+        out[k] = word
+    return out
+
+
+def ids_of(found: pa.Array, vocabulary: dict[str, int]) -> np.ndarray:
+    """The vocabulary's id of every word once it is clean, -1 if it has none, NO_WORD for mere punctuation. Words of ASCII alone
+    are looked up at once, without a Python string of each."""
+    low, places, words_there = _lowered(found)
+    numbers = np.fromiter([*vocabulary.values(), -1], np.int32)
+    at = pc.index_in(low, value_set=pa.array(list(vocabulary), low.type)).fill_null(len(vocabulary))
+    out = numbers[at.to_numpy()]
+    out[pc.equal(pc.binary_length(low), 0).to_numpy(zero_copy_only=False)] = NO_WORD
+    out[places] = [vocabulary.get(w, -1) for w in words_there]
     return out
 
 
@@ -92,8 +114,7 @@ def word_ids(texts: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, n
     text begins and ends."""
     flat, ends = words(texts)
     coded = flat.dictionary_encode()
-    known = np.array([vocabulary.get(w, -1) if w else NO_WORD for w in cleaned_words(coded.dictionary)] or [-1], np.int32)
-    return known[coded.indices.to_numpy()] if len(flat) else np.zeros(0, np.int32), ends
+    return ids_of(coded.dictionary, vocabulary)[coded.indices.to_numpy()], ends
 
 
 # --- passages --------------------------------------------------------------------------------
@@ -300,7 +321,11 @@ class Runs:
             begins[words[:, 0]] = True
             keys = self._keys(words.T)
             order = np.argsort(keys, kind="stable")
-            self.by_length.append((n, begins, keys[order], of[order], start[order]))
+            # Each key once, with its first run and how many it has, and the low bits that some key has: most places end there.
+            once, first, count = np.unique(keys[order], return_index=True, return_counts=True)
+            low = np.zeros(LOW_BITS + 1, bool)
+            low[once & np.uint64(LOW_BITS)] = True
+            self.by_length.append((n, begins, low, once, first, count, of[order], start[order]))
 
     @staticmethod
     def _keys(words: np.ndarray) -> np.ndarray:
@@ -314,13 +339,15 @@ class Runs:
     def places(self, ids: np.ndarray, text: np.ndarray) -> np.ndarray:
         """(word, item, word where the item would begin) of all runs in the texts; ``text``: each word's text."""
         found = [np.zeros((3, 0), np.int64)]
-        for n, begins, keys, of, start in self.by_length:
+        for n, begins, low, once, first, count, of, start in self.by_length:
             at = np.flatnonzero(begins[ids[:len(ids) - n + 1]]) if len(ids) >= n else np.zeros(0, np.int64)
             at = at[text[at] == text[at + n - 1]]
             sought = self._keys(np.stack([ids[at + k] for k in range(n)]))
-            lo = np.searchsorted(keys, sought)
-            n_runs = np.searchsorted(keys, sought, side="right") - lo
-            at, run = np.repeat(at, n_runs), np.repeat(lo - np.cumsum(n_runs) + n_runs, n_runs) + np.arange(n_runs.sum())
+            maybe = np.flatnonzero(low[sought & np.uint64(LOW_BITS)])
+            at, sought = at[maybe], sought[maybe]
+            key = np.minimum(np.searchsorted(once, sought), len(once) - 1)
+            n_runs = np.where(once[key] == sought, count[key], 0)
+            at, run = np.repeat(at, n_runs), np.repeat(first[key] - np.cumsum(n_runs) + n_runs, n_runs) + np.arange(n_runs.sum())
             found.append(np.stack([at, of[run], at - start[run]]))
         return np.concatenate(found, axis=1)
 
@@ -458,7 +485,8 @@ def _leaks(ids: np.ndarray, lengths: np.ndarray, places: np.ndarray, rows: np.nd
         mine = np.arange(len(number)) if short else even
         vectors = _unit(pairs if short else windows(pairs[even], number[even] // 2))
         cosines = vectors @ targets[block:block + ITEMS_AT_ONCE].T
-        at, of = np.nonzero(cosines >= (LEAST_COSINE_SHORT if short else LEAST_COSINE))
+        near = np.flatnonzero((cosines >= (LEAST_COSINE_SHORT if short else LEAST_COSINE)).ravel())  # faster than by two axes
+        at, of = np.divmod(near, cosines.shape[1])
         candidates.append((text[mine[at]], of_item[block + of], number[mine[at]] * CELL - in_item[block + of], cosines[at, of]))
     at, item, begin = np.concatenate([ended, seeded], axis=1)
     order = np.lexsort((begin, item, of_word[at]))
@@ -474,8 +502,9 @@ def _leaks(ids: np.ndarray, lengths: np.ndarray, places: np.ndarray, rows: np.nd
 
 
 def marked(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-           out: str = "leaks", rank: int = RANK) -> DataFrame:
-    """``docs`` with ``out``: the confirmed benchmark items of each row, its best place for each."""
+           out: str = "leaks", rank: int = RANK, keep: Sequence[str] | None = None) -> DataFrame:
+    """``docs`` with ``out``: the confirmed benchmark items of each row, its best place for each. ``keep`` names the columns
+    that go along (default: all); texts that do not are neither written nor read again."""
     spark = docs.sparkSession
     bound_memory(spark)
     docs = without(docs, [out])
@@ -488,23 +517,25 @@ def marked(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: s
     if len(vocabulary) > MAX_WORDS:
         raise ValueError(f"the benchmark has over {MAX_WORDS} distinct words: mark the documents part by part")
     coded = sorted(((k, [vocabulary[w] for w in ws]) for k, ws in cleaned if ws), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    kept = docs if keep is None else docs.select(*[docs[f"`{c}`"] for c in keep])
     if not coded:
-        return docs.withColumn(out, F.array().cast(LEAK))
+        return kept.withColumn(out, F.array().cast(LEAK))
     held_words = spark.sparkContext.broadcast(vocabulary)
     ids_name = free_name(docs.columns, "word_ids")
-    names, place = docs.columns, docs.columns.index(text)
-    schema = T.StructType(list(docs.schema) + [T.StructField(ids_name, T.ArrayType(T.IntegerType()))])
+    names, place = kept.columns, docs.columns.index(text)
+    of_kept = [docs.columns.index(c) for c in names]
+    schema = T.StructType(list(kept.schema) + [T.StructField(ids_name, T.ArrayType(T.IntegerType()))])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, ends = word_ids(b.column(place), held_words.value)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*b.columns, lists], names=[*names, ids_name])
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in of_kept], lists], names=[*names, ids_name])
 
     passages = written(docs.mapInArrow(code, schema), "decontam-words")
     rows = latent_rows(passages.select(ids_name), len(vocabulary), rank)
     held = spark.sparkContext.broadcast((rows, Items(coded, rows)))
-    out_schema = T.StructType(list(docs.schema) + [T.StructField(out, LEAK)])
+    out_schema = T.StructType(list(kept.schema) + [T.StructField(out, LEAK)])
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("lcs_words", pa.int32()), ("item_words", pa.int32()),
                                ("answer_found", pa.bool_()), ("cosine", pa.float64()), ("word_offset", pa.int64())]))
 

@@ -100,7 +100,7 @@ def op8_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    marked = decontam.marked(docs, table(spark, sf_dir, "benchmark")).select("doc_id", F.explode("leaks").alias("x"))
+    marked = decontam.marked(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"]).select("doc_id", F.explode("leaks").alias("x"))
     return marked.select("doc_id", "x.item_id", "x.lcs_words", "x.item_words", "x.answer_found", "x.cosine")
 
 

@@ -51,3 +51,39 @@ def test_longest_common_run_is_not_sought_where_words_are_missing(monkeypatch):
     items = decontam.Items([(1, list(range(20)))], np.ones((40, 4), np.float32))
     monkeypatch.setattr(decontam, "lcs_length", lambda *_: 1 / 0)
     assert items.confirm(0, np.array([*range(8), *[0] * 30, -1], np.int32)) is None
+
+
+def test_ids_are_those_of_clean_words():
+    found = ["Word", "(Word).", "…ÉTÉ»", "été", "ΣΊΣΥΦΟΣ", "İstanbul", "--", "", "«»", "a-b", "Kelvin", "kelvin", "unknown", "日本"]
+    vocabulary = {decontam.clean(w): 7 * k for k, w in enumerate(["WORD", "été", "ΣΊΣΥΦΟΣ", "İstanbul", "kelvin", "a-b"])}
+    want = [vocabulary.get(decontam.clean(w), -1) if decontam.clean(w) else decontam.NO_WORD for w in found]
+    assert decontam.ids_of(pa.array(found, pa.large_string()), vocabulary).tolist() == want
+    assert decontam.ids_of(pa.array([], pa.large_string()), vocabulary).tolist() == []
+    assert decontam.ids_of(pa.array(["a", "."], pa.large_string()), {}).tolist() == [-1, decontam.NO_WORD]
+
+
+def test_runs_are_found_as_by_looking_at_every_place():
+    rng = np.random.default_rng(8)
+    runs = [(tuple(rng.integers(0, 12, n).tolist()), i, k) for n in (1, 2, 3, 3, 5) for i in range(9) for k in range(3)]
+    ids, text = rng.integers(-1, 12, 900), np.sort(rng.integers(0, 30, 900))
+    want = sorted((at, item, at - start) for words, item, start in runs for at in range(len(ids) - len(words) + 1)
+                  if tuple(ids[at:at + len(words)]) == words and text[at] == text[at + len(words) - 1])
+    got = decontam.Runs(runs, 12).places(ids, text)
+    assert want and sorted(zip(*got.tolist())) == want
+    assert decontam.Runs(runs, 12).places(ids[:0], text[:0]).shape == (3, 0)
+    assert decontam.Runs([], 12).places(ids, text).shape == (3, 0)
+
+
+def test_only_kept_columns_go_through_the_search(spark, monkeypatch):
+    item = " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, f"x y {item} z", "a"), (2, "nothing here", "b"), (3, None, "c")], "doc_id long, text string, source string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    kept, plain = [], decontam.written
+    monkeypatch.setattr(decontam, "written", lambda df, label: kept.append(df.columns) or plain(df, label))
+    some = decontam.marked(docs, bench, keep=["doc_id"])
+    full = decontam.marked(docs, bench)
+    assert some.columns == ["doc_id", "leaks"] and full.columns == ["doc_id", "text", "source", "leaks"]
+    assert kept == [["doc_id", "word_ids"], ["doc_id", "text", "source", "word_ids"]]
+    assert sorted(some.collect()) == sorted(full.select("doc_id", "leaks").collect())
+    assert [r["doc_id"] for r in some.where("size(leaks) = 1").collect()] == [1]
+    assert decontam.marked(docs, bench.where("false"), keep=["doc_id"]).columns == ["doc_id", "leaks"]
