@@ -511,7 +511,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: s
     # The stated query set: its size is bounded by MAX_WORDS below.
     stated = benchmark.select(F.col(item_id).cast("long"), F.col(item_text).cast("string")).collect()
     flat, ends = words(pa.array([r[1] for r in stated], pa.large_string()))
-    flat = list(map(clean, flat.to_pylist()))
+    flat = cleaned_words(flat)
     cleaned = [(r[0], [w for w in flat[a:b] if w]) for r, a, b in zip(stated, ends, ends[1:])]
     vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in cleaned for w in ws}))}
     if len(vocabulary) > MAX_WORDS:

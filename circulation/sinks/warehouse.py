@@ -63,6 +63,8 @@ EXTRA_SCHEMAS = {CANONICAL: CANONICAL_SCHEMA, LOAD_DAYS: LOAD_DAYS_SCHEMA}
 # Roll-ups: the rows of a node. A loan's title is looked up as it is stored (books are insert-only, so it stays); a book not
 # known then is kept by its number and looked up when it is read.
 NODES = {"fact_group_nodes": "subject_group_id string, loans long", "fact_title_nodes": "title string, bibnumber long, loans long"}
+# Codec of every part's files; parts of one table may differ in it.
+COMPRESSION = "zstd"
 # Loans whose nodes one task makes and sorts.
 LOANS_PER_TASK = 500_000
 EXTRA_TABLES = tuple(EXTRA_SCHEMAS)
@@ -316,7 +318,8 @@ class Warehouse:
             if table in BUCKET_KEYS:
                 layout += f" CLUSTERED BY ({BUCKET_KEYS[table]}) INTO {buckets} BUCKETS"
             folder = f"{self.location}/tables/{self._stem(table, buckets)}"
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {layout} LOCATION '{folder}'")
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                           f"OPTIONS (compression '{COMPRESSION}') {layout} LOCATION '{folder}'")
             self._attached[name] = set()
         return name
 
@@ -474,7 +477,8 @@ class Warehouse:
             dealt = changed.sortWithinPartitions(node_order("loans"))
             self._made.append(f"tables/{table}/{PART}={part}")
             held = Observation(f"nodes_{uuid.uuid4().hex}")
-            dealt.select(*keys, "loans", "level", "node").observe(held, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.location}/tables/{table}/{PART}={part}")
+            dealt.select(*keys, "loans", "level", "node").observe(held, F.count(F.lit(1)).alias("rows")).write.parquet(
+                f"{self.location}/tables/{table}/{PART}={part}", compression=COMPRESSION)
             record.node_rows[part] = int(held.get["rows"])
         if not record.unknown_books:
             titles = self.spark.read.schema(f"{NODES['fact_title_nodes']}, level int, node int").parquet(f"{self.location}/tables/fact_title_nodes/{PART}={part}")
